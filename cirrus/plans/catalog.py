@@ -427,3 +427,206 @@ _CURATED_OBS_SQL = f"""SELECT city_id, main, description, temperature, CAST(NULL
     f"{_CURATED_OBS_SQL} WHERE name IN ({ALLOW_SQL})", OBS, CITY, DOCS))
 def q_curated_observation(spark, sf):
     return curate.curated_observation(_parsed_docs(spark, sf), allow=B.BOUND_ALLOW_LIST)
+
+
+# ============================================================================
+# Incremental answer tables: state from rows before T0, merged with the rest
+# ============================================================================
+from cirrus.operators import incremental as H, quality as D  # noqa: E402
+
+T0 = f"TIMESTAMP '{B.SPLIT_TS} 00:00:00'"
+
+
+def _split(df: DataFrame):
+    t0 = F.lit(B.SPLIT_TS).cast("timestamp_ntz")
+    return df.where(F.col("dt") < t0), df.where(F.col("dt") >= t0)
+
+
+def _two_step(spark, merge, schema, changes: DataFrame, **kw) -> DataFrame:
+    """Existing target = merge of the early rows into an empty state; then the
+    later rows are merged as one more batch."""
+    early, late = _split(changes)
+    state = merge(H.empty_state(spark, schema), early, **kw)
+    return merge(state, late, **kw)
+
+
+def _named_obs(spark, sf) -> DataFrame:
+    return _obs(spark, sf).join(_city(spark, sf).select("city_id", "name"), "city_id")
+
+
+@register("merge_condition_frequency", with_views(
+    "SELECT f.city_id, c.name AS city, f.weather_condition, f.frequency FROM (SELECT city_id, "
+    "main AS weather_condition, count(*) AS frequency FROM obs GROUP BY 1, 2) f "
+    "LEFT JOIN city c ON f.city_id = c.city_id", OBS, CITY))
+def q_merge_condition_frequency(spark, sf):
+    state = _two_step(spark, H.merge_condition_frequency, H.FREQUENCY_STATE, _obs(spark, sf))
+    return joins.scalar_lookup(state, _city(spark, sf), "city_id", "name", "city")
+
+
+@register("merge_distinct_conditions", with_views(
+    "SELECT c.name, list_sort(list_distinct(list(o.main))) AS distinct_conditions, "
+    "count(DISTINCT o.main) AS distinct_conditions_count FROM obs o JOIN city c "
+    "ON o.city_id = c.city_id GROUP BY c.name", OBS, CITY))
+def q_merge_distinct_conditions(spark, sf):
+    return _two_step(spark, H.merge_distinct_conditions, H.distinct_conditions_state(("name",)),
+                     _named_obs(spark, sf), keys=("name",))
+
+
+@register("merge_distinct_conditions_global", with_views(
+    "SELECT list_sort(list_distinct(list(main))) AS distinct_conditions, "
+    "count(DISTINCT main) AS distinct_conditions_count FROM obs", OBS))
+def q_merge_distinct_conditions_global(spark, sf):
+    return _two_step(spark, H.merge_distinct_conditions, H.distinct_conditions_state(), _obs(spark, sf))
+
+
+@register("anti_join_new_conditions", with_views(
+    f"SELECT event_id, main FROM obs WHERE dt >= {T0} AND main NOT IN "
+    f"(SELECT DISTINCT main FROM obs WHERE dt < {T0} AND main IN ('view', 'click'))", OBS))
+def q_anti_join_new_conditions(spark, sf):
+    early, late = _split(_obs(spark, sf))
+    state = H.merge_distinct_conditions(H.empty_state(spark, H.distinct_conditions_state()),
+                                        curate.filter_allow_list(early, "main", ("view", "click")))
+    return H.anti_join_new_conditions(state, late).select("event_id", "main")
+
+
+@register("merge_avg_exact", with_views(
+    "SELECT city_id, round(avg(temperature), 6) AS avg_temperature FROM obs GROUP BY city_id", OBS))
+def q_merge_avg_exact(spark, sf):
+    state = _two_step(spark, H.merge_avg_exact, H.AVG_STATE, _obs(spark, sf))
+    return H.present_avg(state).select("city_id", F.round("avg_temperature", 6).alias("avg_temperature"))
+
+
+HALVING_SQL = """SELECT city_id, round(sum(temperature * power(0.5, n - rn + CASE WHEN rn = 1 THEN 0 ELSE 1 END)), 6)
+    AS avg_temperature FROM (SELECT city_id, temperature,
+        row_number() OVER (PARTITION BY city_id ORDER BY dt, event_id) AS rn,
+        count(*) OVER (PARTITION BY city_id) AS n FROM obs WHERE temperature IS NOT NULL) x GROUP BY city_id"""
+
+
+@register("merge_avg_halving", with_views(HALVING_SQL, OBS))
+def q_merge_avg_halving(spark, sf):
+    state = _two_step(spark, H.merge_avg_halving, H.HALVING_STATE, _obs(spark, sf))
+    return state.select("city_id", F.round("avg_temperature", 6).alias("avg_temperature"))
+
+
+@register("merge_running_max", with_views(
+    "SELECT city_id, max(temperature) AS max_abs_temperature FROM obs GROUP BY city_id", OBS))
+def q_merge_running_max(spark, sf):
+    return _two_step(spark, H.merge_running_max, H.max_state("max_abs_temperature"), _obs(spark, sf))
+
+
+@register("merge_strongest_wind", with_views(
+    "SELECT city_id, max(wind_speed) AS max_wind_speed FROM obs GROUP BY city_id", OBS))
+def q_merge_strongest_wind(spark, sf):
+    return _two_step(spark, H.merge_running_max, H.max_state("max_wind_speed"), _obs(spark, sf),
+                     value="wind_speed", alias="max_wind_speed")
+
+
+@register("theta_update", with_views(
+    f"SELECT t.main, CASE WHEN c.m > t.max_value THEN c.m ELSE t.max_value END AS max_value FROM "
+    f"(SELECT main, max(temperature) AS max_value FROM obs WHERE dt < {T0} GROUP BY main) t LEFT JOIN "
+    f"(SELECT main, max(temperature) AS m FROM obs WHERE dt >= {T0} GROUP BY main) c ON t.main = c.main", OBS))
+def q_theta_update(spark, sf):
+    early, late = _split(_obs(spark, sf))
+    target = early.groupBy("main").agg(F.max("temperature").alias("max_value"))
+    return H.theta_update(target, late, "main", "max_value", "temperature")
+
+
+@register("merge_daily_variation", with_views(
+    "SELECT city_id, date, temperature_variation FROM (SELECT *, row_number() OVER (PARTITION BY city_id "
+    "ORDER BY temperature_variation DESC NULLS LAST, date) AS rn FROM (SELECT city_id, CAST(dt AS DATE) AS date, "
+    "max(temperature) - min(temperature) AS temperature_variation FROM obs GROUP BY 1, 2) d) x WHERE rn = 1", OBS))
+def q_merge_daily_variation(spark, sf):
+    return H.present_daily_variation(_two_step(spark, H.merge_daily_extremes, H.DAILY_STATE, _obs(spark, sf)))
+
+
+# City change rows: one per observation, as the curated dimension sees them.
+_CITY_ROWS = """r AS (SELECT o.event_id, o.dt, o.city_id, c.name, {tz} AS timezone, c.country,
+    round(c.latitude, 1) AS latitude, round(c.longitude, 1) AS longitude
+    FROM obs o JOIN city c ON o.city_id = c.city_id)"""
+_TZ_FIXED = "CASE WHEN c.timezone <> 3600 THEN 3600 ELSE c.timezone END"
+_TZ_LABEL = ("CASE WHEN c.timezone = 0 THEN 'UTC+00:00' WHEN c.timezone = 3600 THEN 'UTC+01:00' "
+             "WHEN c.timezone = 7200 THEN 'UTC+02:00' END")
+
+
+def _upsert_sql(where: str = "") -> str:
+    return (f"SELECT name, arg_max(city_id, (dt, event_id)) AS city_id, "
+            f"arg_max(timezone, (dt, event_id)) AS last_tz, arg_min(timezone, (dt, event_id)) AS timezone, "
+            f"arg_min(country, (dt, event_id)) AS country, arg_min(latitude, (dt, event_id)) AS latitude, "
+            f"arg_min(longitude, (dt, event_id)) AS longitude FROM r {where} GROUP BY name")
+
+
+def _city_rows(spark, sf, label: bool = False) -> DataFrame:
+    c = _city(spark, sf)
+    tz = F.col("timezone") if label else scalars.timezone_override("timezone")
+    return (_obs(spark, sf).select("event_id", "dt", "city_id")
+            .join(c.select("city_id", "name", tz.alias("timezone"), "country",
+                           scalars.round_coordinate("latitude").alias("latitude"),
+                           scalars.round_coordinate("longitude").alias("longitude")), "city_id"))
+
+
+@register("merge_city", with_views(
+    f"SELECT city_id, name, timezone, country, latitude, longitude FROM ({_upsert_sql()}) u",
+    OBS, CITY, _CITY_ROWS.format(tz=_TZ_FIXED)))
+def q_merge_city(spark, sf):
+    return _two_step(spark, H.merge_city, H.CITY_STATE, _city_rows(spark, sf))
+
+
+@register("merge_consumption_city", with_views(
+    f"SELECT city_id, name, last_tz AS timezone, country, latitude, longitude FROM ({_upsert_sql()}) u",
+    OBS, CITY, _CITY_ROWS.format(tz=_TZ_LABEL)))
+def q_merge_consumption_city(spark, sf):
+    return _two_step(spark, H.merge_consumption_city, H.CONSUMPTION_CITY_STATE, _city_rows(spark, sf, label=True))
+
+
+@register("cdc_snapshot_diff", with_views(
+    f"""SELECT CASE WHEN b.name IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS op, a.name, a.city_id,
+        a.timezone, a.country, a.latitude, a.longitude
+        FROM ({_upsert_sql(f'WHERE dt < {T0}')}) b FULL OUTER JOIN ({_upsert_sql()}) a ON b.name = a.name
+        WHERE b.name IS NULL OR b.city_id IS DISTINCT FROM a.city_id OR b.timezone IS DISTINCT FROM a.timezone
+           OR b.country IS DISTINCT FROM a.country OR b.latitude IS DISTINCT FROM a.latitude
+           OR b.longitude IS DISTINCT FROM a.longitude""",
+    OBS, CITY, _CITY_ROWS.format(tz=_TZ_FIXED)))
+def q_cdc_snapshot_diff(spark, sf):
+    early, late = _split(_city_rows(spark, sf))
+    before = H.merge_city(H.empty_state(spark, H.CITY_STATE), early)
+    after = H.merge_city(before, late)
+    return H.snapshot_diff(before, after, "name").select(
+        "op", "name", "city_id", "timezone", "country", "latitude", "longitude")
+
+
+# ============================================================================
+# Declared constraints as data-quality checks
+# ============================================================================
+
+
+@register("dq_not_null", """SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l
+    ON d.doc_id = l.doc_id WHERE l.quality IS NULL""")
+def q_dq_not_null(spark, sf):
+    docs = B.table(spark, sf, "documents").select("doc_id")
+    labels = B.table(spark, sf, "labels").select("doc_id", "quality")
+    return D.dq_not_null(docs.join(labels, "doc_id", "left"), ["quality"])
+
+
+@register("dq_unique", """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+    GROUP BY 1, 2 HAVING count(*) > 1""")
+def q_dq_unique(spark, sf):
+    return D.dq_unique(B.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@register("dq_foreign_key", """SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IS NOT NULL
+    AND o_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL)""")
+def q_dq_foreign_key(spark, sf):
+    orders = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    return D.dq_foreign_key(orders, B.table(spark, sf, "events"), "o_custkey", "user_id")
+
+
+@register("dq_length", "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 11")
+def q_dq_length(spark, sf):
+    return D.dq_length(B.table(spark, sf, "part").select("p_partkey", "p_name"), {"p_name": 11})
+
+
+@register("surrogate_key", """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey)
+    AS surrogate_id FROM orders""")
+def q_surrogate_key(spark, sf):
+    orders = B.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    return D.surrogate_key(orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "surrogate_id")
