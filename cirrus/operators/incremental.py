@@ -106,68 +106,66 @@ def _ordered_chunks(df: DataFrame, key: str, value: str, order: Sequence[str]) -
 
     Rows are range-partitioned on (key, order) -- a hot key is split over
     several partitions -- and sorted inside each partition; one pandas pass
-    per partition folds each key's run into (T, n, first value, run start)."""
+    per partition folds each key's run into (t, n, first value, run start),
+    carrying the open run across Arrow batches."""
     o1, o2 = order
-    src = df.select(key, value, o1, o2).where(F.col(value).isNotNull())
+    src = (df.where(F.col(value).isNotNull())
+           .select(F.col(key).alias("_k"), F.col(value).alias("_v"),
+                   F.col(o1).alias("_o1"), F.col(o2).alias("_o2")))
     schema = T.StructType([
-        src.schema[key], src.schema[o1], src.schema[o2],
-        T.StructField("t", T.DoubleType()), T.StructField("n", T.LongType()),
-        T.StructField("first", T.DoubleType()),
+        T.StructField(key, src.schema["_k"].dataType), T.StructField("_o1", src.schema["_o1"].dataType),
+        T.StructField("_o2", src.schema["_o2"].dataType), T.StructField("t", T.DoubleType()),
+        T.StructField("n", T.LongType()), T.StructField("first", T.DoubleType()),
     ])
-    cols = [key, o1, o2]
+    cols = [key, "_o1", "_o2", "t", "n", "first"]
 
     def fold(batches):
         carry = None  # partial of the last key of the previous Arrow batch
-
-        def emit(p):
-            return pd.DataFrame([p], columns=cols + ["t", "n", "first"])
-
         for pdf in batches:
             if pdf.empty:
                 continue
-            g = pdf.groupby(key, sort=False)
+            g = pdf.groupby("_k", sort=False)
             after = g.cumcount(ascending=False).to_numpy()
-            weighted = pdf[value].to_numpy() * np.ldexp(1.0, -(after + 1))
-            parts = (pdf.assign(_w=weighted)
-                     .groupby(key, sort=False)
-                     .agg(**{o1: (o1, "first"), o2: (o2, "first"), "t": ("_w", "sum"),
-                             "n": (value, "size"), "first": (value, "first")})
+            weighted = pdf["_v"].to_numpy() * np.ldexp(1.0, -(after + 1))
+            parts = (pdf.assign(_w=weighted).groupby("_k", sort=False)
+                     .agg(_o1=("_o1", "first"), _o2=("_o2", "first"), t=("_w", "sum"),
+                          n=("_v", "size"), first=("_v", "first"))
                      .reset_index())
-            rows = parts[cols + ["t", "n", "first"]].values.tolist()
+            rows = parts[["_k", "_o1", "_o2", "t", "n", "first"]].values.tolist()
             if carry is not None:
                 if rows[0][0] == carry[0]:
                     k, a1, a2, ta, na, fa = carry
-                    _, _, _, tb, nb, _ = rows[0]
-                    rows[0] = [k, a1, a2, ta * np.ldexp(1.0, -int(nb)) + tb, na + nb, fa]
+                    tb, nb = rows[0][3], rows[0][4]
+                    rows[0] = [k, a1, a2, ta * float(np.ldexp(1.0, -int(nb))) + tb, na + nb, fa]
                 else:
-                    yield emit(carry)
-            carry = rows[-1]
-            if len(rows) > 1:
-                yield pd.DataFrame(rows[:-1], columns=cols + ["t", "n", "first"])
+                    rows.insert(0, carry)
+            carry = rows.pop()
+            if rows:
+                yield pd.DataFrame(rows, columns=cols)
         if carry is not None:
-            yield emit(carry)
+            yield pd.DataFrame([carry], columns=cols)
 
-    ranged = src.repartitionByRange(key, o1, o2).sortWithinPartitions(key, o1, o2)
+    ranged = src.repartitionByRange("_k", "_o1", "_o2").sortWithinPartitions("_k", "_o1", "_o2")
     return ranged.mapInPandas(fold, schema)
 
 
 def halving_partials(changes: DataFrame, key: str = "city_id", value: str = "temperature",
                      order: Sequence[str] = ORDER) -> DataFrame:
     """(key, t, n, first) of the ordered rows of each key: exact, and no key's
-    rows are ever gathered into one task (only its few run partials are)."""
-    o1, o2 = order
+    rows are ever gathered into one task (only its few run partials are).
+    ``order`` (two columns) must make the order of unequal values unique."""
     chunks = _ordered_chunks(changes, key, value, order)
-    later = Window.partitionBy(key).orderBy(o1, o2).rowsBetween(1, Window.unboundedFollowing)
+    later = Window.partitionBy(key).orderBy("_o1", "_o2").rowsBetween(1, Window.unboundedFollowing)
     return (chunks.withColumn("after", F.coalesce(F.sum("n").over(later), F.lit(0)))
             .groupBy(key)
             .agg(F.sum(F.col("t") * F.pow(F.lit(0.5), F.col("after"))).alias("t"),
                  F.sum("n").alias("n"),
-                 F.min_by("first", F.struct(o1, o2)).alias("first")))
+                 F.min_by("first", F.struct("_o1", "_o2")).alias("first")))
 
 
-def merge_avg_halving(state: DataFrame, changes: DataFrame) -> DataFrame:
+def merge_avg_halving(state: DataFrame, changes: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Existing key: new = old * 2^-k + T_batch; new key: T_batch + x_1 * 2^-k."""
-    b = halving_partials(changes).alias("b")
+    b = halving_partials(changes, order=order).alias("b")
     s = state.select("city_id", "avg_temperature", "n").alias("s")
     half_k = F.pow(F.lit(0.5), F.col("b.n"))
     avg = (F.when(F.col("b.city_id").isNull(), F.col("s.avg_temperature"))

@@ -630,3 +630,190 @@ def q_dq_length(spark, sf):
 def q_surrogate_key(spark, sf):
     orders = B.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     return D.surrogate_key(orders, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "surrogate_id")
+
+
+# ============================================================================
+# Streaming: the whole flow fed with 5 time slices of the documents
+# ============================================================================
+from cirrus.streaming import jobs as S  # noqa: E402
+from cirrus.streaming.flow import CURATED_WEATHER_STREAM, ObservationFlow  # noqa: E402
+
+SLICES = 5
+_FLOWS: dict = {}
+
+
+def feed_in_slices(spark, docs: DataFrame, flow: ObservationFlow, pieces: int = SLICES) -> None:
+    """Write the documents into the flow's incoming folder one time slice at a
+    time (oldest first) and drain every layer after each slice."""
+    lo, hi = docs.agg(F.min("dt"), F.max("dt")).first()
+    step = (hi - lo) / pieces
+    bounds = [F.lit(str(lo + step * i)).cast("timestamp_ntz") for i in range(1, pieces)]
+    for i in range(pieces):
+        # first slice open below, last open above: every document lands once
+        cond = F.lit(True)
+        if i > 0:
+            cond = cond & (F.col("dt") >= bounds[i - 1])
+        if i < pieces - 1:
+            cond = cond & (F.col("dt") < bounds[i])
+        docs.where(cond).select("value").write.mode("append").text(flow.source_dir)
+        flow.run_once()
+
+
+def _flow(spark, sf) -> ObservationFlow:
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FLOWS:
+        flow = ObservationFlow(spark, scratch_path(spark, "flow"), allow=B.BOUND_ALLOW_LIST,
+                               one_document_per_file=False)
+        feed_in_slices(spark, B.documents(spark, sf), flow)
+        _FLOWS[key] = flow
+    return _FLOWS[key]
+
+
+ALLOWED_DOCS = f"adocs AS (SELECT * FROM docs WHERE name IN ({ALLOW_SQL}))"
+
+
+def _sv(body: str, *extra: str) -> str:
+    return with_views(body, OBS, CITY, DOCS, ALLOWED_DOCS, *extra)
+
+
+@register("stream_json_ingest", with_views("SELECT city_id, name, main, temperature, dt FROM docs",
+                                           OBS, CITY, DOCS))
+def q_stream_json_ingest(spark, sf):
+    v = landing.LANDING_COLUMN
+    raw = landing.read_table(spark, _flow(spark, sf).landing)
+    return raw.select(paths.extract(v, "$.id", "bigint").alias("city_id"),
+                      paths.extract(v, "$.name", "string").alias("name"),
+                      paths.extract(v, "$.weather[0].main", "string").alias("main"),
+                      paths.extract(v, "$.main.temp", "double").alias("temperature"),
+                      scalars.epoch_to_timestamp(paths.extract(v, "$.dt", "bigint")).alias("dt"))
+
+
+@register("stream_curated_observation", with_views(
+    f"{_CURATED_OBS_SQL} WHERE name IN ({ALLOW_SQL})", OBS, CITY, DOCS))
+def q_stream_curated_observation(spark, sf):
+    return landing.read_table(spark, _flow(spark, sf).curated_weather).select(*curate.OBSERVATION_COLUMNS)
+
+
+@register("stream_append_only", _sv("SELECT city_id, main, temperature, dt FROM adocs"))
+def q_stream_append_only(spark, sf):
+    """A new append-only consumer of the curated fact copies what it sees."""
+    flow = _flow(spark, sf)
+    out = scratch_path(spark, "append_only_copy")
+    stream = S.read_appends(spark, flow.curated_weather, CURATED_WEATHER_STREAM)
+
+    def copy(batch, batch_id):
+        batch.select("city_id", "main", "temperature", "dt").write.mode("append").parquet(out)
+
+    q = (stream.writeStream.foreachBatch(copy).option("checkpointLocation", scratch_path(spark, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_fan_out", _sv(
+    "SELECT 'consumer_a' AS consumer, count(*) AS n_rows FROM docs UNION ALL "
+    "SELECT 'consumer_b' AS consumer, count(*) AS n_rows FROM docs"))
+def q_stream_fan_out(spark, sf):
+    """Two independent consumers of the landing stream (own checkpoints): the
+    second one, started after the first has drained, still sees every row."""
+    flow = _flow(spark, sf)
+    out = scratch_path(spark, "fan_out")
+    for name in ("consumer_a", "consumer_b"):
+        def count_rows(batch, batch_id, name=name):
+            batch.agg(F.lit(name).alias("consumer"), F.count(F.lit(1)).alias("n_rows"),
+                      F.lit(batch_id).cast("long").alias("batch_id")).write.mode("append").parquet(out)
+        q = (S.read_appends(spark, flow.landing, S.LANDING_SCHEMA).writeStream.foreachBatch(count_rows)
+             .option("checkpointLocation", scratch_path(spark, "ckpt", name)).trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(out).groupBy("consumer").agg(F.sum("n_rows").alias("n_rows"))
+
+
+_CONSUMERS = ("distinct_weather_conditions", "weather_conditions_rank_per_city", "avg_temp_per_city",
+              "avg_temp_halving", "max_abs_temp", "city_with_strongest_wind", "max_daily_temp_variation")
+
+
+@register("stream_guard", _sv(
+    f"SELECT job, CAST({SLICES} AS BIGINT) AS n_batches, n AS n_rows FROM "
+    f"(VALUES ('curated_city'), ('city_bridge')) j(job), (SELECT count(*) AS n FROM docs) c UNION ALL "
+    f"SELECT job, CAST({SLICES} AS BIGINT), n FROM (VALUES {', '.join(f'({chr(39)}{c}{chr(39)})' for c in _CONSUMERS)}) "
+    f"j(job), (SELECT count(*) AS n FROM adocs) c"))
+def q_stream_guard(spark, sf):
+    """Run every layer again with no new files: no batch starts, no state
+    version is written, the run log is unchanged."""
+    flow = _flow(spark, sf)
+    flow.run_once()
+    log = spark.read.parquet(flow.run_log)
+    return log.groupBy("job").agg(F.count_distinct("batch_id").alias("n_batches"),
+                                  F.sum("rows").alias("n_rows"))
+
+
+@register("run_history", """SELECT event_type AS job, event_id, ts AS scheduled_time FROM events
+    WHERE event_type IN ('click', 'purchase') ORDER BY scheduled_time, job""")
+def q_run_history(spark, sf):
+    log = B.table(spark, sf, "events").select(F.col("event_type").alias("job"), "event_id",
+                                              F.col("ts").alias("scheduled_time"))
+    return S.run_history(log, ["click", "purchase"])
+
+
+_ROUND6 = {"avg_temperature"}
+
+
+def _state_query(name: str, cols: tuple[str, ...], with_city: bool = True):
+    def fn(spark, sf):
+        flow = _flow(spark, sf)
+        df = flow.answers()[name] if with_city else flow.state(name)
+        return df.select(*[F.round(c, 6).alias(c) if c in _ROUND6 else F.col(c) for c in cols])
+    return fn
+
+
+_STREAM_STATES = {
+    "stream_merge_distinct_conditions": (
+        "distinct_weather_conditions", ("distinct_conditions", "distinct_conditions_count"),
+        "SELECT list_sort(list_distinct(list(main))) AS distinct_conditions, count(DISTINCT main) "
+        "AS distinct_conditions_count FROM adocs"),
+    "stream_merge_condition_frequency": (
+        "weather_conditions_rank_per_city", ("city_id", "city", "weather_condition", "frequency"),
+        "SELECT city_id, name AS city, main AS weather_condition, count(*) AS frequency FROM adocs GROUP BY 1, 2, 3"),
+    "stream_merge_avg_exact": (
+        "avg_temp_per_city", ("city_id", "city", "avg_temperature"),
+        "SELECT city_id, name AS city, round(avg(temperature), 6) AS avg_temperature FROM adocs GROUP BY 1, 2"),
+    "stream_merge_running_max": (
+        "max_abs_temp", ("city_id", "city", "max_abs_temperature"),
+        "SELECT city_id, name AS city, max(temperature) AS max_abs_temperature FROM adocs GROUP BY 1, 2"),
+    "stream_merge_strongest_wind": (
+        "city_with_strongest_wind", ("city_id", "city", "max_wind_speed"),
+        "SELECT city_id, name AS city, max(wind_speed) AS max_wind_speed FROM adocs GROUP BY 1, 2"),
+    "stream_merge_daily_variation": (
+        "max_daily_temp_variation", ("city_id", "city", "date", "temperature_variation"),
+        "SELECT city_id, city, date, temperature_variation FROM (SELECT *, row_number() OVER (PARTITION BY city_id "
+        "ORDER BY temperature_variation DESC NULLS LAST, date) AS rn FROM (SELECT city_id, name AS city, "
+        "CAST(dt AS DATE) AS date, max(temperature) - min(temperature) AS temperature_variation FROM adocs "
+        "GROUP BY 1, 2, 3) d) x WHERE rn = 1"),
+}
+for _key, (_state, _cols, _sql) in _STREAM_STATES.items():
+    register(_key, _sv(_sql))(_state_query(_state, _cols, _state != "distinct_weather_conditions"))
+
+
+@register("stream_merge_avg_halving", _sv(HALVING_SQL.replace("FROM obs", "FROM adocs")
+                                          .replace("ORDER BY dt, event_id", "ORDER BY dt, temperature")))
+def q_stream_merge_avg_halving(spark, sf):
+    s = _flow(spark, sf).state("avg_temp_halving")
+    return s.select("city_id", F.round("avg_temperature", 6).alias("avg_temperature"))
+
+
+_FLOW_CITY = """SELECT name, arg_max(city_id, (dt, city_id)) AS city_id,
+    arg_min(CASE WHEN timezone <> 3600 THEN 3600 ELSE timezone END, (dt, city_id)) AS timezone,
+    arg_min(country, (dt, city_id)) AS country, arg_min(round(latitude, 1), (dt, city_id)) AS latitude,
+    arg_min(round(longitude, 1), (dt, city_id)) AS longitude FROM adocs GROUP BY name"""
+
+
+@register("stream_merge_city", _sv(f"SELECT name, city_id, timezone, country, latitude, longitude FROM ({_FLOW_CITY}) u"))
+def q_stream_merge_city(spark, sf):
+    return _flow(spark, sf).city()
+
+
+@register("stream_merge_consumption_city", _sv(
+    f"SELECT name, city_id, CASE WHEN timezone = 0 THEN 'UTC+00:00' WHEN timezone = 3600 THEN 'UTC+01:00' "
+    f"WHEN timezone = 7200 THEN 'UTC+02:00' END AS timezone, country, latitude, longitude FROM ({_FLOW_CITY}) u"))
+def q_stream_merge_consumption_city(spark, sf):
+    return _flow(spark, sf).consumption_city.read()
