@@ -52,3 +52,14 @@ def extract(variant, path: str, type_: str, strict: bool = False) -> Column:
 
 def extract_fields(variant, fields, strict: bool = False) -> list[Column]:
     return [extract(variant, path, t, strict).alias(name) for name, path, t in fields]
+
+
+def extraction_report(landing, variant: str, fields) -> "DataFrame":  # noqa: F821
+    """One row: unparsable documents, and per field the number of values that
+    are present but were NULLed by lenient extraction (wrong type)."""
+    v = F.col(variant)
+    aggs = [F.count_if(v.isNull()).alias("unparsable_documents")]
+    for name, path, t in fields:
+        present = F.try_variant_get(v, path, "variant").isNotNull()
+        aggs.append(F.count_if(present & F.try_variant_get(v, path, t).isNull()).alias(f"nulled_{name}"))
+    return landing.agg(*aggs)

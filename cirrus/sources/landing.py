@@ -22,22 +22,25 @@ def zone_path(root: str, zone: str, table: str) -> str:
 
 
 def json_reader(spark: SparkSession, one_document_per_file: bool = True,
-                column: str = LANDING_COLUMN, streaming: bool = False):
+                column: str = LANDING_COLUMN, streaming: bool = False, strict: bool = False):
     """JSON source configured to yield one VARIANT column per document.
 
     ``one_document_per_file`` -> ``multiLine`` (a file is one document, any
-    layout); otherwise JSON lines, which are splittable for large exports."""
+    layout); otherwise JSON lines, which are splittable for large exports.
+    Lenient (default): an unparsable document becomes a NULL VARIANT;
+    ``strict``: the load fails on it."""
     reader = spark.readStream if streaming else spark.read
     return (reader.format("json")
             .option("singleVariantColumn", column)
             .option("multiLine", "true" if one_document_per_file else "false")
-            .option("mode", "PERMISSIVE"))
+            .option("mode", "FAILFAST" if strict else "PERMISSIVE"))
 
 
 def read_json_documents(spark: SparkSession, path: str, one_document_per_file: bool = True,
-                        column: str = LANDING_COLUMN, with_source: bool = False) -> DataFrame:
+                        column: str = LANDING_COLUMN, with_source: bool = False,
+                        strict: bool = False) -> DataFrame:
     """Batch load of a folder of JSON documents into the landing shape."""
-    df = json_reader(spark, one_document_per_file, column).load(path)
+    df = json_reader(spark, one_document_per_file, column, strict=strict).load(path)
     if with_source:
         df = df.select(column, df["_metadata.file_path"].alias("source_file"))
     return df
