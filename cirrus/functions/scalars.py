@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # ---------------------------------------------------------------------------
-# Fixed values that must equal the reference's for identical results.
+# They must stay exactly as given for identical results.
 # ---------------------------------------------------------------------------
 # Cities kept by the curation step (allow-list on the document's name).
 CITY_ALLOW_LIST = ("Milan", "Bologna", "Cagliari")

@@ -817,3 +817,25 @@ def q_stream_merge_city(spark, sf):
     f"WHEN timezone = 7200 THEN 'UTC+02:00' END AS timezone, country, latitude, longitude FROM ({_FLOW_CITY}) u"))
 def q_stream_merge_consumption_city(spark, sf):
     return _flow(spark, sf).consumption_city.read()
+
+
+# ============================================================================
+# The same questions through the SQL interface (views + named parameters)
+# ============================================================================
+from cirrus.operators import questions_sql  # noqa: E402
+
+_SQL_KEYS = {"q1": "q1_distinct_conditions", "q2": "q2_distinct_conditions_per_city", "q3": "q3_condition_rank",
+             "q4": "q4_avg_temperature", "q5": "q5_hottest_city", "q6": "q6_daily_top_variation",
+             "q7": "q7_max_variation", "q8": "q8_strongest_wind"}
+
+
+def _sql_question(q: str):
+    def fn(spark, sf):
+        questions_sql.register_views(_obs(spark, sf), _city(spark, sf))
+        df = questions_sql.ask(spark, q, B.PERIOD_START, B.PERIOD_END)
+        return df.select(*[F.round(c, 6).alias(c) if c == "avg_temperature" else F.col(c) for c in df.columns])
+    return fn
+
+
+for _q, _key in _SQL_KEYS.items():
+    register(f"sql_{_key}", ORACLE_SQL[_key])(_sql_question(_q))

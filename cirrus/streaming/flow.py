@@ -8,6 +8,8 @@
 
 ``run_once`` drains every layer in order with ``availableNow`` -- the same
 ordering the staggered schedules of the original jobs aim at, but explicit.
+``start`` runs every layer continuously on its own processing-time cadence
+(1 .. 4 minutes by default, staggered by layer) and returns the queries.
 Every hop hands over through a stored table with its own checkpoint, so a
 lost executor or a restarted driver resumes where the checkpoints say.
 """
@@ -44,12 +46,11 @@ def merge_bridge(state: DataFrame, changes: DataFrame) -> DataFrame:
 
 class ObservationFlow:
     def __init__(self, spark: SparkSession, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST,
-                 one_document_per_file: bool = True, trigger: str | None = None):
+                 one_document_per_file: bool = True):
         self.spark = spark
         self.root = root.rstrip("/")
         self.allow = tuple(allow) if allow is not None else None
         self.one_document_per_file = one_document_per_file
-        self.trigger = trigger
         p = self.path
         self.source_dir = p("stage")
         self.landing = p("landing_zone/landing_json")
@@ -101,19 +102,35 @@ class ObservationFlow:
             round_coordinate(extract(v, "$.coord.lon", "double")).alias("longitude"),
             epoch_to_timestamp(extract(v, "$.dt", "bigint")).alias("dt"))
 
-    # -- one scheduling round ---------------------------------------------------
+    # -- scheduling -----------------------------------------------------------------
+    def _layers(self, cadence: dict[str, str | None]):
+        spark = self.spark
+        return [
+            lambda: jobs.ingest_json(spark, self.source_dir, self.landing, self.checkpoint("landing"),
+                                     self.one_document_per_file, trigger=cadence["landing"]),
+            lambda: jobs.append_transform(jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA),
+                                          self._curate_weather, self.curated_weather,
+                                          self.checkpoint("curated_weather"), cadence["curated_weather"],
+                                          partition_by=("obs_date",)),
+            lambda: jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA), self.curated,
+                                 self.city_jobs, self.checkpoint("curated_city"), self.run_log,
+                                 cadence["curated_city"], after_batch=lambda _: self.sync_consumption_city()),
+            lambda: jobs.consume(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
+                                 self.consumption, self.consumers, self.checkpoint("consumption"), self.run_log,
+                                 cadence["consumption"]),
+        ]
+
     def run_once(self) -> None:
-        spark, t = self.spark, self.trigger
-        jobs.ingest_json(spark, self.source_dir, self.landing, self.checkpoint("landing"),
-                         self.one_document_per_file, trigger=t)
-        jobs.append_transform(jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA), self._curate_weather,
-                              self.curated_weather, self.checkpoint("curated_weather"), t,
-                              partition_by=("obs_date",))
-        jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA), self.curated,
-                     self.city_jobs, self.checkpoint("curated_city"), self.run_log, t)
-        self.sync_consumption_city()
-        jobs.consume(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
-                     self.consumption, self.consumers, self.checkpoint("consumption"), self.run_log, t)
+        """Drain every layer once, in order (``availableNow``)."""
+        for layer in self._layers(dict.fromkeys(("landing", "curated_weather", "curated_city", "consumption"))):
+            layer()
+
+    def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes",
+              curated_city: str = "1 minute", consumption: str = "4 minutes") -> list:
+        """Run every layer continuously with its own processing-time trigger."""
+        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city,
+                   "consumption": consumption}
+        return [layer() for layer in self._layers(cadence)]
 
     def sync_consumption_city(self) -> None:
         """Feed every new curated_city version's INSERT/UPDATE rows (snapshot

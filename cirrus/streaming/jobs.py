@@ -118,7 +118,8 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
 
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
-            checkpoint: str, run_log: str | None = None, trigger: str | None = None) -> StreamingQuery:
+            checkpoint: str, run_log: str | None = None, trigger: str | None = None,
+            after_batch: Callable[[int], None] | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
@@ -129,6 +130,8 @@ def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Seq
             merge_batch(spark, group, jobs, batch, batch_id, run_log)
         finally:
             batch.unpersist()
+        if after_batch:
+            after_batch(batch_id)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger), trigger)

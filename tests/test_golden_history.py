@@ -13,7 +13,8 @@ from cirrus.sources import landing
 
 from conftest import HIST_DATA
 
-pytestmark = pytest.mark.skipif(not os.path.isdir(HIST_DATA), reason="historical documents not present")
+pytestmark = pytest.mark.skipif(not HIST_DATA or not os.path.isdir(HIST_DATA),
+                                reason="CIRRUS_HISTORY_DIR not set")
 START, END = "2024-03-29", "2024-04-02"
 
 

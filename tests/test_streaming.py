@@ -108,3 +108,20 @@ def test_run_history_filters_and_orders(spark):
     log = spark.createDataFrame([("a", dt.datetime(2024, 1, 2)), ("b", dt.datetime(2024, 1, 1)),
                                  ("c", dt.datetime(2024, 1, 3))], "job string, scheduled_time timestamp_ntz")
     assert [r.job for r in S.run_history(log, ["a", "b"]).collect()] == ["b", "a"]
+
+
+def test_continuous_cadence_runs_all_layers(spark, tmp_path):
+    import time
+    flow = ObservationFlow(spark, str(tmp_path / "live"))
+    _write(flow.source_dir, "m.json", doc(3173435, "Milan", 285.0, BASE))
+    queries = flow.start(landing="1 second", curated_weather="1 second", curated_city="1 second",
+                         consumption="1 second")
+    try:
+        deadline = time.time() + 120
+        while time.time() < deadline and flow.consumption.commits().count() == 0:
+            time.sleep(2)
+    finally:
+        for q in queries:
+            q.stop()
+    assert [r.max_abs_temperature for r in flow.state("max_abs_temp").collect()] == [285.0]
+    assert flow.consumption_city.read().count() == 1
