@@ -58,33 +58,39 @@ def curated_city(landing: DataFrame, column: str = LANDING_COLUMN,
     """Distinct location rows: id, name, canonical timezone, country and
     coordinates rounded to one decimal (so jitter in the 3rd-4th decimal does
     not create duplicate rows)."""
-    f = {name: extract(column, path, t, strict) for name, path, t in CITY_FIELDS}
-    return (_name_filter(landing, column, allow, strict)
-            .select(f["city_id"].alias("city_id"),
-                    f["name"].alias("name"),
-                    timezone_override(f["timezone"]).alias("timezone"),
-                    f["country"].alias("country"),
-                    round_coordinate(f["latitude"]).alias("latitude"),
-                    round_coordinate(f["longitude"]).alias("longitude"))
+    raw = _name_filter(landing, column, allow, strict).select(
+        *[extract(column, path, t, strict).alias(name) for name, path, t in CITY_FIELDS])
+    return (raw.select("city_id", "name", timezone_override("timezone").alias("timezone"), "country",
+                       round_coordinate("latitude").alias("latitude"),
+                       round_coordinate("longitude").alias("longitude"))
             .distinct())
 
 
+_DERIVED = {
+    "wind_direction": lambda: wind_direction("wind_deg"),
+    # FLOAT -> INT on insert rounds (the declared column is INT).
+    "cloudiness": lambda: F.round("cloudiness").cast("int"),
+    "dt": lambda: epoch_to_timestamp("epoch"),
+}
+
+
 def observation_columns(column: str = LANDING_COLUMN, strict: bool = False) -> list:
-    f = {name: extract(column, path, t, strict) for name, path, t in OBSERVATION_FIELDS}
-    derived = {
-        "wind_direction": wind_direction(f["wind_deg"]),
-        # FLOAT -> INT on insert rounds (the declared column is INT).
-        "cloudiness": F.round(f["cloudiness"]).cast("int"),
-        "dt": epoch_to_timestamp(f["epoch"]),
-    }
-    return [derived.get(c, f.get(c)).alias(c) for c in OBSERVATION_COLUMNS]
+    """The extracted fields (each VARIANT path decoded exactly once)."""
+    return [extract(column, path, t, strict).alias(name) for name, path, t in OBSERVATION_FIELDS]
 
 
 def curated_observation(landing: DataFrame, column: str = LANDING_COLUMN,
                         allow: Iterable[str] | None = CITY_ALLOW_LIST, strict: bool = False,
                         keep: tuple[str, ...] = ()) -> DataFrame:
-    """The 18-column observation fact (primary condition = weather[0])."""
-    return _name_filter(landing, column, allow, strict).select(*keep, *observation_columns(column, strict))
+    """The 18-column observation fact (primary condition = weather[0]).
+
+    Two projections: the first decodes every path once, the second derives
+    columns from the decoded values. (Catalyst keeps them apart because the
+    decoded values are reused; derived CASE branches would otherwise decode
+    the same path again per branch.)"""
+    raw = _name_filter(landing, column, allow, strict).select(*keep, *observation_columns(column, strict))
+    return raw.select(*keep, *[(_DERIVED[c]() if c in _DERIVED else F.col(c)).alias(c)
+                               for c in OBSERVATION_COLUMNS])
 
 
 def with_partition_date(obs: DataFrame, ts_col: str = "dt", date_col: str = "obs_date") -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 def estimated_size_bytes(df: DataFrame) -> int | None:
     """Optimizer size estimate of ``df`` (None when unavailable)."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # pragma: no cover - estimate is best effort
         return None
 
@@ -29,10 +29,15 @@ def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
     return df
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "city_id",
-                   how: str = "inner") -> DataFrame:
-    """Equi-join of a fact with a dimension on one key (planner picks strategy)."""
-    return fact.join(dim, key, how)
+DIMENSION_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "city_id", how: str = "inner",
+                   max_broadcast_bytes: int = DIMENSION_BROADCAST_BYTES) -> DataFrame:
+    """Equi-join of a fact with a dimension on one key. The dimension is the
+    build side when its estimated size is proven small (so the fact is never
+    the broadcast side); otherwise a shuffle join with AQE skew splitting."""
+    return fact.join(broadcast_if_small(dim, max_broadcast_bytes), key, how)
 
 
 def scalar_lookup(df: DataFrame, dim: DataFrame, key: str, value: str, alias: str) -> DataFrame:
