@@ -105,13 +105,14 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
     returns the batch row count (0: empty batch, nothing written)."""
     if group.is_committed(batch_id):  # replay of a finished batch
         return 0
-    rows = batch.count()
-    if rows == 0:  # guard: no new rows -> no work, no new version
+    if batch.isEmpty():  # guard: no new rows -> no work, no new version
         return 0
     started = _now()
     frames = {j.name: j.merge(group.read(j.name), j.prepare(batch, batch_id) if j.prepare else batch)
               for j in jobs}
-    if group.commit(batch_id, frames) and run_log:
+    committed = group.commit(batch_id, frames)
+    rows = batch.count()  # served by the cache the merge jobs filled
+    if committed and run_log:
         done = _now()
         run_log_append(spark, run_log, [(j.name, int(batch_id), int(rows), started, done) for j in jobs])
     return rows
