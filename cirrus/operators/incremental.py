@@ -235,13 +235,49 @@ CONSUMPTION_CITY_STATE = ("name string, city_id bigint, timezone string, country
                           "latitude double, longitude double")
 
 
+_EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def _as_long(df: DataFrame, c: str):
+    t = df.schema[c].dataType
+    if isinstance(t, (T.TimestampNTZType, T.TimestampType)):
+        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ).cast(t), F.col(c))
+    if isinstance(t, T.DateType):
+        return F.date_diff(F.col(c), F.lit("1970-01-01").cast("date"))
+    if isinstance(t, T.IntegralType):
+        return F.col(c).cast("long")
+    raise TypeError(f"order column {c} must be a timestamp, date or integer, not {t.simpleString()}")
+
+
+def order_key(df: DataFrame, order: Sequence[str]):
+    """One fixed-width DECIMAL(38,0) that sorts like the order columns.
+
+    Two columns pack as ``first * 2^64 + (second + 2^63)``; the first must lie
+    within +-2^60 (timestamps as epoch microseconds: +-36,000 years). A single
+    fixed-width key keeps min/max in a hash aggregate (a struct key would force
+    a sort-based aggregate over every row)."""
+    if not 1 <= len(order) <= 2:
+        raise ValueError("order key packs one or two columns")
+    first = _as_long(df, order[0]).cast("decimal(38,0)")
+    if len(order) == 1:
+        return first
+    second = _as_long(df, order[1]).cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
+    return first * F.lit(str(2 ** 64)).cast("decimal(38,0)") + second
+
+
 def _first_last_per_name(changes: DataFrame, order: Sequence[str]) -> DataFrame:
     """Per name: attributes of its earliest row (what an insert would write)
-    and the id / timezone of its latest row (what later updates write)."""
-    o = F.struct(*order)
-    return changes.groupBy("name").agg(
-        F.min_by(F.struct(*CITY_ATTRS), o).alias("first"),
-        F.max_by(F.struct("city_id", "timezone"), o).alias("last"))
+    and the id / timezone of its latest row (what later updates write).
+
+    Hash-aggregates the rows down to the dimension grain (name + attribute
+    values, earliest/latest packed order key) first; picking first/last per
+    name then runs on dimension-sized data only."""
+    k = order_key(changes, order)
+    grain = (changes.groupBy("name", "city_id", *CITY_ATTRS)
+             .agg(F.min(k).alias("_first_key"), F.max(k).alias("_last_key")))
+    return grain.groupBy("name").agg(
+        F.min_by(F.struct(*CITY_ATTRS), "_first_key").alias("first"),
+        F.max_by(F.struct("city_id", "timezone"), "_last_key").alias("last"))
 
 
 def _upsert_by_name(state: DataFrame, changes: DataFrame, order: Sequence[str],

@@ -151,3 +151,15 @@ def test_scalar_lookup_semantics(spark):
     dup = dim.unionByName(spark.createDataFrame([(2, "Other")], "city_id long, name string"))
     with pytest.raises(Exception):
         scalar_lookup(df, dup, "city_id", "name", "city").collect()
+
+
+def test_order_key_sorts_like_the_columns(spark):
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        ts = dt.datetime(1900, 1, 1) + dt.timedelta(microseconds=rnd.randrange(0, 10 ** 16))
+        rows.append((i, ts, rnd.choice([-2 ** 63, -1, 0, 1, 2 ** 63 - 1, rnd.randrange(-10 ** 12, 10 ** 12)])))
+    df = spark.createDataFrame(rows, "i int, t timestamp_ntz, e long")
+    by_key = [r.i for r in df.orderBy(H.order_key(df, ("t", "e")), "i").collect()]
+    by_cols = [r.i for r in df.orderBy("t", "e", "i").collect()]
+    assert by_key == by_cols
