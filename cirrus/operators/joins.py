@@ -21,19 +21,31 @@ def estimated_size_bytes(df: DataFrame) -> int | None:
         return None
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
-    """Broadcast hint only when the estimate proves the side is below ``max_bytes``."""
+def broadcast_limit(spark) -> int:
+    """The session's broadcast bound (``spark.sql.autoBroadcastJoinThreshold``;
+    -1 disables broadcasting)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
+
+
+def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
+    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
     size = estimated_size_bytes(df)
-    if size is not None and 0 <= size <= max_bytes:
-        return F.broadcast(df)
-    return df
+    return limit >= 0 and size is not None and 0 <= size <= limit
 
 
-DIMENSION_BROADCAST_BYTES = 64 * 1024 * 1024
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast hint only when the estimate proves the side is below the
+    bound (default: the session's own broadcast threshold)."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "city_id", how: str = "inner",
-                   max_broadcast_bytes: int = DIMENSION_BROADCAST_BYTES) -> DataFrame:
+                   max_broadcast_bytes: int | None = None) -> DataFrame:
     """Equi-join of a fact with a dimension on one key. The dimension is the
     build side when its estimated size is proven small (so the fact is never
     the broadcast side); otherwise a shuffle join with AQE skew splitting."""

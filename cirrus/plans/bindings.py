@@ -12,10 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cirrus.functions.scalars import timestamp_to_epoch
-from cirrus.operators.joins import estimated_size_bytes
-
-# Largest dimension the bindings hint for broadcast (checked on the estimate).
-DIMENSION_BROADCAST_BYTES = 64 * 1024 * 1024
+from cirrus.operators.joins import is_small
 
 PERIOD_START = "2024-01-08"
 PERIOD_END = "2024-01-15"
@@ -45,13 +42,13 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Location dimension. ``nation`` has a fixed 25 rows, so broadcasting it is
     bounded. ``customer`` grows with the data: the dimension is hinted as a
-    build side only when the customer projection's size estimate is under
-    ``DIMENSION_BROADCAST_BYTES`` (the nation lookup is many-to-one, so it
+    build side only when the customer projection's size estimate is under the
+    session's broadcast threshold (the nation lookup is many-to-one, so it
     cannot multiply rows; the optimizer's estimate for the join itself is a
     product of both sides and useless as a bound)."""
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    size = estimated_size_bytes(customer)
+    small = is_small(customer)
     dim = (customer
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("city_id"),
@@ -60,7 +57,7 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("country"),
                     F.col("c_acctbal").alias("latitude"),
                     F.col("c_nationkey").cast("double").alias("longitude")))
-    return F.broadcast(dim) if size is not None and size <= DIMENSION_BROADCAST_BYTES else dim
+    return F.broadcast(dim) if small else dim
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

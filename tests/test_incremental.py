@@ -163,3 +163,17 @@ def test_order_key_sorts_like_the_columns(spark):
     by_key = [r.i for r in df.orderBy(H.order_key(df, ("t", "e")), "i").collect()]
     by_cols = [r.i for r in df.orderBy("t", "e", "i").collect()]
     assert by_key == by_cols
+
+
+def test_broadcast_bound_follows_session_threshold(spark):
+    from cirrus.operators import joins
+    df = spark.range(10)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+        assert joins.broadcast_limit(spark) == 10 << 20 and joins.is_small(df)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not joins.is_small(df)
+        assert not joins.is_small(df, max_bytes=1)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
