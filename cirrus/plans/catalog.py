@@ -828,7 +828,7 @@ def q_stream_merge_city(spark, sf):
     f"SELECT name, city_id, CASE WHEN timezone = 0 THEN 'UTC+00:00' WHEN timezone = 3600 THEN 'UTC+01:00' "
     f"WHEN timezone = 7200 THEN 'UTC+02:00' END AS timezone, country, latitude, longitude FROM ({_FLOW_CITY}) u"))
 def q_stream_merge_consumption_city(spark, sf):
-    return _flow(spark, sf).consumption_city.read()
+    return _flow(spark, sf).consumption_city()
 
 
 # ============================================================================

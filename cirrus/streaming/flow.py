@@ -3,7 +3,8 @@
     incoming JSON files --(file stream, exactly-once sink)--> landing (VARIANT)
     landing --(append)--> curated_weather (typed fact, partitioned by day)
     landing --(foreachBatch upsert by name)--> curated_city (+ id->name bridge)
-    curated_city versions --(snapshot diff)--> consumption_city
+        and, in the same commit, curated_city's INSERT/UPDATE rows of that
+        batch (snapshot diff of old vs new version) --> consumption_city
     curated_weather --(one foreachBatch, batch persisted once)--> six states
 
 ``run_once`` drains every layer in order with ``availableNow`` -- the same
@@ -29,7 +30,6 @@ from cirrus.operators.joins import scalar_lookup
 from cirrus.schemas import CURATED_WEATHER
 from cirrus.sources.landing import LANDING_COLUMN
 from cirrus.streaming import jobs
-from cirrus.streaming.state import VersionedState
 
 CURATED_WEATHER_STREAM = T.StructType(CURATED_WEATHER.fields + [T.StructField("obs_date", T.DateType())])
 BRIDGE_STATE = "city_id bigint, name string"
@@ -61,9 +61,9 @@ class ObservationFlow:
                           prepare=lambda b, _: self._city_rows(b)),
             jobs.MergeJob("city_bridge", BRIDGE_STATE, merge_bridge, prepare=lambda b, _: self._city_rows(b)),
         ]
-        self.curated = jobs.state_group(spark, p("curated_zone/states"), self.city_jobs)
-        self.consumption_city = VersionedState(spark, p("consumption_zone/consumption_city"),
-                                               H.CONSUMPTION_CITY_STATE)
+        self.curated = jobs.StateGroup(spark, p("curated_zone/states"),
+                                       {**{j.name: j.schema for j in self.city_jobs},
+                                        "consumption_city": H.CONSUMPTION_CITY_STATE})
         self.consumers = [
             jobs.MergeJob("distinct_weather_conditions", H.distinct_conditions_state(),
                           H.merge_distinct_conditions),
@@ -114,7 +114,7 @@ class ObservationFlow:
                                           partition_by=("obs_date",)),
             lambda: jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA), self.curated,
                                  self.city_jobs, self.checkpoint("curated_city"), self.run_log,
-                                 cadence["curated_city"], after_batch=lambda _: self.sync_consumption_city()),
+                                 cadence["curated_city"], derive=self._consumption_city),
             lambda: jobs.consume(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
                                  self.consumption, self.consumers, self.checkpoint("consumption"), self.run_log,
                                  cadence["consumption"]),
@@ -132,24 +132,19 @@ class ObservationFlow:
                    "consumption": consumption}
         return [layer() for layer in self._layers(cadence)]
 
-    def sync_consumption_city(self) -> None:
-        """Feed every new curated_city version's INSERT/UPDATE rows (snapshot
-        diff against the previous version) into the consumption city upsert."""
-        done = self.consumption_city.latest()
-        versions = [r[0] for r in self.curated.commits()
-                    .where(F.col("batch_id") > F.lit(-1 if done is None else done))
-                    .select("batch_id").orderBy("batch_id").collect()]  # only new version ids
-        for v in versions:
-            prev = self.curated.previous(v)
-            before = (self.curated.read("curated_city", prev) if prev is not None
-                      else H.empty_state(self.spark, H.CITY_STATE))
-            diff = H.snapshot_diff(before, self.curated.read("curated_city", v), "name").where(
-                F.col("op") != "DELETE")
-            changes = diff.drop("op").withColumn("batch_id", F.lit(v).cast("long"))
-            # The curated timezone is already canonical; the consumption table
-            # stores its label.
-            merged = H.merge_consumption_city(self.consumption_city.read(), changes, order=("batch_id",))
-            self.consumption_city.commit(v, merged)
+    def _consumption_city(self, group, frames: dict, batch_id: int) -> dict:
+        """The consumption city upsert fed by this batch's INSERT/UPDATE rows
+        of curated_city (snapshot diff of the previous and the new version).
+        The curated timezone is already canonical; the consumption table
+        stores its label."""
+        diff = H.snapshot_diff(group.read("curated_city"), frames["curated_city"], "name")
+        changes = (diff.where(F.col("op") != "DELETE").drop("op")
+                   .withColumn("batch_id", F.lit(batch_id).cast("long")))
+        return {"consumption_city": H.merge_consumption_city(group.read("consumption_city"), changes,
+                                                             order=("batch_id",))}
+
+    def consumption_city(self) -> DataFrame:
+        return self.curated.read("consumption_city")
 
     # -- answer tables ------------------------------------------------------------
     def state(self, name: str) -> DataFrame:

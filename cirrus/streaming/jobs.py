@@ -99,10 +99,15 @@ def run_log_append(spark: SparkSession, path: str, entries: list[tuple]) -> None
         spark.createDataFrame(entries, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
 
 
+Derive = Callable[[StateGroup, dict, int], dict]
+
+
 def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob], batch: DataFrame,
-                batch_id: int, run_log: str | None = None) -> int:
+                batch_id: int, run_log: str | None = None, derive: Derive | None = None) -> int:
     """Apply every job of a group to one micro-batch and commit them together;
-    returns the batch row count (0: empty batch, nothing written)."""
+    returns the batch row count (0: empty batch, nothing written).
+    ``derive(group, new_frames, batch_id)`` may add tables computed from the
+    previous and new states of the group (committed in the same record)."""
     if group.is_committed(batch_id):  # replay of a finished batch
         return 0
     if batch.isEmpty():  # guard: no new rows -> no work, no new version
@@ -110,6 +115,8 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
     started = _now()
     frames = {j.name: j.merge(group.read(j.name), j.prepare(batch, batch_id) if j.prepare else batch)
               for j in jobs}
+    if derive:
+        frames.update(derive(group, frames, batch_id))
     committed = group.commit(batch_id, frames)
     rows = batch.count()  # served by the cache the merge jobs filled
     if committed and run_log:
@@ -120,7 +127,7 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
             checkpoint: str, run_log: str | None = None, trigger: str | None = None,
-            after_batch: Callable[[int], None] | None = None) -> StreamingQuery:
+            derive: Derive | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
@@ -128,11 +135,9 @@ def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Seq
     def on_batch(batch: DataFrame, batch_id: int):
         batch = batch.persist()
         try:
-            merge_batch(spark, group, jobs, batch, batch_id, run_log)
+            merge_batch(spark, group, jobs, batch, batch_id, run_log, derive)
         finally:
             batch.unpersist()
-        if after_batch:
-            after_batch(batch_id)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger), trigger)

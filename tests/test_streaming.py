@@ -56,7 +56,7 @@ def test_flow_end_to_end_matches_batch(spark, flow):
         expected[cid] = a
     assert halving == pytest.approx(expected)
     assert ans["distinct_weather_conditions"].first().distinct_conditions == ["Clouds", "Rain"]
-    cons = {r.name: (r.city_id, r.timezone) for r in flow.consumption_city.read().collect()}
+    cons = {r.name: (r.city_id, r.timezone) for r in flow.consumption_city().collect()}
     assert cons == {"Milan": (3173435, "UTC+01:00"), "Cagliari": (6540125, "UTC+01:00")}
     log = spark.read.parquet(flow.run_log)
     assert log.where("job = 'avg_temp_per_city'").count() == rounds
@@ -120,12 +120,12 @@ def test_continuous_cadence_runs_all_layers(spark, tmp_path):
         deadline = time.time() + 120
         # layers are asynchronous: wait until both answer layers have committed
         while time.time() < deadline and (flow.consumption.commits().count() == 0
-                                          or flow.consumption_city.commits().count() == 0):
+                                          or flow.curated.commits().count() == 0):
             time.sleep(2)
     finally:
         for q in queries:
             q.stop()
     from cirrus.streaming import state as st  # re-read the committed ids from storage
-    flow.consumption._latest = flow.consumption_city._latest = st._UNSET
+    flow.consumption._latest = flow.curated._latest = st._UNSET
     assert [r.max_abs_temperature for r in flow.state("max_abs_temp").collect()] == [285.0]
-    assert flow.consumption_city.read().count() == 1
+    assert flow.consumption_city().count() == 1
