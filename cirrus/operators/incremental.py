@@ -145,7 +145,11 @@ def _ordered_chunks(df: DataFrame, key: str, value: str, order: Sequence[str]) -
         if carry is not None:
             yield pd.DataFrame([carry], columns=cols)
 
-    ranged = src.repartitionByRange("_k", "_o1", "_o2").sortWithinPartitions("_k", "_o1", "_o2")
+    # The per-row tie-break lets the range partitioner split a key even when
+    # many of its rows share the whole order (they carry equal values then).
+    src = src.withColumn("_tie", F.monotonically_increasing_id())
+    ranged = (src.repartitionByRange("_k", "_o1", "_o2", "_tie")
+              .sortWithinPartitions("_k", "_o1", "_o2", "_tie").drop("_tie"))
     return ranged.mapInPandas(fold, schema)
 
 

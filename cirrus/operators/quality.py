@@ -55,13 +55,17 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "surrogate
     4. id = start + offset(partition) + row_number within the partition."""
     spark = df.sparkSession
     path = path or scratch_path(spark, "surrogate_key")
-    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    # Rows equal on the whole order are interchangeable; a per-row tie-break
+    # lets the range partitioner split even a huge group of such rows.
+    keyed = df.withColumn("_tie", F.monotonically_increasing_id())
+    full = [*order, "_tie"]
+    ranged = keyed.repartitionByRange(num_partitions, *full) if num_partitions else keyed.repartitionByRange(*full)
     ranged.withColumn("_pid", F.spark_partition_id()).write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_pid").orderBy(*order)
+    within = Window.partitionBy("_pid").orderBy(*full)
     return (stored.join(F.broadcast(offsets), "_pid")
             .withColumn(key_col, F.lit(start) + F.col("_offset") + F.row_number().over(within))
-            .drop("_pid", "_offset"))
+            .drop("_pid", "_offset", "_tie"))

@@ -20,3 +20,17 @@ def test_surrogate_key_dense_and_ordered(spark, tmp_path):
     out = D.surrogate_key(df, ["g", "k"], start=100, num_partitions=9, path=str(tmp_path / "sk"))
     rows = sorted((r.g, r.k, r.surrogate_id) for r in out.collect())
     assert [r[2] for r in rows] == list(range(101, 101 + n))
+
+
+def test_surrogate_key_splits_a_hot_group_of_identical_rows(spark, tmp_path):
+    """A third of the rows identical on the whole order still spreads over
+    several range partitions, and the ids stay dense."""
+    n = 3000
+    df = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    out = D.surrogate_key(df, ["k"], num_partitions=6, path=str(tmp_path / "sk"))
+    assert sorted(r.surrogate_id for r in out.collect()) == list(range(1, n + 1))
+    stored = spark.read.parquet(str(tmp_path / "sk"))
+    hot_parts = stored.where("k = 0").select("_pid").distinct().count()
+    assert hot_parts > 1
+    zero_ids = sorted(r.surrogate_id for r in out.where("k = 0").collect())
+    assert zero_ids == list(range(1, 1001))
