@@ -656,18 +656,20 @@ _FLOWS: dict = {}
 
 def feed_in_slices(spark, docs: DataFrame, flow: ObservationFlow, pieces: int = SLICES) -> None:
     """Write the documents into the flow's incoming folder one time slice at a
-    time (oldest first) and drain every layer after each slice."""
+    time (oldest first) and drain every layer after each slice. The documents
+    are built once, stored partitioned by slice, and each arrival reads only
+    its own partition."""
     lo, hi = docs.agg(F.min("dt"), F.max("dt")).first()
     step = (hi - lo) / pieces
-    bounds = [F.lit(str(lo + step * i)).cast("timestamp_ntz") for i in range(1, pieces)]
+    # slice = number of inner bounds at or below dt: first slice open below,
+    # last open above, so every document lands exactly once
+    slice_no = sum((F.col("dt") >= F.lit(str(lo + step * i)).cast("timestamp_ntz")).cast("int")
+                   for i in range(1, pieces))
+    staged = scratch_path(spark, "feed")
+    docs.select("value", slice_no.alias("slice")).write.partitionBy("slice").parquet(staged)
     for i in range(pieces):
-        # first slice open below, last open above: every document lands once
-        cond = F.lit(True)
-        if i > 0:
-            cond = cond & (F.col("dt") >= bounds[i - 1])
-        if i < pieces - 1:
-            cond = cond & (F.col("dt") < bounds[i])
-        docs.where(cond).select("value").write.mode("append").text(flow.source_dir)
+        (spark.read.parquet(staged).where(F.col("slice") == i).select("value")
+         .write.mode("append").text(flow.source_dir))
         flow.run_once()
 
 
