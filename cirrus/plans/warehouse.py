@@ -105,3 +105,22 @@ def data_quality(spark: SparkSession, root: str) -> DataFrame:
         row = df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
         out = row if out is None else out.unionByName(row)
     return out
+
+
+def register_tables(spark: SparkSession, root: str) -> list[str]:
+    """Expose the zones as schemas of the session catalog and the stored
+    tables as external Parquet tables (``curated_zone.curated_weather`` ...).
+    Only metadata is written; the data stays where it is."""
+    p = paths(root)
+    names = []
+    for zone in ("landing_zone", "curated_zone"):
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {zone} LOCATION '{root.rstrip('/')}/{zone}'")
+    for table, zone, key in (("landing_json", "landing_zone", "landing"),
+                             ("curated_city", "curated_zone", "curated_city"),
+                             ("curated_weather", "curated_zone", "curated_weather")):
+        spark.sql(f"DROP TABLE IF EXISTS {zone}.{table}")
+        spark.sql(f"CREATE TABLE {zone}.{table} USING parquet LOCATION '{p[key]}'")
+        if table == "curated_weather":
+            spark.sql(f"MSCK REPAIR TABLE {zone}.{table}")  # discover the day partitions
+        names.append(f"{zone}.{table}")
+    return names

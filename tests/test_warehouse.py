@@ -31,6 +31,11 @@ def test_load_ask_and_copy_semantics(spark, tmp_json, tmp_path):
     assert {r.check: r.violations for r in warehouse.data_quality(spark, root).collect()} == {
         "curated_city.city_id not null": 0, "curated_city.city_id unique": 0,
         "curated_weather.weather_id unique": 0, "curated_weather.city_id -> curated_city": 0}
+    # the zones as catalog tables
+    assert warehouse.register_tables(spark, root)[-1] == "curated_zone.curated_weather"
+    n = spark.sql("SELECT count(*) FROM curated_zone.curated_weather w JOIN curated_zone.curated_city c "
+                  "ON w.city_id = c.city_id WHERE w.obs_date = DATE'2024-03-29'").first()[0]
+    assert n == 9
     # loading again without new files adds nothing (COPY semantics)
     warehouse.load_history(spark, stage, root)
     assert warehouse.tables(spark, root)[0].count() == 9
