@@ -1,9 +1,12 @@
 """Versioned state tables with idempotent, atomic commits.
 
 A state group is a set of tables updated by the same micro-batches. Each
-table keeps full snapshots ``<root>/<name>/v=<batch_id>``; the group keeps
-one commit log ``<root>/_commits`` (a Parquet table appended once per batch,
-after every snapshot of that batch is written). Readers take the snapshots of
+table keeps full snapshots in ``retain`` rotating slots
+``<root>/<name>/slot=<batch_id mod retain>``; the group keeps one commit log
+``<root>/_commits`` (a Parquet table appended once per batch, after every
+snapshot of that batch is written). With ``retain >= 2`` a new batch never
+overwrites the newest committed snapshot, so storage stays bounded without
+any clean-up job. Readers take the snapshots of
 the newest *committed* batch, so a snapshot half-written by a lost job is
 never read and all tables of a group move together. Replaying a batch id that
 is already committed is a no-op -- which makes ``foreachBatch`` replays after
@@ -29,10 +32,13 @@ class StateGroup:
     batch id is committed exactly when it is <= the newest committed id. The
     newest id is read from the commit log once, then tracked in memory."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str]):
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], retain: int = 3):
+        if retain < 2:
+            raise ValueError("retain must be >= 2 so the newest committed snapshot is never overwritten")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = dict(schemas)
+        self.retain = retain
         self._latest = _UNSET
 
     @property
@@ -40,7 +46,7 @@ class StateGroup:
         return f"{self.root}/_commits"
 
     def version_path(self, name: str, batch_id: int) -> str:
-        return f"{self.root}/{name}/v={int(batch_id)}"
+        return f"{self.root}/{name}/slot={int(batch_id) % self.retain}"
 
     def commits(self) -> DataFrame:
         try:
@@ -63,6 +69,8 @@ class StateGroup:
         return latest is not None and int(batch_id) <= latest
 
     def read(self, name: str, batch_id: int | None = None) -> DataFrame:
+        """Newest committed snapshot, or that of ``batch_id`` (one of the last
+        ``retain`` committed batches)."""
         v = self.latest() if batch_id is None else batch_id
         if v is None:
             return self.spark.createDataFrame([], self.schemas[name])
@@ -90,8 +98,8 @@ class VersionedState(StateGroup):
 
     NAME = "data"
 
-    def __init__(self, spark: SparkSession, root: str, schema: str):
-        super().__init__(spark, root, {self.NAME: schema})
+    def __init__(self, spark: SparkSession, root: str, schema: str, retain: int = 3):
+        super().__init__(spark, root, {self.NAME: schema}, retain)
 
     def read(self, batch_id: int | None = None) -> DataFrame:  # type: ignore[override]
         return super().read(self.NAME, batch_id)

@@ -129,3 +129,13 @@ def test_continuous_cadence_runs_all_layers(spark, tmp_path):
     flow.consumption._latest = flow.curated._latest = st._UNSET
     assert [r.max_abs_temperature for r in flow.state("max_abs_temp").collect()] == [285.0]
     assert flow.consumption_city().count() == 1
+
+
+def test_snapshot_storage_is_bounded(spark, tmp_path):
+    group = StateGroup(spark, str(tmp_path / "g"), {"m": "k long"}, retain=2)
+    for b in range(5):
+        assert group.commit(b, {"m": spark.createDataFrame([(b,)], "k long")})
+        assert [r.k for r in group.read("m").collect()] == [b]
+    slots = sorted(p.name for p in (tmp_path / "g" / "m").iterdir())
+    assert slots == ["slot=0", "slot=1"]
+    assert [r.k for r in group.read("m", 3).collect()] == [3]
