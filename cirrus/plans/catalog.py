@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cirrus.functions import paths, scalars
 from cirrus.operators import analytics, curate, joins
 from cirrus.plans import bindings as B
-from cirrus.session import scratch_path
+from cirrus.session import checkpoint_root, scratch_path
 from cirrus.sources import landing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,7 +66,7 @@ def _parsed_docs(spark, sf) -> DataFrame:
     session and data folder, stored below the checkpoint folder, then read
     like any landing table (as the historical load does: load once, curate
     many times)."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (checkpoint_root(spark), sf)
     if key not in _LANDINGS:
         path = scratch_path(spark, "landing_zone", "landing_json")
         landing.write_table(
@@ -674,13 +674,18 @@ def feed_in_slices(spark, docs: DataFrame, flow: ObservationFlow, pieces: int =
 
 
 def _flow(spark, sf) -> ObservationFlow:
-    key = (spark.sparkContext.applicationId, sf)
+    """The flow fed once per shared checkpoint folder and data folder; later
+    calls (from any session) rebind a flow object to the stored tables."""
+    key = (checkpoint_root(spark), sf)
     if key not in _FLOWS:
-        flow = ObservationFlow(spark, scratch_path(spark, "flow"), allow=B.BOUND_ALLOW_LIST,
-                               one_document_per_file=False)
-        feed_in_slices(spark, B.documents(spark, sf), flow)
-        _FLOWS[key] = flow
-    return _FLOWS[key]
+        root = scratch_path(spark, "flow")
+        feed_in_slices(spark, B.documents(spark, sf), _bind_flow(spark, root))
+        _FLOWS[key] = root
+    return _bind_flow(spark, _FLOWS[key])
+
+
+def _bind_flow(spark, root: str) -> ObservationFlow:
+    return ObservationFlow(spark, root, allow=B.BOUND_ALLOW_LIST, one_document_per_file=False)
 
 
 ALLOWED_DOCS = f"adocs AS (SELECT * FROM docs WHERE name IN ({ALLOW_SQL}))"
