@@ -56,4 +56,5 @@ PRIMARY_KEYS = {
     "max_abs_temp": ("city_id",),
     "max_daily_temp_variation": ("city_id",),
     "city_with_strongest_wind": ("city_id",),
+    "weather_conditions_rank_per_city": ("city_id", "weather_condition"),
 }

@@ -7,7 +7,6 @@ Only a local-mode session without that setting (tests) gets a fresh temp dir.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -65,12 +64,3 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf.append(uuid.uuid4().hex[:12])
     return "/".join([checkpoint_root(spark), "cirrus", *leaf])
-
-
-def local_path(path: str) -> str | None:
-    """Return the local filesystem path for ``file:`` / bare paths, else None."""
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    if "://" in path:
-        return None
-    return path if os.path.isabs(path) else os.path.abspath(path)

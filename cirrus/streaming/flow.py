@@ -157,6 +157,32 @@ class ObservationFlow:
         """Adds the city name through the id->name bridge (scalar lookup)."""
         return scalar_lookup(df, self.curated.read("city_bridge"), "city_id", "name", "city")
 
+    def data_quality(self) -> DataFrame:
+        """Violation counts of the declared constraints of the consumption
+        tables: NOT NULL and UNIQUE keys, FOREIGN KEY to consumption_city,
+        VARCHAR(n) limits. One aggregate job per check, nothing collected."""
+        from cirrus.operators import quality as D
+        from cirrus.schemas import LENGTH_LIMITS, PRIMARY_KEYS
+        cities = self.consumption_city()
+        tables = {"consumption_city": cities, **self.answers()}
+        checks = []
+        for name, df in tables.items():
+            key = PRIMARY_KEYS.get(name)
+            if key:
+                checks.append((f"{name}.{','.join(key)} not null", D.dq_not_null(df, list(key))))
+                checks.append((f"{name}.{','.join(key)} unique", D.dq_unique(df, list(key))))
+            if name != "consumption_city" and "city_id" in df.columns:
+                checks.append((f"{name}.city_id -> consumption_city",
+                               D.dq_foreign_key(df, cities, "city_id", "city_id")))
+            limits = {c: n for c, n in LENGTH_LIMITS.items() if c in df.columns}
+            if limits:
+                checks.append((f"{name} length limits", D.dq_length(df, limits)))
+        out = None
+        for label, df in checks:
+            row = df.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(label).alias("check"), "violations")
+            out = row if out is None else out.unionByName(row)
+        return out
+
     def answers(self) -> dict[str, DataFrame]:
         return {
             "distinct_weather_conditions": self.state("distinct_weather_conditions"),

@@ -60,6 +60,11 @@ def test_flow_end_to_end_matches_batch(spark, flow):
     assert cons == {"Milan": (3173435, "UTC+01:00"), "Cagliari": (6540125, "UTC+01:00")}
     log = spark.read.parquet(flow.run_log)
     assert log.where("job = 'avg_temp_per_city'").count() == rounds
+    report = {r.check: r.violations for r in flow.data_quality().collect()}
+    assert report["consumption_city.city_id unique"] == 0
+    assert report["avg_temp_per_city.city_id -> consumption_city"] == 0
+    assert report["weather_conditions_rank_per_city length limits"] == 0
+    assert all(v == 0 for v in report.values()), report
 
     # restart with nothing new: no batch, no new version, run log unchanged
     versions = flow.consumption.latest()
