@@ -18,6 +18,7 @@ lost executor or a restarted driver resumes where the checkpoints say.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -121,9 +122,16 @@ class ObservationFlow:
         ]
 
     def run_once(self) -> None:
-        """Drain every layer once, in order (``availableNow``)."""
-        for layer in self._layers(dict.fromkeys(("landing", "curated_weather", "curated_city", "consumption"))):
-            layer()
+        """Drain every layer once along its dependencies (``availableNow``):
+        landing, then the fact append and the city upsert side by side (both
+        only read landing), then the consumption states (read the fact)."""
+        ingest, fact, city, consumption = self._layers(
+            dict.fromkeys(("landing", "curated_weather", "curated_city", "consumption")))
+        ingest()
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for done in [pool.submit(fact), pool.submit(city)]:
+                done.result()
+        consumption()
 
     def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes",
               curated_city: str = "1 minute", consumption: str = "4 minutes") -> list:
