@@ -2,7 +2,6 @@
 with exactly the state of an uninterrupted run (no lost or doubled rows)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from cirrus.operators import incremental as H
 from cirrus.streaming import jobs as S
