@@ -870,3 +870,11 @@ def q_curated_observation_keyed(spark, sf):
     obs = curate.curated_observation(_parsed_docs(spark, sf), allow=B.BOUND_ALLOW_LIST)
     return with_weather_id(obs).select("weather_id", "city_id", "main", "temperature", "wind_speed",
                                        "rain_1h", "dt")
+
+
+@register("stream_curated_observation_keyed", ORACLE_SQL["curated_observation_keyed"])
+def q_stream_curated_observation_keyed(spark, sf):
+    """The streamed fact numbered batch after batch (ids continue after the
+    stored maximum; slices arrive in time order)."""
+    return _flow(spark, sf).keyed_observations().select(
+        "weather_id", "city_id", "main", "temperature", "wind_speed", "rain_1h", "dt")

@@ -2,6 +2,8 @@
 
     incoming JSON files --(file stream, exactly-once sink)--> landing (VARIANT)
     landing --(append)--> curated_weather (typed fact, partitioned by day)
+    curated_weather --(foreachBatch, id counter state)--> curated_weather_keyed
+        (dense weather_id after the stored maximum, one folder per batch)
     landing --(foreachBatch upsert by name)--> curated_city (+ id->name bridge)
         and, in the same commit, curated_city's INSERT/UPDATE rows of that
         batch (snapshot diff of old vs new version) --> consumption_city
@@ -57,6 +59,8 @@ class ObservationFlow:
         self.landing = p("landing_zone/landing_json")
         self.curated_weather = p("curated_zone/curated_weather")
         self.run_log = p("_run_log")
+        self.keyed_fact = p("curated_zone/curated_weather_keyed")
+        self.id_counter = jobs.StateGroup(spark, p("curated_zone/id_counter"), {"id_counter": "max_id bigint"})
         self.city_jobs = [
             jobs.MergeJob("curated_city", H.CITY_STATE, lambda s, b: H.merge_city(s, b, order=CITY_ORDER),
                           prepare=lambda b, _: self._city_rows(b)),
@@ -119,25 +123,29 @@ class ObservationFlow:
             lambda: jobs.consume(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
                                  self.consumption, self.consumers, self.checkpoint("consumption"), self.run_log,
                                  cadence["consumption"]),
+            lambda: jobs.keyed_append(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
+                                      self.id_counter, self.keyed_fact, self.checkpoint("curated_weather_keyed"),
+                                      cadence["keyed"]),
         ]
 
     def run_once(self) -> None:
         """Drain every layer once along its dependencies (``availableNow``):
         landing, then the fact append and the city upsert side by side (both
-        only read landing), then the consumption states (read the fact)."""
-        ingest, fact, city, consumption = self._layers(
-            dict.fromkeys(("landing", "curated_weather", "curated_city", "consumption")))
+        only read landing), then the consumption states and the keyed fact
+        side by side (both only read the fact)."""
+        ingest, fact, city, consumption, keyed = self._layers(
+            dict.fromkeys(("landing", "curated_weather", "curated_city", "consumption", "keyed")))
         ingest()
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            for done in [pool.submit(fact), pool.submit(city)]:
-                done.result()
-        consumption()
+        for side_by_side in ((fact, city), (consumption, keyed)):
+            with ThreadPoolExecutor(max_workers=2) as pool:
+                for done in [pool.submit(layer) for layer in side_by_side]:
+                    done.result()
 
     def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes",
-              curated_city: str = "1 minute", consumption: str = "4 minutes") -> list:
+              curated_city: str = "1 minute", consumption: str = "4 minutes", keyed: str = "2 minutes") -> list:
         """Run every layer continuously with its own processing-time trigger."""
         cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city,
-                   "consumption": consumption}
+                   "consumption": consumption, "keyed": keyed}
         return [layer() for layer in self._layers(cadence)]
 
     def _consumption_city(self, group, frames: dict, batch_id: int) -> dict:
@@ -151,6 +159,14 @@ class ObservationFlow:
         return {"consumption_city": H.merge_consumption_city(group.read("consumption_city"), changes,
                                                              order=("batch_id",))}
 
+    def keyed_observations(self) -> DataFrame:
+        """The curated fact with its weather_id, committed batches only."""
+        latest = self.id_counter.latest()
+        if latest is None:
+            return self.spark.createDataFrame(
+                [], T.StructType([T.StructField("weather_id", T.LongType())] + CURATED_WEATHER_STREAM.fields))
+        return self.spark.read.parquet(self.keyed_fact).where(F.col("batch") <= latest).drop("batch")
+
     def consumption_city(self) -> DataFrame:
         return self.curated.read("consumption_city")
 

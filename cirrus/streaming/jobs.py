@@ -147,3 +147,28 @@ def run_history(log: DataFrame, jobs: Sequence[str], job_col: str = "job",
                 time_col: str = "scheduled_time") -> DataFrame:
     """Runs of the named jobs in scheduled order."""
     return log.where(F.col(job_col).isin(list(jobs))).orderBy(time_col, job_col)
+
+
+def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, target: str, checkpoint: str,
+                 trigger: str | None = None) -> StreamingQuery:
+    """Append with an AUTOINCREMENT-style ``weather_id``: dense ids after the
+    stored maximum, in time order inside each batch.
+
+    Per micro-batch: read the committed counter (one scalar), number the batch
+    with the distributed surrogate key, overwrite ``<target>/batch=<id>``
+    (idempotent), then commit the new counter. Readers keep ``batch <=`` the
+    newest committed id, so a batch written by a lost attempt is never seen
+    and a replayed one is rewritten with the same ids."""
+    from cirrus.plans.warehouse import with_weather_id
+
+    def on_batch(batch: DataFrame, batch_id: int):
+        if counter.is_committed(batch_id) or batch.isEmpty():
+            return
+        start = counter.read("id_counter").agg(F.max("max_id")).first()[0] or 0
+        folder = f"{target.rstrip('/')}/batch={int(batch_id)}"
+        with_weather_id(batch, start).write.mode("overwrite").partitionBy("obs_date").parquet(folder)
+        written = spark.read.parquet(folder).count()
+        counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")})
+
+    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return _finish(_start(w, trigger), trigger)

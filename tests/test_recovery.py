@@ -54,3 +54,42 @@ def test_restart_after_crash_gives_exact_state(spark, tmp_path, monkeypatch, whe
     got = {(r.city_id, r.weather_condition): r.frequency for r in group.read("freq").collect()}
     assert got == {(1, "Rain"): 3, (2, "Clear"): 2, (2, "Mist"): 1}
     assert group.latest() == 2
+
+
+def test_keyed_append_restart_keeps_ids_dense(spark, tmp_path, monkeypatch):
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from cirrus.streaming.flow import CURATED_WEATHER_STREAM
+    src, ckpt, target = str(tmp_path / "src"), str(tmp_path / "ckpt"), str(tmp_path / "keyed")
+    t0 = dt.datetime(2024, 3, 29)
+    for part in range(3):
+        rows = spark.createDataFrame([(i, t0 + dt.timedelta(hours=i)) for i in range(part * 4, part * 4 + 4)],
+                                     "city_id long, dt timestamp_ntz")
+        full = rows.select(*[F.col(f.name) if f.name in ("city_id", "dt") else F.lit(None).cast(f.dataType).alias(f.name)
+                             for f in CURATED_WEATHER_STREAM.fields])
+        full.withColumn("obs_date", F.to_date("dt")).coalesce(1).write.mode("append").parquet(src)
+    counter = StateGroup(spark, str(tmp_path / "counter"), {"id_counter": "max_id bigint"})
+    real_commit = StateGroup.commit
+    crashed = []
+
+    def flaky(self, batch_id, frames):
+        if batch_id == 1 and not crashed:
+            crashed.append(1)
+            raise Crash("lost after the batch folder was written")
+        return real_commit(self, batch_id, frames)
+
+    monkeypatch.setattr(StateGroup, "commit", flaky)
+
+    def run(counter_):
+        S.keyed_append(spark, S.read_appends(spark, src, CURATED_WEATHER_STREAM, max_files_per_trigger=1),
+                       counter_, target, ckpt)
+
+    with pytest.raises(Exception):
+        run(counter)
+    counter = StateGroup(spark, str(tmp_path / "counter"), {"id_counter": "max_id bigint"})
+    run(counter)
+    latest = counter.latest()
+    got = spark.read.parquet(target).where(F.col("batch") <= latest)
+    ids = sorted((r.weather_id, r.city_id) for r in got.collect())
+    assert [i for i, _ in ids] == list(range(1, 13))
+    assert [c for _, c in ids] == list(range(12))

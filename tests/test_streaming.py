@@ -60,6 +60,9 @@ def test_flow_end_to_end_matches_batch(spark, flow):
     assert cons == {"Milan": (3173435, "UTC+01:00"), "Cagliari": (6540125, "UTC+01:00")}
     log = spark.read.parquet(flow.run_log)
     assert log.where("job = 'avg_temp_per_city'").count() == rounds
+    keyed = [(r.weather_id, r.dt) for r in flow.keyed_observations().orderBy("weather_id").collect()]
+    assert [k for k, _ in keyed] == list(range(1, 9))
+    assert [d for _, d in keyed] == sorted(d for _, d in keyed)
     report = {r.check: r.violations for r in flow.data_quality().collect()}
     assert report["consumption_city.city_id unique"] == 0
     assert report["avg_temp_per_city.city_id -> consumption_city"] == 0
@@ -78,6 +81,7 @@ def test_flow_end_to_end_matches_batch(spark, flow):
     flow.run_once()
     assert landing.read_table(spark, flow.landing).count() == 12
     assert flow.consumption.latest() == versions
+    assert [r.weather_id for r in flow.keyed_observations().orderBy("weather_id").collect()] == list(range(1, 9))
 
 
 def test_replayed_and_empty_batches_change_nothing(spark, tmp_path):
