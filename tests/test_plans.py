@@ -83,3 +83,39 @@ def test_dimension_is_broadcast_when_small(spark):
 def test_halving_splits_keys_by_range_not_by_hash(spark):
     text = "\n".join(plan(spark, "merge_avg_halving"))
     assert "rangepartitioning(_k" in text and "MapInPandas" in text
+
+
+def test_hot_key_in_a_row_level_join_is_split(spark):
+    """A key holding a third of the fact rows: with no broadcast possible the
+    dimension join is a sort-merge join whose skewed partition AQE splits."""
+    from pyspark.sql import functions as F
+    from cirrus.operators.joins import join_dimension
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        fact = spark.range(n).select(
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("city_id"),
+            F.col("id").alias("event_id"))
+        dim = spark.range(1000).select(F.col("id").alias("city_id"), F.concat(F.lit("c"), F.col("id")).alias("name"))
+        joined = join_dimension(fact, dim, "city_id")
+        rows = joined.collect()  # executes this very plan, so its adaptive plan is final
+        hot = sum(1 for i in range(n) if (7 if i % 3 == 0 else i % 1000) == 7)
+        assert len(rows) == n and sum(r.city_id == 7 for r in rows) == hot
+        final = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in final
+        assert "SortMergeJoin(skew=true)" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
