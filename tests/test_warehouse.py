@@ -39,3 +39,15 @@ def test_load_ask_and_copy_semantics(spark, tmp_json, tmp_path):
     # loading again without new files adds nothing (COPY semantics)
     warehouse.load_history(spark, stage, root)
     assert warehouse.tables(spark, root)[0].count() == 9
+
+
+def test_command_line(spark, tmp_json, tmp_path, capsys):
+    from cirrus.__main__ import main
+    stage = tmp_json([doc(3173435, "Milan", 280.0 + i, BASE + 3600 * i) for i in range(4)])
+    root = str(tmp_path / "cli")
+    main(["load", "--stage", stage, "--root", root])
+    main(["ask", "--root", root, "--question", "q5", "--start", "2024-03-29", "--end", "2024-04-02", "--sql"])
+    main(["quality", "--root", root])
+    out = capsys.readouterr().out
+    assert "Milan" in out and "283.0" in out
+    assert "curated_weather.weather_id unique" in out
