@@ -2,7 +2,7 @@
 
     load    --stage DIR --root DIR            copy new JSON files, rebuild curated tables
     ask     --root DIR --question q4 --start 2024-03-29 --end 2024-04-02 [--sql]
-    quality --root DIR                        constraint violation counts
+    quality --root DIR [--flow]               constraint violation counts (curated / consumption tables)
     stream  --root DIR [--once]               run the continuous flow (files in <root>/stage)
 """
 
@@ -26,6 +26,7 @@ def main(argv=None) -> None:
     ap.add_argument("--end")
     ap.add_argument("--sql", action="store_true")
     ap.add_argument("--once", action="store_true")
+    ap.add_argument("--flow", action="store_true", help="quality of the stream flow's consumption tables")
     ap.add_argument("--master")
     a = ap.parse_args(argv)
     spark = build_session(a.master)
@@ -34,7 +35,8 @@ def main(argv=None) -> None:
     elif a.command == "ask":
         warehouse.ask(spark, a.root, a.question, a.start, a.end, sql=a.sql).show(truncate=False)
     elif a.command == "quality":
-        warehouse.data_quality(spark, a.root).show(truncate=False)
+        report = ObservationFlow(spark, a.root).data_quality() if a.flow else warehouse.data_quality(spark, a.root)
+        report.show(truncate=False)
     else:
         flow = ObservationFlow(spark, a.root)
         if a.once:

@@ -68,6 +68,8 @@ def test_flow_end_to_end_matches_batch(spark, flow):
     assert report["avg_temp_per_city.city_id -> consumption_city"] == 0
     assert report["weather_conditions_rank_per_city length limits"] == 0
     assert all(v == 0 for v in report.values()), report
+    from cirrus.__main__ import main
+    main(["quality", "--root", flow.root, "--flow"])  # same report through the command line
 
     # restart with nothing new: no batch, no new version, run log unchanged
     versions = flow.consumption.latest()
