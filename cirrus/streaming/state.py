@@ -3,8 +3,8 @@
 A state group is a set of tables updated by the same micro-batches. Each
 table keeps full snapshots in ``retain`` rotating slots
 ``<root>/<name>/slot=<batch_id mod retain>``; the group keeps one commit log
-``<root>/_commits`` (a Parquet table appended once per batch, after every
-snapshot of that batch is written). With ``retain >= 2`` a new batch never
+``<root>/_commits`` (one record per batch, written after every snapshot of
+that batch, rotating over the same slots). With ``retain >= 2`` a new batch never
 overwrites the newest committed snapshot, so storage stays bounded without
 any clean-up job. Readers take the snapshots of
 the newest *committed* batch, so a snapshot half-written by a lost job is
@@ -49,8 +49,10 @@ class StateGroup:
         return f"{self.root}/{name}/slot={int(batch_id) % self.retain}"
 
     def commits(self) -> DataFrame:
+        """The last ``retain`` commit records (batch_id, committed_at)."""
         try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(self.commit_path)
+            return (self.spark.read.parquet(self.commit_path)
+                    .select(F.col("batch_id").cast("long"), F.col("committed_at")))
         except AnalysisException:
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
 
@@ -87,8 +89,11 @@ class StateGroup:
             for f in done:
                 f.result()
         now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        # Commit records rotate over the same slots: the log stays ``retain``
+        # rows long. A lost overwrite can only drop the oldest record, which at
+        # worst makes this batch look uncommitted and be recomputed.
         (self.spark.createDataFrame([(int(batch_id), now)], COMMIT_SCHEMA)
-         .coalesce(1).write.mode("append").parquet(self.commit_path))
+         .coalesce(1).write.mode("overwrite").parquet(f"{self.commit_path}/slot={int(batch_id) % self.retain}"))
         self._latest = int(batch_id)
         return True
 

@@ -150,3 +150,13 @@ def test_snapshot_storage_is_bounded(spark, tmp_path):
     slots = sorted(p.name for p in (tmp_path / "g" / "m").iterdir())
     assert slots == ["slot=0", "slot=1"]
     assert [r.k for r in group.read("m", 3).collect()] == [3]
+
+
+def test_commit_log_is_bounded(spark, tmp_path):
+    group = StateGroup(spark, str(tmp_path / "g"), {"m": "k long"}, retain=3)
+    for b in range(7):
+        group.commit(b, {"m": spark.createDataFrame([(b,)], "k long")})
+    assert sorted(r.batch_id for r in group.commits().collect()) == [4, 5, 6]
+    fresh = StateGroup(spark, str(tmp_path / "g"), {"m": "k long"}, retain=3)
+    assert fresh.latest() == 6 and fresh.is_committed(5) and not fresh.is_committed(7)
+    assert [r.k for r in fresh.read("m").collect()] == [6]
