@@ -115,3 +115,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     if labels is None:
         return edges.select(F.col("u").alias("node"), F.col("u").alias("component"))
     return labels
+
+
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Arrow batches of at most ``rows`` rows, so that batches of long texts stay small in the Python workers."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

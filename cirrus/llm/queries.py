@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op4_decontaminate, op6_mix
+from cirrus.llm import op4_decontaminate, op5_language, op6_mix, op10_toxicity
 
 QUERIES = {
     "op4_decontaminate": op4_decontaminate.query,
+    "op5_language": op5_language.query,
     "op6_mix": op6_mix.query,
+    "op10_toxicity": op10_toxicity.query,
 }
 
 ORACLE_SQL = {
