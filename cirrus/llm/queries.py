@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op4_decontaminate, op5_language, op6_mix, op10_toxicity
+from cirrus.llm import op1_chat, op4_decontaminate, op5_language, op6_mix, op9_pii, op10_toxicity
 
 QUERIES = {
+    "op1_chat": op1_chat.query,
     "op4_decontaminate": op4_decontaminate.query,
     "op5_language": op5_language.query,
     "op6_mix": op6_mix.query,
+    "op9_pii": op9_pii.query,
     "op10_toxicity": op10_toxicity.query,
 }
 
 ORACLE_SQL = {
+    "op1_chat": op1_chat.ORACLE,
     "op4_decontaminate": op4_decontaminate.ORACLE,
     "op6_mix": op6_mix.ORACLE,
 }
