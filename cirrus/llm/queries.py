@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op1_chat, op2_near, op4_decontaminate, op5_language, op6_mix, op9_pii, op10_toxicity
+from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op9_pii, op10_toxicity
 
 QUERIES = {
     "op1_chat": op1_chat.query,
     "op2_near": op2_near.query,
+    "op3_substring": op3_substring.query,
     "op4_decontaminate": op4_decontaminate.query,
     "op5_language": op5_language.query,
     "op6_mix": op6_mix.query,
@@ -17,6 +18,7 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_chat": op1_chat.ORACLE,
     "op2_near": op2_near.ORACLE,
+    "op3_substring": op3_substring.ORACLE,
     "op4_decontaminate": op4_decontaminate.ORACLE,
     "op6_mix": op6_mix.ORACLE,
 }
