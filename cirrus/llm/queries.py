@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op9_pii, op10_toxicity
+from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity
 
 QUERIES = {
     "op1_chat": op1_chat.query,
@@ -11,6 +11,8 @@ QUERIES = {
     "op4_decontaminate": op4_decontaminate.query,
     "op5_language": op5_language.query,
     "op6_mix": op6_mix.query,
+    "op7_fingerprint": op7_fingerprint.query,
+    "op8_score": op8_score.query,
     "op9_pii": op9_pii.query,
     "op10_toxicity": op10_toxicity.query,
 }
