@@ -16,6 +16,8 @@ SPACE_WORD = r"[^\x20\x09-\x0D]+"
 ALNUM_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -62,10 +64,21 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
-    path = scratch_path(df.sparkSession, "llm", name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared scratch folder and read it back: cuts lineage, survives lost executors.
+
+    Nothing reads the write's shuffle files afterwards, so Spark may drop them at its end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "llm", name)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    try:
+        spark.conf.set(SHUFFLE_CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def ranged(df: DataFrame, name: str, *order: Column) -> DataFrame:

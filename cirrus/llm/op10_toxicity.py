@@ -161,6 +161,18 @@ def score(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
     return docs.select(*need).mapInPandas(run, schema)
 
 
+def clean(docs: DataFrame, model: dict, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, as they are."""
+    def run(batches):
+        for batch in batches:
+            low = [probability(*evidence(t.translate(TO_LOWER) if t else "", model)[:2], model) < threshold
+                   for t in batch["text"]]
+            yield batch[low]
+
+    small_batches(docs.sparkSession)
+    return docs.mapInPandas(run, docs.schema)
+
+
 def training(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Labels whose crc32(doc_id) mod 3 is not 1, and all documents."""
     return docs.select("doc_id", "text"), labels.where(

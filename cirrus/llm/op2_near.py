@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import SPACE_WORD, components, lower_ascii, small_batches, stored, table, word_hashes
+from cirrus.llm.common import SPACE_WORD, components, lower_ascii, small_batches, stored, table, word_count, word_hashes
 
 MASK = (1 << 64) - 1
 #: splitmix64 constants (fixed values).
@@ -144,7 +144,9 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sketcher: Ske
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 64, rows: int = 8,
                     bits: int = 1024, slack: float = 0.15, stars: int = 2) -> DataFrame:
-    """One row a document: doc_id, n_shingles, component_id, kept, copies (documents of its node), _th."""
+    """One row a document: doc_id, n_shingles, component_id, kept, copies (documents of its node), component, _th.
+
+    component numbers the groups of this run, also of documents without id; it is null for empty sets."""
     docs = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
     sketcher = Sketcher(bands, rows, bits)
     described = stored(describe(docs, sketcher, words), "near_described")
@@ -186,16 +188,34 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
     named = nodes.withColumn("component", F.col("node")) if labels is None else nodes.join(
         labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("rep_id").alias("component_id"))
-    named = named.select("s1", "s2", "n_shingles", "copies", "component").join(least, "component").drop("component")
+    named = named.select("s1", "s2", "n_shingles", "copies", "component").join(least, "component")
     out = described.select("doc_id", "_th", "n_shingles", "s1", "s2").join(named, ["s1", "s2", "n_shingles"], "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
-                      F.coalesce("copies", F.lit(1)).alias("copies"), "_th")
+                      F.coalesce("copies", F.lit(1)).alias("copies"), "component", "_th")
+
+
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: the smallest id of each group stays (else the smallest text hash).
+
+    Documents without words are in no group and stay; of exactly repeated rows one stays."""
+    found = stored(near_duplicates(docs, **options).select("doc_id", "component", "_th"), "near_found")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th"))
+    keep = found.where("component IS NOT NULL").groupBy("component").agg(first.alias("r")).select("r.doc_id", "r._th")
+    keep = keep.unionByName(found.where("component IS NULL").select("doc_id", "_th"))
+    keep = keep.select(F.col("doc_id").alias("keep_id"), F.col("_th").alias("keep_th")).distinct()
+    digest = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    left = docs.join(keep, docs["doc_id"].eqNullSafe(keep["keep_id"]) & (digest == keep["keep_th"]), "left_semi")
+    twins = found.where("component IS NOT NULL").groupBy("doc_id", "_th").count().where("count > 1")
+    if twins.isEmpty():
+        return left
+    wordless = word_count(F.col("text")) == 0
+    return left.where(~wordless).dropDuplicates(["doc_id", "text"]).unionByName(left.where(wordless))
 
 
 def query(spark, sf_dir):
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("_th")
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2).drop("_th", "component")
 
 
 ORACLE = r"""

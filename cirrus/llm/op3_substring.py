@@ -1,24 +1,19 @@
 """Substring dedup by compacting a token de Bruijn graph.
 
-Edges of the graph are windows of ``width`` consecutive words; windows that follow each other share a node. An edge is
-repeated if its words occur at two or more source coordinates. Every word under a repeated edge is removed.
-
-1. Anchors. Of the k-grams inside a window the smallest (by hash, leftmost) is its anchor; consecutive windows with one
-   anchor form a segment. Equal windows have equal anchors at equal offsets, so only windows whose anchor occurs twice
-   can be repeated; anchors are counted with partial aggregation.
-2. Segments around repeated anchors are made from the texts. Where all segments of an anchor are equal, they are
-   repeated whole; where an anchor has segments of different content, their single windows are counted.
-3. Compaction. Repeated windows form paths. A step from one stretch of repeated windows to the next is unbranched if no
-   occurrence of either continues differently; unbranched stretches are joined into one path in the order of their
-   source coordinates.
-4. Verification. A path's occurrences (same first and last edge, same length) must have two source coordinates; the
-   words they cover are removed from their documents.
-
-Content is named by two 64-bit hashes together (anchor and segment, anchor and window).
-
-Results for odd input: null or empty texts have no words; a text shorter than the window keeps all; all occurrences of
-a repeated passage go, the first one too, and so do whole repeated documents; documents with equal or absent ids are
-told apart by their texts, so exactly repeated rows count as several sources and each get their result.
+Of the k-grams inside a window of ``width`` words the smallest (by hash, leftmost) is its anchor; consecutive windows
+with one anchor form a segment. Equal windows have equal anchors at equal offsets. The graph's nodes are the anchors,
+its edges lead from each segment of a text to the next: a de Bruijn graph of the texts' k-grams, thinned to the anchors.
+
+1. Anchors that occur once end all repeats; they are counted with partial aggregation and dropped by a join.
+2. Compaction. An anchor whose segment and whose neighbours on both sides are the same wherever it occurs is unbranched;
+   neighbouring unbranched anchors are joined into one path, which then has the same extent at every occurrence. Where
+   an anchor branches, its windows stay single.
+3. Verification. Paths and single windows are named by the hash of their words and counted by source coordinate; those
+   with two or more are repeated, and the words they cover are removed.
+
+Hashes have 64 bits. Results for odd input: null or empty texts have no words; a text shorter than the window keeps
+all; all occurrences of a repeated passage go, the first one too, and so do whole repeated documents; rows with equal
+or absent ids are told apart by their texts, exactly repeated rows count as several sources and each get their result.
 """
 
 from __future__ import annotations
@@ -28,10 +23,10 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import keyed, small_batches, stored, table, word_hashes
+from cirrus.llm.common import small_batches, stored, table, word_hashes
 from cirrus.llm.op2_near import GOLDEN, mix
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -76,119 +71,84 @@ def _hashed(docs: DataFrame, *keep: str) -> DataFrame:
 
 
 def anchors(docs: DataFrame, width: int, k: int) -> DataFrame:
-    """(key, a, p): hash and position of every anchor. docs: key, text."""
+    """(key, a, c, p): the anchors of each text, in order: hash, hash of the segment's words, position."""
     def run(batches):
         for batch in batches:
-            keys, a, p = [], [], []
+            out = []
             for key, h in zip(batch["key"], batch["h"], strict=True):
                 if len(h) >= width:
-                    pos, name, _, _ = segments(Rolling(np.asarray(h, np.int64)), len(h), width, k)
-                    keys.append(np.full(len(pos), key, np.int64))
-                    a.append(name.view(np.int64))
-                    p.append(pos.astype(np.int32))
-            if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys), "a": np.concatenate(a), "p": np.concatenate(p)})
+                    rolling = Rolling(np.asarray(h, np.int64))
+                    pos, name, first, count = segments(rolling, len(h), width, k)
+                    content = rolling.runs(first, count + (width - 1))
+                    out.append((key, name.view(np.int64), content.view(np.int64), pos.astype(np.int32)))
+            if out:
+                yield pd.DataFrame(out, columns=["key", "a", "c", "p"])
 
-    return _hashed(docs, "key").mapInPandas(run, "key long, a long, p int")
+    return _hashed(docs, "key").mapInPandas(run, "key long, a array<long>, c array<long>, p array<int>")
 
 
-def repeated_segments(docs: DataFrame, wanted: DataFrame, width: int, k: int) -> DataFrame:
-    """The segments around the wanted anchors (key, ps: positions): coordinates, content and window hashes.
+def repeated_anchors(found: DataFrame) -> DataFrame:
+    """(key, ps, free): positions of the anchors that occur twice, and which of them are unbranched."""
+    each = found.select("key", F.explode(F.transform(F.sequence(F.lit(1), F.size("a")), lambda i: F.struct(
+        F.element_at("a", i).alias("a"), F.element_at("p", i).alias("p"),
+        F.xxhash64(F.element_at("c", i), F.when(i > 1, F.element_at("a", F.greatest(i - 1, F.lit(1)))).otherwise(0),
+                   F.when(i < F.size("a"), F.element_at("a", F.least(i + 1, F.size("a")))).otherwise(0)).alias("sign")))).alias("x"))
+    each = each.select("key", "x.a", "x.p", "x.sign")
+    twice = each.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sign").alias("lo"), F.max("sign").alias("hi")).where(
+        "n > 1").select("a", (F.col("lo") == F.col("hi")).alias("free"))
+    return each.select("key", "a", "p").join(twice, "a").groupBy("key").agg(
+        F.sort_array(F.collect_set(F.struct("p", "free"))).alias("ps")).select(
+        "key", F.col("ps.p").alias("ps"), F.col("ps.free").alias("free"))
 
-    doc_id, _th, a, c (content), s (first window), n (windows), w (their hashes), before and after (hash of the window
-    before the first and after the last; 0 at an end of the text)."""
-    kind = dict(docs.dtypes)["doc_id"]
 
+def units(docs: DataFrame, wanted: DataFrame, width: int, k: int) -> DataFrame:
+    """(key, s, n, e): compacted paths and single windows: first window, windows, hash of their words."""
     def run(batches):
         for batch in batches:
-            out = []
-            for doc_id, th, h, ps in zip(batch["doc_id"], batch["_th"], batch["h"], batch["ps"], strict=True):
+            keys, starts, counts, names = [], [], [], []
+            for key, h, ps, free in zip(batch["key"], batch["h"], batch["ps"], batch["free"], strict=True):
                 h = np.asarray(h, np.int64)
                 if len(h) < width:
                     continue
                 rolling = Rolling(h)
-                pos, name, first, count = segments(rolling, len(h), width, k)
-                take = np.isin(pos, ps)
-                content = rolling.runs(first, count + (width - 1)).view(np.int64)
-                edges = np.zeros(len(h) - width + 3, np.int64)
-                edges[1:-1] = rolling.runs(np.arange(len(h) - width + 1), width).view(np.int64)
-                for i in np.flatnonzero(take):
-                    s, n = first[i], count[i]
-                    out.append((doc_id, th, name[i].view(np.int64), content[i], s, n, edges[s + 1: s + n + 1], edges[s],
-                                edges[s + n + 1]))
-            if out:
-                yield pd.DataFrame(out, columns=["doc_id", "_th", "a", "c", "s", "n", "w", "before", "after"])
-
-    texts = docs.join(wanted, "key")
-    return _hashed(texts, "doc_id", "_th", "ps").mapInPandas(
-        run, f"doc_id {kind}, _th long, a long, c long, s int, n int, w array<long>, before long, after long")
-
-
-def stretches(found: DataFrame) -> DataFrame:
-    """Stretches of repeated windows: doc_id, _th, s, n, first, last, before, after.
-
-    All occurrences of a window are cut alike: if its anchor has one content only, that whole segment is a stretch,
-    else each repeated window is one."""
-    contents = found.groupBy("a", "c").agg(F.count(F.lit(1)).alias("times"))
-    kinds = stored(contents.groupBy("a").agg(F.count(F.lit(1)).alias("m"), F.sum("times").alias("times")).where(
-        "times > 1"), "substring_kinds")
-    whole = found.join(kinds.where("m = 1").select("a"), "a").select(
-        "doc_id", "_th", "s", "n", F.col("w")[0].alias("first"), F.element_at("w", -1).alias("last"), "before", "after")
-
-    around = F.concat(F.array("before"), "w", F.array("after"))
-    each = found.join(kinds.where("m > 1").select("a"), "a").select(
-        "doc_id", "_th", "a", "s", F.explode(F.transform(F.sequence(F.lit(1), F.col("n")), lambda i: F.struct(
-            i.alias("i"), F.element_at("w", i).alias("e"), F.element_at(around, i).alias("b"),
-            F.element_at(around, i + 2).alias("x")))).alias("z")).select(
-        "doc_id", "_th", "a", (F.col("s") + F.col("z.i") - 1).alias("s"), "z.e", F.col("z.b").alias("before"),
-        F.col("z.x").alias("after"))
-    each = stored(each, "substring_windows")
-    edges = each.groupBy("a", "e").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("a", "e")
-    parts = each.join(edges, ["a", "e"]).select(
-        "doc_id", "_th", "s", F.lit(1).alias("n"), F.col("e").alias("first"), F.col("e").alias("last"), "before", "after")
-    return whole.unionByName(parts)
-
-
-def paths(runs: DataFrame) -> DataFrame:
-    """Compacted paths: doc_id, _th, s, e (words), first, last, n; stretches joined over unbranched steps.
-
-    A step is unbranched if every occurrence of the earlier edge continues to the same edge and every occurrence of
-    the later edge comes from the same edge; the text's ends count as a continuation of their own (0)."""
-    outs = runs.groupBy("last").agg(F.min("after").alias("x"), F.max("after").alias("y")).where("x = y").select("last")
-    ins = runs.groupBy("first").agg(F.min("before").alias("x"), F.max("before").alias("y")).where("x = y").select("first")
-    flagged = runs.join(outs.withColumn("out", F.lit(True)), "last", "left").join(
-        ins.withColumn("in", F.lit(True)), "first", "left")
-    doc = Window.partitionBy("doc_id", "_th", "twin").orderBy("s")
-    # Exactly repeated rows have every stretch several times over: number the twins and keep their paths apart.
-    twin = F.row_number().over(Window.partitionBy("doc_id", "_th", "s").orderBy("n"))
-    flagged = flagged.withColumn("twin", twin)
-    joins = (F.lag("out").over(doc) & F.col("in") & (F.lag(F.col("s") + F.col("n")).over(doc) == F.col("s")))
-    numbered = flagged.withColumn("new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn(
-        "path", F.sum("new").over(doc))
-    return numbered.groupBy("doc_id", "_th", "twin", "path").agg(
-        F.min("s").alias("s"), F.sum("n").alias("n"), F.min_by("first", "s").alias("first"),
-        F.max_by("last", "s").alias("last"))
+                pos, _, first, count = segments(rolling, len(h), width, k)
+                kind = np.zeros(len(pos), np.int8)  # 1 branching, 2 unbranched
+                at = np.searchsorted(pos, ps)
+                known = (at < len(pos)) & (pos[np.minimum(at, len(pos) - 1)] == ps)
+                kind[at[known]] = 1 + np.asarray(free, bool)[known]
+                path = kind == 2
+                heads = np.flatnonzero(path & ~np.r_[False, path[:-1]])
+                tails = np.flatnonzero(path & ~np.r_[path[1:], False])
+                single = np.flatnonzero(kind == 1)
+                s = np.concatenate([first[heads], *(np.arange(first[i], first[i] + count[i]) for i in single)])
+                n = np.concatenate([first[tails] + count[tails] - first[heads], np.ones(count[single].sum(), np.int64)])
+                keys.append(np.full(len(s), key, np.int64))
+                starts.append(s)
+                counts.append(n)
+                names.append(rolling.runs(s.astype(np.int64), n + (width - 1)).view(np.int64))
+            if keys:
+                yield pd.DataFrame({"key": np.concatenate(keys), "s": np.concatenate(starts), "n": np.concatenate(counts),
+                                    "e": np.concatenate(names)})
+
+    return _hashed(docs.join(wanted, "key"), "key", "ps", "free").mapInPandas(run, "key long, s int, n int, e long")
 
 
 def repeated_spans(docs: DataFrame, width: int = 50, k: int = 0) -> DataFrame:
-    """Verified occurrences (doc_id, _th, s, n: windows, first, last) of repeated paths. docs: keyed()."""
+    """(key, spans: array of (s, n)): the verified paths and windows of each text. docs: key, text."""
     k = k or max(1, width * 2 // 5)
-    docs = docs.withColumn("key", F.xxhash64("doc_id", "_th"))
     small_batches(docs.sparkSession)
-    all_ = stored(anchors(docs, width, k), "substring_anchors")
-    twice = all_.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a")
-    wanted = stored(all_.join(twice, "a").groupBy("key").agg(F.collect_set("p").alias("ps")), "substring_wanted")
-    found = stored(repeated_segments(docs, wanted, width, k), "substring_segments")
-    compact = stored(paths(stretches(found)), "substring_paths")
-    real = compact.groupBy("first", "last", "n").agg(F.count(F.lit(1)).alias("sources")).where("sources > 1")
-    return compact.join(real, ["first", "last", "n"]).drop("path", "twin")
+    found = stored(anchors(docs, width, k), "substring_anchors")
+    wanted = stored(repeated_anchors(found), "substring_wanted")
+    parts = stored(units(docs, wanted, width, k), "substring_units")
+    real = parts.groupBy("e").agg(F.count(F.lit(1)).alias("sources")).where("sources > 1").select("e")
+    return stored(parts.join(real, "e").groupBy("key").agg(F.collect_set(F.struct("s", "n")).alias("spans")),
+                  "substring_spans")
 
 
 def dedup(docs: DataFrame, width: int = 50, k: int = 0) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept (text: kept words joined by one space), kept_sha256."""
-    docs = keyed(docs)
-    spans = repeated_spans(docs, width, k).groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
-        F.collect_set(F.struct("s", "n")).alias("spans"))
+    docs = docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"))
+    spans = repeated_spans(docs.select("key", "text"), width, k)
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
@@ -207,7 +167,7 @@ def dedup(docs: DataFrame, width: int = 50, k: int = 0) -> DataFrame:
                 out.append((doc_id, total, total - len(words), kept, hashlib.sha256(kept.encode("utf-8", "replace")).hexdigest()))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    return docs.join(spans, F.expr("doc_id <=> _d AND _th = _t"), "left").select("doc_id", "text", "spans").mapInPandas(
+    return docs.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(
         run, f"doc_id {kind}, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
