@@ -1,15 +1,19 @@
 """MinHash near-duplicates, verified by odd sketches and on full sets.
 
-A document's set holds its distinct ``words``-word shingles as 64-bit hashes. Equal sets are one node. ``bands x rows``
+A document's set holds its distinct ``words``-word shingles as 64-bit hashes. Equal sets are one node, named by a 64-bit
+hash. ``bands x rows``
 MinHash samples give the band keys; the same samples, folded into a parity bitmap of ``bits`` bits, are the node's odd
 sketch: the population count of the XOR of two sketches estimates a high similarity closely. Candidates that share a
-band and whose estimate is not far below the threshold (five and more standard errors of slack) are confirmed on their
-full sets, exactly.
+band are confirmed on their full sets, exactly; of the last, widest set of candidates only those whose estimate is not
+far below the threshold (five and more standard errors of slack).
 
-No bucket is expanded into all its pairs. In each of ``stars`` rounds every member of a bucket is compared with one
-leader, a different one each round, and confirmed links join components; only members of a bucket that are still in
-different components after that are compared pairwise, so no link between components is left out and a group of n
-near copies costs about n comparisons, not n squared.
+No bucket is expanded into all its pairs. Its members are compared with one leader, the node that shares most buckets
+(in a group of copies the text they were copied from), and in a second round those left over with the most central of
+themselves; confirmed links join components. Two members x and y of one bucket that are still apart share at most
+``min(|x & L|, |y & L|)`` shingles of the leader's set L, and others only outside L. So they can meet the threshold in
+two ways only: they are small enough for the leader's part alone (joined by leader and size), or they share a shingle
+outside L (joined by leader and shingle, on the shortest prefix that must hold one). Those pairs, few in a group of n
+copies, are then estimated and confirmed; no link between members of a bucket is left out.
 
 With 64 bands of 8 a pair at similarity 0.8 misses every band with probability below 1e-5.
 
@@ -89,7 +93,7 @@ def _hashed(docs: DataFrame) -> DataFrame:
 
 
 def describe(docs: DataFrame, sketcher: Sketcher, words: int) -> DataFrame:
-    """doc_id, _th, n_shingles, s1 and s2 (128 bits naming the set), keys (band keys), odd (the odd sketch)."""
+    """doc_id, _th, n_shingles, node (hash of the set, null if empty), keys (band keys), odd (the odd sketch)."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
@@ -99,16 +103,16 @@ def describe(docs: DataFrame, sketcher: Sketcher, words: int) -> DataFrame:
                 items = shingle_set(np.asarray(hashes, np.int64).view(np.uint64), words)
                 if len(items):
                     keys, odd = sketcher.sketch(sketcher.minima(items))
-                    s1, s2 = mix(items).sum(), mix(items ^ np.uint64(GOLDEN)).sum()
-                    out.append((len(items), s1.view(np.int64), s2.view(np.int64), keys, odd))
+                    node = mix(np.array([mix(items).sum(), len(items)], np.uint64)).sum()
+                    out.append((len(items), int(node.view(np.int64)), keys, odd))
                 else:
-                    out.append((0, 0, 0, None, None))
-            made = pd.DataFrame(out, columns=["n_shingles", "s1", "s2", "keys", "odd"])
+                    out.append((0, None, None, None))
+            made = pd.DataFrame(out, columns=["n_shingles", "node", "keys", "odd"]).astype({"node": "Int64"})
             yield pd.concat([batch[["doc_id", "_th"]].reset_index(drop=True), made], axis=1)
 
     small_batches(docs.sparkSession)
     return _hashed(docs).mapInPandas(
-        run, f"doc_id {kind}, _th long, n_shingles long, s1 long, s2 long, keys array<long>, odd array<long>")
+        run, f"doc_id {kind}, _th long, n_shingles long, node long, keys array<long>, odd array<long>")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -122,74 +126,135 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return _hashed(texts).mapInPandas(run, "node long, items array<long>").dropDuplicates(["node"])
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, sketcher: Sketcher, words: int, percent: int,
-              slack: float) -> DataFrame:
-    """The pairs (u, v) that meet the threshold: odd sketches and sizes first, then the full sets."""
-    side = lambda c: nodes.select(F.col("node").alias(c), F.col("odd").alias(f"o{c}"),
-                                  F.col("n_shingles").alias(f"n{c}"))
-    differing = F.aggregate(F.zip_with("ou", "ov", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda a, x: a + x)
-    near = pairs.join(side("u"), "u").join(side("v"), "v").where(
-        100 * F.least("nu", "nv") >= percent * F.greatest("nu", "nv")).where(
-        differing <= sketcher.limit(percent / 100 - slack)).select("u", "v")
-    near = stored(near, "near_pairs")
-    ends = near.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    wanted = stored(nodes.select("node", "rep_id", "rep_th").join(ends, "node"), "near_wanted")
-    sets = stored(_sets(docs, wanted, words), "near_sets")
-    full = near.join(sets.select(F.col("node").alias("u"), F.col("items").alias("a")), "u").join(
-        sets.select(F.col("node").alias("v"), F.col("items").alias("b")), "v")
-    both = F.size(F.array_intersect("a", "b"))
-    return full.select("u", "v", both.alias("both"), (F.size("a") + F.size("b")).alias("sum")).where(
-        100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("u", "v")
+def _renamed(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(c + end) for c in df.columns))
+
+
+class Links:
+    """The nodes of a corpus, their full sets where wanted, and the links found so far."""
+
+    def __init__(self, docs: DataFrame, sketcher: Sketcher, words: int, percent: int, slack: float):
+        self.docs, self.sketcher, self.words, self.percent, self.slack = docs, sketcher, words, percent, slack
+        self.described = stored(describe(docs, sketcher, words), "near_described")
+        rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th"))
+        self.nodes = stored(self.described.where("n_shingles > 0").groupBy("node").agg(
+            rep.alias("r"), F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")).select(
+            "node", "n", "copies", F.col("r.doc_id").alias("rep_id"), F.col("r._th").alias("rep_th")), "near_nodes")
+        self.sets, self.links, self.labels = None, None, None
+
+    def buckets(self) -> DataFrame:
+        """(key, node, rank): buckets of two nodes or more; rank orders their members, the most central first."""
+        own = Window.partitionBy("key")
+        shared = self.described.where("n_shingles > 0").select("node", F.explode("keys").alias("key")).withColumn(
+            "n", F.count(F.lit(1)).over(own)).withColumn("lo", F.min("node").over(own)).withColumn(
+            "hi", F.max("node").over(own)).where("lo < hi").select("key", "node", "n").distinct()
+        shared = stored(shared, "near_buckets")
+        central = shared.groupBy("node").agg(F.struct((-F.sum("n")).alias("s"), F.col("node").alias("i")).alias("rank"))
+        return shared.drop("n").join(central, "node")
+
+    def want(self, nodes: DataFrame) -> None:
+        """Make the full sets of these nodes (node) available, those that are not there yet."""
+        if self.sets is not None:
+            nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
+        wanted = stored(self.nodes.select("node", "rep_id", "rep_th").join(nodes, "node"), "near_wanted")
+        more = stored(_sets(self.docs, wanted, self.words), "near_sets")
+        self.sets = more if self.sets is None else self.sets.union(more)
+
+    def compare(self, pairs: DataFrame) -> DataFrame:
+        """pairs (u, v) with nu, nv, c (shared shingles) and d: a prefix of v's shingles outside u, in hash order."""
+        a, b = _renamed(self.sets, "_u"), _renamed(self.sets, "_v")
+        full = pairs.join(a, F.col("u") == F.col("node_u")).join(b, F.col("v") == F.col("node_v"))
+        outside = F.array_sort(F.array_except("items_v", "items_u"))
+        allowed = F.floor(F.size("items_v") * F.lit(100 - self.percent) / 100) + 1
+        return full.select("u", "v", F.size("items_u").alias("nu"), F.size("items_v").alias("nv"),
+                           F.slice(outside, F.lit(1), allowed.cast("int")).alias("d"),
+                           F.size(F.array_intersect("items_u", "items_v")).alias("c"))
+
+    def meets(self, a: str = "nu", b: str = "nv") -> str:
+        return f"100 * c >= {self.percent} * ({a} + {b} - c)"
+
+    def add(self, linked: DataFrame) -> None:
+        """Take in confirmed links (u, v)."""
+        self.links = linked if self.links is None else self.links.union(linked)
+        self.labels = components(self.links, "near_components")
+
+    def labelled(self, df: DataFrame, node: str, name: str) -> DataFrame:
+        """df with the component of the column ``node`` as ``name``."""
+        if self.labels is None:
+            return df.withColumn(name, F.col(node))
+        own = self.labels.select(F.col("node").alias("_node"), F.col("component").alias("_label"))
+        return df.join(own, F.col(node) == F.col("_node"), "left").withColumn(
+            name, F.coalesce("_label", node)).drop("_node", "_label")
+
+    def estimated(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (u, v) that may meet the threshold by size and odd sketch."""
+        sketch = self.described.where("n_shingles > 0").select("node", "odd").join(
+            pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node").groupBy("node").agg(
+            F.first("odd").alias("odd"))
+        sketch = stored(sketch, "near_sketches")
+        side = lambda c: _renamed(sketch, f"_{c}")
+        differing = F.aggregate(F.zip_with("odd_u", "odd_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                                lambda a, x: a + x)
+        most = self.sketcher.limit(self.percent / 100 - self.slack)
+        return pairs.join(side("u"), F.col("u") == F.col("node_u")).join(side("v"), F.col("v") == F.col("node_v")).where(
+            differing <= most).select("u", "v")
+
+    def star(self, members: DataFrame, name: str) -> DataFrame:
+        """members (key, node, rank): every member against its bucket's leader; takes in the links."""
+        lead = F.min("rank").over(Window.partitionBy("key"))
+        pairs = stored(members.withColumn("lead", lead).where("lead.i <> node").select(
+            F.col("lead.i").alias("u"), F.col("node").alias("v")).distinct(), "near_star")
+        self.want(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+        compared = stored(self.compare(pairs), name)
+        self.add(compared.where(self.meets()).select("u", "v"))
+        return compared
+
+    def rest(self, compared: DataFrame) -> DataFrame:
+        """Pairs (u, v) of one star that are apart and can still meet the threshold (see the module's text)."""
+        p, q = self.percent, 100 + self.percent
+        apart = self.labelled(self.labelled(compared, "u", "cu"), "v", "cv")
+        apart = stored(apart.select("u", "v", F.col("nv").alias("n"), "c", "d", "cv", (F.col("cu") != F.col("cv")).alias("out")),
+                       "near_apart")
+        leaders = apart.where("out").select("u").distinct()
+        every = apart.join(leaders, "u").select("u", F.col("v").alias("y"), F.col("n").alias("ny"), F.col("c").alias("cy"),
+                                                F.col("cv").alias("ly"), F.col("d").alias("dy"))
+        out = apart.where("out").select("u", F.col("v").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"),
+                                        F.col("cv").alias("lx"), F.col("d").alias("dx"))
+        sizes = out.drop("dx").withColumn("lo", F.expr(f"cast(ceil(nx * {p} / 100) as int)")).withColumn(
+            "hi", F.expr(f"least(cast(floor(cx * {q} / {p}) as int) - nx, cast(floor(nx * 100 / {p}) as int))")).where(
+            "lo <= hi").withColumn("ny", F.explode(F.expr("sequence(lo, hi)")))
+        small = sizes.join(every.drop("dy"), ["u", "ny"]).where(
+            f"lx <> ly AND {q} * cy >= {p} * (nx + ny)").select("x", "y")
+        shared = out.select("u", "x", "lx", "nx", F.explode("dx").alias("s")).join(
+            every.select("u", "y", "ly", "ny", F.explode("dy").alias("s")), ["u", "s"]).where(
+            f"lx <> ly AND 100 * least(nx, ny) >= {p} * greatest(nx, ny)").select("x", "y")
+        return small.union(shared).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 64, rows: int = 8,
-                    bits: int = 1024, slack: float = 0.15, stars: int = 2) -> DataFrame:
+                    bits: int = 1024, slack: float = 0.15) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id, kept, copies (documents of its node), component, _th.
 
     component numbers the groups of this run, also of documents without id; it is null for empty sets."""
     docs = docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"))
-    sketcher = Sketcher(bands, rows, bits)
-    described = stored(describe(docs, sketcher, words), "near_described")
-    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th", "odd", "keys"))
-    nodes = stored(described.where("n_shingles > 0").groupBy("s1", "s2", "n_shingles").agg(
-        rep.alias("r"), F.count(F.lit(1)).alias("copies")).select(
-        F.monotonically_increasing_id().alias("node"), "s1", "s2", "n_shingles", "copies", F.col("r.doc_id").alias("rep_id"),
-        F.col("r._th").alias("rep_th"), "r.odd", "r.keys"), "near_nodes")
-    own = Window.partitionBy("key")
-    buckets = stored(nodes.select("node", F.explode("keys").alias("key")).withColumn(
-        "n", F.count(F.lit(1)).over(own)).where("n > 1").drop("n"), "near_buckets")
-
-    links, labels, tested = None, None, None
-    for turn in range(stars + 1):
-        members = buckets.withColumn("comp", F.col("node")) if labels is None else buckets.join(
-            labels, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
-        members = members.withColumn("split", F.min("comp").over(own) < F.max("comp").over(own)) if turn else (
-            members.withColumn("split", F.lit(True)))
-        if turn < stars:
-            leader = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "comp")).over(own)
-            pairs = members.withColumn("lead", leader).where("split AND lead.comp <> comp").select(
-                F.least("node", "lead.node").alias("u"), F.greatest("node", "lead.node").alias("v"))
-        else:
-            rest = stored(members.where("split"), "near_rest")
-            a, b = rest.alias("a"), rest.alias("b")
-            pairs = a.join(b, F.expr("a.key = b.key AND a.node < b.node AND a.comp <> b.comp")).select(
-                F.col("a.node").alias("u"), F.col("b.node").alias("v"))
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["u", "v"], "left_anti")
-        pairs = stored(pairs, "near_candidates")
-        tested = pairs if tested is None else tested.union(pairs)
-        if pairs.isEmpty():
-            continue
-        found = stored(confirmed(pairs, nodes, docs, sketcher, words, percent, slack), "near_links")
-        links = found if links is None else links.union(found)
-        labels = components(links, "near_components")
-
-    named = nodes.withColumn("component", F.col("node")) if labels is None else nodes.join(
-        labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    found = Links(docs, Sketcher(bands, rows, bits), words, percent, slack)
+    buckets = stored(found.buckets(), "near_ranked")
+    if not buckets.isEmpty():
+        first = found.star(buckets, "near_compared")
+        own = Window.partitionBy("key")
+        members = found.labelled(buckets, "node", "comp").withColumn("top", F.min(F.struct("rank", "comp")).over(own))
+        left = stored(members.where("comp <> top.comp").select("key", "node", "rank"), "near_left")
+        if not left.isEmpty():
+            found.star(left, "near_second")
+            pairs = stored(found.rest(first), "near_rest")
+            pairs = stored(found.estimated(pairs), "near_estimated")
+            found.want(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+            found.add(stored(found.compare(pairs).where(found.meets()).select("u", "v"), "near_last"))
+
+    named = found.labelled(found.nodes, "node", "component")
     least = named.groupBy("component").agg(F.min("rep_id").alias("component_id"))
-    named = named.select("s1", "s2", "n_shingles", "copies", "component").join(least, "component")
-    out = described.select("doc_id", "_th", "n_shingles", "s1", "s2").join(named, ["s1", "s2", "n_shingles"], "left")
+    named = named.select("node", "copies", "component").join(least, "component")
+    out = found.described.select("doc_id", "_th", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
