@@ -87,22 +87,23 @@ def mix(docs: DataFrame, **options) -> DataFrame:
 
     Columns as in ``docs``. Documents that are not taken go. Repeated rows (same id and text) are paired by number."""
     chosen = stored(plan(docs, **options).where("taken > 0"), "mix_plan").select(
-        "doc_id", "_th", F.col("size").alias("_size"), F.col("whole").alias("_whole"), F.col("part").alias("_part"))
-    rows = docs.withColumn("_th", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["_th"] == chosen["_th"])
-    if not chosen.groupBy("doc_id", "_th").count().where("count > 1").isEmpty():
-        row = Window.partitionBy("doc_id", "_th")
-        chosen = chosen.withColumn("_m", F.row_number().over(row.orderBy(F.desc("_whole"), F.desc("_part"))))
-        rows = rows.withColumn("_n", F.row_number().over(row.orderBy(F.lit(0))))
-        same = rows["doc_id"].eqNullSafe(chosen["doc_id"]) & (rows["_th"] == chosen["_th"]) & (
-            rows["_n"] == chosen["_m"])
-    copies = F.concat(F.array_repeat(F.col("_size"), F.col("_whole")),
-                      F.when(F.col("_part") > 0, F.array("_part")).otherwise(F.array().cast("array<bigint>")))
-    taken = rows.join(chosen, same).select(*(rows[c] for c in docs.columns), "_size", F.explode(copies).alias("_take"))
-    pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    head = F.array_join(F.slice(pieces, F.lit(1), F.col("_take").cast("int")), "")
-    return taken.select(*(F.when(F.col("_take") < F.col("_size"), head).otherwise(F.col("text")).alias("text")
-                          if c == "text" else F.col(c) for c in docs.columns))
+        F.col("doc_id").alias("to_id"), F.col("_th").alias("to_th"), "size", "whole", "part")
+    # The rows travel as one struct, so their own column names cannot clash.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_th"))
+    same = "row.doc_id <=> to_id AND own_th = to_th"
+    if not chosen.groupBy("to_id", "to_th").count().where("count > 1").isEmpty():
+        chosen = chosen.withColumn("to_n", F.row_number().over(
+            Window.partitionBy("to_id", "to_th").orderBy(F.desc("whole"), F.desc("part"))))
+        rows = rows.withColumn("own_n", F.row_number().over(
+            Window.partitionBy("row.doc_id", "own_th").orderBy(F.lit(0))))
+        same += " AND own_n = to_n"
+    copies = F.concat(F.array_repeat(F.col("size"), F.col("whole")),
+                      F.when(F.col("part") > 0, F.array("part")).otherwise(F.array().cast("array<bigint>")))
+    taken = rows.join(chosen, F.expr(same)).select("row", "size", F.explode(copies).alias("take"))
+    pieces = F.regexp_extract_all("row.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col("take").cast("int")), "")
+    text = F.when(F.col("take") < F.col("size"), head).otherwise(F.col("row.text"))
+    return taken.select(*(text.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns))
 
 
 def query(spark, sf_dir):
