@@ -21,7 +21,7 @@ HEADLINE = (
     "q5_hottest_city", "q6_daily_top_variation", "q7_max_variation", "q8_strongest_wind",
     "curated_city", "curated_observation", "json_landing_load", "merge_condition_frequency",
     "merge_avg_exact", "merge_avg_halving", "merge_daily_variation", "merge_city", "cdc_snapshot_diff",
-    "dq_unique", "dq_foreign_key", "surrogate_key", "curated_observation_keyed", "table_scan",
+    "dq_unique", "dq_foreign_key", "surrogate_key", "curated_observation_keyed", "table_scan", "table_scan_period",
 )
 
 
@@ -35,7 +35,7 @@ def main() -> None:
     from cirrus.session import build_session
 
     spark = build_session(f"local[{cpus}]", app="cirrus-bench", shuffle_partitions=2 * cpus,
-                          extra={"spark.driver.memory": "16g"})
+                          extra={"spark.driver.memory": "8g"})
     queries: dict[str, float] = {}
     for name in HEADLINE:
         fn = catalog.QUERIES[name]

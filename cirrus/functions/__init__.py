@@ -4,5 +4,5 @@ from cirrus.functions.scalars import (  # noqa: F401
     to_date, utc_offset_label, wind_direction,
 )
 from cirrus.functions.paths import (  # noqa: F401
-    CITY_FIELDS, OBSERVATION_FIELDS, extract, extract_fields,
+    CITY_FIELDS, OBSERVATION_FIELDS, extract,
 )

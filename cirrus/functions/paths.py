@@ -50,10 +50,6 @@ def extract(variant, path: str, type_: str, strict: bool = False) -> Column:
     return fn(v, path, type_)
 
 
-def extract_fields(variant, fields, strict: bool = False) -> list[Column]:
-    return [extract(variant, path, t, strict).alias(name) for name, path, t in fields]
-
-
 def extraction_report(landing, variant: str, fields) -> "DataFrame":  # noqa: F821
     """One row: unparsable documents, and per field the number of values that
     are present but were NULLed by lenient extraction (wrong type)."""

@@ -81,6 +81,12 @@ def max_per_city(obs: DataFrame, city: DataFrame, value: str, alias: str,
     return partial.join(_names(city), "city_id").groupBy("city").agg(F.max("m").alias(alias))
 
 
+def maxima_per_city(obs: DataFrame, city: DataFrame, values: dict[str, str], start=None, end=None) -> DataFrame:
+    """MAX of several columns (column -> alias) per city name, in one pass."""
+    partial = _period(obs, start, end).groupBy("city_id").agg(*(F.max(c).alias(a) for c, a in values.items()))
+    return partial.join(_names(city), "city_id").groupBy("city").agg(*(F.max(a).alias(a) for a in values.values()))
+
+
 def top1(df: DataFrame, by: str, *tie_break: str) -> DataFrame:
     """ORDER BY by DESC NULLS LAST, tie-break ASC, LIMIT 1 (TakeOrderedAndProject:
     per-partition top-1, then one merge of #partitions rows)."""

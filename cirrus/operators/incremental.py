@@ -38,11 +38,24 @@ def empty_state(spark, schema: str | T.StructType) -> DataFrame:
 FREQUENCY_STATE = "city_id bigint, weather_condition string, frequency bigint"
 
 
+def partial_condition_frequency(changes: DataFrame) -> DataFrame:
+    return (changes.groupBy("city_id", F.col("main").alias("weather_condition"))
+            .agg(F.count(F.lit(1)).alias("frequency")))
+
+
+def combine_condition_frequency(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("city_id", "weather_condition").agg(F.sum("frequency").alias("frequency"))
+
+
 def merge_condition_frequency(state: DataFrame, changes: DataFrame) -> DataFrame:
-    batch = (changes.groupBy("city_id", F.col("main").alias("weather_condition"))
-             .agg(F.count(F.lit(1)).alias("frequency")))
-    return (state.select("city_id", "weather_condition", "frequency").unionByName(batch)
-            .groupBy("city_id", "weather_condition").agg(F.sum("frequency").alias("frequency")))
+    return combine_condition_frequency(state.select("city_id", "weather_condition", "frequency").unionByName(
+        partial_condition_frequency(changes)))
+
+
+def present_condition_rank(state: DataFrame) -> DataFrame:
+    """Rank of each condition inside its city by frequency, ties sharing a rank."""
+    w = Window.partitionBy("city_id").orderBy(F.desc("frequency"))
+    return state.withColumn("rank", F.rank().over(w))
 
 
 # ---------------------------------------------------------------------------
@@ -56,11 +69,19 @@ def distinct_conditions_state(keys: Sequence[str] = ()) -> str:
 
 def merge_distinct_conditions(state: DataFrame, changes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Add only unseen conditions. The set is bounded by the condition domain."""
+    return combine_distinct_conditions(state.select(*keys, "distinct_conditions").unionByName(
+        partial_distinct_conditions(changes, keys).select(*keys, "distinct_conditions")), keys)
+
+
+def partial_distinct_conditions(changes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     batch = changes.groupBy(*keys).agg(F.collect_set("main").alias("distinct_conditions"))
-    merged = (state.select(*keys, "distinct_conditions").unionByName(batch)
-              .groupBy(*keys)
-              .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("distinct_conditions"))))
-                   .alias("distinct_conditions")))
+    return batch.withColumn("distinct_conditions_count", F.size("distinct_conditions").cast("long"))
+
+
+def combine_distinct_conditions(parts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """One set out of many: the members are exploded and collected anew, so partial aggregation folds them."""
+    merged = parts.select(*keys, F.explode_outer("distinct_conditions").alias("main")).groupBy(*keys).agg(
+        F.sort_array(F.collect_set("main")).alias("distinct_conditions"))
     return merged.withColumn("distinct_conditions_count", F.size("distinct_conditions").cast("long"))
 
 
@@ -78,14 +99,19 @@ def anti_join_new_conditions(state: DataFrame, changes: DataFrame) -> DataFrame:
 AVG_STATE = "city_id bigint, sum_temperature double, count_temperature bigint"
 
 
+def partial_avg_exact(changes: DataFrame) -> DataFrame:
+    return changes.groupBy("city_id").agg(F.sum("temperature").alias("sum_temperature"),
+                                          F.count("temperature").alias("count_temperature"))
+
+
+def combine_avg_exact(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("city_id").agg(F.sum("sum_temperature").alias("sum_temperature"),
+                                        F.sum("count_temperature").alias("count_temperature"))
+
+
 def merge_avg_exact(state: DataFrame, changes: DataFrame) -> DataFrame:
-    batch = (changes.groupBy("city_id")
-             .agg(F.sum("temperature").alias("sum_temperature"),
-                  F.count("temperature").alias("count_temperature")))
-    return (state.select("city_id", "sum_temperature", "count_temperature").unionByName(batch)
-            .groupBy("city_id")
-            .agg(F.sum("sum_temperature").alias("sum_temperature"),
-                 F.sum("count_temperature").alias("count_temperature")))
+    return combine_avg_exact(state.select("city_id", "sum_temperature", "count_temperature").unionByName(
+        partial_avg_exact(changes)))
 
 
 def present_avg(state: DataFrame) -> DataFrame:
@@ -109,48 +135,53 @@ def _ordered_chunks(df: DataFrame, key: str, value: str, order: Sequence[str]) -
     per partition folds each key's run into (t, n, first value, run start),
     carrying the open run across Arrow batches."""
     o1, o2 = order
+    # A NULL key is a group of its own; it travels as a flag beside a plain key, so that no column needs NULLs and
+    # pandas keeps whole numbers exact.
+    kind = df.schema[key].dataType
     src = (df.where(F.col(value).isNotNull())
-           .select(F.col(key).alias("_k"), F.col(value).alias("_v"),
-                   F.col(o1).alias("_o1"), F.col(o2).alias("_o2")))
+           .select(F.col(key).isNull().alias("_null"), F.coalesce(F.col(key), F.lit(0).cast(kind)).alias("_k"),
+                   F.col(value).alias("_v"), F.col(o1).alias("_o1"), F.col(o2).alias("_o2")))
     schema = T.StructType([
-        T.StructField(key, src.schema["_k"].dataType), T.StructField("_o1", src.schema["_o1"].dataType),
-        T.StructField("_o2", src.schema["_o2"].dataType), T.StructField("t", T.DoubleType()),
-        T.StructField("n", T.LongType()), T.StructField("first", T.DoubleType()),
+        T.StructField("_null", T.BooleanType()), T.StructField("_k", kind),
+        T.StructField("_o1", src.schema["_o1"].dataType), T.StructField("_o2", src.schema["_o2"].dataType),
+        T.StructField("t", T.DoubleType()), T.StructField("n", T.LongType()), T.StructField("first", T.DoubleType()),
     ])
-    cols = [key, "_o1", "_o2", "t", "n", "first"]
+    cols = [f.name for f in schema.fields]
 
     def fold(batches):
-        carry = None  # partial of the last key of the previous Arrow batch
+        carry = None  # partial of the last key of the previous Arrow batch, a frame of one row
         for pdf in batches:
             if pdf.empty:
                 continue
-            g = pdf.groupby("_k", sort=False)
+            g = pdf.groupby(["_null", "_k"], sort=False)
             after = g.cumcount(ascending=False).to_numpy()
             weighted = pdf["_v"].to_numpy() * np.ldexp(1.0, -(after + 1))
-            parts = (pdf.assign(_w=weighted).groupby("_k", sort=False)
+            parts = (pdf.assign(_w=weighted).groupby(["_null", "_k"], sort=False)
                      .agg(_o1=("_o1", "first"), _o2=("_o2", "first"), t=("_w", "sum"),
                           n=("_v", "size"), first=("_v", "first"))
-                     .reset_index())
-            rows = parts[["_k", "_o1", "_o2", "t", "n", "first"]].values.tolist()
+                     .reset_index())[cols]
             if carry is not None:
-                if rows[0][0] == carry[0]:
-                    k, a1, a2, ta, na, fa = carry
-                    tb, nb = rows[0][3], rows[0][4]
-                    rows[0] = [k, a1, a2, ta * float(np.ldexp(1.0, -int(nb))) + tb, na + nb, fa]
+                if carry["_k"].iloc[0] == parts["_k"].iloc[0] and carry["_null"].iloc[0] == parts["_null"].iloc[0]:
+                    at = parts.index[0]
+                    parts.loc[at, "t"] += carry["t"].iloc[0] * np.ldexp(1.0, -int(parts["n"].iloc[0]))
+                    parts.loc[at, "n"] += carry["n"].iloc[0]
+                    for c in ("_o1", "_o2", "first"):
+                        parts[c] = pd.concat([carry[c], parts[c].iloc[1:]]).to_numpy()
                 else:
-                    rows.insert(0, carry)
-            carry = rows.pop()
-            if rows:
-                yield pd.DataFrame(rows, columns=cols)
+                    parts = pd.concat([carry, parts], ignore_index=True)
+            carry = parts.iloc[-1:].reset_index(drop=True)
+            if len(parts) > 1:
+                yield parts.iloc[:-1]
         if carry is not None:
-            yield pd.DataFrame([carry], columns=cols)
+            yield carry
 
     # The per-row tie-break lets the range partitioner split a key even when
     # many of its rows share the whole order (they carry equal values then).
     src = src.withColumn("_tie", F.monotonically_increasing_id())
-    ranged = (src.repartitionByRange("_k", "_o1", "_o2", "_tie")
-              .sortWithinPartitions("_k", "_o1", "_o2", "_tie").drop("_tie"))
-    return ranged.mapInPandas(fold, schema)
+    ranged = (src.repartitionByRange("_null", "_k", "_o1", "_o2", "_tie")
+              .sortWithinPartitions("_null", "_k", "_o1", "_o2", "_tie").drop("_tie"))
+    return ranged.mapInPandas(fold, schema).select(
+        F.when(~F.col("_null"), F.col("_k")).alias(key), "_o1", "_o2", "t", "n", "first")
 
 
 def halving_partials(changes: DataFrame, key: str = "city_id", value: str = "temperature",
@@ -169,18 +200,35 @@ def halving_partials(changes: DataFrame, key: str = "city_id", value: str = "tem
 
 def merge_avg_halving(state: DataFrame, changes: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
     """Existing key: new = old * 2^-k + T_batch; new key: T_batch + x_1 * 2^-k."""
-    b = halving_partials(changes, order=order).alias("b")
-    s = state.select("city_id", "avg_temperature", "n").alias("s")
+    b = halving_partials(changes, order=order).withColumn("there", F.lit(True)).alias("b")
+    s = state.select("city_id", "avg_temperature", "n", F.lit(True).alias("there")).alias("s")
     half_k = F.pow(F.lit(0.5), F.col("b.n"))
-    avg = (F.when(F.col("b.city_id").isNull(), F.col("s.avg_temperature"))
-           .when(F.col("s.city_id").isNull(), F.col("b.t") + F.col("b.first") * half_k)
+    avg = (F.when(F.col("b.there").isNull(), F.col("s.avg_temperature"))
+           .when(F.col("s.there").isNull(), F.col("b.t") + F.col("b.first") * half_k)
            .otherwise(F.col("s.avg_temperature") * half_k + F.col("b.t")))
-    return (s.join(b, F.col("s.city_id") == F.col("b.city_id"), "full")
+    return (s.join(b, F.col("s.city_id").eqNullSafe(F.col("b.city_id")), "full")
             .select(F.coalesce("s.city_id", "b.city_id").alias("city_id"),
                     avg.alias("avg_temperature"),
                     (F.coalesce("s.n", F.lit(0)) + F.coalesce("b.n", F.lit(0))).alias("n")))
 
 
+HALVING_DELTA = "city_id bigint, t double, n bigint, first double"
+
+
+def combine_avg_halving(parts: DataFrame) -> DataFrame:
+    """Partials (city_id, t, n, first) of consecutive batches (column ``batch``) folded into one for each key."""
+    later = Window.partitionBy("city_id").orderBy("batch").rowsBetween(1, Window.unboundedFollowing)
+    return (parts.withColumn("after", F.coalesce(F.sum("n").over(later), F.lit(0)))
+            .groupBy("city_id")
+            .agg(F.sum(F.col("t") * F.pow(F.lit(0.5), F.col("after"))).alias("t"), F.sum("n").alias("n"),
+                 F.min_by("first", "batch").alias("first")))
+
+
+def present_avg_halving(state: DataFrame) -> DataFrame:
+    return state.select("city_id", (F.col("t") + F.col("first") * F.pow(F.lit(0.5), F.col("n"))).alias("avg_temperature"),
+                        "n")
+
+
 # ---------------------------------------------------------------------------
 # H12 / H13 running maxima per city; theta form
 # ---------------------------------------------------------------------------
@@ -191,8 +239,17 @@ def max_state(value_alias: str) -> str:
 def merge_running_max(state: DataFrame, changes: DataFrame, value: str = "temperature",
                       alias: str = "max_abs_temperature", key: str = "city_id") -> DataFrame:
     """Raise where ``old < new``; keys first seen in ``changes`` are inserted."""
-    batch = changes.groupBy(key).agg(F.max(value).alias(alias))
-    return state.select(key, alias).unionByName(batch).groupBy(key).agg(F.max(alias).alias(alias))
+    return combine_running_max(state.select(key, alias).unionByName(
+        partial_running_max(changes, value, alias, key)), alias, key)
+
+
+def partial_running_max(changes: DataFrame, value: str = "temperature", alias: str = "max_abs_temperature",
+                        key: str = "city_id") -> DataFrame:
+    return changes.groupBy(key).agg(F.max(value).alias(alias))
+
+
+def combine_running_max(parts: DataFrame, alias: str = "max_abs_temperature", key: str = "city_id") -> DataFrame:
+    return parts.groupBy(key).agg(F.max(alias).alias(alias))
 
 
 def theta_update(target: DataFrame, changes: DataFrame, key: str, target_col: str,
@@ -216,10 +273,17 @@ DAILY_STATE = "city_id bigint, date date, hi double, lo double"
 
 
 def merge_daily_extremes(state: DataFrame, changes: DataFrame) -> DataFrame:
-    batch = (changes.groupBy("city_id", F.to_date("dt").alias("date"))
-             .agg(F.max("temperature").alias("hi"), F.min("temperature").alias("lo")))
-    return (state.select("city_id", "date", "hi", "lo").unionByName(batch)
-            .groupBy("city_id", "date").agg(F.max("hi").alias("hi"), F.min("lo").alias("lo")))
+    return combine_daily_extremes(state.select("city_id", "date", "hi", "lo").unionByName(
+        partial_daily_extremes(changes)))
+
+
+def partial_daily_extremes(changes: DataFrame) -> DataFrame:
+    return (changes.groupBy("city_id", F.to_date("dt").alias("date"))
+            .agg(F.max("temperature").alias("hi"), F.min("temperature").alias("lo")))
+
+
+def combine_daily_extremes(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("city_id", "date").agg(F.max("hi").alias("hi"), F.min("lo").alias("lo"))
 
 
 def present_daily_variation(state: DataFrame) -> DataFrame:
@@ -286,17 +350,17 @@ def _first_last_per_name(changes: DataFrame, order: Sequence[str]) -> DataFrame:
 
 def _upsert_by_name(state: DataFrame, changes: DataFrame, order: Sequence[str],
                     updated: dict) -> DataFrame:
-    b = _first_last_per_name(changes, order).alias("b")
-    s = state.alias("s")
-    new = F.col("s.name").isNull()
+    b = _first_last_per_name(changes, order).withColumn("there", F.lit(True)).alias("b")
+    s = state.withColumn("there", F.lit(True)).alias("s")
+    new = F.col("s.there").isNull()
     out = [F.coalesce("s.name", "b.name").alias("name")]
     for col in ("city_id",) + CITY_ATTRS:
         if col in updated:
             value = updated[col]
-            out.append(F.when(F.col("b.name").isNull(), F.col(f"s.{col}")).otherwise(value).alias(col))
+            out.append(F.when(F.col("b.there").isNull(), F.col(f"s.{col}")).otherwise(value).alias(col))
         else:
             out.append(F.when(new, F.col(f"b.first.{col}")).otherwise(F.col(f"s.{col}")).alias(col))
-    return s.join(b, F.col("s.name") == F.col("b.name"), "full").select(*out)
+    return s.join(b, F.col("s.name").eqNullSafe(F.col("b.name")), "full").select(*out)
 
 
 def merge_city(state: DataFrame, changes: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
@@ -313,6 +377,29 @@ def merge_consumption_city(state: DataFrame, changes: DataFrame, order: Sequence
                                                    "timezone": F.col("b.last.timezone")})
 
 
+CITY_DELTA = ("name string, first struct<timezone: {0}, country: string, latitude: double, longitude: double>, "
+              "last struct<city_id: bigint, timezone: {0}>")
+
+
+def partial_city(changes: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
+    """Per name what its first row of a batch would insert and its last would update."""
+    return _first_last_per_name(changes, order)
+
+
+def combine_city(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("name").agg(F.min_by("first", "batch").alias("first"), F.max_by("last", "batch").alias("last"))
+
+
+def present_city(state: DataFrame) -> DataFrame:
+    """H6: attributes of the inserting row, id of the latest."""
+    return state.select("name", "last.city_id", *(f"first.{c}" for c in CITY_ATTRS))
+
+
+def present_consumption_city(state: DataFrame) -> DataFrame:
+    """H8: as H6, with the latest time zone label."""
+    return state.select("name", "last.city_id", "last.timezone", *(f"first.{c}" for c in CITY_ATTRS[1:]))
+
+
 # ---------------------------------------------------------------------------
 # H3 change capture with INSERT / UPDATE (/ DELETE) rows by snapshot diff
 # ---------------------------------------------------------------------------
@@ -320,12 +407,13 @@ def snapshot_diff(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
     """Rows of ``after`` that are new (INSERT) or changed (UPDATE), and keys
     gone from it (DELETE), with an ``op`` column. Null-safe comparison."""
     cols = [c for c in after.columns if c != key]
-    b, a = before.alias("b"), after.alias("a")
+    b = before.withColumn("_there", F.lit(True)).alias("b")
+    a = after.withColumn("_there", F.lit(True)).alias("a")
     same = F.struct(*[F.col(f"b.{c}") for c in cols]).eqNullSafe(F.struct(*[F.col(f"a.{c}") for c in cols]))
-    op = (F.when(F.col("b." + key).isNull(), F.lit("INSERT"))
-          .when(F.col("a." + key).isNull(), F.lit("DELETE"))
+    op = (F.when(F.col("b._there").isNull(), F.lit("INSERT"))
+          .when(F.col("a._there").isNull(), F.lit("DELETE"))
           .when(~same, F.lit("UPDATE")))
-    return (b.join(a, F.col("b." + key) == F.col("a." + key), "full")
+    return (b.join(a, F.col("b." + key).eqNullSafe(F.col("a." + key)), "full")
             .select(op.alias("op"), F.coalesce(f"a.{key}", f"b.{key}").alias(key),
                     *[F.col(f"a.{c}").alias(c) for c in cols])
             .where(F.col("op").isNotNull()))

@@ -1,11 +1,9 @@
 """Dimension joins.
 
-Broadcasting is never forced on a side whose size grows with the data: the
-planner broadcasts only when the optimizer's size estimate is under
-``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks with the real
-shuffle sizes at runtime; beyond that the join is a sort-merge join with AQE
-skew splitting. ``broadcast_if_small`` makes the same check explicit for a
-caller-supplied bound.
+Broadcasting is never forced: the planner broadcasts a side only when its size
+estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE re-checks
+with the real shuffle sizes at runtime; beyond that the join is a sort-merge
+join with AQE skew splitting.
 """
 
 from __future__ import annotations
@@ -13,43 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def estimated_size_bytes(df: DataFrame) -> int | None:
-    """Optimizer size estimate of ``df`` (None when unavailable)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # pragma: no cover - estimate is best effort
-        return None
-
-
-def broadcast_limit(spark) -> int:
-    """The session's broadcast bound (``spark.sql.autoBroadcastJoinThreshold``;
-    -1 disables broadcasting)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
-
-
-def is_small(df: DataFrame, max_bytes: int | None = None) -> bool:
-    limit = broadcast_limit(df.sparkSession) if max_bytes is None else max_bytes
-    size = estimated_size_bytes(df)
-    return limit >= 0 and size is not None and 0 <= size <= limit
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
-    """Broadcast hint only when the estimate proves the side is below the
-    bound (default: the session's own broadcast threshold)."""
-    return F.broadcast(df) if is_small(df, max_bytes) else df
-
-
-def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "city_id", how: str = "inner",
-                   max_broadcast_bytes: int | None = None) -> DataFrame:
-    """Equi-join of a fact with a dimension on one key. The dimension is the
-    build side when its estimated size is proven small (so the fact is never
-    the broadcast side); otherwise a shuffle join with AQE skew splitting."""
-    return fact.join(broadcast_if_small(dim, max_broadcast_bytes), key, how)
+def join_dimension(fact: DataFrame, dim: DataFrame, key: str = "city_id", how: str = "inner") -> DataFrame:
+    """Equi-join of a fact with a dimension on one key. Spark broadcasts a side below its own threshold, at run time
+    too; beyond it the join is shuffled, with adaptive splitting of hot keys."""
+    return fact.join(dim, key, how)
 
 
 def scalar_lookup(df: DataFrame, dim: DataFrame, key: str, value: str, alias: str) -> DataFrame:

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cirrus.functions.scalars import timestamp_to_epoch
-from cirrus.operators.joins import is_small
 
 PERIOD_START = "2024-01-08"
 PERIOD_END = "2024-01-15"
@@ -40,16 +39,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Location dimension. ``nation`` has a fixed 25 rows, so broadcasting it is
-    bounded. ``customer`` grows with the data: the dimension is hinted as a
-    build side only when the customer projection's size estimate is under the
-    session's broadcast threshold (the nation lookup is many-to-one, so it
-    cannot multiply rows; the optimizer's estimate for the join itself is a
-    product of both sides and useless as a bound)."""
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
+    """Location dimension; Spark's own threshold decides which side is broadcast."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
-    small = is_small(customer)
-    dim = (customer
+    return (customer
             .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
             .select(F.col("c_custkey").alias("city_id"),
                     F.col("n_name").alias("name"),
@@ -57,7 +50,17 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("R"), F.col("n_regionkey").cast("string")).alias("country"),
                     F.col("c_acctbal").alias("latitude"),
                     F.col("c_nationkey").cast("double").alias("longitude")))
-    return F.broadcast(dim) if small else dim
+
+
+def input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the bound tables' files: what is derived from them is kept under this."""
+    found = []
+    for name in ("events", "customer", "nation"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files = fs.listStatus(path)
+        found += sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)
+    return tuple(found)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

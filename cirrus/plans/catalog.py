@@ -66,7 +66,7 @@ def _parsed_docs(spark, sf) -> DataFrame:
     session and data folder, stored below the checkpoint folder, then read
     like any landing table (as the historical load does: load once, curate
     many times)."""
-    key = (checkpoint_root(spark), sf)
+    key = (checkpoint_root(spark), sf, B.input_state(spark, sf))
     if key not in _LANDINGS:
         path = scratch_path(spark, "landing_zone", "landing_json")
         landing.write_table(
@@ -118,9 +118,9 @@ def q_variant_table_roundtrip(spark, sf):
                        paths.extract(v, '$.rain["1h"]', "double").alias("rain_1h"))
 
 
-@register("table_scan", with_views(
+@register("table_scan_period", with_views(
     f"SELECT city_id, main, temperature, date_trunc('second', dt) AS dt FROM obs WHERE {PERIOD}", OBS))
-def q_table_scan(spark, sf):
+def q_table_scan_period(spark, sf):
     """Curated fact written partitioned by day, then scanned with the period:
     the date predicate prunes partitions, the timestamp one is pushed down."""
     path = scratch_path(spark, "curated_zone", "curated_weather")
@@ -363,9 +363,7 @@ def q_q4(spark, sf):
     "FROM obs o JOIN city c ON o.city_id = c.city_id GROUP BY 1", OBS, CITY))
 def q_max_by_key(spark, sf):
     obs, city = _obs(spark, sf), _city(spark, sf)
-    t = analytics.max_per_city(obs, city, "temperature", "max_temperature")
-    w = analytics.max_per_city(obs, city, "wind_speed", "max_wind_speed")
-    return t.join(w, "city")
+    return analytics.maxima_per_city(obs, city, {"temperature": "max_temperature", "wind_speed": "max_wind_speed"})
 
 
 @register("q5_hottest_city", with_views(
@@ -462,10 +460,6 @@ def _two_step(spark, merge, schema, changes: DataFrame, **kw) -> DataFrame:
     return merge(state, late, **kw)
 
 
-def _named_obs(spark, sf) -> DataFrame:
-    return _obs(spark, sf).join(_city(spark, sf).select("city_id", "name"), "city_id")
-
-
 @register("merge_condition_frequency", with_views(
     "SELECT f.city_id, c.name AS city, f.weather_condition, f.frequency FROM (SELECT city_id, "
     "main AS weather_condition, count(*) AS frequency FROM obs GROUP BY 1, 2) f "
@@ -480,8 +474,12 @@ def q_merge_condition_frequency(spark, sf):
     "count(DISTINCT o.main) AS distinct_conditions_count FROM obs o JOIN city c "
     "ON o.city_id = c.city_id GROUP BY c.name", OBS, CITY))
 def q_merge_distinct_conditions(spark, sf):
-    return _two_step(spark, H.merge_distinct_conditions, H.distinct_conditions_state(("name",)),
-                     _named_obs(spark, sf), keys=("name",))
+    # The members of the set first, then the names: the join sees a row for each city, condition and side only.
+    t0 = F.lit(B.SPLIT_TS).cast("timestamp_ntz")
+    members = _obs(spark, sf).select("city_id", "main", F.when(F.col("dt") < t0, t0 - F.expr("INTERVAL 1 DAY")).otherwise(
+        t0).alias("dt")).distinct()
+    named = members.join(_city(spark, sf).select("city_id", "name"), "city_id")
+    return _two_step(spark, H.merge_distinct_conditions, H.distinct_conditions_state(("name",)), named, keys=("name",))
 
 
 @register("merge_distinct_conditions_global", with_views(
@@ -492,12 +490,13 @@ def q_merge_distinct_conditions_global(spark, sf):
 
 
 @register("anti_join_new_conditions", with_views(
-    f"SELECT event_id, main FROM obs WHERE dt >= {T0} AND main NOT IN "
-    f"(SELECT DISTINCT main FROM obs WHERE dt < {T0} AND main IN ('view', 'click'))", OBS))
+    f"SELECT event_id, main || '-' || city_id AS main FROM obs WHERE dt >= {T0} AND main || '-' || city_id NOT IN "
+    f"(SELECT main || '-' || city_id FROM obs WHERE dt < {T0} AND main IS NOT NULL AND city_id IS NOT NULL)", OBS))
 def q_anti_join_new_conditions(spark, sf):
-    early, late = _split(_obs(spark, sf))
-    state = H.merge_distinct_conditions(H.empty_state(spark, H.distinct_conditions_state()),
-                                        curate.filter_allow_list(early, "main", ("view", "click")))
+    """Conditions told apart by city: the later rows hold some that the whole early state does not."""
+    own = _obs(spark, sf).withColumn("main", F.concat_ws("-", "main", F.col("city_id").cast("string")))
+    early, late = _split(own)
+    state = H.merge_distinct_conditions(H.empty_state(spark, H.distinct_conditions_state()), early)
     return H.anti_join_new_conditions(state, late).select("event_id", "main")
 
 
@@ -676,7 +675,7 @@ def feed_in_slices(spark, docs: DataFrame, flow: ObservationFlow, pieces: int =
 def _flow(spark, sf) -> ObservationFlow:
     """The flow fed once per shared checkpoint folder and data folder; later
     calls (from any session) rebind a flow object to the stored tables."""
-    key = (checkpoint_root(spark), sf)
+    key = (checkpoint_root(spark), sf, B.input_state(spark, sf))
     if key not in _FLOWS:
         root = scratch_path(spark, "flow")
         feed_in_slices(spark, B.documents(spark, sf), _bind_flow(spark, root))
@@ -721,12 +720,13 @@ def q_stream_append_only(spark, sf):
     stream = S.read_appends(spark, flow.curated_weather, CURATED_WEATHER_STREAM)
 
     def copy(batch, batch_id):
-        batch.select("city_id", "main", "temperature", "dt").write.mode("append").parquet(out)
+        # One folder a batch, overwritten: a replayed batch does not double its rows.
+        batch.select("city_id", "main", "temperature", "dt").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (stream.writeStream.foreachBatch(copy).option("checkpointLocation", scratch_path(spark, "ckpt"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("batch")
 
 
 @register("stream_fan_out", _sv(
@@ -739,8 +739,8 @@ def q_stream_fan_out(spark, sf):
     out = scratch_path(spark, "fan_out")
     for name in ("consumer_a", "consumer_b"):
         def count_rows(batch, batch_id, name=name):
-            batch.agg(F.lit(name).alias("consumer"), F.count(F.lit(1)).alias("n_rows"),
-                      F.lit(batch_id).cast("long").alias("batch_id")).write.mode("append").parquet(out)
+            batch.agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(
+                f"{out}/consumer={name}/batch={batch_id}")
         q = (S.read_appends(spark, flow.landing, S.LANDING_SCHEMA).writeStream.foreachBatch(count_rows)
              .option("checkpointLocation", scratch_path(spark, "ckpt", name)).trigger(availableNow=True).start())
         q.awaitTermination()
@@ -753,15 +753,15 @@ _CONSUMERS = ("distinct_weather_conditions", "weather_conditions_rank_per_city",
 
 @register("stream_guard", _sv(
     f"SELECT job, CAST({SLICES} AS BIGINT) AS n_batches, n AS n_rows FROM "
-    f"(VALUES ('curated_city'), ('city_bridge')) j(job), (SELECT count(*) AS n FROM docs) c UNION ALL "
-    f"SELECT job, CAST({SLICES} AS BIGINT), n FROM (VALUES {', '.join(f'({chr(39)}{c}{chr(39)})' for c in _CONSUMERS)}) "
+    f"(VALUES ('curated_city'), ('city_bridge'), ('consumption_city')) j(job), (SELECT count(*) AS n FROM docs) c UNION ALL "
+    f"SELECT job, CAST({SLICES} AS BIGINT), n FROM (VALUES {', '.join(f'({chr(39)}{c}{chr(39)})' for c in (*_CONSUMERS, 'curated_weather'))}) "
     f"j(job), (SELECT count(*) AS n FROM adocs) c"))
 def q_stream_guard(spark, sf):
     """Run every layer again with no new files: no batch starts, no state
     version is written, the run log is unchanged."""
     flow = _flow(spark, sf)
     flow.run_once()
-    log = spark.read.parquet(flow.run_log)
+    log = flow.run_log()
     return log.groupBy("job").agg(F.count_distinct("batch_id").alias("n_batches"),
                                   F.sum("rows").alias("n_rows"))
 
@@ -774,6 +774,17 @@ def q_run_history(spark, sf):
     return S.run_history(log, ["click", "purchase"])
 
 
+@register("stream_run_history", _sv(
+    f"""SELECT job, batch_id, count(*) AS rows FROM (VALUES ('avg_temp_per_city'), ('curated_weather')) j(job),
+    (SELECT greatest(0, least({SLICES - 1}, CAST(floor((epoch_us(d.dt) - lo) / ((hi - lo) / {SLICES}.0)) AS BIGINT)))
+       AS batch_id FROM adocs d, (SELECT min(epoch_us(dt)) AS lo, max(epoch_us(dt)) AS hi FROM docs) b) s
+    GROUP BY 1, 2 ORDER BY 1, 2"""))
+def q_stream_run_history(spark, sf):
+    """Runs of two jobs in the log that the flow's commits hold, with the rows each took in."""
+    return S.run_history(_flow(spark, sf).run_log(), ["avg_temp_per_city", "curated_weather"]).select(
+        "job", "batch_id", "rows")
+
+
 _ROUND6 = {"avg_temperature"}
 
 
@@ -793,6 +804,10 @@ _STREAM_STATES = {
     "stream_merge_condition_frequency": (
         "weather_conditions_rank_per_city", ("city_id", "city", "weather_condition", "frequency"),
         "SELECT city_id, name AS city, main AS weather_condition, count(*) AS frequency FROM adocs GROUP BY 1, 2, 3"),
+    "stream_condition_rank": (
+        "weather_conditions_rank_per_city", ("city_id", "city", "weather_condition", "frequency", "rank"),
+        "SELECT *, rank() OVER (PARTITION BY city_id ORDER BY frequency DESC) AS rank FROM (SELECT city_id, "
+        "name AS city, main AS weather_condition, count(*) AS frequency FROM adocs GROUP BY 1, 2, 3) f"),
     "stream_merge_avg_exact": (
         "avg_temp_per_city", ("city_id", "city", "avg_temperature"),
         "SELECT city_id, name AS city, round(avg(temperature), 6) AS avg_temperature FROM adocs GROUP BY 1, 2"),
@@ -860,6 +875,14 @@ for _q, _key in _SQL_KEYS.items():
     register(f"sql_{_key}", ORACLE_SQL[_key])(_sql_question(_q))
 
 
+@register("table_scan", with_views(_CURATED_OBS_SQL, OBS, CITY, DOCS))
+def q_table_scan(spark, sf):
+    """Every row and column of the curated fact, written as a typed table and read back."""
+    path = scratch_path(spark, "curated_zone", "full_scan")
+    landing.write_table(curate.curated_observation(_parsed_docs(spark, sf), allow=None), path)
+    return landing.read_table(spark, path)
+
+
 @register("curated_observation_keyed", with_views(
     f"""SELECT row_number() OVER (ORDER BY dt, city_id, main, temperature, wind_speed, rain_1h NULLS FIRST)
         AS weather_id, city_id, main, temperature, wind_speed, rain_1h, dt FROM docs WHERE name IN ({ALLOW_SQL})""",

@@ -86,10 +86,6 @@ def ask(spark: SparkSession, root: str, question: str, start, end, sql: bool = F
     return QUESTIONS[question](obs, city, start, end)
 
 
-def answers_between(spark: SparkSession, root: str, start, end) -> dict[str, DataFrame]:
-    return {q: ask(spark, root, q, start, end) for q in QUESTIONS}
-
-
 def data_quality(spark: SparkSession, root: str) -> DataFrame:
     """Violation counts of the declared constraints of the curated tables."""
     from cirrus.operators import quality as D

@@ -6,15 +6,6 @@ Measures are ``double``; ``dt`` is ``timestamp_ntz`` in UTC.
 
 from pyspark.sql import types as T
 
-CURATED_CITY = T.StructType([
-    T.StructField("city_id", T.LongType(), False),
-    T.StructField("name", T.StringType()),
-    T.StructField("timezone", T.IntegerType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-])
-
 CURATED_WEATHER = T.StructType([
     T.StructField("city_id", T.LongType()),
     T.StructField("main", T.StringType()),
@@ -36,14 +27,15 @@ CURATED_WEATHER = T.StructType([
     T.StructField("dt", T.TimestampNTZType()),
 ])
 
-CONSUMPTION_CITY = T.StructType([
-    T.StructField("city_id", T.LongType(), False),
-    T.StructField("name", T.StringType()),
-    T.StructField("timezone", T.StringType()),
-    T.StructField("country", T.StringType()),
-    T.StructField("latitude", T.DoubleType()),
-    T.StructField("longitude", T.DoubleType()),
-])
+CONSUMPTION = {
+    "consumption_city": "city_id bigint, name string, timezone string, country string, latitude double, longitude double",
+    "distinct_weather_conditions": "distinct_conditions array<string>, distinct_conditions_count bigint",
+    "weather_conditions_rank_per_city": "city_id bigint, city string, weather_condition string, frequency bigint, rank int",
+    "avg_temp_per_city": "city_id bigint, city string, avg_temperature double",
+    "max_abs_temp": "city_id bigint, city string, max_abs_temperature double",
+    "city_with_strongest_wind": "city_id bigint, city string, max_wind_speed double",
+    "max_daily_temp_variation": "city_id bigint, city string, date date, temperature_variation double",
+}
 
 # Declared length limits (VARCHAR(n)) of the consumption tables.
 LENGTH_LIMITS = {"name": 50, "city": 50, "timezone": 50, "weather_condition": 50, "country": 3}

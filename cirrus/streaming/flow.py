@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from cirrus.functions.paths import extract
 from cirrus.functions.scalars import (
-    CITY_ALLOW_LIST, epoch_to_timestamp, round_coordinate, timezone_override,
+    CITY_ALLOW_LIST, epoch_to_timestamp, round_coordinate, timezone_override, utc_offset_label,
 )
 from cirrus.operators import curate, incremental as H
 from cirrus.operators.joins import scalar_lookup
-from cirrus.schemas import CURATED_WEATHER
+from cirrus.schemas import CONSUMPTION, CURATED_WEATHER
 from cirrus.sources.landing import LANDING_COLUMN
 from cirrus.streaming import jobs
 
@@ -41,47 +41,63 @@ HALVING_ORDER = ("dt", "temperature")
 CITY_ORDER = ("dt", "city_id")
 
 
-def merge_bridge(state: DataFrame, changes: DataFrame) -> DataFrame:
+def bridge(rows: DataFrame) -> DataFrame:
     """Every (id, name) pair ever seen: joins keep working for ids that the
     name-keyed upsert replaced (one city, two ids)."""
-    return state.unionByName(changes.select("city_id", "name")).distinct()
+    return rows.select("city_id", "name").distinct()
+
+
+# Minutes between the runs of each answer table's job.
+CADENCE = {
+    "distinct_weather_conditions": "3 minutes", "weather_conditions_rank_per_city": "4 minutes",
+    "avg_temp_per_city": "5 minutes", "avg_temp_halving": "5 minutes", "max_abs_temp": "6 minutes",
+    "city_with_strongest_wind": "7 minutes", "max_daily_temp_variation": "8 minutes",
+}
 
 
 class ObservationFlow:
     def __init__(self, spark: SparkSession, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST,
-                 one_document_per_file: bool = True):
+                 one_document_per_file: bool = True, max_files_per_trigger: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
         self.allow = tuple(allow) if allow is not None else None
         self.one_document_per_file = one_document_per_file
+        self.max_files = max_files_per_trigger
         p = self.path
         self.source_dir = p("stage")
         self.landing = p("landing_zone/landing_json")
         self.curated_weather = p("curated_zone/curated_weather")
-        self.run_log = p("_run_log")
         self.keyed_fact = p("curated_zone/curated_weather_keyed")
         self.id_counter = jobs.StateGroup(spark, p("curated_zone/id_counter"), {"id_counter": "max_id bigint"})
+        rows = lambda b, _: self._city_rows(b)
         self.city_jobs = [
-            jobs.MergeJob("curated_city", H.CITY_STATE, lambda s, b: H.merge_city(s, b, order=CITY_ORDER),
-                          prepare=lambda b, _: self._city_rows(b)),
-            jobs.MergeJob("city_bridge", BRIDGE_STATE, merge_bridge, prepare=lambda b, _: self._city_rows(b)),
+            jobs.MergeJob("curated_city", H.CITY_DELTA.format("int"), prepare=rows,
+                          partial=lambda b: H.partial_city(b, CITY_ORDER), combine=H.combine_city),
+            jobs.MergeJob("city_bridge", BRIDGE_STATE, prepare=rows, partial=bridge, combine=bridge),
         ]
-        self.curated = jobs.StateGroup(spark, p("curated_zone/states"),
-                                       {**{j.name: j.schema for j in self.city_jobs},
-                                        "consumption_city": H.CONSUMPTION_CITY_STATE})
+        self.curated = jobs.StateGroup(
+            spark, p("curated_zone/states"),
+            {**{j.name: j.schema for j in self.city_jobs}, "consumption_city": H.CITY_DELTA.format("string")},
+            combine={**{j.name: j.combine for j in self.city_jobs}, "consumption_city": H.combine_city})
+        job = lambda name, schema, partial, combine: jobs.MergeJob(
+            name, schema, partial=partial, combine=combine)
         self.consumers = [
-            jobs.MergeJob("distinct_weather_conditions", H.distinct_conditions_state(),
-                          H.merge_distinct_conditions),
-            jobs.MergeJob("weather_conditions_rank_per_city", H.FREQUENCY_STATE, H.merge_condition_frequency),
-            jobs.MergeJob("avg_temp_per_city", H.AVG_STATE, H.merge_avg_exact),
-            jobs.MergeJob("avg_temp_halving", H.HALVING_STATE,
-                          lambda s, b: H.merge_avg_halving(s, b, order=HALVING_ORDER)),
-            jobs.MergeJob("max_abs_temp", H.max_state("max_abs_temperature"), H.merge_running_max),
-            jobs.MergeJob("city_with_strongest_wind", H.max_state("max_wind_speed"),
-                          lambda s, b: H.merge_running_max(s, b, "wind_speed", "max_wind_speed")),
-            jobs.MergeJob("max_daily_temp_variation", H.DAILY_STATE, H.merge_daily_extremes),
+            job("distinct_weather_conditions", H.distinct_conditions_state(), H.partial_distinct_conditions,
+                H.combine_distinct_conditions),
+            job("weather_conditions_rank_per_city", H.FREQUENCY_STATE, H.partial_condition_frequency,
+                H.combine_condition_frequency),
+            job("avg_temp_per_city", H.AVG_STATE, H.partial_avg_exact, H.combine_avg_exact),
+            job("avg_temp_halving", H.HALVING_DELTA, lambda b: H.halving_partials(b, order=HALVING_ORDER),
+                H.combine_avg_halving),
+            job("max_abs_temp", H.max_state("max_abs_temperature"), H.partial_running_max, H.combine_running_max),
+            job("city_with_strongest_wind", H.max_state("max_wind_speed"),
+                lambda b: H.partial_running_max(b, "wind_speed", "max_wind_speed"),
+                lambda d: H.combine_running_max(d, "max_wind_speed")),
+            job("max_daily_temp_variation", H.DAILY_STATE, H.partial_daily_extremes, H.combine_daily_extremes),
         ]
-        self.consumption = jobs.state_group(spark, p("consumption_zone/states"), self.consumers)
+        # One group, stream and trigger for each table: a rule that fails stops its own table only.
+        self.consumption = {j.name: jobs.state_group(spark, p(f"consumption_zone/states/{j.name}"), [j])
+                            for j in self.consumers}
 
     def path(self, rel: str) -> str:
         return f"{self.root}/{rel}"
@@ -112,40 +128,49 @@ class ObservationFlow:
         spark = self.spark
         return [
             lambda: jobs.ingest_json(spark, self.source_dir, self.landing, self.checkpoint("landing"),
-                                     self.one_document_per_file, trigger=cadence["landing"]),
-            lambda: jobs.append_transform(jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA),
+                                     self.one_document_per_file, self.max_files, cadence["landing"]),
+            lambda: jobs.append_transform(jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files),
                                           self._curate_weather, self.curated_weather,
                                           self.checkpoint("curated_weather"), cadence["curated_weather"],
                                           partition_by=("obs_date",)),
-            lambda: jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA), self.curated,
-                                 self.city_jobs, self.checkpoint("curated_city"), self.run_log,
+            lambda: jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files), self.curated,
+                                 self.city_jobs, self.checkpoint("curated_city"),
                                  cadence["curated_city"], derive=self._consumption_city),
-            lambda: jobs.consume(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
-                                 self.consumption, self.consumers, self.checkpoint("consumption"), self.run_log,
-                                 cadence["consumption"]),
-            lambda: jobs.keyed_append(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM),
+            lambda: jobs.keyed_append(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM,
+                                                               self.max_files),
                                       self.id_counter, self.keyed_fact, self.checkpoint("curated_weather_keyed"),
                                       cadence["keyed"]),
+            *(self._consumer(job, cadence[job.name]) for job in self.consumers),
         ]
 
+    def _consumer(self, job: jobs.MergeJob, trigger: str | None):
+        return lambda: jobs.consume(
+            self.spark, jobs.read_appends(self.spark, self.curated_weather, CURATED_WEATHER_STREAM, self.max_files),
+            self.consumption[job.name], [job], self.checkpoint(f"consumption_{job.name}"), trigger)
+
     def run_once(self) -> None:
         """Drain every layer once along its dependencies (``availableNow``):
         landing, then the fact append and the city upsert side by side (both
         only read landing), then the consumption states and the keyed fact
-        side by side (both only read the fact)."""
-        ingest, fact, city, consumption, keyed = self._layers(
-            dict.fromkeys(("landing", "curated_weather", "curated_city", "consumption", "keyed")))
+        side by side (all only read the fact). Every layer of a group runs to its end before a failure is raised."""
+        names = ("landing", "curated_weather", "curated_city", "keyed", *self.consumption)
+        ingest, fact, city, *rest = self._layers(dict.fromkeys(names))
         ingest()
-        for side_by_side in ((fact, city), (consumption, keyed)):
-            with ThreadPoolExecutor(max_workers=2) as pool:
-                for done in [pool.submit(layer) for layer in side_by_side]:
-                    done.result()
-
-    def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes",
-              curated_city: str = "1 minute", consumption: str = "4 minutes", keyed: str = "2 minutes") -> list:
-        """Run every layer continuously with its own processing-time trigger."""
-        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city,
-                   "consumption": consumption, "keyed": keyed}
+        for side_by_side in ((fact, city), rest):
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                done = [pool.submit(layer) for layer in side_by_side]
+            failed = [d.exception() for d in done if d.exception()]
+            if failed:
+                raise failed[0]
+
+    def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes", curated_city: str = "1 minute",
+              consumption: str | dict[str, str] | None = None, keyed: str = "2 minutes") -> list:
+        """Run every layer continuously with its own processing-time trigger; ``consumption`` gives one trigger for
+        all answer tables or one for each."""
+        own = dict(CADENCE, **consumption) if isinstance(consumption, dict) else (
+            dict.fromkeys(self.consumption, consumption) if consumption else CADENCE)
+        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city, "keyed": keyed,
+                   **own}
         return [layer() for layer in self._layers(cadence)]
 
     def _consumption_city(self, group, frames: dict, batch_id: int) -> dict:
@@ -153,11 +178,21 @@ class ObservationFlow:
         of curated_city (snapshot diff of the previous and the new version).
         The curated timezone is already canonical; the consumption table
         stores its label."""
-        diff = H.snapshot_diff(group.read("curated_city"), frames["curated_city"], "name")
+        before = group.read("curated_city")
+        batch = frames["curated_city"].withColumn("batch", F.lit(batch_id).cast("long"))
+        after = H.combine_city(before.withColumn("batch", F.lit(-1).cast("long")).unionByName(batch))
+        diff = H.snapshot_diff(H.present_city(before), H.present_city(after), "name")
         changes = (diff.where(F.col("op") != "DELETE").drop("op")
+                   .withColumn("timezone", utc_offset_label("timezone"))
                    .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        return {"consumption_city": H.merge_consumption_city(group.read("consumption_city"), changes,
-                                                             order=("batch_id",))}
+        return {"consumption_city": H.partial_city(changes, ("batch_id",))}
+
+    def run_log(self) -> DataFrame:
+        """A row for each job and batch that ran, from the commit records of the state groups."""
+        log = self.curated.commits().unionByName(self.id_counter.commits())
+        for group in self.consumption.values():
+            log = log.unionByName(group.commits())
+        return log.where("job IS NOT NULL").drop("query_id")
 
     def keyed_observations(self) -> DataFrame:
         """The curated fact with its weather_id, committed batches only."""
@@ -168,14 +203,15 @@ class ObservationFlow:
         return self.spark.read.parquet(self.keyed_fact).where(F.col("batch") <= latest).drop("batch")
 
     def consumption_city(self) -> DataFrame:
-        return self.curated.read("consumption_city")
+        return H.present_consumption_city(self.curated.read("consumption_city"))
 
     # -- answer tables ------------------------------------------------------------
     def state(self, name: str) -> DataFrame:
-        return self.consumption.read(name)
+        stored = self.consumption[name].read(name)
+        return H.present_avg_halving(stored) if name == "avg_temp_halving" else stored
 
     def city(self) -> DataFrame:
-        return self.curated.read("curated_city")
+        return H.present_city(self.curated.read("curated_city"))
 
     def with_city(self, df: DataFrame) -> DataFrame:
         """Adds the city name through the id->name bridge (scalar lookup)."""
@@ -189,7 +225,12 @@ class ObservationFlow:
         from cirrus.schemas import LENGTH_LIMITS, PRIMARY_KEYS
         cities = self.consumption_city()
         tables = {"consumption_city": cities, **self.answers()}
-        checks = []
+        v = LANDING_COLUMN
+        raw = self.spark.read.schema(jobs.LANDING_SCHEMA).parquet(self.landing)
+        checks = [("landing documents unparsable", raw.where(F.col(v).isNull())),
+                  ("landing documents without id", raw.where(F.col(v).isNotNull() & extract(v, "$.id", "bigint").isNull())),
+                  ("landing documents without name",
+                   raw.where(F.col(v).isNotNull() & extract(v, "$.name", "string").isNull()))]
         for name, df in tables.items():
             key = PRIMARY_KEYS.get(name)
             if key:
@@ -210,10 +251,26 @@ class ObservationFlow:
     def answers(self) -> dict[str, DataFrame]:
         return {
             "distinct_weather_conditions": self.state("distinct_weather_conditions"),
-            "weather_conditions_rank_per_city": self.with_city(self.state("weather_conditions_rank_per_city")),
+            "weather_conditions_rank_per_city": self.with_city(H.present_condition_rank(
+                self.state("weather_conditions_rank_per_city"))),
             "avg_temp_per_city": self.with_city(H.present_avg(self.state("avg_temp_per_city"))),
             "max_abs_temp": self.with_city(self.state("max_abs_temp")),
             "city_with_strongest_wind": self.with_city(self.state("city_with_strongest_wind")),
             "max_daily_temp_variation": self.with_city(H.present_daily_variation(
                 self.state("max_daily_temp_variation"))),
         }
+
+    def publish(self) -> list[str]:
+        """Write the answers and the city table as typed Parquet tables of ``consumption_zone`` and register them."""
+        root = self.path("consumption_zone")
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS consumption_zone LOCATION '{root}'")
+        names = []
+        for name, df in {"consumption_city": self.consumption_city(), **self.answers()}.items():
+            fields = [f.split(" ", 1) for f in CONSUMPTION[name].split(", ")]
+            typed = df.select(*(F.col(c).cast(kind).alias(c) for c, kind in fields))
+            typed.write.mode("overwrite").parquet(f"{root}/{name}")
+            self.spark.sql(f"DROP TABLE IF EXISTS consumption_zone.{name}")
+            self.spark.sql(f"CREATE TABLE consumption_zone.{name} ({CONSUMPTION[name]}) USING parquet "
+                           f"LOCATION '{root}/{name}'")
+            names.append(f"consumption_zone.{name}")
+        return names

@@ -25,8 +25,9 @@ from pyspark.sql.streaming import StreamingQuery
 from cirrus.sources.landing import LANDING_COLUMN, json_reader
 from cirrus.streaming.state import StateGroup
 
-RUN_LOG_SCHEMA = "job string, batch_id bigint, rows bigint, scheduled_time timestamp_ntz, completed_time timestamp_ntz"
-LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType())])
+LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType()), T.StructField("source_file", T.StringType())])
+#: How long the file stream remembers a path, counted back from the newest file it has seen: beyond any load.
+MAX_FILE_AGE = "36500d"
 
 
 def _now():
@@ -49,12 +50,23 @@ def _finish(q: StreamingQuery, trigger: str | None) -> StreamingQuery:
 
 def ingest_json(spark: SparkSession, source_dir: str, landing_path: str, checkpoint: str,
                 one_document_per_file: bool = True, max_files_per_trigger: int | None = None,
-                trigger: str | None = None) -> StreamingQuery:
-    """Continuous ingest of new JSON files into the VARIANT landing table."""
-    reader = json_reader(spark, one_document_per_file, streaming=True)
+                trigger: str | None = None, max_file_age: str = MAX_FILE_AGE, clean_source: str = "off",
+                archive_dir: str | None = None) -> StreamingQuery:
+    """Continuous ingest of new JSON files into the VARIANT landing table, each path once (``source_file`` keeps it).
+
+    Spark forgets paths, and skips files, older than ``maxFileAge`` before the newest file; its default of a week
+    would drop late files of a historical load and load re-sent ones again. The default here is 100 years, so the
+    memory of paths grows with the number of files; ``clean_source`` ("archive" with ``archive_dir``, or "delete")
+    moves read files away and keeps the listing short."""
+    reader = json_reader(spark, one_document_per_file, streaming=True).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if clean_source != "off":
+        reader = reader.option("cleanSource", clean_source)
+        if archive_dir:
+            reader = reader.option("sourceArchiveDir", archive_dir)
     stream = reader.load(source_dir)
+    stream = stream.select(LANDING_COLUMN, stream["_metadata.file_path"].alias("source_file"))
     w = (stream.writeStream.format("parquet").option("path", landing_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return _finish(_start(w, trigger), trigger)
@@ -62,7 +74,7 @@ def ingest_json(spark: SparkSession, source_dir: str, landing_path: str, checkpo
 
 def read_appends(spark: SparkSession, table_path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
     """Append-only change stream over a table (each new row seen once per checkpoint)."""
-    r = spark.readStream.schema(schema)
+    r = spark.readStream.schema(schema).option("maxFileAge", MAX_FILE_AGE)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(table_path)
@@ -81,53 +93,56 @@ def append_transform(stream: DataFrame, transform: Callable[[DataFrame], DataFra
 
 @dataclass
 class MergeJob:
-    """One incrementally maintained table of a state group:
-    ``merge(state, prepare(batch)) -> state``."""
+    """One incrementally maintained table of a state group.
+
+    With ``combine`` each batch stores ``merge(empty, prepare(batch))``'s counterpart ``partial(prepare(batch))`` only
+    and readers combine the batches' partials; else ``merge(state, prepare(batch))`` is stored as a new snapshot."""
     name: str
     schema: str
-    merge: Callable[[DataFrame, DataFrame], DataFrame]
+    merge: Callable[[DataFrame, DataFrame], DataFrame] | None = None
     prepare: Callable[[DataFrame, int], DataFrame] | None = None
+    partial: Callable[[DataFrame], DataFrame] | None = None
+    combine: Callable[[DataFrame], DataFrame] | None = None
 
 
-def state_group(spark: SparkSession, root: str, jobs_: Sequence[MergeJob]) -> StateGroup:
-    return StateGroup(spark, root, {j.name: j.schema for j in jobs_})
-
-
-def run_log_append(spark: SparkSession, path: str, entries: list[tuple]) -> None:
-    """One small append per micro-batch with a row per job that ran."""
-    if entries:
-        spark.createDataFrame(entries, RUN_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+def state_group(spark: SparkSession, root: str, jobs_: Sequence[MergeJob], **options) -> StateGroup:
+    return StateGroup(spark, root, {j.name: j.schema for j in jobs_},
+                      combine={j.name: j.combine for j in jobs_ if j.combine}, **options)
 
 
 Derive = Callable[[StateGroup, dict, int], dict]
 
 
 def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob], batch: DataFrame,
-                batch_id: int, run_log: str | None = None, derive: Derive | None = None) -> int:
+                batch_id: int, derive: Derive | None = None, query_id: str | None = None) -> int:
     """Apply every job of a group to one micro-batch and commit them together;
-    returns the batch row count (0: empty batch, nothing written).
-    ``derive(group, new_frames, batch_id)`` may add tables computed from the
-    previous and new states of the group (committed in the same record)."""
+    returns the batch row count (0: empty batch, nothing written). The commit record holds a run-log row for each job
+    and derived table. ``derive(group, new_frames, batch_id)`` may add tables computed from the group's state and the
+    new frames."""
     if group.is_committed(batch_id):  # replay of a finished batch
+        group.check_writer(query_id)
         return 0
     if batch.isEmpty():  # guard: no new rows -> no work, no new version
         return 0
     started = _now()
-    frames = {j.name: j.merge(group.read(j.name), j.prepare(batch, batch_id) if j.prepare else batch)
-              for j in jobs}
+    frames = {}
+    for j in jobs:
+        rows = j.prepare(batch, batch_id) if j.prepare else batch
+        frames[j.name] = j.partial(rows) if j.combine else j.merge(group.read(j.name), rows)
     if derive:
         frames.update(derive(group, frames, batch_id))
-    committed = group.commit(batch_id, frames)
-    rows = batch.count()  # served by the cache the merge jobs filled
-    if committed and run_log:
-        done = _now()
-        run_log_append(spark, run_log, [(j.name, int(batch_id), int(rows), started, done) for j in jobs])
+    rows = batch.count()  # fills or is served by the cache that the merge jobs read
+    group.commit(batch_id, frames, [(name, rows, started) for name in frames], query_id)
     return rows
 
 
+def query_of(checkpoint: str, spark: SparkSession) -> str:
+    """The id of the streaming query that owns a checkpoint (written by Spark before the first batch)."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
-            checkpoint: str, run_log: str | None = None, trigger: str | None = None,
-            derive: Derive | None = None) -> StreamingQuery:
+            checkpoint: str, trigger: str | None = None, derive: Derive | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
@@ -135,7 +150,7 @@ def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Seq
     def on_batch(batch: DataFrame, batch_id: int):
         batch = batch.persist()
         try:
-            merge_batch(spark, group, jobs, batch, batch_id, run_log, derive)
+            merge_batch(spark, group, jobs, batch, batch_id, derive, query_of(checkpoint, spark))
         finally:
             batch.unpersist()
 
@@ -162,13 +177,18 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
     from cirrus.plans.warehouse import with_weather_id
 
     def on_batch(batch: DataFrame, batch_id: int):
-        if counter.is_committed(batch_id) or batch.isEmpty():
+        if counter.is_committed(batch_id):
+            counter.check_writer(query_of(checkpoint, spark))
+            return
+        if batch.isEmpty():
             return
+        started = _now()
         start = counter.read("id_counter").agg(F.max("max_id")).first()[0] or 0
         folder = f"{target.rstrip('/')}/batch={int(batch_id)}"
         with_weather_id(batch, start).write.mode("overwrite").partitionBy("obs_date").parquet(folder)
         written = spark.read.parquet(folder).count()
-        counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")})
+        counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
+                       [("curated_weather", written, started)], query_of(checkpoint, spark))
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger), trigger)

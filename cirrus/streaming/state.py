@@ -1,86 +1,114 @@
-"""Versioned state tables with idempotent, atomic commits.
-
-A state group is a set of tables updated by the same micro-batches. Each
-table keeps full snapshots in ``retain`` rotating slots
-``<root>/<name>/slot=<batch_id mod retain>``; the group keeps one commit log
-``<root>/_commits`` (one record per batch, written after every snapshot of
-that batch, rotating over the same slots). With ``retain >= 2`` a new batch never
-overwrites the newest committed snapshot, so storage stays bounded without
-any clean-up job. Readers take the snapshots of
-the newest *committed* batch, so a snapshot half-written by a lost job is
-never read and all tables of a group move together. Replaying a batch id that
-is already committed is a no-op -- which makes ``foreachBatch`` replays after
-a failure harmless even for non-idempotent rules such as ``frequency + 1``.
-Each snapshot is a written table, so it also cuts the lineage of the next
-merge (no ever-growing plan across batches).
+"""Tables maintained by micro-batches: immutable folders and one commit record a batch.
+
+    <root>/<table>/batch=<id>     what batch <id> wrote (a snapshot, or its delta)
+    <root>/<table>/_base/batch=<id>   all deltas up to <id>, folded by a compaction
+    <root>/_commits/batch=<id>    the batch's commit record: one row for each job that ran
+
+A batch writes its folders, then its record; readers look up the newest record on every read and never see folders
+without one. No folder is rewritten but by a replay of its own uncommitted batch, so a reader's frame stays what it
+was. A table with a ``combine`` function stores each batch's partial result only and is combined on reading, so what a
+batch writes does not grow with the table; compaction folds old deltas into a base beside them. Old folders go by
+number and age (``retain``, ``min_age``), so a running reader keeps its files.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-COMMIT_SCHEMA = "batch_id bigint, committed_at timestamp_ntz"
-_UNSET = object()
+from cirrus.streaming import files
+
+COMMIT_SCHEMA = ("job string, batch_id bigint, rows bigint, scheduled_time timestamp_ntz, "
+                 "completed_time timestamp_ntz, query_id string")
+Combine = Callable[[DataFrame], DataFrame]
+
+
+def _now():
+    return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
 class StateGroup:
-    """Single writer per group (its streaming query); batch ids only grow, so a
-    batch id is committed exactly when it is <= the newest committed id. The
-    newest id is read from the commit log once, then tracked in memory."""
+    """Single writer per group (its streaming query); batch ids only grow."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], retain: int = 3):
+    def __init__(self, spark: SparkSession, root: str, schemas: dict[str, str], retain: int = 3,
+                 combine: Mapping[str, Combine] | None = None, compact_every: int = 16, min_age: float = 3600.0):
         if retain < 2:
-            raise ValueError("retain must be >= 2 so the newest committed snapshot is never overwritten")
+            raise ValueError("retain must be >= 2 so the newest committed snapshot is never deleted")
         self.spark = spark
         self.root = root.rstrip("/")
         self.schemas = dict(schemas)
         self.retain = retain
-        self._latest = _UNSET
+        self.combine = dict(combine or {})
+        self.compact_every = compact_every
+        self.min_age = min_age
 
     @property
     def commit_path(self) -> str:
         return f"{self.root}/_commits"
 
     def version_path(self, name: str, batch_id: int) -> str:
-        return f"{self.root}/{name}/slot={int(batch_id) % self.retain}"
+        return f"{self.root}/{name}/batch={int(batch_id)}"
+
+    def base_path(self, name: str, batch_id: int) -> str:
+        return f"{self.root}/{name}/_base/batch={int(batch_id)}"
 
     def commits(self) -> DataFrame:
-        """The last ``retain`` commit records (batch_id, committed_at)."""
-        try:
-            return (self.spark.read.parquet(self.commit_path)
-                    .select(F.col("batch_id").cast("long"), F.col("committed_at")))
-        except AnalysisException:
+        """The commit records: a row for each job and batch. An unreadable log is an error, an absent one empty."""
+        if not files.numbered(self.spark, self.commit_path, "batch"):
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.commit_path}/batch=*")
 
-    def latest(self) -> int | None:
-        """Newest committed batch id (one scalar to the driver)."""
-        if self._latest is _UNSET:
-            self._latest = self.commits().agg(F.max("batch_id")).first()[0]
-        return self._latest
+    def committed(self) -> list[int]:
+        return files.numbered(self.spark, self.commit_path, "batch")
 
-    def previous(self, batch_id: int) -> int | None:
-        """Newest committed batch id before ``batch_id``."""
-        return self.commits().where(F.col("batch_id") < int(batch_id)).agg(F.max("batch_id")).first()[0]
+    def latest(self) -> int | None:
+        """Newest committed batch id, looked up anew on every call."""
+        ids = self.committed()
+        return ids[-1] if ids else None
 
     def is_committed(self, batch_id: int) -> bool:
         latest = self.latest()
         return latest is not None and int(batch_id) <= latest
 
+    def check_writer(self, query_id: str | None) -> None:
+        """Fail if the newest commit comes from another streaming query: a lost checkpoint restarts batch ids at 0,
+        and its batches would all be skipped as committed."""
+        if query_id is None or self.latest() is None:
+            return
+        last = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.commit_path}/batch={self.latest()}").first()
+        if last and last["query_id"] and last["query_id"] != query_id:
+            raise RuntimeError(f"{self.root}: committed by query {last['query_id']}, not {query_id}; "
+                               "was the checkpoint lost?")
+
     def read(self, name: str, batch_id: int | None = None) -> DataFrame:
-        """Newest committed snapshot, or that of ``batch_id`` (one of the last
-        ``retain`` committed batches)."""
-        v = self.latest() if batch_id is None else batch_id
-        if v is None:
-            return self.spark.createDataFrame([], self.schemas[name])
-        return self.spark.read.schema(self.schemas[name]).parquet(self.version_path(name, v))
-
-    def commit(self, batch_id: int, frames: dict[str, DataFrame]) -> bool:
-        """Write every snapshot of ``batch_id`` (concurrent Spark jobs), then
-        the commit record. False if the batch id was already committed."""
+        """The table as of the newest commit, or as of ``batch_id``."""
+        ids = [i for i in self.committed() if batch_id is None or i <= batch_id]
+        schema = self.schemas[name]
+        if not ids:
+            return self.spark.createDataFrame([], schema)
+        if name not in self.combine:
+            return self.spark.read.schema(schema).parquet(self.version_path(name, ids[-1]))
+        bases = [b for b in files.numbered(self.spark, f"{self.root}/{name}/_base", "batch") if b <= ids[-1]]
+        base = bases[-1] if bases else -1
+        paths = [self.version_path(name, i) for i in ids if i > base]
+        parts = [self.spark.read.schema(schema).parquet(p) for p in paths]
+        parts = [p.withColumn("batch", F.lit(i).cast("long")) for p, i in zip(parts, [i for i in ids if i > base],
+                                                                              strict=True)]
+        if bases:
+            parts.insert(0, self.spark.read.schema(schema).parquet(self.base_path(name, base)).withColumn(
+                "batch", F.lit(base).cast("long")))
+        whole = parts[0]
+        for p in parts[1:]:
+            whole = whole.unionByName(p)
+        return self.combine[name](whole)
+
+    def commit(self, batch_id: int, frames: dict[str, DataFrame], log: Sequence[tuple] = (),
+               query_id: str | None = None) -> bool:
+        """Write every folder of ``batch_id`` (concurrent Spark jobs), then the commit record with its run-log rows
+        (job, rows, scheduled, completed). False if the batch id was already committed."""
         if self.is_committed(batch_id):
             return False
         with ThreadPoolExecutor(max_workers=max(1, len(frames))) as pool:
@@ -88,26 +116,37 @@ class StateGroup:
                     for name, df in frames.items()]
             for f in done:
                 f.result()
-        now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-        # Commit records rotate over the same slots: the log stays ``retain``
-        # rows long. A lost overwrite can only drop the oldest record, which at
-        # worst makes this batch look uncommitted and be recomputed.
-        (self.spark.createDataFrame([(int(batch_id), now)], COMMIT_SCHEMA)
-         .coalesce(1).write.mode("overwrite").parquet(f"{self.commit_path}/slot={int(batch_id) % self.retain}"))
-        self._latest = int(batch_id)
+        now = _now()
+        rows = [(j, int(batch_id), int(n), start, now, query_id) for j, n, start in log] or [
+            (None, int(batch_id), None, now, now, query_id)]
+        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.commit_path}/batch={int(batch_id)}")
+        if self.combine and len(self.committed()) % self.compact_every == 0:
+            self.compact()
+        self.tidy()
         return True
 
-
-class VersionedState(StateGroup):
-    """A group of one table."""
-
-    NAME = "data"
-
-    def __init__(self, spark: SparkSession, root: str, schema: str, retain: int = 3):
-        super().__init__(spark, root, {self.NAME: schema}, retain)
-
-    def read(self, batch_id: int | None = None) -> DataFrame:  # type: ignore[override]
-        return super().read(self.NAME, batch_id)
-
-    def commit(self, batch_id: int, df: DataFrame) -> bool:  # type: ignore[override]
-        return super().commit(batch_id, {self.NAME: df})
+    def compact(self) -> None:
+        """Fold the deltas of every combined table up to the newest commit into a new base."""
+        latest = self.latest()
+        for name in self.combine:
+            if latest is not None and latest not in files.numbered(self.spark, f"{self.root}/{name}/_base", "batch"):
+                self.read(name, latest).write.mode("overwrite").parquet(self.base_path(name, latest))
+
+    def tidy(self) -> None:
+        """Delete folders that newer ones replace, once old enough: snapshots but the newest ``retain``, deltas below
+        the base before the newest. Commit records stay: they are the run log."""
+        ids = self.committed()
+        for name in self.schemas:
+            if name in self.combine:
+                bases = files.numbered(self.spark, f"{self.root}/{name}/_base", "batch")
+                if len(bases) < 2:
+                    continue
+                spent = [self.version_path(name, i) for i in files.numbered(self.spark, f"{self.root}/{name}", "batch")
+                         if i <= bases[-2]] + [self.base_path(name, b) for b in bases[:-2]]
+            else:
+                keep = set(ids[-self.retain:])
+                spent = [self.version_path(name, i) for i in files.numbered(self.spark, f"{self.root}/{name}", "batch")
+                         if i not in keep and i < ids[-1]]
+            for path in spent:
+                files.delete_older(self.spark, path, self.min_age)

@@ -165,15 +165,27 @@ def test_order_key_sorts_like_the_columns(spark):
     assert by_key == by_cols
 
 
-def test_broadcast_bound_follows_session_threshold(spark):
-    from cirrus.operators import joins
-    df = spark.range(10)
-    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
-        assert joins.broadcast_limit(spark) == 10 << 20 and joins.is_small(df)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert not joins.is_small(df)
-        assert not joins.is_small(df, max_bytes=1)
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+def test_null_keys_are_kept_and_large_keys_exact(spark):
+    big = 9007199254740993
+    rows = [(big, 1.0, 1, 1), (big, 3.0, 2, 2), (None, 5.0, 1, 3), (None, 7.0, 3, 4), (big - 1, 2.0, 1, 5)]
+    df = spark.createDataFrame(rows, "city_id long, temperature double, a long, b long")
+    got = {r.city_id: (r.t, r.n, r.first) for r in H.halving_partials(df, order=("a", "b")).collect()}
+    assert got == {big: (1.75, 2, 1.0), None: (4.75, 2, 5.0), big - 1: (1.0, 1, 2.0)}
+    state = H.empty_state(spark, H.HALVING_STATE)
+    for _ in range(2):
+        state = H.merge_avg_halving(state, df, order=("a", "b"))
+    assert {r.city_id: r.n for r in state.collect()} == {big: 4, None: 4, big - 1: 2}
+    assert H.halving_partials(df.where("city_id IS NULL"), order=("a", "b")).count() == 1
+
+
+def test_null_name_is_one_city(spark):
+    rows = [(None, 7, 3600, "IT", 1.0, 2.0, 1, 1)]
+    df = spark.createDataFrame(rows, "name string, city_id long, timezone int, country string, latitude double, "
+                                     "longitude double, a long, b long")
+    state = H.empty_state(spark, H.CITY_STATE)
+    for _ in range(3):
+        after = H.merge_city(state, df, order=("a", "b"))
+        ops = [r.op for r in H.snapshot_diff(state, after, "name").collect()]
+        state = after
+    assert state.count() == 1 and state.first().city_id == 7 and ops == []

@@ -33,16 +33,16 @@ def test_restart_after_crash_gives_exact_state(spark, tmp_path, monkeypatch, whe
     real_commit = StateGroup.commit
     crashed = []
 
-    def flaky_commit(self, batch_id, frames):
+    def flaky_commit(self, batch_id, frames, *more):
         if batch_id == 1 and not crashed:
             crashed.append(batch_id)
             if when == "before_commit_record":
                 for name, df in frames.items():  # snapshot written, record never appended
                     df.write.mode("overwrite").parquet(self.version_path(name, batch_id))
                 raise Crash("lost before the commit record")
-            real_commit(self, batch_id, frames)
+            real_commit(self, batch_id, frames, *more)
             raise Crash("lost after the commit record")
-        return real_commit(self, batch_id, frames)
+        return real_commit(self, batch_id, frames, *more)
 
     monkeypatch.setattr(StateGroup, "commit", flaky_commit)
     with pytest.raises(Exception):
@@ -72,11 +72,11 @@ def test_keyed_append_restart_keeps_ids_dense(spark, tmp_path, monkeypatch):
     real_commit = StateGroup.commit
     crashed = []
 
-    def flaky(self, batch_id, frames):
+    def flaky(self, batch_id, frames, *more):
         if batch_id == 1 and not crashed:
             crashed.append(1)
             raise Crash("lost after the batch folder was written")
-        return real_commit(self, batch_id, frames)
+        return real_commit(self, batch_id, frames, *more)
 
     monkeypatch.setattr(StateGroup, "commit", flaky)
 
