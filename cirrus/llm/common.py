@@ -133,3 +133,13 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Arrow batches of at most ``rows`` rows, so that batches of long texts stay small in the Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def sample_of_texts(docs: DataFrame, n: int) -> DataFrame:
+    """(h, text): at most ``n`` distinct texts, those with the smallest hashes.
+
+    The bound is found on the hashes alone; only the chosen texts are moved, copies of one text once."""
+    digest = F.xxhash64("text")
+    cut = docs.select(digest.alias("h")).distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
+    chosen = docs.where(F.lit(False) if cut is None else digest <= cut)
+    return chosen.select(digest.alias("h"), "text").groupBy("h").agg(F.min("text").alias("text"))

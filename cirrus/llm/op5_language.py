@@ -33,14 +33,17 @@ def learn(docs: DataFrame, dict_bytes: int = 112 << 10, languages: int = 256) ->
     rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("n", F.octet_length("text")).where(
         F.col("n").between(1, dict_bytes // 4))
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
-    order = Window.partitionBy("lang").orderBy("k", "doc_id")
-    # A row number bounds the rows of a language before their running size is summed.
-    few = rows.select("doc_id", "lang", "n", "text", F.xxhash64("text", "doc_id").alias("k")).withColumn(
+    order = Window.partitionBy("lang").orderBy("k")
+    # Chosen on hashes and sizes alone (copies of a text count once); then only the chosen texts are moved.
+    sized = rows.groupBy("lang", F.xxhash64("text").alias("k")).agg(F.max("n").alias("n")).withColumn(
         "i", F.row_number().over(order)).where(F.col("i") <= 512)
-    few = few.withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))).where(
+    sized = sized.withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))).where(
         F.coalesce("before", F.lit(0)) < dict_bytes)
+    cuts = sized.groupBy("lang").agg(F.max("k").alias("cut")).join(common.select("lang"), "lang")
+    few = rows.withColumn("k", F.xxhash64("text")).join(F.broadcast(cuts), "lang").where(F.col("k") <= F.col("cut")).groupBy(
+        "lang", "k").agg(F.min("text").alias("text"))
     texts: dict[str, bytearray] = {}
-    for r in few.join(F.broadcast(common.select("lang")), "lang").select("lang", "i", "text").orderBy("lang", "i").collect():
+    for r in few.orderBy("lang", "k").collect():
         texts.setdefault(r["lang"], bytearray()).extend(r["text"].lower().encode() + b"\n")
     return {k: bytes(v[:dict_bytes]) for k, v in texts.items()}
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cirrus.llm.bilstm_crf import Model, classes_of
-from cirrus.llm.common import small_batches, table
+from cirrus.llm.common import sample_of_texts, small_batches, table
 
 #: Fixed order of the kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -151,8 +151,7 @@ def _windows(batches):
 def learn(docs: DataFrame, sample: int = 3000, windows: int = 6000, steps: int = 240) -> Model | None:
     """Trains on at most ``windows`` windows of at most ``sample`` documents (chosen by hash of the text)."""
     small_batches(docs.sparkSession)
-    some = docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") < 20000)).select("text").orderBy(
-        F.xxhash64("text"), "text").limit(sample)
+    some = sample_of_texts(docs.where(F.col("text").rlike("[0-9@]") & (F.length("text") < 20000)), sample).select("text")
     rows = some.mapInPandas(_windows, "x binary, y binary").distinct().orderBy(F.xxhash64("x", "y"), "x", "y").limit(
         windows).collect()
     if not rows:
