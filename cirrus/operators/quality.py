@@ -47,12 +47,10 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "surrogate
                   start: int = 0, num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Dense ids ``start+1 ..`` in ``order`` (which must be unique), distributed.
 
-    1. range-partition + sort by ``order`` and tag rows with their partition id;
-    2. write that frame out, so partition membership is fixed (range bounds
-       are sampled per evaluation and must not differ between uses);
-    3. per-partition counts -> running offsets (one row per partition: a
-       proven bound, so the offsets are broadcast);
-    4. id = start + offset(partition) + row_number within the partition."""
+    1. range-partition by ``order``, sort inside the partitions and write the rows with their partition number and
+       position in it (the two halves of ``monotonically_increasing_id``), so that both are fixed;
+    2. per-partition counts -> running offsets (one row per partition);
+    3. id = start + offset(partition) + position. No second shuffle or sort of the rows."""
     spark = df.sparkSession
     path = path or scratch_path(spark, "surrogate_key")
     # Rows equal on the whole order are interchangeable; a per-row tie-break
@@ -60,12 +58,13 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "surrogate
     keyed = df.withColumn("_tie", F.monotonically_increasing_id())
     full = [*order, "_tie"]
     ranged = keyed.repartitionByRange(num_partitions, *full) if num_partitions else keyed.repartitionByRange(*full)
-    ranged.withColumn("_pid", F.spark_partition_id()).write.mode("overwrite").parquet(path)
+    place = F.monotonically_increasing_id()
+    (ranged.sortWithinPartitions(*full).drop("_tie").withColumn("_at", place)
+     .withColumn("_pid", F.shiftright("_at", 33)).write.mode("overwrite").parquet(path))
     stored = spark.read.parquet(path)
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_pid").orderBy(*full)
-    return (stored.join(F.broadcast(offsets), "_pid")
-            .withColumn(key_col, F.lit(start) + F.col("_offset") + F.row_number().over(within))
-            .drop("_pid", "_offset", "_tie"))
+    position = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (stored.join(offsets, "_pid").withColumn(key_col, F.lit(start) + F.col("_offset") + position + 1)
+            .drop("_pid", "_offset", "_at"))

@@ -647,7 +647,7 @@ def q_surrogate_key(spark, sf):
 # Streaming: the whole flow fed with 5 time slices of the documents
 # ============================================================================
 from cirrus.streaming import jobs as S  # noqa: E402
-from cirrus.streaming.flow import CURATED_WEATHER_STREAM, ObservationFlow  # noqa: E402
+from cirrus.streaming.flow import ObservationFlow  # noqa: E402
 
 SLICES = 5
 _FLOWS: dict = {}
@@ -709,7 +709,7 @@ def q_stream_json_ingest(spark, sf):
 @register("stream_curated_observation", with_views(
     f"{_CURATED_OBS_SQL} WHERE name IN ({ALLOW_SQL})", OBS, CITY, DOCS))
 def q_stream_curated_observation(spark, sf):
-    return landing.read_table(spark, _flow(spark, sf).curated_weather).select(*curate.OBSERVATION_COLUMNS)
+    return _flow(spark, sf).keyed_observations().select(*curate.OBSERVATION_COLUMNS)
 
 
 @register("stream_append_only", _sv("SELECT city_id, main, temperature, dt FROM adocs"))
@@ -717,11 +717,11 @@ def q_stream_append_only(spark, sf):
     """A new append-only consumer of the curated fact copies what it sees."""
     flow = _flow(spark, sf)
     out = scratch_path(spark, "append_only_copy")
-    stream = S.read_appends(spark, flow.curated_weather, CURATED_WEATHER_STREAM)
+    stream = S.read_commits(spark, flow.id_counter)
 
     def copy(batch, batch_id):
         # One folder a batch, overwritten: a replayed batch does not double its rows.
-        batch.select("city_id", "main", "temperature", "dt").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        flow.new_observations(batch).select("city_id", "main", "temperature", "dt").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (stream.writeStream.foreachBatch(copy).option("checkpointLocation", scratch_path(spark, "ckpt"))
          .trigger(availableNow=True).start())

@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cirrus.functions.scalars import CITY_ALLOW_LIST
 from cirrus.operators import analytics, curate, questions_sql
 from cirrus.operators.quality import surrogate_key
+from cirrus.session import scratch_path
 from cirrus.sources.landing import read_table, write_table, zone_path
 from cirrus.streaming import jobs
+from cirrus.streaming.files import delete_older
 
 # Order that numbers observations (unique up to fully identical rows).
 WEATHER_ID_ORDER = ("dt", "city_id", "main", "temperature", "wind_speed", "rain_1h")
@@ -38,9 +40,9 @@ def copy_into_landing(spark: SparkSession, stage: str, root: str, one_document_p
     jobs.ingest_json(spark, stage, p["landing"], p["landing_checkpoint"], one_document_per_file)
 
 
-def with_weather_id(obs: DataFrame, start: int = 0) -> DataFrame:
-    """AUTOINCREMENT surrogate key: dense ids after ``start`` in time order."""
-    return surrogate_key(obs, WEATHER_ID_ORDER, key_col="weather_id", start=start)
+def with_weather_id(obs: DataFrame, start: int = 0, path: str | None = None) -> DataFrame:
+    """AUTOINCREMENT surrogate key: dense ids after ``start`` in time order; ``path`` names its scratch table."""
+    return surrogate_key(obs, WEATHER_ID_ORDER, key_col="weather_id", start=start, path=path)
 
 
 def build_curated(spark: SparkSession, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST) -> None:
@@ -48,8 +50,11 @@ def build_curated(spark: SparkSession, root: str, allow: Iterable[str] | None =
     p = paths(root)
     raw = read_table(spark, p["landing"])
     write_table(curate.curated_city(raw, allow=allow), p["curated_city"])
-    obs = curate.with_partition_date(with_weather_id(curate.curated_observation(raw, allow=allow)))
-    write_table(obs, p["curated_weather"], partition_by=("obs_date",))
+    scratch = scratch_path(spark, "weather_id")
+    obs = curate.with_partition_date(with_weather_id(curate.curated_observation(raw, allow=allow), path=scratch))
+    # Rebalanced by day: few files a day, and a hot day is split.
+    write_table(obs.hint("rebalance", "obs_date"), p["curated_weather"], partition_by=("obs_date",))
+    delete_older(spark, scratch, 0)
 
 
 def load_history(spark: SparkSession, stage: str, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST,

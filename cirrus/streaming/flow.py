@@ -1,13 +1,13 @@
 """The continuous observation flow, layer by layer.
 
     incoming JSON files --(file stream, exactly-once sink)--> landing (VARIANT)
-    landing --(append)--> curated_weather (typed fact, partitioned by day)
-    curated_weather --(foreachBatch, id counter state)--> curated_weather_keyed
-        (dense weather_id after the stored maximum, one folder per batch)
+    landing --(foreachBatch, id counter state)--> curated_weather
+        (the one stored fact: typed rows with a dense weather_id after the
+        stored maximum, one folder per batch, days inside)
     landing --(foreachBatch upsert by name)--> curated_city (+ id->name bridge)
         and, in the same commit, curated_city's INSERT/UPDATE rows of that
         batch (snapshot diff of old vs new version) --> consumption_city
-    curated_weather --(one foreachBatch, batch persisted once)--> six states
+    curated_weather --(its commit records, a stream and trigger for each)--> answer states
 
 ``run_once`` drains every layer in order with ``availableNow`` -- the same
 ordering the staggered schedules of the original jobs aim at, but explicit.
@@ -35,6 +35,7 @@ from cirrus.sources.landing import LANDING_COLUMN
 from cirrus.streaming import jobs
 
 CURATED_WEATHER_STREAM = T.StructType(CURATED_WEATHER.fields + [T.StructField("obs_date", T.DateType())])
+KEYED_WEATHER = T.StructType([T.StructField("weather_id", T.LongType())] + CURATED_WEATHER_STREAM.fields)
 BRIDGE_STATE = "city_id bigint, name string"
 # Ties in dt are broken by the value itself, which fixes the halving result.
 HALVING_ORDER = ("dt", "temperature")
@@ -67,7 +68,6 @@ class ObservationFlow:
         self.source_dir = p("stage")
         self.landing = p("landing_zone/landing_json")
         self.curated_weather = p("curated_zone/curated_weather")
-        self.keyed_fact = p("curated_zone/curated_weather_keyed")
         self.id_counter = jobs.StateGroup(spark, p("curated_zone/id_counter"), {"id_counter": "max_id bigint"})
         rows = lambda b, _: self._city_rows(b)
         self.city_jobs = [
@@ -129,31 +129,29 @@ class ObservationFlow:
         return [
             lambda: jobs.ingest_json(spark, self.source_dir, self.landing, self.checkpoint("landing"),
                                      self.one_document_per_file, self.max_files, cadence["landing"]),
-            lambda: jobs.append_transform(jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files),
-                                          self._curate_weather, self.curated_weather,
-                                          self.checkpoint("curated_weather"), cadence["curated_weather"],
-                                          partition_by=("obs_date",)),
+            lambda: jobs.keyed_append(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files),
+                                      self.id_counter, self.curated_weather, self.checkpoint("curated_weather"),
+                                      cadence["curated_weather"], self._curate_weather),
             lambda: jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files), self.curated,
                                  self.city_jobs, self.checkpoint("curated_city"),
                                  cadence["curated_city"], derive=self._consumption_city),
-            lambda: jobs.keyed_append(spark, jobs.read_appends(spark, self.curated_weather, CURATED_WEATHER_STREAM,
-                                                               self.max_files),
-                                      self.id_counter, self.keyed_fact, self.checkpoint("curated_weather_keyed"),
-                                      cadence["keyed"]),
             *(self._consumer(job, cadence[job.name]) for job in self.consumers),
         ]
 
     def _consumer(self, job: jobs.MergeJob, trigger: str | None):
         return lambda: jobs.consume(
-            self.spark, jobs.read_appends(self.spark, self.curated_weather, CURATED_WEATHER_STREAM, self.max_files),
-            self.consumption[job.name], [job], self.checkpoint(f"consumption_{job.name}"), trigger)
+            self.spark, jobs.read_commits(self.spark, self.id_counter, self.max_files), self.consumption[job.name], [job],
+            self.checkpoint(f"consumption_{job.name}"), trigger, rows=self.new_observations)
+
+    def new_observations(self, records: DataFrame) -> DataFrame:
+        """The fact rows of a micro-batch of the fact's commit records."""
+        return jobs.new_rows(self.spark, records, self.id_counter, self.curated_weather, KEYED_WEATHER)
 
     def run_once(self) -> None:
         """Drain every layer once along its dependencies (``availableNow``):
         landing, then the fact append and the city upsert side by side (both
-        only read landing), then the consumption states and the keyed fact
-        side by side (all only read the fact). Every layer of a group runs to its end before a failure is raised."""
-        names = ("landing", "curated_weather", "curated_city", "keyed", *self.consumption)
+        only read landing), then the consumption states side by side (all only read the fact). Every layer of a group runs to its end before a failure is raised."""
+        names = ("landing", "curated_weather", "curated_city", *self.consumption)
         ingest, fact, city, *rest = self._layers(dict.fromkeys(names))
         ingest()
         for side_by_side in ((fact, city), rest):
@@ -164,13 +162,12 @@ class ObservationFlow:
                 raise failed[0]
 
     def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes", curated_city: str = "1 minute",
-              consumption: str | dict[str, str] | None = None, keyed: str = "2 minutes") -> list:
+              consumption: str | dict[str, str] | None = None) -> list:
         """Run every layer continuously with its own processing-time trigger; ``consumption`` gives one trigger for
         all answer tables or one for each."""
         own = dict(CADENCE, **consumption) if isinstance(consumption, dict) else (
             dict.fromkeys(self.consumption, consumption) if consumption else CADENCE)
-        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city, "keyed": keyed,
-                   **own}
+        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city, **own}
         return [layer() for layer in self._layers(cadence)]
 
     def _consumption_city(self, group, frames: dict, batch_id: int) -> dict:
@@ -196,11 +193,7 @@ class ObservationFlow:
 
     def keyed_observations(self) -> DataFrame:
         """The curated fact with its weather_id, committed batches only."""
-        latest = self.id_counter.latest()
-        if latest is None:
-            return self.spark.createDataFrame(
-                [], T.StructType([T.StructField("weather_id", T.LongType())] + CURATED_WEATHER_STREAM.fields))
-        return self.spark.read.parquet(self.keyed_fact).where(F.col("batch") <= latest).drop("batch")
+        return jobs.committed_rows(self.spark, self.id_counter, self.curated_weather, KEYED_WEATHER)
 
     def consumption_city(self) -> DataFrame:
         return H.present_consumption_city(self.curated.read("consumption_city"))

@@ -22,8 +22,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from cirrus.session import scratch_path
 from cirrus.sources.landing import LANDING_COLUMN, json_reader
-from cirrus.streaming.state import StateGroup
+from cirrus.streaming import files
+from cirrus.streaming.state import COMMIT_SCHEMA, StateGroup
 
 LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType()), T.StructField("source_file", T.StringType())])
 #: How long the file stream remembers a path, counted back from the newest file it has seen: beyond any load.
@@ -142,13 +144,15 @@ def query_of(checkpoint: str, spark: SparkSession) -> str:
 
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
-            checkpoint: str, trigger: str | None = None, derive: Derive | None = None) -> StreamingQuery:
+            checkpoint: str, trigger: str | None = None, derive: Derive | None = None,
+            rows: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
-    the batch's source files, which the file source replays identically."""
+    the batch's source files, which the file source replays identically.
+    ``rows`` turns a batch of commit records into the rows they stand for."""
     def on_batch(batch: DataFrame, batch_id: int):
-        batch = batch.persist()
+        batch = (rows(batch) if rows else batch).persist()
         try:
             merge_batch(spark, group, jobs, batch, batch_id, derive, query_of(checkpoint, spark))
         finally:
@@ -165,30 +169,56 @@ def run_history(log: DataFrame, jobs: Sequence[str], job_col: str = "job",
 
 
 def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, target: str, checkpoint: str,
-                 trigger: str | None = None) -> StreamingQuery:
+                 trigger: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Append with an AUTOINCREMENT-style ``weather_id``: dense ids after the
     stored maximum, in time order inside each batch.
 
     Per micro-batch: read the committed counter (one scalar), number the batch
     with the distributed surrogate key, overwrite ``<target>/batch=<id>``
-    (idempotent), then commit the new counter. Readers keep ``batch <=`` the
-    newest committed id, so a batch written by a lost attempt is never seen
-    and a replayed one is rewritten with the same ids."""
+    (idempotent), commit the new counter, delete the scratch table. Readers take committed batches only, so one
+    written by a lost attempt is never seen and a replayed one is rewritten with the same ids."""
     from cirrus.plans.warehouse import with_weather_id
 
     def on_batch(batch: DataFrame, batch_id: int):
         if counter.is_committed(batch_id):
             counter.check_writer(query_of(checkpoint, spark))
             return
-        if batch.isEmpty():
+        rows = transform(batch) if transform else batch
+        if rows.isEmpty():
             return
         started = _now()
         start = counter.read("id_counter").agg(F.max("max_id")).first()[0] or 0
-        folder = f"{target.rstrip('/')}/batch={int(batch_id)}"
-        with_weather_id(batch, start).write.mode("overwrite").partitionBy("obs_date").parquet(folder)
+        folder, scratch = f"{target.rstrip('/')}/batch={int(batch_id)}", scratch_path(spark, "weather_id")
+        with_weather_id(rows, start, scratch).hint("rebalance", "obs_date").write.mode("overwrite").partitionBy(
+            "obs_date").parquet(folder)
         written = spark.read.parquet(folder).count()
         counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
                        [("curated_weather", written, started)], query_of(checkpoint, spark))
+        files.delete_older(spark, scratch, 0)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger), trigger)
+
+
+def committed_rows(spark: SparkSession, counter: StateGroup, target: str, schema,
+                   ids: Sequence[int] | None = None) -> DataFrame:
+    """Rows of a keyed_append table: all committed batches, or the named ones."""
+    ids = counter.committed() if ids is None else ids
+    if not ids:
+        return spark.createDataFrame([], schema)
+    return spark.read.option("basePath", target).schema(schema).parquet(
+        *(f"{target.rstrip('/')}/batch={int(i)}" for i in ids))
+
+
+def read_commits(spark: SparkSession, counter: StateGroup, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Append-only change stream over a keyed_append table: its commit records, one file for each batch. A batch
+    arrives once it is committed, and never twice."""
+    spark._jvm.org.apache.hadoop.fs.Path(counter.commit_path).getFileSystem(
+        spark._jsc.hadoopConfiguration()).mkdirs(spark._jvm.org.apache.hadoop.fs.Path(counter.commit_path))
+    return read_appends(spark, f"{counter.commit_path}/batch=*", COMMIT_SCHEMA, max_files_per_trigger)
+
+
+def new_rows(spark: SparkSession, records: DataFrame, counter: StateGroup, target: str, schema) -> DataFrame:
+    """The rows that a micro-batch of commit records stands for (as many ids as the trigger took files)."""
+    ids = sorted({r["batch_id"] for r in records.select("batch_id").collect()})
+    return committed_rows(spark, counter, target, schema, ids)
