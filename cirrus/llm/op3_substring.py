@@ -94,8 +94,8 @@ def repeated_anchors(found: DataFrame) -> DataFrame:
         F.xxhash64(F.element_at("c", i), F.when(i > 1, F.element_at("a", F.greatest(i - 1, F.lit(1)))).otherwise(0),
                    F.when(i < F.size("a"), F.element_at("a", F.least(i + 1, F.size("a")))).otherwise(0)).alias("sign")))).alias("x"))
     each = each.select("key", "x.a", "x.p", "x.sign")
-    twice = each.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sign").alias("lo"), F.max("sign").alias("hi")).where(
-        "n > 1").select("a", (F.col("lo") == F.col("hi")).alias("free"))
+    twice = stored(each.groupBy("a").agg(F.count(F.lit(1)).alias("n"), F.min("sign").alias("lo"), F.max("sign").alias("hi")).where(
+        "n > 1").select("a", (F.col("lo") == F.col("hi")).alias("free")), "substring_twice")
     return each.select("key", "a", "p").join(twice, "a").groupBy("key").agg(
         F.sort_array(F.collect_set(F.struct("p", "free"))).alias("ps")).select(
         "key", F.col("ps.p").alias("ps"), F.col("ps.free").alias("free"))
@@ -140,7 +140,9 @@ def repeated_spans(docs: DataFrame, width: int = 50, k: int = 0) -> DataFrame:
     found = stored(anchors(docs, width, k), "substring_anchors")
     wanted = stored(repeated_anchors(found), "substring_wanted")
     parts = stored(units(docs, wanted, width, k), "substring_units")
-    real = parts.groupBy("e").agg(F.count(F.lit(1)).alias("sources")).where("sources > 1").select("e")
+    # Stored first: a join of two plain shuffles, of which Spark splits the hot partitions.
+    real = stored(parts.groupBy("e").agg(F.count(F.lit(1)).alias("sources")).where("sources > 1").select("e"),
+                  "substring_real")
     return stored(parts.join(real, "e").groupBy("key").agg(F.collect_set(F.struct("s", "n")).alias("spans")),
                   "substring_spans")
 
