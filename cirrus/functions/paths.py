@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# (output column, JSON path, Spark type) of the curated location dimension.
+# Fixed values: (output column, JSON path, Spark type) of the curated location dimension.
 CITY_FIELDS = (
     ("city_id", "$.id", "bigint"),
     ("name", "$.name", "string"),

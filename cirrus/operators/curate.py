@@ -18,6 +18,7 @@ from cirrus.functions.scalars import (
 )
 from cirrus.sources.landing import LANDING_COLUMN
 
+# The columns of the curated fact.
 OBSERVATION_COLUMNS = (
     "city_id", "main", "description", "temperature", "feels_like", "temp_min",
     "temp_max", "pressure", "humidity", "visibility", "wind_speed", "wind_direction",

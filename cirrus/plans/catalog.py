@@ -75,15 +75,9 @@ def _parsed_docs(spark, sf) -> DataFrame:
     return landing.read_table(spark, _LANDINGS[key])
 
 
-WIND_CASE = """CASE
-    WHEN wind_deg >= 337.5 OR wind_deg < 22.5 THEN 'North'
-    WHEN wind_deg >= 22.5 AND wind_deg < 67.5 THEN 'North-East'
-    WHEN wind_deg >= 67.5 AND wind_deg < 112.5 THEN 'East'
-    WHEN wind_deg >= 112.5 AND wind_deg < 157.5 THEN 'South-East'
-    WHEN wind_deg >= 157.5 AND wind_deg < 202.5 THEN 'South'
-    WHEN wind_deg >= 202.5 AND wind_deg < 247.5 THEN 'South-West'
-    WHEN wind_deg >= 247.5 AND wind_deg < 292.5 THEN 'West'
-    WHEN wind_deg >= 292.5 AND wind_deg < 337.5 THEN 'North-West' END"""
+# The sector's number counts 45-degree steps from north, half a step early.
+WIND_CASE = ("['North', 'North-East', 'East', 'South-East', 'South', 'South-West', 'West', 'North-West']"
+             "[CAST(floor((wind_deg + 22.5) / 45) AS INTEGER) % 8 + 1]")
 
 # ============================================================================
 # Sources and sinks
