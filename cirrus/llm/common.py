@@ -6,6 +6,7 @@ or repeated ids neither lose nor multiply rows.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,3 +144,28 @@ def sample_of_texts(docs: DataFrame, n: int) -> DataFrame:
     cut = docs.select(digest.alias("h")).distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]
     chosen = docs.where(F.lit(False) if cut is None else digest <= cut)
     return chosen.select(digest.alias("h"), "text").groupBy("h").agg(F.min("text").alias("text"))
+
+
+ARROW = {"double": pa.float64(), "string": pa.string(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+
+
+def from_texts(docs: DataFrame, work, made: str, *keep: str) -> DataFrame:
+    """The columns ``keep`` of ``docs`` untouched, and the columns ``made`` ("name type, ..") that Python finds.
+
+    ``work()`` is called once in a task and returns a function from a list of texts to a tuple of columns. Kept columns
+    stay in Arrow: ids beside missing ones keep all their digits."""
+    fields = [f.split(" ") for f in made.split(", ")]
+    names = [*keep, *(n for n, _ in fields)]
+
+    def run(batches):
+        columns = work()
+        for batch in batches:
+            at = batch.schema.get_field_index
+            found = columns(batch.column(at("text")).to_pylist())
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(at(c)) for c in keep),
+                 *(pa.array(v, ARROW[t]) for v, (_, t) in zip(found, fields, strict=True))], names)
+
+    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes), made])
+    small_batches(docs.sparkSession)
+    return docs.select(*dict.fromkeys([*keep, "text"])).mapInArrow(run, schema)

@@ -24,10 +24,11 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import ALNUM_WORD, id_fold, lower_ascii, small_batches, table, words
+from cirrus.llm.common import ALNUM_WORD, from_texts, id_fold, lower_ascii, small_batches, table, words
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 TO_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -147,30 +148,27 @@ def _features(model: dict):
 
 def score(docs: DataFrame, model: dict, *keep: str) -> DataFrame:
     """The named columns of ``docs``, score and segments ("first-last" token numbers of significant passages)."""
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes) + ", score double, segments string"
+    def work():
+        def columns(texts):
+            found = [evidence(t.translate(TO_LOWER) if t else "", model) for t in texts]
+            return ([probability(x, y, model) for x, y, _ in found],
+                    [",".join(f"{a}-{b}" for a, b, *_ in s) for _, _, s in found])
+        return columns
 
-    def run(batches):
-        for batch in batches:
-            found = [evidence(t.translate(TO_LOWER) if t else "", model) for t in batch["text"]]
-            yield batch[list(keep)].assign(
-                score=[probability(x, y, model) for x, y, _ in found],
-                segments=[",".join(f"{a}-{b}" for a, b, *_ in s) for _, _, s in found])
-
-    small_batches(docs.sparkSession)
-    need = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*need).mapInPandas(run, schema)
+    return from_texts(docs, work, "score double, segments string", *keep)
 
 
 def clean(docs: DataFrame, model: dict, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score below the threshold, as they are."""
     def run(batches):
         for batch in batches:
-            low = [probability(*evidence(t.translate(TO_LOWER) if t else "", model)[:2], model) < threshold
-                   for t in batch["text"]]
-            yield batch[low]
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([
+                probability(*evidence(t.translate(TO_LOWER) if t else "", model)[:2], model) < threshold for t in texts],
+                pa.bool_()))
 
     small_batches(docs.sparkSession)
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def training(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:

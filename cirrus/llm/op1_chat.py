@@ -112,8 +112,7 @@ def _blocks(batches):
     """(conv_id, block of turns, is the conversation's last) of rows sorted by conversation and turn."""
     conv, block, size, any_ = None, [], 0, False
     for batch in batches:
-        ids = batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None)
-        for c, role, text in zip(ids, batch["role"], batch["text"], strict=True):
+        for c, role, text in zip(batch["conv_id"], batch["role"], batch["text"], strict=True):
             role, text = role or "", text or ""
             new = not any_ or c != conv
             if any_ and (new or size + len(text) > BLOCK):
@@ -129,8 +128,9 @@ def _blocks(batches):
 def _turns(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"),
                                 F.coalesce("text", F.lit("")).alias("text"))
+    # Ids travel as text: beside a missing one pandas would round whole numbers.
     return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select(
-        "conv_id", "role", "text")
+        F.col("conv_id").cast("string").alias("conv_id"), "role", "text")
 
 
 def summaries(conversations: DataFrame, path: str = TOKENIZER) -> DataFrame:
@@ -152,7 +152,8 @@ def summaries(conversations: DataFrame, path: str = TOKENIZER) -> DataFrame:
     kind = dict(conversations.dtypes)["conv_id"]
     names = [c.split(" ")[0] for c in SUMMARY.split(", ")]
     small_batches(conversations.sparkSession)
-    return _turns(conversations).mapInPandas(run, SUMMARY.format(kind))
+    return _turns(conversations).mapInPandas(run, SUMMARY.format("string")).withColumn(
+        "conv_id", F.col("conv_id").cast(kind))
 
 
 def formatted(conversations: DataFrame, path: str = TOKENIZER) -> DataFrame:
@@ -172,7 +173,8 @@ def formatted(conversations: DataFrame, path: str = TOKENIZER) -> DataFrame:
     kind = dict(conversations.dtypes)["conv_id"]
     small_batches(conversations.sparkSession)
     return _turns(conversations).mapInPandas(
-        run, f"conv_id {kind}, block int, rendered string, ids array<int>, loss array<tinyint>")
+        run, "conv_id string, block int, rendered string, ids array<int>, loss array<tinyint>").withColumn(
+        "conv_id", F.col("conv_id").cast(kind))
 
 
 def query(spark, sf_dir):

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,20 +99,29 @@ def describe(docs: DataFrame, sketcher: Sketcher, words: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            out = []
-            for hashes in batch["h"]:
-                items = shingle_set(np.asarray(hashes, np.int64).view(np.uint64), words)
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
+            flat, ends = np.asarray(column("h").flatten()).view(np.uint64), np.asarray(column("h").offsets)
+            size, node, keys, odd = [], [], [], []
+            for a, b in zip(ends[:-1] - ends[0], ends[1:] - ends[0], strict=True):
+                items = shingle_set(flat[a:b], words)
+                size.append(len(items))
                 if len(items):
-                    keys, odd = sketcher.sketch(sketcher.minima(items))
-                    node = mix(np.array([mix(items).sum(), len(items)], np.uint64)).sum()
-                    out.append((len(items), int(node.view(np.int64)), keys, odd))
+                    k, o = sketcher.sketch(sketcher.minima(items))
+                    name = mix(np.array([mix(items).sum(), len(items)], np.uint64)).sum()
+                    keys.append(k)
+                    odd.append(o)
+                    node.append(int(name.view(np.int64)))
                 else:
-                    out.append((0, None, None, None))
-            made = pd.DataFrame(out, columns=["n_shingles", "node", "keys", "odd"]).astype({"node": "Int64"})
-            yield pd.concat([batch[["doc_id", "_th"]].reset_index(drop=True), made], axis=1)
+                    keys.append(None)
+                    odd.append(None)
+                    node.append(None)
+            lists = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [column("doc_id"), column("_th"), pa.array(size, pa.int64()), pa.array(node, pa.int64()),
+                 pa.array(keys, lists), pa.array(odd, lists)], ["doc_id", "_th", "n_shingles", "node", "keys", "odd"])
 
     small_batches(docs.sparkSession)
-    return _hashed(docs).mapInPandas(
+    return _hashed(docs).mapInArrow(
         run, f"doc_id {kind}, _th long, n_shingles long, node long, keys array<long>, odd array<long>")
 
 

@@ -23,6 +23,7 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -155,8 +156,9 @@ def dedup(docs: DataFrame, width: int = 50, k: int = 0) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            column = lambda name: batch.column(batch.schema.get_field_index(name))
             out = []
-            for doc_id, text, spans in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
+            for text, spans in zip(column("text").to_pylist(), column("spans").to_pylist(), strict=True):
                 words = WORD.findall(text or "")
                 total = len(words)
                 if spans is not None:
@@ -166,10 +168,13 @@ def dedup(docs: DataFrame, width: int = 50, k: int = 0) -> DataFrame:
                         gone[x["s"] + x["n"] + width - 1] -= 1
                     words = [words[i] for i in np.flatnonzero(np.cumsum(gone)[:-1] == 0)]
                 kept = " ".join(words)
-                out.append((doc_id, total, total - len(words), kept, hashlib.sha256(kept.encode("utf-8", "replace")).hexdigest()))
-            yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
+                out.append((total, total - len(words), kept, hashlib.sha256(kept.encode("utf-8", "replace")).hexdigest()))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [column("doc_id"), *(pa.array([r[i] for r in out], t) for i, t in enumerate(kinds))],
+                ["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    return docs.join(spans, "key", "left").select("doc_id", "text", "spans").mapInPandas(
+    return docs.join(spans, "key", "left").select("doc_id", "text", "spans").mapInArrow(
         run, f"doc_id {kind}, n_words long, n_removed long, kept string, kept_sha256 string")
 
 

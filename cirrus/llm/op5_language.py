@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import id_fold, small_batches, table
+from cirrus.llm.common import from_texts, id_fold, table
 
 #: Bytes compressed at a time; a block is small enough that the dictionary matters, large enough to be quick.
 BLOCK = 4096
@@ -82,20 +82,17 @@ class Sizes:
 
 def classify(docs: DataFrame, dictionaries: dict[str, bytes], *keep: str, reject: float = 0.01) -> DataFrame:
     """The named columns of ``docs``, nearest (smallest language), lang_pred (und where rejected), score, rejected."""
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes) + (
-        ", nearest string, lang_pred string, score double, rejected boolean")
-
-    def run(batches):
+    def work():
         sizes = Sizes(dictionaries)
-        for batch in batches:
-            got = [sizes.answer(t) for t in batch["text"]]
+
+        def columns(texts):
+            got = [sizes.answer(t) for t in texts]
             low = [g[2] < reject for g in got]
-            yield batch[list(keep)].assign(nearest=[g[0] for g in got], score=[g[1] for g in got], rejected=low,
-                                           lang_pred=["und" if r else g[0] for g, r in zip(got, low, strict=True)])
+            return ([g[0] for g in got], ["und" if r else g[0] for g, r in zip(got, low, strict=True)],
+                    [g[1] for g in got], low)
+        return columns
 
-    small_batches(docs.sparkSession)
-    need = list(dict.fromkeys([*keep, "text"]))
-    return docs.select(*need).mapInPandas(run, schema)
+    return from_texts(docs, work, "nearest string, lang_pred string, score double, rejected boolean", *keep)
 
 
 def query(spark, sf_dir):

@@ -18,11 +18,12 @@ import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cirrus.llm.bilstm_crf import Model, classes_of
-from cirrus.llm.common import sample_of_texts, small_batches, table
+from cirrus.llm.common import from_texts, sample_of_texts, small_batches, table
 
 #: Fixed order of the kinds.
 KINDS = ("email", "ip", "card", "phone")
@@ -236,34 +237,29 @@ def joined(spans) -> str:
 
 def find(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     """The named columns of ``docs``, n_email .. n_phone (base spans), base, spans (as text) and n_added."""
-    schema = ", ".join(f"`{c}` {t}" for c, t in docs.select(*keep).dtypes) + ", " + ", ".join(
-        f"n_{k} long" for k in KINDS) + ", base string, spans string, n_added long"
+    def work():
+        def columns(texts):
+            base, every = all_spans([t or "" for t in texts], model)
+            return (*([sum(s[0] == i for s in b) for b in base] for i in range(len(KINDS))), [*map(joined, base)],
+                    [*map(joined, every)], [len(e) - len(b) for b, e in zip(base, every, strict=True)])
+        return columns
 
-    def run(batches):
-        for batch in batches:
-            base, every = all_spans([t or "" for t in batch["text"]], model)
-            out = batch[list(keep)].assign(base=[*map(joined, base)], spans=[*map(joined, every)],
-                                           n_added=[len(e) - len(b) for b, e in zip(base, every, strict=True)])
-            for i, k in enumerate(KINDS):
-                out["n_" + k] = [sum(s[0] == i for s in b) for b in base]
-            yield out
-
-    small_batches(docs.sparkSession)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(run, schema)
+    made = ", ".join(f"n_{k} long" for k in KINDS) + ", base string, spans string, n_added long"
+    return from_texts(docs, work, made, *keep)
 
 
 def redact(docs: DataFrame, model: Model | None) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets, e.g. ``[EMAIL]``; all other columns stay."""
-    names = docs.columns
-
     def run(batches):
         for batch in batches:
-            _, every = all_spans([t or "" for t in batch["text"]], model)
-            batch["text"] = [_masked(t, spans) if t else t for t, spans in zip(batch["text"], every, strict=True)]
-            yield batch[names]
+            at = batch.schema.get_field_index("text")
+            texts = batch.column(at).to_pylist()
+            _, every = all_spans([t or "" for t in texts], model)
+            clean = [_masked(t, spans) if t else t for t, spans in zip(texts, every, strict=True)]
+            yield batch.set_column(at, batch.schema.field(at), pa.array(clean, batch.column(at).type))
 
     small_batches(docs.sparkSession)
-    return docs.mapInPandas(run, docs.schema)
+    return docs.mapInArrow(run, docs.schema)
 
 
 def _masked(text: str, spans) -> str:

@@ -28,7 +28,7 @@ def odd_docs(spark):
         (4, "", "de", "b", 0), (None, "no id but text here", "de", None, 3), (None, None, None, None, None),
         (5, " \t\n", "fr", "a", 3), (6, long_text, "fr", "a", 9), (7, "x" * 200000, "en", "c", 9), (8, "one", "en", "c", 3),
         (9, "Mail me: jo@x.example.com, +1 (980) 555-6268 or 10.1.2.3 idiot 4111 1111 1111 1111", "en", "b", 5),
-        (10, "ñandú \U0001F600 été", "es", "b", 6)]
+        (9007199254740993, "large id", "es", "b", 7), (10, "ñandú \U0001F600 été", "es", "b", 6)]
     return spark.createDataFrame(data, DOCS)
 
 
