@@ -136,6 +136,11 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return _hashed(texts).mapInPandas(run, "node long, items array<long>").dropDuplicates(["node"])
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(node): every node of the pairs (u, v)."""
+    return pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+
+
 def _renamed(df: DataFrame, end: str) -> DataFrame:
     return df.select(*(F.col(c).alias(c + end) for c in df.columns))
 
@@ -166,8 +171,16 @@ class Links:
         """Make the full sets of these nodes (node) available, those that are not there yet."""
         if self.sets is not None:
             nodes = nodes.join(self.sets.select("node"), "node", "left_anti")
-        wanted = stored(self.nodes.select("node", "rep_id", "rep_th").join(nodes, "node"), "near_wanted")
-        more = stored(_sets(self.docs, wanted, self.words), "near_sets")
+        wanted = stored(self.nodes.select("node", "rep_id", "rep_th", "n").join(nodes, "node"), "near_wanted")
+        # While few nodes are wanted, a Bloom filter of them (built by Spark, up to its size limit) keeps the other
+        # texts out of the shuffle.
+        spark, name = self.docs.sparkSession, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
+        before = spark.conf.get(name)
+        try:
+            spark.conf.set(name, "0")
+            more = stored(_sets(self.docs, wanted.where("n > 0"), self.words), "near_sets")
+        finally:
+            spark.conf.set(name, before)
         self.sets = more if self.sets is None else self.sets.union(more)
 
     def compare(self, pairs: DataFrame) -> DataFrame:
@@ -199,7 +212,7 @@ class Links:
     def estimated(self, pairs: DataFrame) -> DataFrame:
         """The pairs (u, v) that may meet the threshold by size and odd sketch."""
         sketch = self.described.where("n_shingles > 0").select("node", "odd").join(
-            pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "node").groupBy("node").agg(
+            _ends(pairs), "node").groupBy("node").agg(
             F.first("odd").alias("odd"))
         sketch = stored(sketch, "near_sketches")
         side = lambda c: _renamed(sketch, f"_{c}")
@@ -214,7 +227,7 @@ class Links:
         lead = F.min("rank").over(Window.partitionBy("key"))
         pairs = stored(members.withColumn("lead", lead).where("lead.i <> node").select(
             F.col("lead.i").alias("u"), F.col("node").alias("v")).distinct(), "near_star")
-        self.want(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+        self.want(_ends(pairs))
         compared = stored(self.compare(pairs), name)
         self.add(compared.where(self.meets()).select("u", "v"))
         return compared
@@ -258,7 +271,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, bands: i
             found.star(left, "near_second")
             pairs = stored(found.rest(first), "near_rest")
             pairs = stored(found.estimated(pairs), "near_estimated")
-            found.want(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct())
+            found.want(_ends(pairs))
             found.add(stored(found.compare(pairs).where(found.meets()).select("u", "v"), "near_last"))
 
     named = found.labelled(found.nodes, "node", "component")
