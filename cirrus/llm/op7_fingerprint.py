@@ -68,8 +68,8 @@ def differing(pairs: DataFrame) -> DataFrame:
         load = 16 / 4**level
         groups = f"greatest(1, cast(ceil((size(a) + size(b)) / {load}) as int))"
         pick = lambda c: f"filter({c}, d -> pmod(shiftright(d, 7), n) = g)"
-        rows = part.withColumn("n", F.expr(groups)).withColumn("row", F.xxhash64(*ids)).select(
-            *ids, "row", F.explode(F.expr(
+        rows = part.withColumn("n", F.expr(groups)).select(
+            *ids, F.explode(F.expr(
                 f"IF(n = 1, array(named_struct('a', a, 'b', b)), transform(sequence(0, n - 1), "
                 f"g -> named_struct('a', {pick('a')}, 'b', {pick('b')})))")).alias("v"))
         table_of = lambda c: cells(f"v.{c}", level)
