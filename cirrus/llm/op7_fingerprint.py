@@ -1,13 +1,16 @@
 """Document fingerprints by invertible Bloom lookup tables over paragraph digests.
 
-Only DataFrame operations. A text's paragraphs (lines, cut after every ``PIECE`` words) have 64-bit digests. A table has
-24 cells in three parts of eight; a digest enters one cell of each part, adding to its count and XORing its key and
-check fields. The fingerprint is the table of all digests, written as text.
-
-Two versions are compared by subtracting their cells and peeling: a cell with count +1 or -1 whose check fits its key
-gives up one differing digest, which is taken out of its other cells, until nothing is left. The number of recovered
-digests d gives the likeness (|A| + |B| - d) / (|A| + |B| + d). Larger differences need larger tables: the digests are
-dealt by hash over groups of 24 cells each, and a pair that does not peel empty is retried with four times the groups.
+Only DataFrame operations. A text's paragraphs (lines, cut after every ``PIECE`` words) have 64-bit digests. They are
+dealt by hash over groups of 24 cells, as many groups as the least power of two with at most ``LOAD`` digests a group on
+average. A group's cells are in three parts of eight; a digest enters one cell of each part, adding to its count and
+XORing its key and check fields. The fingerprint is all these cells, group by group, written as text. A digest's cell in
+its group does not depend on the number of groups, so a table folds to half the groups by adding the two halves' cells.
+
+Two versions are compared by their fingerprints' cells: the larger table is folded to the groups of the smaller, the
+cells are subtracted and peeled: a cell with count +1 or -1 whose check fits its key gives up one differing digest,
+which is taken out of its other cells, until nothing is left. The number of recovered digests d gives the likeness
+(|A| + |B| - d) / (|A| + |B| + d). Only for a pair that does not peel empty are larger tables built, with groups by the
+digests of both, and four times the groups at each further failure.
 
 Results for odd input: null text is empty; an empty text has an empty table, and two empty ones are alike (1.0); the
 next document of the last in descending order is the first, a single document is its own next; documents with equal
@@ -24,6 +27,8 @@ from cirrus.llm.common import ranged, stored, table
 PIECE = 24
 PIECES = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,%d}" % PIECE
 PART, CELLS = 8, 24
+#: Digests of a document for each group of cells.
+LOAD = 8
 EMPTY = "named_struct('c', 0L, 'k', 0L, 'x', 0L)"
 
 
@@ -35,9 +40,44 @@ def digests(text: Column) -> Column:
 
 def cells(keys: str, seed: int = 0) -> str:
     """SQL: the 24 cells of an array of digests."""
-    cell = f"pmod(shiftright(xxhash64(d, {seed}), 8 * (i div {PART})), {PART})"
-    return (f"transform(sequence(0, {CELLS - 1}), i -> aggregate(filter({keys}, d -> {cell} = i % {PART}), {EMPTY}, "
-            f"(s, d) -> named_struct('c', s.c + 1, 'k', s.k ^ d, 'x', s.x ^ xxhash64(d, {seed}, 'check'))))")
+    hashed = (f"transform({keys}, d -> named_struct('k', d, 'h', xxhash64(d, {seed}), "
+              f"'x', xxhash64(d, {seed}, 'check')))")
+    mine = f"filter(w, y -> pmod(shiftright(y.h, 8 * (i div {PART})), {PART}) = i % {PART})"
+    return (f"transform(array({hashed}), w -> transform(sequence(0, {CELLS - 1}), i -> aggregate({mine}, {EMPTY}, "
+            f"(s, y) -> named_struct('c', s.c + 1, 'k', s.k ^ y.k, 'x', s.x ^ y.x))))[0]")
+
+
+def dealt(keys: str, n: str) -> str:
+    """SQL: an array of digests dealt over ``n`` groups. Sorted with a mark ahead of each group, so that the work does
+    not grow with the groups times the digests."""
+    marked = (f"sort_array(concat(transform({keys}, d -> named_struct('g', cast(pmod(shiftright(d, 7), {n}) as int), "
+              f"'e', 1, 'd', d)), transform(sequence(0, {n}), g -> named_struct('g', g, 'e', 0, 'd', 0L))))")
+    marks = "filter(transform(v, (y, i) -> IF(y.e = 0, i, -1)), i -> i >= 0)"
+    return (f"IF({n} = 1, array({keys}), transform(array({marked}), v -> transform(array({marks}), m -> transform("
+            f"sequence(0, size(m) - 2), g -> transform(slice(v, m[g] + 2, m[g + 1] - m[g] - 1), y -> y.d)))[0])[0])")
+
+
+def cell_table(keys: str) -> str:
+    """SQL: the cells of all groups of a document's digests, group by group."""
+    n = f"transform(array({keys}), k -> cast(pow(2, ceil(log2(greatest(size(k), {LOAD}) / {LOAD}D))) as int))[0]"
+    return f"flatten(transform(transform(array({n}), n -> {dealt(keys, 'n')})[0], u -> {cells('u')}))"
+
+
+def folded(t: str, size: str) -> str:
+    """SQL: a table folded to ``size`` cells."""
+    return (f"IF(size({t}) = {size}, {t}, transform(sequence(0, {size} - 1), j -> aggregate(sequence(j, size({t}) - 1, "
+            f"{size}), {EMPTY}, (s, i) -> named_struct('c', s.c + {t}[i].c, 'k', s.k ^ {t}[i].k, 'x', s.x ^ {t}[i].x))))")
+
+
+LESS = "(p, q) -> named_struct('c', p.c - q.c, 'k', p.k ^ q.k, 'x', p.x ^ q.x)"
+
+
+def difference(t: str, u: str) -> str:
+    """SQL: the number of digests that two tables (columns or lambda variables) differ in, null if they do not peel."""
+    less = f"zip_with({folded(t, 'm')}, {folded(u, 'm')}, {LESS})"
+    group = f"transform(array(slice(l, g * {CELLS} + 1, {CELLS})), z -> {peeled(0)})[0]"
+    return (f"transform(transform(array(least(size({t}), size({u}))), m -> {less}), l -> aggregate(sequence(0, size(l) div "
+            f"{CELLS} - 1), 0, (h, g) -> IF(h IS NULL, h, h + {group})))[0]")
 
 
 def peeled(seed: int) -> str:
@@ -47,34 +87,32 @@ def peeled(seed: int) -> str:
     cell = f"pmod(shiftright(xxhash64(q.k, {seed}), 8 * (j div {PART})), {PART})"
     taken = (f"transform(s.t, (y, j) -> aggregate(filter(p, q -> {cell} = j % {PART}), y, (o, q) -> named_struct("
              f"'c', o.c - q.c, 'k', o.k ^ q.k, 'x', o.x ^ xxhash64(q.k, {seed}, 'check'))))")
-    step = (f"transform(array({found}), p -> IF(size(p) = 0, s, "
-            f"named_struct('t', {taken}, 'n', s.n + size(p))))[0]")
+    step = (f"transform(array({found}), p -> IF(size(p) = 0, named_struct('t', s.t, 'n', s.n, 'f', true), "
+            f"named_struct('t', {taken}, 'n', s.n + size(p), 'f', false)))[0]")
     empty = "forall(s.t, y -> y.c = 0 AND y.k = 0 AND y.x = 0)"
-    return (f"aggregate(sequence(1, {CELLS}), named_struct('t', z, 'n', 0), "
-            f"(s, r) -> IF({empty}, s, {step}), s -> IF({empty}, s.n, CAST(NULL AS INT)))")
+    return (f"aggregate(sequence(1, {CELLS}), named_struct('t', z, 'n', 0, 'f', false), "
+            f"(s, r) -> IF(s.f, s, {step}), s -> IF({empty}, s.n, CAST(NULL AS INT)))")
 
 
 def written(keys: str) -> Column:
     """A table as text: count, key and check of each cell in hexadecimal digits."""
-    return F.expr(f"array_join(transform({cells(keys)}, y -> concat(lower(hex(y.c)), '.', lower(hex(y.k)), '.', "
+    return F.expr(f"array_join(transform({cell_table(keys)}, y -> concat(lower(hex(y.c)), '.', lower(hex(y.k)), '.', "
                   "lower(hex(y.x)))), ':')")
 
 
 def differing(pairs: DataFrame) -> DataFrame:
-    """pairs (id columns.., a, b: digests) with d, the size of the symmetric difference, recovered by peeling."""
+    """pairs (id columns.., a, b: digests) with d, the size of the symmetric difference, recovered by peeling.
+
+    For pairs whose own tables did not peel: the groups are as many as both together need."""
     ids = [c for c in pairs.columns if c not in ("a", "b")]
-    part, done, level = pairs, None, 0
+    part, done, level = pairs, None, 1
     while True:
         load = 16 / 4**level
         groups = f"greatest(1, cast(ceil((size(a) + size(b)) / {load}) as int))"
-        pick = lambda c: f"filter({c}, d -> pmod(shiftright(d, 7), n) = g)"
         rows = part.withColumn("n", F.expr(groups)).select(
-            *ids, F.explode(F.expr(
-                f"IF(n = 1, array(named_struct('a', a, 'b', b)), transform(sequence(0, n - 1), "
-                f"g -> named_struct('a', {pick('a')}, 'b', {pick('b')})))")).alias("v"))
-        table_of = lambda c: cells(f"v.{c}", level)
-        less = (f"zip_with({table_of('a')}, {table_of('b')}, (p, q) -> named_struct("
-                "'c', p.c - q.c, 'k', p.k ^ q.k, 'x', p.x ^ q.x))")
+            *ids, F.explode(F.expr(f"zip_with({dealt('a', 'n')}, {dealt('b', 'n')}, (p, q) -> named_struct('a', p, 'b', q))"))
+            .alias("v"))
+        less = f"zip_with({cells('v.a', level)}, {cells('v.b', level)}, {LESS})"
         got = rows.select(*ids, F.expr(f"transform(array({less}), z -> {peeled(level)})[0]").alias("d")).groupBy(
             *ids).agg(F.sum("d").alias("d"), F.count_if(F.col("d").isNull()).alias("stuck"))
         got = stored(got, "fingerprint_level")
@@ -134,11 +172,22 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, n_chars, edited_sha256, the two fingerprints, near_edited, near_next."""
     made = stored(edited(docs), "fingerprint_made")
     once = made.dropDuplicates(["doc_id", "_th"]) if _repeated(made) else made
-    pairs = once.select("doc_id", "_th", F.explode(F.array(
-        F.struct(F.lit("edited").alias("kind"), F.col("a"), F.col("e").alias("b")),
-        F.struct(F.lit("next").alias("kind"), F.col("a"), F.col("x").alias("b")))).alias("v")).select(
-        "doc_id", "_th", "v.kind", "v.a", "v.b")
-    found = differing(pairs).groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
+    # By the documents' own tables; a is compared twice.
+    own = once.select("doc_id", "_th", F.expr(
+        f"transform(array({cell_table('a')}), t -> named_struct("
+        f"'edited', transform(array({cell_table('e')}), u -> {difference('t', 'u')})[0], "
+        f"'next', transform(array({cell_table('x')}), u -> {difference('t', 'u')})[0]))[0]").alias("v")).select(
+        "doc_id", "_th", F.explode(F.create_map(
+            F.lit("edited"), F.col("v.edited"), F.lit("next"), F.col("v.next"))).alias("kind", "d"))
+    own = stored(own, "fingerprint_own")
+    found, left = own.where("d IS NOT NULL"), own.where("d IS NULL")
+    if not left.isEmpty():
+        left = left.groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(F.collect_list("kind").alias("kinds"))
+        pairs = once.join(left, F.expr("doc_id <=> _d AND _th = _t")).select(
+            "doc_id", "_th", F.explode("kinds").alias("kind"), "a", "e", "x").select(
+            "doc_id", "_th", "kind", "a", F.expr("IF(kind = 'edited', e, x)").alias("b"))
+        found = found.union(differing(pairs).select("doc_id", "_th", "kind", "d"))
+    found = found.groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
         *(F.max(F.when(F.col("kind") == k, F.col("d"))).alias(f"d_{k}") for k in ("edited", "next")))
 
     def near(other: str, d: str) -> Column:

@@ -39,3 +39,22 @@ def test_odd_rows(spark, odd_docs, no_docs):
     one = P.fingerprints(odd_docs.where("doc_id = 2")).first()
     assert one["near_next"] == 1.0
     assert P.fingerprints(no_docs).count() == 0
+
+
+def test_returned_fingerprints_give_the_likeness(spark):
+    rng = random.Random(5)
+    data = [(i, "\n".join(f"line {k} {rng.randrange(10**6)} {i}" for k in range(n))) for i, n in enumerate([1, 40, 41, 300, 2000])]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    cell = "array<struct<c: long, k: long, x: long>>"
+    signed = lambda h: int(h, 16) - (int(h, 16) >> 63 << 64)
+    table = lambda t: [tuple(map(signed, c.split("."))) for c in t.split(":")]
+    # Versions of one text that differ in 6 lines, compared by the returned text only.
+    other = spark.createDataFrame([(i, "\n".join([f"new {k} {i}" for k in range(3)] + t.split("\n")[3:]))
+                                   for i, t in data], "doc_id long, text string")
+    a, b = ({r["doc_id"]: table(r["fingerprint"]) for r in P.fingerprints(d).collect()} for d in (df, other))
+    for i, t in data:
+        mine = len(t.split("\n"))
+        assert sum(c for c, _, _ in a[i]) == 3 * mine and len(a[i]) >= P.CELLS * mine / P.LOAD
+    got = spark.createDataFrame([(i, a[i], b[i]) for i in a], f"i long, t {cell}, u {cell}").selectExpr(
+        "i", f"{P.difference('t', 'u')} AS d", f"{P.difference('t', 'transform(t, y -> y)')} AS same").collect()
+    assert {r["i"]: r["d"] for r in got} == {i: 4 if i == 0 else 6 for i in a} and all(r["same"] == 0 for r in got)
