@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity
+from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity, op11_fill
 
 QUERIES = {
     "op1_chat": op1_chat.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_score": op8_score.query,
     "op9_pii": op9_pii.query,
     "op10_toxicity": op10_toxicity.query,
+    "op11_fill": op11_fill.query,
 }
 
 ORACLE_SQL = {
@@ -23,4 +24,5 @@ ORACLE_SQL = {
     "op3_substring": op3_substring.ORACLE,
     "op4_decontaminate": op4_decontaminate.ORACLE,
     "op6_mix": op6_mix.ORACLE,
+    "op11_fill": op11_fill.ORACLE,
 }
