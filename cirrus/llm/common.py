@@ -102,6 +102,36 @@ def with_rank(df: DataFrame, name: str, *order: Column) -> DataFrame:
         "_rank", F.col("_before") + F.col("_i")).drop("_part", "_i", "_before")
 
 
+def sorted_rows(df: DataFrame, name: str, order: list[str], *keep: Column | str) -> DataFrame:
+    """The columns ``keep`` of the rows in range partitions by ``order``, sorted, stored, each with its partition ``_part``
+    and position ``_pos`` in it. Both are written with the rows, and only one shuffle moves them."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    at = stored(rows.select(*keep, F.monotonically_increasing_id().alias("_at")), name)
+    return at.withColumn("_part", F.shiftright("_at", 33)).withColumn(
+        "_pos", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at")
+
+
+def numbered(df: DataFrame, name: str, order: list[str], *keep: Column | str) -> DataFrame:
+    """The columns ``keep`` and ``_rank`` (0, 1, ..) in the given total order: positions and the partitions' counts."""
+    rows = sorted_rows(df, name, order, *keep)
+    offsets = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+    return rows.join(offsets, "_part").withColumn("_rank", F.col("_before") + F.col("_pos")).drop("_part", "_pos", "_before")
+
+
+def spans(rows: DataFrame, *groups: str) -> DataFrame:
+    """For rows of ``sorted_rows`` by ``groups`` first: one row for each group and partition that holds some of it, with
+    ``_lo`` (the first position there), ``_before`` (the group's rows in earlier partitions) and ``_total`` (all its rows).
+
+    A row's index in its group is ``_before + _pos - _lo``, joined by group and partition: a group of any size meets in no
+    task, for a key's rows are those of one partition. Groups are never null."""
+    group = Window.partitionBy(*groups)
+    here = rows.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_lo"))
+    return here.select(*groups, "_part", "_lo", F.sum("_n").over(group).alias("_total"),
+                       (F.sum("_n").over(group.orderBy("_part")) - F.col("_n")).alias("_before"))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of edges (u, v): one row (node, component) for each node, component the smallest node.
 

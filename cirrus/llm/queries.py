@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity, op11_fill
+from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity, op11_fill, op12_trie
 
 QUERIES = {
     "op1_chat": op1_chat.query,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_pii": op9_pii.query,
     "op10_toxicity": op10_toxicity.query,
     "op11_fill": op11_fill.query,
+    "op12_trie": op12_trie.query,
 }
 
 ORACLE_SQL = {
@@ -25,4 +26,5 @@ ORACLE_SQL = {
     "op4_decontaminate": op4_decontaminate.ORACLE,
     "op6_mix": op6_mix.ORACLE,
     "op11_fill": op11_fill.ORACLE,
+    "op12_trie": op12_trie.ORACLE,
 }
