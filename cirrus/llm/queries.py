@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity, op11_fill, op12_trie
+from cirrus.llm import op1_chat, op2_near, op3_substring, op4_decontaminate, op5_language, op6_mix, op7_fingerprint, op8_score, op9_pii, op10_toxicity, op11_fill, op12_trie, op13_shard
 
 QUERIES = {
     "op1_chat": op1_chat.query,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity.query,
     "op11_fill": op11_fill.query,
     "op12_trie": op12_trie.query,
+    "op13_shard": op13_shard.query,
 }
 
 ORACLE_SQL = {
