@@ -17,18 +17,52 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def numbered(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Numbers of the finished sub-folders ``<prefix>=<n>`` (those that hold a data file), ascending."""
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, without hidden ones; none if there is no folder."""
     fs, p = _fs(spark, path)
+    found = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+    return sorted(n for n in found if not n.startswith((".", "_")))
+
+
+def make(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+    return path
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder in one step, to a name that is free."""
+    fs, p = _fs(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small new file, visible under its name once it is whole."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p.getParent())
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f"_{p.getName()}")
+    out = fs.create(hidden, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.rename(hidden, p)
+
+
+def numbered(spark: SparkSession, path: str, prefix: str, known: set[int] | None = None) -> list[int]:
+    """Numbers of the finished sub-folders ``<prefix>=<n>``, ascending: those whose job has left its success marker, which
+    it writes after its last file. One listing, and a look into each folder that is not in ``known``, which takes in the
+    finished ones (they never change)."""
+    fs, p = _fs(spark, path)
+    marker = spark._jvm.org.apache.hadoop.fs.Path
     if not fs.exists(p):
         return []
-    found = []
-    for s in fs.listStatus(p):
-        name = s.getPath().getName()
-        if name.startswith(prefix + "=") and any(
-                x.getPath().getName().startswith("part-") for x in fs.listStatus(s.getPath())):
-            found.append(int(name.split("=", 1)[1]))
-    return sorted(found)
+    known = set() if known is None else known
+    found = [int(n.split("=", 1)[1]) for n in (s.getPath().getName() for s in fs.listStatus(p)) if n.startswith(prefix + "=")]
+    known.intersection_update(found)
+    known.update(i for i in found if i not in known and fs.exists(marker(p, f"{prefix}={i}/_SUCCESS")))
+    return sorted(known)
 
 
 def delete_older(spark: SparkSession, path: str, seconds: float) -> bool:

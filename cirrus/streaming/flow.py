@@ -7,7 +7,7 @@
     landing --(foreachBatch upsert by name)--> curated_city (+ id->name bridge)
         and, in the same commit, curated_city's INSERT/UPDATE rows of that
         batch (snapshot diff of old vs new version) --> consumption_city
-    curated_weather --(its commit records, a stream and trigger for each)--> answer states
+    curated_weather --(a streaming aggregation and trigger for each)--> answer tables in Spark's state store
 
 ``run_once`` drains every layer in order with ``availableNow`` -- the same
 ordering the staggered schedules of the original jobs aim at, but explicit.
@@ -33,6 +33,8 @@ from cirrus.operators.joins import scalar_lookup
 from cirrus.schemas import CONSUMPTION, CURATED_WEATHER
 from cirrus.sources.landing import LANDING_COLUMN
 from cirrus.streaming import jobs
+from cirrus.streaming.history import RunHistory
+from cirrus.streaming.native import NativeTable
 
 CURATED_WEATHER_STREAM = T.StructType(CURATED_WEATHER.fields + [T.StructField("obs_date", T.DateType())])
 KEYED_WEATHER = T.StructType([T.StructField("weather_id", T.LongType())] + CURATED_WEATHER_STREAM.fields)
@@ -79,25 +81,28 @@ class ObservationFlow:
             spark, p("curated_zone/states"),
             {**{j.name: j.schema for j in self.city_jobs}, "consumption_city": H.CITY_DELTA.format("string")},
             combine={**{j.name: j.combine for j in self.city_jobs}, "consumption_city": H.combine_city})
-        job = lambda name, schema, partial, combine: jobs.MergeJob(
-            name, schema, partial=partial, combine=combine)
-        self.consumers = [
-            job("distinct_weather_conditions", H.distinct_conditions_state(), H.partial_distinct_conditions,
-                H.combine_distinct_conditions),
-            job("weather_conditions_rank_per_city", H.FREQUENCY_STATE, H.partial_condition_frequency,
-                H.combine_condition_frequency),
-            job("avg_temp_per_city", H.AVG_STATE, H.partial_avg_exact, H.combine_avg_exact),
-            job("avg_temp_halving", H.HALVING_DELTA, lambda b: H.halving_partials(b, order=HALVING_ORDER),
-                H.combine_avg_halving),
-            job("max_abs_temp", H.max_state("max_abs_temperature"), H.partial_running_max, H.combine_running_max),
-            job("city_with_strongest_wind", H.max_state("max_wind_speed"),
-                lambda b: H.partial_running_max(b, "wind_speed", "max_wind_speed"),
-                lambda d: H.combine_running_max(d, "max_wind_speed")),
-            job("max_daily_temp_variation", H.DAILY_STATE, H.partial_daily_extremes, H.combine_daily_extremes),
-        ]
-        # One group, stream and trigger for each table: a rule that fails stops its own table only.
-        self.consumption = {j.name: jobs.state_group(spark, p(f"consumption_zone/states/{j.name}"), [j])
-                            for j in self.consumers}
+        self.halving = jobs.MergeJob("avg_temp_halving", H.HALVING_DELTA, combine=H.combine_avg_halving,
+                                     partial=lambda b: H.halving_partials(b, order=HALVING_ORDER))
+        # One query, state and trigger for each table: a rule that fails stops its own table only.
+        table = lambda name, *how: NativeTable(spark, self.checkpoint(f"consumption_{name}"), *how)
+        self.consumption = {
+            "distinct_weather_conditions": table(
+                "distinct_weather_conditions", lambda s: s.groupBy("main").count(), "main string", "n bigint",
+                lambda rows: H.combine_distinct_conditions(H.partial_distinct_conditions(rows))),
+            "weather_conditions_rank_per_city": table(
+                "weather_conditions_rank_per_city", H.partial_condition_frequency,
+                "city_id bigint, weather_condition string", "frequency bigint"),
+            "avg_temp_per_city": table("avg_temp_per_city", H.partial_avg_exact, "city_id bigint",
+                                       "sum_temperature double, count_temperature bigint"),
+            "avg_temp_halving": jobs.state_group(spark, p("consumption_zone/states/avg_temp_halving"), [self.halving]),
+            "max_abs_temp": table("max_abs_temp", H.partial_running_max, "city_id bigint", "max_abs_temperature double"),
+            "city_with_strongest_wind": table(
+                "city_with_strongest_wind", lambda s: H.partial_running_max(s, "wind_speed", "max_wind_speed"),
+                "city_id bigint", "max_wind_speed double"),
+            "max_daily_temp_variation": table("max_daily_temp_variation", H.partial_daily_extremes,
+                                              "city_id bigint, date date", "hi double, lo double"),
+        }
+        self.runs = RunHistory(spark, self.root, p("_runs"))
 
     def path(self, rel: str) -> str:
         return f"{self.root}/{rel}"
@@ -125,23 +130,38 @@ class ObservationFlow:
 
     # -- scheduling -----------------------------------------------------------------
     def _layers(self, cadence: dict[str, str | None]):
-        spark = self.spark
-        return [
-            lambda: jobs.ingest_json(spark, self.source_dir, self.landing, self.checkpoint("landing"),
-                                     self.one_document_per_file, self.max_files, cadence["landing"]),
-            lambda: jobs.keyed_append(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files),
-                                      self.id_counter, self.curated_weather, self.checkpoint("curated_weather"),
-                                      cadence["curated_weather"], self._curate_weather),
-            lambda: jobs.consume(spark, jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files), self.curated,
-                                 self.city_jobs, self.checkpoint("curated_city"),
-                                 cadence["curated_city"], derive=self._consumption_city),
-            *(self._consumer(job, cadence[job.name]) for job in self.consumers),
-        ]
-
-    def _consumer(self, job: jobs.MergeJob, trigger: str | None):
-        return lambda: jobs.consume(
-            self.spark, jobs.read_commits(self.spark, self.id_counter, self.max_files), self.consumption[job.name], [job],
-            self.checkpoint(f"consumption_{job.name}"), trigger, rows=self.new_observations)
+        spark, name = self.spark, self.runs.name
+        landing = lambda: jobs.read_appends(spark, self.landing, jobs.LANDING_SCHEMA, self.max_files)
+        layers = {
+            "landing": lambda: jobs.ingest_json(
+                spark, self.source_dir, self.landing, self.checkpoint("landing"), self.one_document_per_file, self.max_files,
+                cadence["landing"], name=name("landing")),
+            "curated_weather": lambda: jobs.keyed_append(
+                spark, landing(), self.id_counter, self.curated_weather, self.checkpoint("curated_weather"),
+                cadence["curated_weather"], self._curate_weather, name("curated_weather")),
+            "curated_city": lambda: jobs.consume(
+                spark, landing(), self.curated, self.city_jobs, self.checkpoint("curated_city"), cadence["curated_city"],
+                derive=self._consumption_city, name=name("curated_city")),
+            **{t: self._consumer(t, cadence[t]) for t in self.consumption},
+        }
+        return [self._recorded(run, cadence[layer]) for layer, run in layers.items()]
+
+    def _recorded(self, run, trigger: str | None):
+        def layer():
+            query = run()
+            if not trigger:
+                self.runs.wait(str(query.runId))
+            return query
+        return layer
+
+    def _consumer(self, table: str, trigger: str | None):
+        name = self.runs.name(table)
+        if table == self.halving.name:  # its rule depends on the rows' order, which no aggregate function keeps
+            return lambda: jobs.consume(
+                self.spark, jobs.read_commits(self.spark, self.id_counter, self.max_files), self.consumption[table],
+                [self.halving], self.checkpoint(f"consumption_{table}"), trigger, rows=self.new_observations, name=name)
+        return lambda: jobs._finish(self.consumption[table].start(
+            jobs.read_fact(self.spark, self.curated_weather, KEYED_WEATHER, self.max_files), trigger, name), trigger)
 
     def new_observations(self, records: DataFrame) -> DataFrame:
         """The fact rows of a micro-batch of the fact's commit records."""
@@ -153,21 +173,23 @@ class ObservationFlow:
         only read landing), then the consumption states side by side (all only read the fact). Every layer of a group runs to its end before a failure is raised."""
         names = ("landing", "curated_weather", "curated_city", *self.consumption)
         ingest, fact, city, *rest = self._layers(dict.fromkeys(names))
-        ingest()
-        for side_by_side in ((fact, city), rest):
-            with ThreadPoolExecutor(max_workers=4) as pool:
-                done = [pool.submit(layer) for layer in side_by_side]
-            failed = [d.exception() for d in done if d.exception()]
-            if failed:
-                raise failed[0]
+        with self.runs:
+            ingest()
+            for side_by_side in ((fact, city), rest):
+                with ThreadPoolExecutor(max_workers=4) as pool:
+                    done = [pool.submit(layer) for layer in side_by_side]
+                failed = [d.exception() for d in done if d.exception()]
+                if failed:
+                    raise failed[0]
 
     def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes", curated_city: str = "1 minute",
               consumption: str | dict[str, str] | None = None) -> list:
         """Run every layer continuously with its own processing-time trigger; ``consumption`` gives one trigger for
-        all answer tables or one for each."""
+        all answer tables or one for each. The run history listens until the session ends."""
         own = dict(CADENCE, **consumption) if isinstance(consumption, dict) else (
             dict.fromkeys(self.consumption, consumption) if consumption else CADENCE)
         cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city, **own}
+        self.spark.streams.addListener(self.runs)
         return [layer() for layer in self._layers(cadence)]
 
     def _consumption_city(self, group, frames: dict, batch_id: int) -> dict:
@@ -185,11 +207,16 @@ class ObservationFlow:
         return {"consumption_city": H.partial_city(changes, ("batch_id",))}
 
     def run_log(self) -> DataFrame:
-        """A row for each job and batch that ran, from the commit records of the state groups."""
-        log = self.curated.commits().unionByName(self.id_counter.commits())
-        for group in self.consumption.values():
-            log = log.unionByName(group.commits())
-        return log.where("job IS NOT NULL").drop("query_id")
+        """A row for each job and committed batch: from the commit records of the state groups, and from the run history
+        for the tables that Spark keeps."""
+        log = self.id_counter.commits().unionByName(self.curated.commits()).unionByName(
+            self.consumption[self.halving.name].commits())
+        native = {name: t.committed() for name, t in self.consumption.items() if isinstance(t, NativeTable)}
+        return log.where("job IS NOT NULL").drop("query_id").unionByName(self.runs.batches(native))
+
+    def run_history(self) -> DataFrame:
+        """All runs of the flow's queries, also those that found no data or failed: state, error and times."""
+        return self.runs.read()
 
     def keyed_observations(self) -> DataFrame:
         """The curated fact with its weather_id, committed batches only."""
@@ -200,8 +227,9 @@ class ObservationFlow:
 
     # -- answer tables ------------------------------------------------------------
     def state(self, name: str) -> DataFrame:
-        stored = self.consumption[name].read(name)
-        return H.present_avg_halving(stored) if name == "avg_temp_halving" else stored
+        if name == self.halving.name:
+            return H.present_avg_halving(self.consumption[name].read(name))
+        return self.consumption[name].read()
 
     def city(self) -> DataFrame:
         return H.present_city(self.curated.read("curated_city"))

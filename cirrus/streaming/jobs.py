@@ -36,7 +36,8 @@ def _now():
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
-def _start(writer, trigger: str | None):
+def _start(writer, trigger: str | None, name: str | None = None):
+    writer = writer.queryName(name) if name else writer
     if trigger:
         return writer.trigger(processingTime=trigger).start()
     return writer.trigger(availableNow=True).start()
@@ -53,7 +54,7 @@ def _finish(q: StreamingQuery, trigger: str | None) -> StreamingQuery:
 def ingest_json(spark: SparkSession, source_dir: str, landing_path: str, checkpoint: str,
                 one_document_per_file: bool = True, max_files_per_trigger: int | None = None,
                 trigger: str | None = None, max_file_age: str = MAX_FILE_AGE, clean_source: str = "off",
-                archive_dir: str | None = None) -> StreamingQuery:
+                archive_dir: str | None = None, name: str | None = None) -> StreamingQuery:
     """Continuous ingest of new JSON files into the VARIANT landing table, each path once (``source_file`` keeps it).
 
     Spark forgets paths, and skips files, older than ``maxFileAge`` before the newest file; its default of a week
@@ -71,7 +72,7 @@ def ingest_json(spark: SparkSession, source_dir: str, landing_path: str, checkpo
     stream = stream.select(LANDING_COLUMN, stream["_metadata.file_path"].alias("source_file"))
     w = (stream.writeStream.format("parquet").option("path", landing_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
-    return _finish(_start(w, trigger), trigger)
+    return _finish(_start(w, trigger, name), trigger)
 
 
 def read_appends(spark: SparkSession, table_path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -145,7 +146,7 @@ def query_of(checkpoint: str, spark: SparkSession) -> str:
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
             checkpoint: str, trigger: str | None = None, derive: Derive | None = None,
-            rows: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+            rows: Callable[[DataFrame], DataFrame] | None = None, name: str | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
@@ -159,7 +160,7 @@ def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Seq
             batch.unpersist()
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return _finish(_start(w, trigger), trigger)
+    return _finish(_start(w, trigger, name), trigger)
 
 
 def run_history(log: DataFrame, jobs: Sequence[str], job_col: str = "job",
@@ -169,14 +170,16 @@ def run_history(log: DataFrame, jobs: Sequence[str], job_col: str = "job",
 
 
 def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, target: str, checkpoint: str,
-                 trigger: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+                 trigger: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None,
+                 name: str | None = None) -> StreamingQuery:
     """Append with an AUTOINCREMENT-style ``weather_id``: dense ids after the
     stored maximum, in time order inside each batch.
 
     Per micro-batch: read the committed counter (one scalar), number the batch
-    with the distributed surrogate key, overwrite ``<target>/batch=<id>``
-    (idempotent), commit the new counter, delete the scratch table. Readers take committed batches only, so one
-    written by a lost attempt is never seen and a replayed one is rewritten with the same ids."""
+    with the distributed surrogate key, write it to a hidden folder, rename that to ``<target>/batch=<id>`` in one step,
+    commit the new counter, delete the scratch table. So a batch folder is whole and final from the moment it is there,
+    also for file streams over the table, and a replay after the rename takes the folder as it is. (The file system
+    must rename a folder in one step, as HDFS and its kind do.)"""
     from cirrus.plans.warehouse import with_weather_id
 
     def on_batch(batch: DataFrame, batch_id: int):
@@ -189,15 +192,24 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
         started = _now()
         start = counter.read("id_counter").agg(F.max("max_id")).first()[0] or 0
         folder, scratch = f"{target.rstrip('/')}/batch={int(batch_id)}", scratch_path(spark, "weather_id")
-        with_weather_id(rows, start, scratch).hint("rebalance", "obs_date").write.mode("overwrite").partitionBy(
-            "obs_date").parquet(folder)
+        if not files.exists(spark, folder):
+            attempt = f"{target.rstrip('/')}/_attempt/batch={int(batch_id)}"
+            with_weather_id(rows, start, scratch).hint("rebalance", "obs_date").write.mode("overwrite").partitionBy(
+                "obs_date").parquet(attempt)
+            files.rename(spark, attempt, folder)
         written = spark.read.parquet(folder).count()
         counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
                        [("curated_weather", written, started)], query_of(checkpoint, spark))
         files.delete_older(spark, scratch, 0)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return _finish(_start(w, trigger), trigger)
+    return _finish(_start(w, trigger, name), trigger)
+
+
+def read_fact(spark: SparkSession, target: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Append-only change stream over the rows of a keyed_append table, straight from its batch folders."""
+    return read_appends(spark, files.make(spark, target), T.StructType([*schema.fields, T.StructField("batch", T.LongType())]),
+                        max_files_per_trigger)
 
 
 def committed_rows(spark: SparkSession, counter: StateGroup, target: str, schema,

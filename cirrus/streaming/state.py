@@ -44,6 +44,10 @@ class StateGroup:
         self.combine = dict(combine or {})
         self.compact_every = compact_every
         self.min_age = min_age
+        self._finished: dict[str, set[int]] = {}  # folder -> batches known to be finished
+
+    def _numbered(self, path: str) -> list[int]:
+        return files.numbered(self.spark, path, "batch", self._finished.setdefault(path, set()))
 
     @property
     def commit_path(self) -> str:
@@ -57,12 +61,12 @@ class StateGroup:
 
     def commits(self) -> DataFrame:
         """The commit records: a row for each job and batch. An unreadable log is an error, an absent one empty."""
-        if not files.numbered(self.spark, self.commit_path, "batch"):
+        if not self._numbered(self.commit_path):
             return self.spark.createDataFrame([], COMMIT_SCHEMA)
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.commit_path}/batch=*")
 
     def committed(self) -> list[int]:
-        return files.numbered(self.spark, self.commit_path, "batch")
+        return self._numbered(self.commit_path)
 
     def latest(self) -> int | None:
         """Newest committed batch id, looked up anew on every call."""
@@ -91,7 +95,7 @@ class StateGroup:
             return self.spark.createDataFrame([], schema)
         if name not in self.combine:
             return self.spark.read.schema(schema).parquet(self.version_path(name, ids[-1]))
-        bases = [b for b in files.numbered(self.spark, f"{self.root}/{name}/_base", "batch") if b <= ids[-1]]
+        bases = [b for b in self._numbered(f"{self.root}/{name}/_base") if b <= ids[-1]]
         base = bases[-1] if bases else -1
         paths = [self.version_path(name, i) for i in ids if i > base]
         parts = [self.spark.read.schema(schema).parquet(p) for p in paths]
@@ -130,7 +134,7 @@ class StateGroup:
         """Fold the deltas of every combined table up to the newest commit into a new base."""
         latest = self.latest()
         for name in self.combine:
-            if latest is not None and latest not in files.numbered(self.spark, f"{self.root}/{name}/_base", "batch"):
+            if latest is not None and latest not in self._numbered(f"{self.root}/{name}/_base"):
                 self.read(name, latest).write.mode("overwrite").parquet(self.base_path(name, latest))
 
     def tidy(self) -> None:
@@ -139,14 +143,14 @@ class StateGroup:
         ids = self.committed()
         for name in self.schemas:
             if name in self.combine:
-                bases = files.numbered(self.spark, f"{self.root}/{name}/_base", "batch")
+                bases = self._numbered(f"{self.root}/{name}/_base")
                 if len(bases) < 2:
                     continue
-                spent = [self.version_path(name, i) for i in files.numbered(self.spark, f"{self.root}/{name}", "batch")
+                spent = [self.version_path(name, i) for i in self._numbered(f"{self.root}/{name}")
                          if i <= bases[-2]] + [self.base_path(name, b) for b in bases[:-2]]
             else:
                 keep = set(ids[-self.retain:])
-                spent = [self.version_path(name, i) for i in files.numbered(self.spark, f"{self.root}/{name}", "batch")
+                spent = [self.version_path(name, i) for i in self._numbered(f"{self.root}/{name}")
                          if i not in keep and i < ids[-1]]
             for path in spent:
                 files.delete_older(self.spark, path, self.min_age)

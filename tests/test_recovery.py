@@ -93,3 +93,52 @@ def test_keyed_append_restart_keeps_ids_dense(spark, tmp_path, monkeypatch):
     ids = sorted((r.weather_id, r.city_id) for r in got.collect())
     assert [i for i, _ in ids] == list(range(1, 13))
     assert [c for _, c in ids] == list(range(12))
+
+
+def _sums(spark, path):
+    from pyspark.sql import functions as F
+    add = lambda d: d.groupBy("k").agg(F.sum("v").alias("v"))
+    return StateGroup(spark, str(path), {"m": "k long, v long"}, combine={"m": add}, compact_every=1000, min_age=0)
+
+
+def test_a_compaction_that_dies_after_any_file_loses_nothing(spark, tmp_path):
+    """The marker comes last: a base with some of its files is no base, for readers and for the next compaction."""
+    import shutil
+    whole = tmp_path / "whole"
+    group = _sums(spark, whole)
+    for b in range(4):
+        group.commit(b, {"m": spark.range(40).selectExpr("id AS k", "1L AS v").repartition(4)})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        group.compact()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(p.name for p in (whole / "m" / "_base" / "batch=3").glob("part-*"))
+    assert len(parts) >= 4
+    for kept in range(len(parts)):
+        at = tmp_path / f"crash{kept}"
+        shutil.copytree(whole, at)
+        base = at / "m" / "_base" / "batch=3"
+        (base / "_SUCCESS").unlink()
+        for name in parts[kept:]:
+            (base / name).unlink()
+        total = lambda g: sum(r.v for r in g.read("m").collect())
+        assert total(_sums(spark, at)) == 160
+        if kept in (0, len(parts) - 1):
+            again = _sums(spark, at)
+            again.commit(4, {"m": spark.range(40).selectExpr("id AS k", "1L AS v")})
+            again.compact()
+            again.tidy()
+            assert total(_sums(spark, at)) == 200
+
+
+def test_a_lookup_does_not_open_old_commits(spark, tmp_path, monkeypatch):
+    """Finished commits are looked into once: a later lookup costs one listing and the new folders."""
+    group = _sums(spark, tmp_path / "g")
+    record = spark.createDataFrame([(1, 1)], "k long, v long")
+    for b in range(3):
+        group.commit(b, {"m": record})
+    assert group._finished[group.commit_path] == {0, 1, 2}
+    for b in range(3):  # without their markers they are still known to this handle, and to it alone
+        (tmp_path / "g" / "_commits" / f"batch={b}" / "_SUCCESS").unlink()
+    assert group.latest() == 2 and _sums(spark, tmp_path / "g").latest() is None
