@@ -4,9 +4,8 @@
     landing --(foreachBatch, id counter state)--> curated_weather
         (the one stored fact: typed rows with a dense weather_id after the
         stored maximum, one folder per batch, days inside)
-    landing --(foreachBatch upsert by name)--> curated_city (+ id->name bridge)
-        and, in the same commit, curated_city's INSERT/UPDATE rows of that
-        batch (snapshot diff of old vs new version) --> consumption_city
+    landing --(keyed state by name)--> curated_city, its INSERT/UPDATE rows and,
+        from those, consumption_city; --(aggregation)--> id->name bridge
     curated_weather --(a streaming aggregation and trigger for each)--> answer tables in Spark's state store
 
 ``run_once`` drains every layer in order with ``availableNow`` -- the same
@@ -35,19 +34,12 @@ from cirrus.sources.landing import LANDING_COLUMN
 from cirrus.streaming import jobs
 from cirrus.streaming.history import RunHistory
 from cirrus.streaming.native import NativeTable
+from cirrus.streaming.upsert import CityTables
 
 CURATED_WEATHER_STREAM = T.StructType(CURATED_WEATHER.fields + [T.StructField("obs_date", T.DateType())])
 KEYED_WEATHER = T.StructType([T.StructField("weather_id", T.LongType())] + CURATED_WEATHER_STREAM.fields)
-BRIDGE_STATE = "city_id bigint, name string"
 # Ties in dt are broken by the value itself, which fixes the halving result.
 HALVING_ORDER = ("dt", "temperature")
-CITY_ORDER = ("dt", "city_id")
-
-
-def bridge(rows: DataFrame) -> DataFrame:
-    """Every (id, name) pair ever seen: joins keep working for ids that the
-    name-keyed upsert replaced (one city, two ids)."""
-    return rows.select("city_id", "name").distinct()
 
 
 # Minutes between the runs of each answer table's job.
@@ -71,16 +63,10 @@ class ObservationFlow:
         self.landing = p("landing_zone/landing_json")
         self.curated_weather = p("curated_zone/curated_weather")
         self.id_counter = jobs.StateGroup(spark, p("curated_zone/id_counter"), {"id_counter": "max_id bigint"})
-        rows = lambda b, _: self._city_rows(b)
-        self.city_jobs = [
-            jobs.MergeJob("curated_city", H.CITY_DELTA.format("int"), prepare=rows,
-                          partial=lambda b: H.partial_city(b, CITY_ORDER), combine=H.combine_city),
-            jobs.MergeJob("city_bridge", BRIDGE_STATE, prepare=rows, partial=bridge, combine=bridge),
-        ]
-        self.curated = jobs.StateGroup(
-            spark, p("curated_zone/states"),
-            {**{j.name: j.schema for j in self.city_jobs}, "consumption_city": H.CITY_DELTA.format("string")},
-            combine={**{j.name: j.combine for j in self.city_jobs}, "consumption_city": H.combine_city})
+        self.curated = CityTables(
+            spark, self.checkpoint("curated_city"), p("curated_zone/city_changes"),
+            NativeTable(spark, self.checkpoint("city_bridge"), lambda s: s.groupBy("city_id", "name").count(),
+                        "city_id bigint, name string", "n bigint"))
         self.halving = jobs.MergeJob("avg_temp_halving", H.HALVING_DELTA, combine=H.combine_avg_halving,
                                      partial=lambda b: H.halving_partials(b, order=HALVING_ORDER))
         # One query, state and trigger for each table: a rule that fails stops its own table only.
@@ -139,9 +125,10 @@ class ObservationFlow:
             "curated_weather": lambda: jobs.keyed_append(
                 spark, landing(), self.id_counter, self.curated_weather, self.checkpoint("curated_weather"),
                 cadence["curated_weather"], self._curate_weather, name("curated_weather")),
-            "curated_city": lambda: jobs.consume(
-                spark, landing(), self.curated, self.city_jobs, self.checkpoint("curated_city"), cadence["curated_city"],
-                derive=self._consumption_city, name=name("curated_city")),
+            "curated_city": lambda: jobs._finish(self.curated.start(
+                self._city_rows(landing()), cadence["curated_city"], name("curated_city")), cadence["curated_city"]),
+            "city_bridge": lambda: jobs._finish(self.curated.bridge.start(
+                self._city_rows(landing()), cadence["city_bridge"], name("city_bridge")), cadence["city_bridge"]),
             **{t: self._consumer(t, cadence[t]) for t in self.consumption},
         }
         return [self._recorded(run, cadence[layer]) for layer, run in layers.items()]
@@ -171,11 +158,11 @@ class ObservationFlow:
         """Drain every layer once along its dependencies (``availableNow``):
         landing, then the fact append and the city upsert side by side (both
         only read landing), then the consumption states side by side (all only read the fact). Every layer of a group runs to its end before a failure is raised."""
-        names = ("landing", "curated_weather", "curated_city", *self.consumption)
-        ingest, fact, city, *rest = self._layers(dict.fromkeys(names))
+        names = ("landing", "curated_weather", "curated_city", "city_bridge", *self.consumption)
+        ingest, fact, city, pairs, *rest = self._layers(dict.fromkeys(names))
         with self.runs:
             ingest()
-            for side_by_side in ((fact, city), rest):
+            for side_by_side in ((fact, city, pairs), rest):
                 with ThreadPoolExecutor(max_workers=4) as pool:
                     done = [pool.submit(layer) for layer in side_by_side]
                 failed = [d.exception() for d in done if d.exception()]
@@ -188,31 +175,21 @@ class ObservationFlow:
         all answer tables or one for each. The run history listens until the session ends."""
         own = dict(CADENCE, **consumption) if isinstance(consumption, dict) else (
             dict.fromkeys(self.consumption, consumption) if consumption else CADENCE)
-        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city, **own}
+        cadence = {"landing": landing, "curated_weather": curated_weather, "curated_city": curated_city,
+                   "city_bridge": curated_city, **own}
         self.spark.streams.addListener(self.runs)
         return [layer() for layer in self._layers(cadence)]
 
-    def _consumption_city(self, group, frames: dict, batch_id: int) -> dict:
-        """The consumption city upsert fed by this batch's INSERT/UPDATE rows
-        of curated_city (snapshot diff of the previous and the new version).
-        The curated timezone is already canonical; the consumption table
-        stores its label."""
-        before = group.read("curated_city")
-        batch = frames["curated_city"].withColumn("batch", F.lit(batch_id).cast("long"))
-        after = H.combine_city(before.withColumn("batch", F.lit(-1).cast("long")).unionByName(batch))
-        diff = H.snapshot_diff(H.present_city(before), H.present_city(after), "name")
-        changes = (diff.where(F.col("op") != "DELETE").drop("op")
-                   .withColumn("timezone", utc_offset_label("timezone"))
-                   .withColumn("batch_id", F.lit(batch_id).cast("long")))
-        return {"consumption_city": H.partial_city(changes, ("batch_id",))}
-
     def run_log(self) -> DataFrame:
         """A row for each job and committed batch: from the commit records of the state groups, and from the run history
         for the tables that Spark keeps."""
-        log = self.id_counter.commits().unionByName(self.curated.commits()).unionByName(
-            self.consumption[self.halving.name].commits())
+        log = self.id_counter.commits().unionByName(self.consumption[self.halving.name].commits())
         native = {name: t.committed() for name, t in self.consumption.items() if isinstance(t, NativeTable)}
-        return log.where("job IS NOT NULL").drop("query_id").unionByName(self.runs.batches(native))
+        runs = self.runs.batches({**native, "curated_city": self.curated.committed(),
+                                  "city_bridge": self.curated.bridge.committed()})
+        # One run of the city upsert changes both city tables.
+        both = runs.where("job = 'curated_city'").withColumn("job", F.lit("consumption_city"))
+        return log.where("job IS NOT NULL").drop("query_id").unionByName(runs).unionByName(both)
 
     def run_history(self) -> DataFrame:
         """All runs of the flow's queries, also those that found no data or failed: state, error and times."""
@@ -223,7 +200,12 @@ class ObservationFlow:
         return jobs.committed_rows(self.spark, self.id_counter, self.curated_weather, KEYED_WEATHER)
 
     def consumption_city(self) -> DataFrame:
-        return H.present_consumption_city(self.curated.read("consumption_city"))
+        """The city table fed by the curated one's INSERT and UPDATE rows; it stores the time zone's label."""
+        return self.curated.read("consumption_city").withColumn("timezone", utc_offset_label("timezone"))
+
+    def city_changes(self) -> DataFrame:
+        """curated_city's INSERT and UPDATE rows."""
+        return self.curated.changes()
 
     # -- answer tables ------------------------------------------------------------
     def state(self, name: str) -> DataFrame:
@@ -232,7 +214,7 @@ class ObservationFlow:
         return self.consumption[name].read()
 
     def city(self) -> DataFrame:
-        return H.present_city(self.curated.read("curated_city"))
+        return self.curated.read("curated_city")
 
     def with_city(self, df: DataFrame) -> DataFrame:
         """Adds the city name through the id->name bridge (scalar lookup)."""

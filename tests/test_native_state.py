@@ -10,6 +10,7 @@ from cirrus.streaming import files, jobs as S
 from cirrus.streaming.flow import ObservationFlow
 from cirrus.streaming.history import RunHistory
 from cirrus.streaming.native import PROVIDER, NativeTable
+from cirrus.streaming.upsert import CityTables
 
 from test_landing_curate import doc
 
@@ -140,7 +141,63 @@ def test_flow_history(spark, tmp_path):
     flow.run_once()
     flow.run_once()
     state = {(r.job, r.state) for r in flow.run_history().collect()}
-    jobs_ = {"landing", "curated_weather", "curated_city", *flow.consumption}
+    jobs_ = {"landing", "curated_weather", "curated_city", "city_bridge", *flow.consumption}
     assert state == {(j, s) for j in jobs_ for s in ("SUCCEEDED", "SKIPPED")}
     log = {(r.job, r.batch_id): r.rows for r in flow.run_log().collect()}
     assert all(log[(j, 0)] == 1 for j in flow.consumption) and len(log) == len(flow.consumption) + 4
+
+
+CITY = "name string, city_id long, timezone int, country string, latitude double, longitude double, dt timestamp_ntz"
+
+
+def _city(spark, rows):
+    import datetime as dt
+    t0 = dt.datetime(2024, 3, 29)
+    return spark.createDataFrame([(n, i, 3600, "IT", lat, 9.0, None if h is None else t0 + dt.timedelta(hours=h))
+                                  for n, i, lat, h in rows], CITY)
+
+
+def test_city_upsert_equals_the_rule_and_replays(spark, tmp_path, monkeypatch):
+    """Three batches, the last with a name that holds most rows: state as the batch rule's, changes as the snapshots'
+    difference; a batch that crashes before its commit emits the same changes when it runs again."""
+    from cirrus.streaming import upsert
+    src = str(tmp_path / "src")
+    batches = [[("Milan", 1, 45.5, 5), ("Milan", 2, 45.6, 1), ("Rome", 7, 41.9, 2), (None, 3, 0.0, 1)],
+               [("Milan", 1, 40.0, 9), ("Rome", 7, 0.0, 9), ("Bari", 9007199254740993, 41.1, 9)],
+               [("Rome", 8, 1.0, 10 + i % 5) for i in range(500)] + [("Rome", 11, 1.0, 14), ("Bari", 5, 1.0, 20)]]
+    bridge = NativeTable(spark, str(tmp_path / "bridge"), lambda s: s.groupBy("city_id", "name").count(),
+                         "city_id bigint, name string", "n bigint")
+    tables = CityTables(spark, str(tmp_path / "ckpt"), str(tmp_path / "changes"), bridge)
+    assert tables.read("curated_city").count() == tables.changes().count() == 0
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+
+    def run():
+        tables.start(spark.readStream.schema(CITY).parquet(src), None).awaitTermination()
+
+    try:
+        state = H.empty_state(spark, H.CITY_STATE)
+        for b, rows in enumerate(batches):
+            new = _city(spark, rows).coalesce(1)
+            new.write.mode("append").parquet(src)
+            if b == 1:  # the changes are written, the driver dies before Spark's commit
+                real = upsert.files.rename
+                monkeypatch.setattr(upsert.files, "rename", lambda *a: (real(*a), 1 / 0))
+                with pytest.raises(Exception):
+                    run()
+                monkeypatch.setattr(upsert.files, "rename", real)
+                assert tables.latest() == 0 and tables.changes().where("batch = 1").count() == 0
+            run()
+            after = spark.createDataFrame(H.merge_city(state, new, ("dt", "city_id")).collect(), H.CITY_STATE)
+            for name in ("curated_city", "consumption_city"):
+                assert _rows(tables.read(name).select(after.columns)) == _rows(after)
+            diff = H.snapshot_diff(state, after, "name")
+            assert _rows(tables.changes().where(F.col("batch") == b).select(diff.columns)) == _rows(diff)
+            state = after
+        # rows without a time or an id: the batch's other rows decide first, alone they count as they are
+        _city(spark, [("Bari", 6, 1.0, None), ("Oslo", None, 59.9, None), ("Rome", 9, 2.0, 30), ("Rome", 10, 2.0, None)]
+              ).coalesce(1).write.mode("append").parquet(src)
+        run()
+        got = {r["name"]: (r.city_id, r.latitude) for r in tables.read("curated_city").collect()}
+        assert got == {"Milan": (1, 45.6), "Rome": (9, 41.9), "Bari": (6, 41.1), "Oslo": (None, 59.9), None: (3, 0.0)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
