@@ -377,29 +377,6 @@ def merge_consumption_city(state: DataFrame, changes: DataFrame, order: Sequence
                                                    "timezone": F.col("b.last.timezone")})
 
 
-CITY_DELTA = ("name string, first struct<timezone: {0}, country: string, latitude: double, longitude: double>, "
-              "last struct<city_id: bigint, timezone: {0}>")
-
-
-def partial_city(changes: DataFrame, order: Sequence[str] = ORDER) -> DataFrame:
-    """Per name what its first row of a batch would insert and its last would update."""
-    return _first_last_per_name(changes, order)
-
-
-def combine_city(parts: DataFrame) -> DataFrame:
-    return parts.groupBy("name").agg(F.min_by("first", "batch").alias("first"), F.max_by("last", "batch").alias("last"))
-
-
-def present_city(state: DataFrame) -> DataFrame:
-    """H6: attributes of the inserting row, id of the latest."""
-    return state.select("name", "last.city_id", *(f"first.{c}" for c in CITY_ATTRS))
-
-
-def present_consumption_city(state: DataFrame) -> DataFrame:
-    """H8: as H6, with the latest time zone label."""
-    return state.select("name", "last.city_id", "last.timezone", *(f"first.{c}" for c in CITY_ATTRS[1:]))
-
-
 # ---------------------------------------------------------------------------
 # H3 change capture with INSERT / UPDATE (/ DELETE) rows by snapshot diff
 # ---------------------------------------------------------------------------

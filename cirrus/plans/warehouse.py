@@ -18,8 +18,8 @@ from cirrus.functions.scalars import CITY_ALLOW_LIST
 from cirrus.operators import analytics, curate, questions_sql
 from cirrus.operators.quality import surrogate_key
 from cirrus.session import scratch_path
-from cirrus.sources.landing import read_table, write_table, zone_path
-from cirrus.streaming import jobs
+from cirrus.sources.landing import point_table, read_table, replace_table, zone_path
+from cirrus.streaming import files, jobs
 from cirrus.streaming.files import delete_older
 
 # Order that numbers observations (unique up to fully identical rows).
@@ -46,14 +46,14 @@ def with_weather_id(obs: DataFrame, start: int = 0, path: str | None = None) ->
 
 
 def build_curated(spark: SparkSession, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST) -> None:
-    """(Re)build both curated tables from the whole landing table."""
+    """(Re)build both curated tables from the whole landing table; each is replaced in one step."""
     p = paths(root)
     raw = read_table(spark, p["landing"])
-    write_table(curate.curated_city(raw, allow=allow), p["curated_city"])
+    replace_table(curate.curated_city(raw, allow=allow), p["curated_city"])
     scratch = scratch_path(spark, "weather_id")
     obs = curate.with_partition_date(with_weather_id(curate.curated_observation(raw, allow=allow), path=scratch))
     # Rebalanced by day: few files a day, and a hot day is split.
-    write_table(obs.hint("rebalance", "obs_date"), p["curated_weather"], partition_by=("obs_date",))
+    replace_table(obs.hint("rebalance", "obs_date"), p["curated_weather"], partition_by=("obs_date",))
     delete_older(spark, scratch, 0)
 
 
@@ -109,19 +109,17 @@ def data_quality(spark: SparkSession, root: str) -> DataFrame:
 
 
 def register_tables(spark: SparkSession, root: str) -> list[str]:
-    """Expose the zones as schemas of the session catalog and the stored
-    tables as external Parquet tables (``curated_zone.curated_weather`` ...).
-    Only metadata is written; the data stays where it is."""
+    """Expose the zones as schemas of the session catalog, the stored tables as external Parquet tables and the fact,
+    whose days are folders, as a view (``curated_zone.curated_weather``). Only metadata is written; the data stays where
+    it is. Registered again after a rebuild, each name moves to the new version in one catalog change."""
     p = paths(root)
     names = []
     for zone in ("landing_zone", "curated_zone"):
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {zone} LOCATION '{root.rstrip('/')}/{zone}'")
-    for table, zone, key in (("landing_json", "landing_zone", "landing"),
-                             ("curated_city", "curated_zone", "curated_city"),
-                             ("curated_weather", "curated_zone", "curated_weather")):
-        spark.sql(f"DROP TABLE IF EXISTS {zone}.{table}")
-        spark.sql(f"CREATE TABLE {zone}.{table} USING parquet LOCATION '{p[key]}'")
-        if table == "curated_weather":
-            spark.sql(f"MSCK REPAIR TABLE {zone}.{table}")  # discover the day partitions
-        names.append(f"{zone}.{table}")
-    return names
+    for name, key in (("landing_zone.landing_json", "landing"), ("curated_zone.curated_city", "curated_city")):
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in read_table(spark, p[key]).schema)
+        point_table(spark, name, ddl, files.current(spark, p[key]))
+        names.append(name)
+    fact = "curated_zone.curated_weather"
+    spark.sql(f"CREATE OR REPLACE VIEW {fact} AS SELECT * FROM parquet.`{files.current(spark, p['curated_weather'])}`")
+    return [*names, fact]

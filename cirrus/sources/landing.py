@@ -4,13 +4,16 @@
   or JSON lines for bulk exports) is read straight into one VARIANT column by
   the JSON source (``singleVariantColumn``) -- no Python parsing, no schema
   inference pass over the data.
-* Tables are Parquet folders laid out as ``<root>/<zone>/<table>``.
+* Tables are Parquet folders laid out as ``<root>/<zone>/<table>``; tables that are replaced as a whole hold numbered
+  versions, the newest finished one being the table.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cirrus.streaming import files
+
 LANDING_COLUMN = "weather_data"
 ZONES = ("landing_zone", "curated_zone", "consumption_zone")
 
@@ -54,17 +57,44 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), keep: int = 3,
+                  min_age: float = 3600.0) -> str:
+    """Make ``df`` the table's content in one step, and return its folder.
+
+    It is written beside the present version, as ``<path>/v=<n>``, and is the current one from the moment its job leaves
+    the success marker. Readers take the version that is current when they start and keep its files: only versions before
+    the newest ``keep`` go, once they are ``min_age`` seconds old. A job that dies changes nothing."""
+    spark = df.sparkSession
+    taken = [int(n[2:]) for n in files.names(spark, path) if n.startswith("v=") and n[2:].isdigit()]
+    folder = f"{path}/v={max(taken, default=-1) + 1}"
+    write_table(df, folder, partition_by=partition_by)
+    for old in files.numbered(spark, path, "v")[:-keep]:
+        files.delete_older(spark, f"{path}/v={old}", min_age)
+    return folder
+
+
+def point_table(spark: SparkSession, name: str, ddl: str, folder: str) -> None:
+    """Let the catalog table ``name`` show a folder: one catalog change, so that a query sees the old or the new one."""
+    columns = [f"{f.name} {f.dataType.simpleString()}" for f in spark.table(name).schema] if spark.catalog.tableExists(name) else None
+    wanted = spark.createDataFrame([], ddl).schema
+    if columns == [f"{f.name} {f.dataType.simpleString()}" for f in wanted]:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        return
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # new, or declared with other columns
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet LOCATION '{folder}'")
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Full table scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(path)
+    """Full scan of the table's current version; Catalyst prunes columns and pushes filters into it."""
+    return spark.read.parquet(files.current(spark, path))
 
 
 def create_table(spark: SparkSession, path: str, schema) -> None:
     """Create-or-replace an empty typed table."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    replace_table(spark.createDataFrame([], schema), path)
 
 
 def insert_select(df: DataFrame, path: str, columns: list[str] | None = None,
                   mode: str = "append", partition_by: tuple[str, ...] = ()) -> None:
-    """INSERT INTO t [(cols)] SELECT ...: positional select + append."""
-    write_table(df.select(*columns) if columns else df, path, mode, partition_by)
+    """INSERT INTO t [(cols)] SELECT ...: positional select + append to the current version."""
+    write_table(df.select(*columns) if columns else df, files.current(df.sparkSession, path), mode, partition_by)

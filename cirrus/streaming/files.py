@@ -50,6 +50,12 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs.rename(hidden, p)
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """The newest finished version ``<path>/v=<n>`` of a table; the folder itself if it holds no versions."""
+    versions = numbered(spark, path, "v")
+    return f"{path}/v={versions[-1]}" if versions else path
+
+
 def numbered(spark: SparkSession, path: str, prefix: str, known: set[int] | None = None) -> list[int]:
     """Numbers of the finished sub-folders ``<prefix>=<n>``, ascending: those whose job has left its success marker, which
     it writes after its last file. One listing, and a look into each folder that is not in ``known``, which takes in the

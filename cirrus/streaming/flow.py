@@ -30,7 +30,7 @@ from cirrus.functions.scalars import (
 from cirrus.operators import curate, incremental as H
 from cirrus.operators.joins import scalar_lookup
 from cirrus.schemas import CONSUMPTION, CURATED_WEATHER
-from cirrus.sources.landing import LANDING_COLUMN
+from cirrus.sources.landing import LANDING_COLUMN, point_table, replace_table
 from cirrus.streaming import jobs
 from cirrus.streaming.history import RunHistory
 from cirrus.streaming.native import NativeTable
@@ -264,16 +264,14 @@ class ObservationFlow:
         }
 
     def publish(self) -> list[str]:
-        """Write the answers and the city table as typed Parquet tables of ``consumption_zone`` and register them."""
+        """Write the answers and the city table as typed Parquet tables of ``consumption_zone`` and register them. Each
+        table is replaced in one step; queries that run meanwhile see its old or its new version, whole."""
         root = self.path("consumption_zone")
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS consumption_zone LOCATION '{root}'")
         names = []
         for name, df in {"consumption_city": self.consumption_city(), **self.answers()}.items():
             fields = [f.split(" ", 1) for f in CONSUMPTION[name].split(", ")]
             typed = df.select(*(F.col(c).cast(kind).alias(c) for c, kind in fields))
-            typed.write.mode("overwrite").parquet(f"{root}/{name}")
-            self.spark.sql(f"DROP TABLE IF EXISTS consumption_zone.{name}")
-            self.spark.sql(f"CREATE TABLE consumption_zone.{name} ({CONSUMPTION[name]}) USING parquet "
-                           f"LOCATION '{root}/{name}'")
+            point_table(self.spark, f"consumption_zone.{name}", CONSUMPTION[name], replace_table(typed, f"{root}/{name}"))
             names.append(f"consumption_zone.{name}")
         return names

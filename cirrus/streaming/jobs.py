@@ -113,15 +113,10 @@ def state_group(spark: SparkSession, root: str, jobs_: Sequence[MergeJob], **opt
                       combine={j.name: j.combine for j in jobs_ if j.combine}, **options)
 
 
-Derive = Callable[[StateGroup, dict, int], dict]
-
-
 def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob], batch: DataFrame,
-                batch_id: int, derive: Derive | None = None, query_id: str | None = None) -> int:
+                batch_id: int, query_id: str | None = None) -> int:
     """Apply every job of a group to one micro-batch and commit them together;
-    returns the batch row count (0: empty batch, nothing written). The commit record holds a run-log row for each job
-    and derived table. ``derive(group, new_frames, batch_id)`` may add tables computed from the group's state and the
-    new frames."""
+    returns the batch row count (0: empty batch, nothing written). The commit record holds a run-log row for each job."""
     if group.is_committed(batch_id):  # replay of a finished batch
         group.check_writer(query_id)
         return 0
@@ -132,8 +127,6 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
     for j in jobs:
         rows = j.prepare(batch, batch_id) if j.prepare else batch
         frames[j.name] = j.partial(rows) if j.combine else j.merge(group.read(j.name), rows)
-    if derive:
-        frames.update(derive(group, frames, batch_id))
     rows = batch.count()  # fills or is served by the cache that the merge jobs read
     group.commit(batch_id, frames, [(name, rows, started) for name in frames], query_id)
     return rows
@@ -145,7 +138,7 @@ def query_of(checkpoint: str, spark: SparkSession) -> str:
 
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
-            checkpoint: str, trigger: str | None = None, derive: Derive | None = None,
+            checkpoint: str, trigger: str | None = None,
             rows: Callable[[DataFrame], DataFrame] | None = None, name: str | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
@@ -155,7 +148,7 @@ def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Seq
     def on_batch(batch: DataFrame, batch_id: int):
         batch = (rows(batch) if rows else batch).persist()
         try:
-            merge_batch(spark, group, jobs, batch, batch_id, derive, query_of(checkpoint, spark))
+            merge_batch(spark, group, jobs, batch, batch_id, query_of(checkpoint, spark))
         finally:
             batch.unpersist()
 
