@@ -1,7 +1,8 @@
 """Declared constraints as data-quality checks returning the violating rows.
 
 Each check is one distributed job (filter, aggregate or anti-join); none
-collects rows to the driver. ``surrogate_key`` assigns dense, ordered ids
+collects rows to the driver. The limits of single rows (NOT NULL, lengths) can
+also be enforced while a table is written: ``limits``, ``enforce``, ``counts``. ``surrogate_key`` assigns dense, ordered ids
 without a single-partition window over the data.
 """
 
@@ -9,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from cirrus.session import scratch_path
 
@@ -43,6 +44,31 @@ def dq_length(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return df.where(cond)
 
 
+def limits(not_null: Sequence[str] = (), lengths: Mapping[str, int] | None = None) -> dict[str, Column]:
+    """The declared limits of a row: what breaks each, by the limit's name."""
+    return {**{f"{c} is null": F.col(c).isNull() for c in not_null},
+            **{f"{c} longer than {n}": F.coalesce(F.length(c) > n, F.lit(False)) for c, n in (lengths or {}).items()}}
+
+
+def enforce(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, Observation]:
+    """The rows with ``violations`` (names of the limits that a row breaks) and ``accepted`` (none), and an observation of
+    the counts: ``rows`` and ``rejected``, and one for each limit by its position (``limit_0``, ..). The counts are taken
+    while the rows are written; ``counts`` reads them afterwards."""
+    names = F.array(*(F.when(broken, F.lit(name)) for name, broken in rules.items())) if rules else F.array().cast("array<string>")
+    seen = Observation()
+    marked = df.withColumn("violations", F.array_compact(names)).withColumn("accepted", F.size("violations") == 0)
+    # Counted behind the marks, so that a row is judged once.
+    return marked.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("accepted")).alias("rejected"),
+        *(F.count_if(F.array_contains("violations", n)).alias(f"limit_{i}") for i, n in enumerate(rules))), seen
+
+
+def counts(seen: Observation, rules: Mapping[str, Column]) -> dict[str, int]:
+    """Rows, rejected rows, and rows that break each limit, once the observed rows have been written."""
+    got = seen.get
+    return {"rows": got["rows"], "rejected": got["rejected"], **{n: got[f"limit_{i}"] for i, n in enumerate(rules)}}
+
+
 def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "surrogate_id",
                   start: int = 0, num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Dense ids ``start+1 ..`` in ``order`` (which must be unique), distributed.

@@ -630,6 +630,18 @@ def q_dq_length(spark, sf):
     return D.dq_length(B.table(spark, sf, "part").select("p_partkey", "p_name"), {"p_name": 11})
 
 
+@register("limits_on_write", """SELECT p_partkey, p_name, violation FROM (
+    SELECT p_partkey, p_name, CASE WHEN length(p_name) > 11 THEN 'p_name longer than 11' END AS violation FROM part UNION ALL
+    SELECT p_partkey, p_name, CASE WHEN p_name IS NULL THEN 'p_name is null' END FROM part) v WHERE violation IS NOT NULL""")
+def q_limits_on_write(spark, sf):
+    """The parts written with their limits enforced: the rows kept apart, one for each limit that they break."""
+    path = scratch_path(spark, "limits_on_write")
+    part = B.table(spark, sf, "part").select("p_partkey", "p_name")
+    landing.replace_checked(part, path, not_null=["p_name"], lengths={"p_name": 11})
+    return landing.rejected_rows(spark, path, "p_partkey bigint, p_name string").select(
+        "p_partkey", "p_name", F.explode("violations").alias("violation"))
+
+
 @register("surrogate_key", """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey)
     AS surrogate_id FROM orders""")
 def q_surrogate_key(spark, sf):

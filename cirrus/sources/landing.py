@@ -10,8 +10,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Mapping, Sequence
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from cirrus.operators import quality
 from cirrus.streaming import files
 
 LANDING_COLUMN = "weather_data"
@@ -24,15 +27,21 @@ def zone_path(root: str, zone: str, table: str) -> str:
     return f"{root.rstrip('/')}/{zone}/{table}"
 
 
+#: Column of the landing table with the text, byte for byte, of a document that is no JSON.
+REJECTED = "rejected_text"
+
+
 def json_reader(spark: SparkSession, one_document_per_file: bool = True,
-                column: str = LANDING_COLUMN, streaming: bool = False, strict: bool = False):
+                column: str = LANDING_COLUMN, streaming: bool = False, strict: bool = False, rejects: bool = False):
     """JSON source configured to yield one VARIANT column per document.
 
     ``one_document_per_file`` -> ``multiLine`` (a file is one document, any
     layout); otherwise JSON lines, which are splittable for large exports.
-    Lenient (default): an unparsable document becomes a NULL VARIANT;
-    ``strict``: the load fails on it."""
+    Lenient (default): an unparsable document becomes a NULL VARIANT, with ``rejects`` beside its text in column
+    ``REJECTED``; ``strict``: the load fails on it."""
     reader = spark.readStream if streaming else spark.read
+    if rejects:
+        reader = reader.schema(f"{column} variant, {REJECTED} string").option("columnNameOfCorruptRecord", REJECTED)
     return (reader.format("json")
             .option("singleVariantColumn", column)
             .option("multiLine", "true" if one_document_per_file else "false")
@@ -49,6 +58,18 @@ def read_json_documents(spark: SparkSession, path: str, one_document_per_file: b
     return df
 
 
+def landing_rows(raw: DataFrame, column: str = LANDING_COLUMN) -> DataFrame:
+    """(document, source_file, rejected_text) of what ``json_reader(rejects=True)`` loads, as batch or stream."""
+    return raw.select(column, raw["_metadata.file_path"].alias("source_file"), F.col(REJECTED).cast("binary").alias(REJECTED))
+
+
+def rejects(landing: DataFrame) -> DataFrame:
+    """The rejected documents of a landing table: file, text (binary) and reason."""
+    text = F.col(REJECTED).cast("string")
+    reason = F.when(~F.is_valid_utf8(text), "invalid UTF-8").otherwise("malformed JSON")
+    return landing.where(F.col(REJECTED).isNotNull()).select("source_file", REJECTED, reason.alias("reason"))
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: tuple[str, ...] = ()) -> None:
     w = df.write.mode(mode)
@@ -73,6 +94,26 @@ def replace_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = (),
     return folder
 
 
+def replace_checked(df: DataFrame, path: str, not_null: Sequence[str] = (), lengths: Mapping[str, int] | None = None,
+                    keep: int = 3, min_age: float = 3600.0) -> tuple[str, dict[str, int]]:
+    """``replace_table`` with the declared limits enforced: (folder of the accepted rows, counts by limit).
+
+    One job writes both kinds of rows, the rejected ones beside the others under ``accepted=false`` with their
+    ``violations``, and counts them on the way; the rows are read once."""
+    rules = quality.limits(not_null, lengths)
+    marked, seen = quality.enforce(df, rules)
+    folder = replace_table(marked, path, ("accepted",), keep, min_age)
+    return f"{folder}/accepted=true", quality.counts(seen, rules)
+
+
+def rejected_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows that the current version of a ``replace_checked`` table has rejected, with their ``violations``."""
+    folder = f"{files.current(spark, path)}/accepted=false"
+    schema = f"{schema}, violations array<string>"
+    return (spark.read.schema(schema).parquet(folder) if files.exists(spark, folder)
+            else spark.createDataFrame([], schema))
+
+
 def point_table(spark: SparkSession, name: str, ddl: str, folder: str) -> None:
     """Let the catalog table ``name`` show a folder: one catalog change, so that a query sees the old or the new one."""
     columns = [f"{f.name} {f.dataType.simpleString()}" for f in spark.table(name).schema] if spark.catalog.tableExists(name) else None

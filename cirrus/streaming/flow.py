@@ -29,8 +29,8 @@ from cirrus.functions.scalars import (
 )
 from cirrus.operators import curate, incremental as H
 from cirrus.operators.joins import scalar_lookup
-from cirrus.schemas import CONSUMPTION, CURATED_WEATHER
-from cirrus.sources.landing import LANDING_COLUMN, point_table, replace_table
+from cirrus.schemas import CONSUMPTION, CURATED_WEATHER, LENGTH_LIMITS, PRIMARY_KEYS
+from cirrus.sources.landing import LANDING_COLUMN, point_table, rejected_rows, rejects, replace_checked
 from cirrus.streaming import jobs
 from cirrus.streaming.history import RunHistory
 from cirrus.streaming.native import NativeTable
@@ -88,6 +88,7 @@ class ObservationFlow:
             "max_daily_temp_variation": table("max_daily_temp_variation", H.partial_daily_extremes,
                                               "city_id bigint, date date", "hi double, lo double"),
         }
+        self.published: dict[str, dict[str, int]] = {}  # table -> rows, rejected rows and rows that break each limit
         self.runs = RunHistory(spark, self.root, p("_runs"))
 
     def path(self, rel: str) -> str:
@@ -225,7 +226,6 @@ class ObservationFlow:
         tables: NOT NULL and UNIQUE keys, FOREIGN KEY to consumption_city,
         VARCHAR(n) limits. One aggregate job per check, nothing collected."""
         from cirrus.operators import quality as D
-        from cirrus.schemas import LENGTH_LIMITS, PRIMARY_KEYS
         cities = self.consumption_city()
         tables = {"consumption_city": cities, **self.answers()}
         v = LANDING_COLUMN
@@ -263,15 +263,25 @@ class ObservationFlow:
                 self.state("max_daily_temp_variation"))),
         }
 
+    def rejected_documents(self) -> DataFrame:
+        """File, text and reason of each landed document that is no JSON."""
+        return rejects(self.spark.read.schema(jobs.LANDING_SCHEMA).parquet(self.landing))
+
+    def published_rejects(self, name: str) -> DataFrame:
+        return rejected_rows(self.spark, self.path(f"consumption_zone/{name}"), CONSUMPTION[name])
+
     def publish(self) -> list[str]:
         """Write the answers and the city table as typed Parquet tables of ``consumption_zone`` and register them. Each
-        table is replaced in one step; queries that run meanwhile see its old or its new version, whole."""
+        table is replaced in one step; queries that run meanwhile see its old or its new version, whole. Rows that break a
+        declared limit (NOT NULL keys, lengths) are kept apart (``published_rejects``); ``published`` has the counts."""
         root = self.path("consumption_zone")
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS consumption_zone LOCATION '{root}'")
         names = []
         for name, df in {"consumption_city": self.consumption_city(), **self.answers()}.items():
             fields = [f.split(" ", 1) for f in CONSUMPTION[name].split(", ")]
             typed = df.select(*(F.col(c).cast(kind).alias(c) for c, kind in fields))
-            point_table(self.spark, f"consumption_zone.{name}", CONSUMPTION[name], replace_table(typed, f"{root}/{name}"))
+            accepted, self.published[name] = replace_checked(
+                typed, f"{root}/{name}", PRIMARY_KEYS.get(name, ()), {c: n for c, n in LENGTH_LIMITS.items() if c in typed.columns})
+            point_table(self.spark, f"consumption_zone.{name}", CONSUMPTION[name], accepted)
             names.append(f"consumption_zone.{name}")
         return names

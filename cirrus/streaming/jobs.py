@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from cirrus.session import scratch_path
-from cirrus.sources.landing import LANDING_COLUMN, json_reader
+from cirrus.sources.landing import LANDING_COLUMN, REJECTED, json_reader, landing_rows
 from cirrus.streaming import files
 from cirrus.streaming.state import COMMIT_SCHEMA, StateGroup
 
-LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType()), T.StructField("source_file", T.StringType())])
+LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType()), T.StructField("source_file", T.StringType()),
+                               T.StructField(REJECTED, T.BinaryType())])
 #: How long the file stream remembers a path, counted back from the newest file it has seen: beyond any load.
 MAX_FILE_AGE = "36500d"
 
@@ -56,20 +57,20 @@ def ingest_json(spark: SparkSession, source_dir: str, landing_path: str, checkpo
                 trigger: str | None = None, max_file_age: str = MAX_FILE_AGE, clean_source: str = "off",
                 archive_dir: str | None = None, name: str | None = None) -> StreamingQuery:
     """Continuous ingest of new JSON files into the VARIANT landing table, each path once (``source_file`` keeps it).
+    A document that is no JSON is a row too, with its text as it came (``landing.rejects``).
 
     Spark forgets paths, and skips files, older than ``maxFileAge`` before the newest file; its default of a week
     would drop late files of a historical load and load re-sent ones again. The default here is 100 years, so the
     memory of paths grows with the number of files; ``clean_source`` ("archive" with ``archive_dir``, or "delete")
     moves read files away and keeps the listing short."""
-    reader = json_reader(spark, one_document_per_file, streaming=True).option("maxFileAge", max_file_age)
+    reader = json_reader(spark, one_document_per_file, streaming=True, rejects=True).option("maxFileAge", max_file_age)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if clean_source != "off":
         reader = reader.option("cleanSource", clean_source)
         if archive_dir:
             reader = reader.option("sourceArchiveDir", archive_dir)
-    stream = reader.load(source_dir)
-    stream = stream.select(LANDING_COLUMN, stream["_metadata.file_path"].alias("source_file"))
+    stream = landing_rows(reader.load(source_dir))
     w = (stream.writeStream.format("parquet").option("path", landing_path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return _finish(_start(w, trigger, name), trigger)

@@ -84,3 +84,56 @@ def test_a_rebuild_moves_the_registered_names(spark, tmp_json, tmp_path):
         assert plan.first()[0] == 2
     finally:
         spark.sql("DROP VIEW IF EXISTS curated_zone.curated_weather")
+
+
+BAD = {"cut.json": b'{"id": 1, "name": "Milan", ', "bytes.json": b'{"name": "\xff\xfe"} {', "text.json": "café ☃\n\n ".encode()}
+
+
+@pytest.mark.parametrize("streamed", [False, True])
+def test_bad_documents_keep_every_byte(spark, tmp_path, streamed):
+    stage = tmp_path / "stage"
+    stage.mkdir()
+    good = [doc(3173435, "Milan", 280.0, 1711714980, pretty=True), doc(1, "Rome", 281.0, 1711714980), "[1, 2.50]", "{'id': 7}"]
+    for i, text in enumerate(good):
+        (stage / f"good{i}.json").write_text(text)
+    plain = landing.read_json_documents(spark, str(stage))
+    before = sorted(r[0] for r in plain.select(F.to_json(landing.LANDING_COLUMN)).collect())
+    for name, data in {**BAD, "empty.json": b""}.items():
+        (stage / name).write_bytes(data)
+    if streamed:
+        from cirrus.streaming import jobs as S
+        S.ingest_json(spark, str(stage), str(tmp_path / "landing"), str(tmp_path / "ckpt"))
+        got = spark.read.schema(S.LANDING_SCHEMA).parquet(str(tmp_path / "landing"))
+    else:
+        got = landing.landing_rows(landing.json_reader(spark, rejects=True).load(str(stage)))
+    kept = {os.path.basename(r.source_file): (bytes(r.rejected_text), r.reason) for r in landing.rejects(got.cache()).collect()}
+    assert {n: t for n, (t, _) in kept.items()} == BAD
+    assert kept["bytes.json"][1] == "invalid UTF-8" and kept["cut.json"][1] == "malformed JSON"
+    fine = got.where(F.col(landing.REJECTED).isNull())
+    assert sorted(r[0] for r in fine.select(F.to_json(landing.LANDING_COLUMN)).collect()) == before
+    got.unpersist()
+
+
+def test_limits_are_enforced_and_counted_in_the_writing_job(spark, tmp_path):
+    from cirrus.operators import quality as D
+    path = str(tmp_path / "t")
+    rows = [(1, "Milan", "IT"), (None, "x" * 51, "ITAL"), (2, None, "IT"), (3, "y" * 51, None), (3, "y" * 50, "ITA")]
+    schema = "city_id long, name string, country string"
+    df, lengths = spark.createDataFrame(rows, schema), {"name": 50, "country": 3}
+    accepted, counts = landing.replace_checked(df, path, ["city_id"], lengths)
+    assert counts == {"rows": 5, "rejected": 2, "city_id is null": D.dq_not_null(df, ["city_id"]).count(),
+                      **{f"{c} longer than {n}": D.dq_length(df, {c: n}).count() for c, n in lengths.items()}}
+    assert sorted(map(str, spark.read.schema(schema).parquet(accepted).collect())) == sorted(map(str, (
+        df.where("city_id IS NOT NULL AND coalesce(length(name), 0) <= 50 AND coalesce(length(country), 0) <= 3").collect())))
+    broken = {r.city_id: r.violations for r in landing.rejected_rows(spark, path, schema).collect()}
+    assert broken == {None: ["city_id is null", "name longer than 50", "country longer than 3"], 3: ["name longer than 50"]}
+    # one scan: the counts ride on the written plan
+    marked, _ = D.enforce(df, D.limits(["city_id"], lengths))
+    plan = marked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CollectMetrics") == 1 and plan.count("LogicalRDD") + plan.count("LocalRelation") == 1
+    only_bad, counts = landing.replace_checked(df.where("city_id IS NULL"), path, ["city_id"])
+    landing.point_table(spark, "default.only_bad", schema.replace("long", "bigint"), only_bad)
+    assert counts["rejected"] == 1 and spark.table("default.only_bad").count() == 0
+    spark.sql("DROP TABLE default.only_bad")
+    clean, counts = landing.replace_checked(df.where("city_id = 1"), path, ["city_id"], lengths)
+    assert counts["rejected"] == 0 and landing.rejected_rows(spark, path, schema).count() == 0
