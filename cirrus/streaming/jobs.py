@@ -165,7 +165,7 @@ def run_history(log: DataFrame, jobs: Sequence[str], job_col: str = "job",
 
 def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, target: str, checkpoint: str,
                  trigger: str | None = None, transform: Callable[[DataFrame], DataFrame] | None = None,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, compact_every: int = 16) -> StreamingQuery:
     """Append with an AUTOINCREMENT-style ``weather_id``: dense ids after the
     stored maximum, in time order inside each batch.
 
@@ -195,6 +195,7 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
         counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
                        [("curated_weather", written, started)], query_of(checkpoint, spark))
         files.delete_older(spark, scratch, 0)
+        compact_fact(spark, counter, target, spark.read.parquet(folder).schema, compact_every)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger, name), trigger)
@@ -206,14 +207,68 @@ def read_fact(spark: SparkSession, target: str, schema: T.StructType, max_files_
                         max_files_per_trigger)
 
 
-def committed_rows(spark: SparkSession, counter: StateGroup, target: str, schema,
+def segments(spark: SparkSession, target: str) -> list[tuple[int, int, str]]:
+    """(first batch, last batch, folder) of the finished segments of a keyed_append table, the widest that do not overlap."""
+    root = f"{target.rstrip('/')}/_segments"
+    found = []
+    for name in files.names(spark, root):
+        if files.exists(spark, f"{root}/{name}/_SUCCESS"):
+            first, last = (int(x) for x in name.removeprefix("batches=").split("-"))
+            found.append((first, last, f"{root}/{name}"))
+    chosen, upto = [], -1
+    for first, last, folder in sorted(found, key=lambda s: (s[0], -s[1])):
+        if first > upto:
+            chosen.append((first, last, folder))
+            upto = last
+    return chosen
+
+
+def compact_fact(spark: SparkSession, counter: StateGroup, target: str, schema: T.StructType, every: int = 16,
+                 min_age: float = 3600.0) -> str | None:
+    """Fold batches that no segment holds, once there are ``every`` of them, into one segment; and all segments, once there
+    are so many, into one. The new segment's folder, or None.
+
+    A segment is sorted by city inside its days, in files of a size that adaptive execution chooses, with Bloom filters on
+    ``city_id`` where its ids are too many for a dictionary (which serves as well). It counts from the moment its job leaves the success marker; until then, and if the job dies, readers
+    take what they took before. Replaced segments go after ``min_age`` seconds. Batch folders stay: they are the table's
+    change stream. Each row is written again once for every power of ``every`` of batches, not with every compaction."""
+    have = segments(spark, target)
+    upto = have[-1][1] if have else -1
+    loose = [i for i in counter.committed() if i > upto]
+    if len(loose) < every:
+        return None
+    merged = have if len(have) + 1 >= every else []
+    first = merged[0][0] if merged else loose[0]
+    folder = f"{target.rstrip('/')}/_segments/batches={first}-{loose[-1]}"
+    rows = committed_rows(spark, counter, target, schema, loose)
+    if merged:
+        rows = rows.unionByName(_rows_at(spark, schema, [s[2] for s in merged]))
+    (rows.hint("rebalance", "obs_date").sortWithinPartitions("obs_date", "city_id").write.mode("overwrite")
+     .option("parquet.bloom.filter.enabled#city_id", "true").option("parquet.bloom.filter.adaptive.enabled", "true")
+     .partitionBy("obs_date").parquet(folder))
+    kept = {s[2] for s in segments(spark, target)}
+    root = f"{target.rstrip('/')}/_segments"
+    for name in files.names(spark, root):
+        if f"{root}/{name}" not in kept:
+            files.delete_older(spark, f"{root}/{name}", min_age)
+    return folder
+
+
+def _rows_at(spark: SparkSession, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
+    base = folders[0].rsplit("/", 1)[0]
+    return spark.read.option("basePath", base).schema(schema).parquet(*folders).select(*schema.names)
+
+
+def committed_rows(spark: SparkSession, counter: StateGroup, target: str, schema: T.StructType,
                    ids: Sequence[int] | None = None) -> DataFrame:
-    """Rows of a keyed_append table: all committed batches, or the named ones."""
-    ids = counter.committed() if ids is None else ids
-    if not ids:
-        return spark.createDataFrame([], schema)
-    return spark.read.option("basePath", target).schema(schema).parquet(
-        *(f"{target.rstrip('/')}/batch={int(i)}" for i in ids))
+    """Rows of a keyed_append table: all committed batches, those in segments from there, or the batches named."""
+    if ids is not None:
+        return _rows_at(spark, schema, [f"{target.rstrip('/')}/batch={int(i)}" for i in ids]) if ids else spark.createDataFrame([], schema)
+    have = segments(spark, target)
+    loose = [i for i in counter.committed() if not have or i > have[-1][1]]
+    parts = [_rows_at(spark, schema, [s[2] for s in have])] if have else []
+    parts += [committed_rows(spark, counter, target, schema, loose)] if loose or not have else []
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def read_commits(spark: SparkSession, counter: StateGroup, max_files_per_trigger: int | None = None) -> DataFrame:
