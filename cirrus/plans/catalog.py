@@ -907,3 +907,45 @@ def q_stream_curated_observation_keyed(spark, sf):
     stored maximum; slices arrive in time order)."""
     return _flow(spark, sf).keyed_observations().select(
         "weather_id", "city_id", "main", "temperature", "wind_speed", "rain_1h", "dt")
+
+
+# ============================================================================
+# Scalar rules and merges through the SQL interface (functions and scripts)
+# ============================================================================
+from cirrus.functions import sql as sql_functions  # noqa: E402
+from cirrus.operators import merges_sql  # noqa: E402
+
+
+@register("sql_functions", with_views(
+    f"""SELECT o.event_id, {WIND_CASE} AS wind, (epoch_us(o.dt) // 1000000)::BIGINT AS epoch, date_trunc('second', o.dt) AS dt,
+    CASE WHEN c.timezone <> 3600 THEN 3600 ELSE c.timezone END AS timezone,
+    CASE WHEN c.timezone = 0 THEN 'UTC+00:00' WHEN c.timezone = 3600 THEN 'UTC+01:00' WHEN c.timezone = 7200 THEN 'UTC+02:00' END
+    AS label, round(c.latitude, 1) AS latitude FROM obs o JOIN city c ON o.city_id = c.city_id""", OBS, CITY))
+def q_sql_functions(spark, sf):
+    sql_functions.register(spark)
+    _obs(spark, sf).createOrReplaceTempView("sql_obs")
+    _city(spark, sf).createOrReplaceTempView("sql_city")
+    return spark.sql("""SELECT event_id, wind_direction(wind_deg) AS wind, timestamp_to_epoch(dt) AS epoch,
+        epoch_to_timestamp(timestamp_to_epoch(dt)) AS dt, timezone_override(timezone) AS timezone,
+        utc_offset_label(timezone) AS label, round_coordinate(latitude) AS latitude
+        FROM sql_obs JOIN sql_city USING (city_id)""")
+
+
+def _sql_merge(spark, rule: str, schema: str, changes: DataFrame) -> DataFrame:
+    """The early rows merged into an empty table and the late ones into that, by the scripts."""
+    H.empty_state(spark, schema).createOrReplaceTempView(f"{rule}_none")
+    for name, rows in zip(("early", "late"), _split(changes)):
+        rows.createOrReplaceTempView(f"{rule}_{name}")
+    merges_sql.merge(spark, rule, f"{rule}_none", f"{rule}_early", f"{rule}_state")
+    return merges_sql.merge(spark, rule, f"{rule}_state", f"{rule}_late", f"{rule}_merged")
+
+
+@register("sql_merge_condition_frequency", ORACLE_SQL["merge_condition_frequency"])
+def q_sql_merge_condition_frequency(spark, sf):
+    state = _sql_merge(spark, "condition_frequency", H.FREQUENCY_STATE, _obs(spark, sf))
+    return joins.scalar_lookup(state, _city(spark, sf), "city_id", "name", "city")
+
+
+@register("sql_merge_city", ORACLE_SQL["merge_city"])
+def q_sql_merge_city(spark, sf):
+    return _sql_merge(spark, "city", H.CITY_STATE, _city_rows(spark, sf))
