@@ -9,6 +9,7 @@ copy of the table to keep in step.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from contextlib import contextmanager
 
@@ -20,15 +21,20 @@ PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+#: Queries start side by side, and the setting is the session's.
+_setting = threading.Lock()
+
+
 @contextmanager
 def rocksdb(spark: SparkSession):
     """Queries started inside keep their state in RocksDB; the session's own setting comes back afterwards."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
-    try:
-        yield
-    finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+    with _setting:
+        before = spark.conf.get(PROVIDER, None)
+        spark.conf.set(PROVIDER, ROCKSDB)
+        try:
+            yield
+        finally:
+            spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
 
 
 class NativeTable:
