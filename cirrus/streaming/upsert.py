@@ -47,40 +47,44 @@ def ends_of_names(rows: DataFrame) -> DataFrame:
     return rows.select("name", micros.alias("dt"), *FIELDS[1:]).mapInArrow(run, "name string, first string, last string")
 
 
-class CityProcessor(StatefulProcessor):
-    """State of a name: the attributes of the row that inserted it and the newest id (curated), and the copy of it that the
-    emitted changes have made (consumption)."""
-
-    def init(self, handle) -> None:
-        self.curated = handle.getValueState("curated_city", CITY_VALUE)
-        self.consumption = handle.getValueState("consumption_city", CITY_VALUE)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        first = last = None
-        for part in rows:
-            for f, x in zip(part["first"], part["last"]):
-                f, x = json.loads(f), json.loads(x)
-                first = f if first is None or self._early(f) < self._early(first) else first
-                last = x if last is None or self._late(x) > self._late(last) else last
-        old = self.curated.get() if self.curated.exists() else None
-        new = (last[1], *(old[1:] if old else first[2:]))
-        if old and tuple(old) == new:
-            return
-        self.curated.update(new)
-        self.consumption.update(new)
-        op = "UPDATE" if old else "INSERT"
-        yield pd.DataFrame([(op, key[0], *new)], columns=["op", "name", "city_id", *CITY_ATTRS], dtype=object)
-
-    @staticmethod
-    def _early(row):
-        return [(v is None, v or 0) for v in row[:2]]
-
-    @staticmethod
-    def _late(row):
-        return [(v is not None, v or 0) for v in row[:2]]
-
-    def close(self) -> None:
-        pass
+def city_processor() -> StatefulProcessor:
+    """The rule of a name. Its class is made here, so that it travels to the workers whole, wherever they import from."""
+    class CityProcessor(StatefulProcessor):
+        """State of a name: the attributes of the row that inserted it and the newest id (curated), and the copy of it that the
+        emitted changes have made (consumption)."""
+
+        def init(self, handle) -> None:
+            self.curated = handle.getValueState("curated_city", CITY_VALUE)
+            self.consumption = handle.getValueState("consumption_city", CITY_VALUE)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            first = last = None
+            for part in rows:
+                for f, x in zip(part["first"], part["last"]):
+                    f, x = json.loads(f), json.loads(x)
+                    first = f if first is None or self._early(f) < self._early(first) else first
+                    last = x if last is None or self._late(x) > self._late(last) else last
+            old = self.curated.get() if self.curated.exists() else None
+            new = (last[1], *(old[1:] if old else first[2:]))
+            if old and tuple(old) == new:
+                return
+            self.curated.update(new)
+            self.consumption.update(new)
+            op = "UPDATE" if old else "INSERT"
+            yield pd.DataFrame([(op, key[0], *new)], columns=["op", "name", "city_id", *CITY_ATTRS], dtype=object)
+
+        @staticmethod
+        def _early(row):
+            return [(v is None, v or 0) for v in row[:2]]
+
+        @staticmethod
+        def _late(row):
+            return [(v is not None, v or 0) for v in row[:2]]
+
+        def close(self) -> None:
+            pass
+
+    return CityProcessor()
 
 
 class CityTables:
@@ -100,7 +104,7 @@ class CityTables:
                 files.rename(self.spark, attempt, folder)
 
         w = (ends_of_names(rows).groupBy("name")
-             .transformWithStateInPandas(CityProcessor(), CHANGES, "Update", "None")
+             .transformWithStateInPandas(city_processor(), CHANGES, "Update", "None")
              .writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", self.checkpoint))
         w = w.queryName(name) if name else w
         with rocksdb(self.spark):
