@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cirrus.functions import paths, scalars
-from cirrus.operators import analytics, curate, joins
+from cirrus.operators import analytics, curate, distinct, joins
 from cirrus.plans import bindings as B
 from cirrus.session import checkpoint_root, scratch_path
 from cirrus.sources import landing
@@ -286,6 +286,15 @@ def q_join_dimension(spark, sf):
     return joins.join_dimension(_obs(spark, sf), _city(spark, sf), "city_id").select("event_id", "city_id", "name")
 
 
+@register("join_copartitioned", with_views(
+    "SELECT o.event_id, o.city_id, c.name FROM obs o JOIN city c ON o.city_id = c.city_id", OBS, CITY))
+def q_join_copartitioned(spark, sf):
+    """The same join between stored tables bucketed alike: no shuffle when it is asked."""
+    path = scratch_path(spark, "curated_zone", "by_city")
+    name = "by_city_" + path.rsplit("/", 1)[1]
+    return joins.copartition(_obs(spark, sf), _city(spark, sf), name, path, buckets=16).select("event_id", "city_id", "name")
+
+
 @register("scalar_lookup", with_views(
     "SELECT o.event_id, o.city_id, (SELECT c.name FROM city c WHERE c.city_id = o.city_id) AS city FROM obs o",
     OBS, CITY))
@@ -483,6 +492,30 @@ def q_merge_distinct_conditions_global(spark, sf):
     return _two_step(spark, H.merge_distinct_conditions, H.distinct_conditions_state(), _obs(spark, sf))
 
 
+@register("merge_distinct_bitmaps", with_views(
+    "SELECT c.name, count(DISTINCT o.main) AS distinct_conditions_count FROM obs o JOIN city c "
+    "ON o.city_id = c.city_id GROUP BY c.name HAVING count(o.main) > 0", OBS, CITY))
+def q_merge_distinct_bitmaps(spark, sf):
+    """Conditions of each city by id, rolled up by name; the later rows meet a dictionary and a state of the earlier."""
+    early, late = _split(_obs(spark, sf))
+    dictionary = distinct.extend_dictionary(None, early, "main")
+    state = distinct.partial_bitmaps(early, dictionary, "main", ["city_id"])
+    dictionary = distinct.extend_dictionary(dictionary, late, "main")
+    state = distinct.merge_bitmaps(state, late, dictionary, "main", ["city_id"])
+    named = state.join(_city(spark, sf).select("city_id", "name"), "city_id")
+    return distinct.count_bitmaps(distinct.combine_bitmaps(named, ["name"]), ["name"], "distinct_conditions_count")
+
+
+@register("distinct_bitmaps_rollup", with_views(
+    f"SELECT main, count(DISTINCT city_id) AS n_cities FROM obs WHERE {PERIOD} GROUP BY main", OBS))
+def q_distinct_bitmaps_rollup(spark, sf):
+    """Cities that report each condition: one state by day, rolled up to the period."""
+    obs = curate.filter_time_range(_obs(spark, sf), B.PERIOD_START, B.PERIOD_END).withColumn("date", F.to_date("dt"))
+    dictionary = distinct.extend_dictionary(None, obs, "city_id")
+    daily = distinct.partial_bitmaps(obs, dictionary, "city_id", ["main", "date"])
+    return distinct.count_bitmaps(distinct.combine_bitmaps(daily, ["main"]), ["main"], "n_cities")
+
+
 @register("anti_join_new_conditions", with_views(
     f"SELECT event_id, main || '-' || city_id AS main FROM obs WHERE dt >= {T0} AND main || '-' || city_id NOT IN "
     f"(SELECT main || '-' || city_id FROM obs WHERE dt < {T0} AND main IS NOT NULL AND city_id IS NOT NULL)", OBS))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cirrus.functions.scalars import CITY_ALLOW_LIST
 from cirrus.operators import analytics, curate, questions_sql
+from cirrus.operators.joins import copartition
 from cirrus.operators.quality import surrogate_key
 from cirrus.session import scratch_path
 from cirrus.sources.landing import point_table, read_table, replace_table, zone_path
@@ -123,3 +124,12 @@ def register_tables(spark: SparkSession, root: str) -> list[str]:
     fact = "curated_zone.curated_weather"
     spark.sql(f"CREATE OR REPLACE VIEW {fact} AS SELECT * FROM parquet.`{files.current(spark, p['curated_weather'])}`")
     return [*names, fact]
+
+
+def build_by_city(spark: SparkSession, root: str, buckets: int = 64) -> DataFrame:
+    """``curated_zone.weather_by_city``: fact and dimension stored in equal buckets, for joins that shuffle nothing once the
+    dimension is too large to broadcast. Built again, the view moves to the new pair in one catalog change."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS curated_zone LOCATION '{root.rstrip('/')}/curated_zone'")
+    obs, city = tables(spark, root)
+    return copartition(obs, city, "curated_zone.weather_by_city", zone_path(root, "curated_zone", "weather_by_city"),
+                       buckets=buckets)

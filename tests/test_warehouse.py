@@ -36,6 +36,10 @@ def test_load_ask_and_copy_semantics(spark, tmp_json, tmp_path):
     n = spark.sql("SELECT count(*) FROM curated_zone.curated_weather w JOIN curated_zone.curated_city c "
                   "ON w.city_id = c.city_id WHERE w.obs_date = DATE'2024-03-29'").first()[0]
     assert n == 9
+    # the fact beside the dimension in equal buckets, and again over the same data
+    for _ in range(2):
+        by_city = warehouse.build_by_city(spark, root, buckets=2)
+        assert by_city.count() == 9 and {r.name for r in by_city.select("name").distinct().collect()} == {"Milan", "Cagliari"}
     # loading again without new files adds nothing (COPY semantics)
     warehouse.load_history(spark, stage, root)
     assert warehouse.tables(spark, root)[0].count() == 9
