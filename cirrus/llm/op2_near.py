@@ -12,7 +12,8 @@ No bucket is expanded into all its pairs. Its members are compared with one lead
 themselves; confirmed links join components. Two members x and y of one bucket that are still apart share at most
 ``min(|x & L|, |y & L|)`` shingles of the leader's set L, and others only outside L. So they can meet the threshold in
 two ways only: they are small enough for the leader's part alone (joined by leader and size), or they share a shingle
-outside L (joined by leader and shingle, on the shortest prefix that must hold one). Those pairs, few in a group of n
+outside L (joined by leader and shingle, on the shortest prefix that must hold one, and only where the first shared
+shingle leaves room for enough others behind it). Those pairs, few in a group of n
 copies, are then estimated and confirmed; no link between members of a bucket is left out.
 
 With 64 bands of 8 a pair at similarity 0.8 misses every band with probability below 1e-5.
@@ -248,9 +249,16 @@ class Links:
             "lo <= hi").withColumn("ny", F.explode(F.expr("sequence(lo, hi)")))
         small = sizes.join(every.drop("dy"), ["u", "ny"]).where(
             f"lx <> ly AND {q} * cy >= {p} * (nx + ny)").select("x", "y")
-        shared = out.select("u", "x", "lx", "nx", F.explode("dx").alias("s")).join(
-            every.select("u", "y", "ly", "ny", F.explode("dy").alias("s")), ["u", "s"]).where(
-            f"lx <> ly AND 100 * least(nx, ny) >= {p} * greatest(nx, ny)").select("x", "y")
+        # A shingle that members of one component only hold joins nothing. Of the shingles that a pair shares outside L, the
+        # first in hash order bounds their number by what follows it on either side; below the bound a pair is no link.
+        held = every.select("u", "ly", F.explode("dy").alias("s")).groupBy("u", "s").agg(
+            F.min("ly").alias("lo"), F.max("ly").alias("hi")).where("lo <> hi").select("u", "s")
+        marks = lambda df, x: df.select(
+            "u", x, f"l{x}", f"n{x}", f"c{x}", F.posexplode(f"d{x}").alias(f"i{x}", "s")).join(held, ["u", "s"]).withColumn(
+            f"r{x}", F.expr(f"n{x} - c{x} - i{x}"))
+        shared = marks(out, "x").join(marks(every, "y"), ["u", "s"]).where(
+            f"lx <> ly AND 100 * least(nx, ny) >= {p} * greatest(nx, ny) AND "
+            f"{q} * (least(cx, cy) + least(rx, ry)) >= {p} * (nx + ny)").select("x", "y")
         return small.union(shared).select(F.least("x", "y").alias("u"), F.greatest("x", "y").alias("v")).distinct()
 
 
