@@ -6,7 +6,7 @@ equal offsets, so joining the documents' fingerprints with the benchmark's finds
 extended: all document windows around a hit are compared with the benchmark's windows word by word.
 
 An item shorter than ``n`` words is one window of its own length; each length that occurs (at most n - 1) is searched
-with k equal to that length. The benchmark's windows are joined, never collected.
+with k equal to that length, in the same pass over the texts, which also counts their words. The benchmark's windows are joined, never collected.
 
 Results for odd input: null or empty texts have no words; an item without words has no window; an absent item id counts
 as the empty text; repeated items count once; documents with equal or absent ids are told apart by their texts;
@@ -18,15 +18,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cirrus.llm.common import ALNUM_WORD, keyed, let, lower_ascii, same_row, table, word_count, words
+from cirrus.llm.common import ALNUM_WORD, keyed, let, lower_ascii, same_row, stored, table, words
+
+#: Join keys that the documents' word counts are spread over.
+COUNTS = 1024
 
 
 def item_words(text: str) -> Column:
     return words(lower_ascii(F.col(text)), ALNUM_WORD)
 
 
-def fingerprints(text: str, n: int, k: int) -> Column:
-    """Selected grams of a text as longs: 32 bits of hash, then the gram's first word.
+def fingerprints(h: Column, n: int, k: int) -> Column:
+    """Selected grams of a text's word hashes as longs: 32 bits of hash, then the gram's first word.
 
     Hash and position share one long, so the smallest of a window is its smallest hash, leftmost first."""
     span = n - k + 1
@@ -35,52 +38,68 @@ def fingerprints(text: str, n: int, k: int) -> Column:
         least = lambda i: F.array_min(F.slice(grams, i, span))
         return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(grams) - (span - 1)), least))
 
-    def grams(h):
-        gram = lambda i: F.shiftleft(F.xxhash64(F.slice(h, i, k)), 32).bitwiseOR((i - 1).cast("long"))
-        every = F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), gram)
-        return F.when(F.size(h) >= n, let(every, select) if span > 1 else every)
-
-    return let(F.transform(item_words(text), lambda x: F.xxhash64(x)), grams)
+    gram = lambda i: F.shiftleft(F.xxhash64(F.slice(h, i, k)), 32).bitwiseOR((i - 1).cast("long"))
+    every = F.transform(F.sequence(F.lit(1), F.size(h) - (k - 1)), gram)
+    return F.when(F.size(h) >= n, let(every, select) if span > 1 else every)
 
 
 def hash_of(gram: Column) -> Column:
     return F.shiftright(gram, 32).cast("int")
 
 
-def _of_length(docs: DataFrame, bench: DataFrame, m: int, k: int, longer: bool) -> DataFrame:
-    """Shared windows of m words: fingerprint hits, then the windows around each hit word by word."""
-    join = lambda w, i: F.array_join(F.slice(w, i, m), " ")
-    own = bench.where(F.size(item_words("text")) >= m if longer else F.size(item_words("text")) == m)
-    windows = own.select("item", F.explode(let(item_words("text"), lambda w: F.transform(
-        F.sequence(F.lit(1), F.size(w) - (m - 1)), lambda i: join(w, i)))).alias("win")).distinct()
-    marks = own.select(F.explode(fingerprints("text", m, k)).alias("g")).select(hash_of(F.col("g")).alias("fp")).distinct()
-    found = docs.select("doc_id", "_th", F.explode(fingerprints("text", m, k)).alias("g")).select(
-        "doc_id", "_th", hash_of(F.col("g")).alias("fp"), F.col("g").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("p"))
-    hits = found.join(marks, "fp").groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
-        F.collect_set("p").alias("pos"))
+def _marks(h: Column, m: int, n: int, k: int) -> Column:
+    """The fingerprints for windows of m words: structs of m, fp (hash) and p (first word)."""
+    found = F.coalesce(fingerprints(h, m, k if m == n else m), F.array().cast("array<bigint>"))
+    return F.transform(found, lambda g: F.struct(
+        F.lit(m).alias("m"), hash_of(g).alias("fp"), g.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("p")))
+
+
+def _hashes(text: str) -> Column:
+    return F.transform(item_words(text), lambda x: F.xxhash64(x))
+
+
+def _found(docs: DataFrame, bench: DataFrame, lengths: list[int], n: int, k: int) -> DataFrame:
+    """(doc_id, _th, m, p) by one pass over the texts: for each row of ``docs`` its number of words (m = 0, p the number),
+    and each of its fingerprints that the benchmark has for windows of m words (p its first word).
+
+    The number travels with the fingerprints, through the same join; the benchmark's side has a row for each of its keys."""
+    def own(h):
+        count = F.struct(F.lit(0).alias("m"), F.pmod("_th", F.lit(COUNTS)).cast("int").alias("fp"), F.size(h).alias("p"))
+        return F.concat(F.array(count), *(_marks(h, m, n, k) for m in lengths))
+
+    marks = docs.sparkSession.range(COUNTS).select(F.lit(0).alias("m"), F.col("id").cast("int").alias("fp"))
+    for m in lengths:
+        marks = marks.union(bench.where(F.col("m") == m).select(F.explode(
+            let(_hashes("text"), lambda h: _marks(h, m, n, k))).alias("x")).select("x.m", "x.fp").distinct())
+    rows = docs.select("doc_id", "_th", F.explode(let(_hashes("text"), own)).alias("x")).select("doc_id", "_th", "x.*")
+    return stored(rows.join(marks, ["m", "fp"]).select("doc_id", "_th", "m", "p"), "bench_found")
+
+
+def shared_windows(docs: DataFrame, items: DataFrame, n: int = 13, k: int = 7) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, _th, s, e, item): document words s .. e - 1 equal a window of the item; and (doc_id, _th, n_words) of each
+    row. docs: keyed()."""
+    bench = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text").withColumn(
+        "m", F.least(F.size(item_words("text")), F.lit(n))).where("m > 0")
+    lengths = sorted(r[0] for r in bench.select("m").distinct().collect())
+    found = _found(docs, bench, lengths, n, k)
+    join = lambda w, i, m: F.array_join(F.slice(w, i, m), " ")
+    windows = bench.select("item", F.explode(let(item_words("text"), lambda w: F.transform(
+        F.sequence(F.lit(1), F.size(w) - F.col("m") + 1), lambda i: join(w, i, F.col("m"))))).alias("win")).distinct()
+    hits = found.where("m > 0").groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
+        F.collect_set(F.struct("m", "p")).alias("pos"))
 
     def around(w):
-        starts = F.array_distinct(F.flatten(F.transform("pos", lambda p: F.sequence(
-            F.greatest(F.lit(0), p - (m - k)), F.least(p, F.size(w) - m)))))
-        return F.transform(starts, lambda s: F.struct(s.alias("s"), join(w, s + 1).alias("win")))
+        # A fingerprint's gram lies anywhere in a window of n words, and fills a shorter one.
+        starts = F.array_distinct(F.flatten(F.transform("pos", lambda x: F.transform(F.sequence(
+            F.greatest(F.lit(0), x["p"] - F.when(x["m"] == n, n - k).otherwise(0)), F.least(x["p"], F.size(w) - x["m"])),
+            lambda s: F.struct(x["m"].alias("m"), s.alias("s"))))))
+        return F.transform(starts, lambda x: F.struct(
+            x["s"].alias("s"), (x["s"] + x["m"]).alias("e"), join(w, x["s"] + 1, x["m"]).alias("win")))
 
     near = docs.join(hits, F.expr("doc_id <=> _d AND _th = _t")).select(
         "doc_id", "_th", F.explode(let(item_words("text"), around)).alias("x"))
-    return near.select("doc_id", "_th", "x.s", (F.col("x.s") + m).alias("e"), "x.win").join(windows, "win").drop("win")
-
-
-def shared_windows(docs: DataFrame, items: DataFrame, n: int = 13, k: int = 7) -> DataFrame:
-    """(doc_id, _th, s, e, item): document words s .. e - 1 equal a window of the item. docs: keyed()."""
-    bench = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "text")
-    lengths = [r[0] for r in bench.select(F.least(F.size(item_words("text")), F.lit(n)).alias("m")).where("m > 0")
-               .distinct().collect()]
-    found = [_of_length(docs, bench, m, k if m == n else m, longer=m == n) for m in sorted(lengths)]
-    if not found:
-        return docs.select("doc_id", "_th", F.lit(0).alias("s"), F.lit(0).alias("e"), F.lit("").alias("item")).limit(0)
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out
+    spans = near.select("doc_id", "_th", "x.*").join(windows, "win").drop("win")
+    return spans, found.where("m = 0").select("doc_id", "_th", F.col("p").cast("long").alias("n_words"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, n: int = 13, k: int = 7, share: int = 20) -> DataFrame:
@@ -94,11 +113,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, n: int = 13, k: int = 7, sh
         "spans", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end")),
         lambda a, x: F.struct((a["n"] + F.greatest(F.lit(0), x["e"] - F.greatest(x["s"], a["end"]))).alias("n"),
                               F.greatest(a["end"], x["e"]).cast("long").alias("end")), lambda a: a["n"])
-    hits = shared_windows(docs, items, n, k).groupBy(
+    shared, sizes = shared_windows(docs, items, n, k)
+    hits = shared.groupBy(
         "doc_id", "_th").agg(spans.alias("spans"), F.sort_array(F.collect_set("item")).alias("items")).select(
         "doc_id", "_th", covered.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"))
-    sizes = docs.select("doc_id", "_th", word_count(lower_ascii(F.col("text")), ALNUM_WORD).alias("n_words"))
     n_hit = F.coalesce(hits["n_hit"], F.lit(0)).cast("long")
     return sizes.join(hits, same_row(sizes, hits), "left").select(
         sizes["doc_id"], sizes["_th"], "n_words", n_hit.alias("n_hit"),
