@@ -333,6 +333,30 @@ def order_key(df: DataFrame, order: Sequence[str]):
     return first * F.lit(str(2 ** 64)).cast("decimal(38,0)") + second
 
 
+def _from_long(value, kind: T.DataType):
+    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+        return F.timestamp_add("MICROSECOND", value, F.expr(_EPOCH_NTZ).cast(kind))
+    if isinstance(kind, T.DateType):
+        return F.date_add(F.lit("1970-01-01").cast("date"), value.cast("int"))
+    return value.cast(kind)
+
+
+def first_and_last_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ORDER) -> DataFrame:
+    """For each key its earliest and its latest place in ``order``: all that an upsert reads of a fact.
+
+    ``keys`` and the order columns, one or two rows a key. One hash aggregate (see ``order_key``) brings a fact down to
+    the dimension's size before it meets the dimension, so the join sees no raw row."""
+    k, unit = order_key(rows, order), F.lit(str(2 ** 64)).cast("decimal(38,0)")
+    ends = rows.groupBy(*keys).agg(F.min(k).alias("_lo"), F.max(k).alias("_hi")).select(
+        *keys, F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_k"))
+    if len(order) == 1:
+        parts = [F.col("_k").cast("long")]
+    else:
+        low = F.pmod("_k", unit)
+        parts = [F.call_function("div", F.col("_k") - low, unit), (low - F.lit(str(2 ** 63)).cast("decimal(38,0)")).cast("long")]
+    return ends.select(*keys, *(_from_long(p, rows.schema[c].dataType).alias(c) for p, c in zip(parts, order, strict=True)))
+
+
 def _first_last_per_name(changes: DataFrame, order: Sequence[str]) -> DataFrame:
     """Per name: attributes of its earliest row (what an insert would write)
     and the id / timezone of its latest row (what later updates write).

@@ -594,9 +594,12 @@ def _upsert_sql(where: str = "") -> str:
 
 
 def _city_rows(spark, sf, label: bool = False) -> DataFrame:
+    # The earliest and latest observation of an id in each of the two batches is all that the rules read.
     c = _city(spark, sf)
     tz = F.col("timezone") if label else scalars.timezone_override("timezone")
-    return (_obs(spark, sf).select("event_id", "dt", "city_id")
+    batch = (F.col("dt") >= F.lit(B.SPLIT_TS).cast("timestamp_ntz")).alias("late")
+    return (H.first_and_last_rows(_obs(spark, sf).select("event_id", "dt", "city_id", batch), ("city_id", "late"))
+            .select("event_id", "dt", "city_id")
             .join(c.select("city_id", "name", tz.alias("timezone"), "country",
                            scalars.round_coordinate("latitude").alias("latitude"),
                            scalars.round_coordinate("longitude").alias("longitude")), "city_id"))

@@ -189,3 +189,18 @@ def test_null_name_is_one_city(spark):
         ops = [r.op for r in H.snapshot_diff(state, after, "name").collect()]
         state = after
     assert state.count() == 1 and state.first().city_id == 7 and ops == []
+
+
+def test_first_and_last_rows_of_a_key(spark):
+    rows = [(c, dt.datetime(1969, 12, 31, 23) + dt.timedelta(minutes=m * 7, microseconds=m), e)
+            for c, m, e in [(1, 0, 5), (1, 0, -7), (1, 30, 2), (1, 30, 9), (2, 3, -1), (None, 4, 1), (None, 2, 8), (2, 3, -1)]]
+    df = spark.createDataFrame(rows, "city_id long, dt timestamp_ntz, event_id long").repartition(3)
+    got = [tuple(r) for r in H.first_and_last_rows(df, ["city_id"], ("dt", "event_id")).collect()]
+    want = set()
+    for key in (1, 2, None):
+        own = sorted(r[1:] for r in rows if r[0] == key)
+        want |= {(key, *own[0]), (key, *own[-1])}
+    assert len(got) == len(want) == 5 and set(got) == want
+    days = df.selectExpr("city_id", "CAST(dt AS DATE) AS day")
+    assert {tuple(r) for r in H.first_and_last_rows(days, ["city_id"], ("day",)).collect()} == {
+        (1, dt.date(1969, 12, 31)), (1, dt.date(1970, 1, 1)), (2, dt.date(1969, 12, 31)), (None, dt.date(1969, 12, 31))}

@@ -66,6 +66,12 @@ def test_upsert_hash_aggregates_the_raw_rows(spark):
     assert aggs and "HashAggregate" in aggs[-1]  # the lowest aggregate reads the rows
 
 
+@pytest.mark.parametrize("key", ["merge_city", "merge_consumption_city", "cdc_snapshot_diff"])
+def test_upsert_reduces_the_fact_before_the_join(spark, key):
+    joins = [t for t in subtrees(plan(spark, key), "Join") if any("event_id" in line for line in t)]
+    assert joins and all(any("HashAggregate" in line for line in t) for t in joins)
+
+
 @pytest.mark.parametrize("key", ["join_dimension", "q4_avg_temperature", "curated_observation", "scalar_lookup"])
 def test_no_join_is_forced_to_broadcast(spark, key):
     """Without a threshold nothing is broadcast: no hint overrides Spark's own decision."""
