@@ -1,7 +1,7 @@
 """Language by compression: the language whose dictionary makes a text smallest.
 
 Each language learned has a raw-content zstandard dictionary of up to ``dict_bytes`` bytes of its own training texts
-(the bound is a parameter; the texts are chosen by a hash of the id). A text is compressed whole, in blocks, with every
+(the bound is a parameter; the texts are chosen by their hashes, long ones give a piece). A text is compressed whole, in blocks, with every
 dictionary; the smallest total names the language. ``margin`` is the distance to the runner-up in share of the best;
 the general operator rejects margins under ``reject`` by answering ``und`` (column ``rejected`` says so).
 
@@ -25,23 +25,30 @@ BLOCK = 4096
 LEVEL = 6
 
 
-def learn(docs: DataFrame, dict_bytes: int = 112 << 10, languages: int = 256) -> dict[str, bytes]:
+def learn(docs: DataFrame, dict_bytes: int = 112 << 10, languages: int = 256, most: int = 512) -> dict[str, bytes]:
     """Dictionary bytes by language, from rows (doc_id, text, lang). At most ``languages`` languages, the commonest.
 
-    Each language takes whole texts in the order of their hashes until ``dict_bytes`` are full; only texts of at
-    most a quarter of that size serve, so that no single document fills a dictionary."""
-    rows = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("n", F.octet_length("text")).where(
-        F.col("n").between(1, dict_bytes // 4))
+    Each language takes up to ``most`` texts in the order of their hashes until ``dict_bytes`` are full. A text above a
+    quarter of that size gives one piece of a sixteenth as many characters, at a place chosen by its hash: no single
+    document fills a dictionary, and a language that has only long texts is learned like the others."""
+    longest, piece = dict_bytes // 4, max(1, dict_bytes // 16)
+    rows = docs.where("lang IS NOT NULL AND octet_length(text) > 0").select(
+        "lang", "text", F.xxhash64("text").alias("k"), F.octet_length("text").alias("n"))
     common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
     order = Window.partitionBy("lang").orderBy("k")
-    # Chosen on hashes and sizes alone (copies of a text count once); then only the chosen texts are moved.
-    sized = rows.groupBy("lang", F.xxhash64("text").alias("k")).agg(F.max("n").alias("n")).withColumn(
-        "i", F.row_number().over(order)).where(F.col("i") <= 512)
+    # Chosen on hashes and sizes alone (copies of a text count once); then only the chosen texts are moved. The smallest
+    # hashes are first found in 64 parts of a language, so that the last window reads at most 64 * most of its rows.
+    part = Window.partitionBy("lang", F.pmod("k", F.lit(64))).orderBy("k")
+    sized = rows.groupBy("lang", "k").agg(F.max(F.when(F.col("n") <= longest, F.col("n")).otherwise(piece)).alias("n"))
+    sized = sized.withColumn("i", F.row_number().over(part)).where(F.col("i") <= most)
+    sized = sized.withColumn("i", F.row_number().over(order)).where(F.col("i") <= most)
     sized = sized.withColumn("before", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))).where(
         F.coalesce("before", F.lit(0)) < dict_bytes)
     cuts = sized.groupBy("lang").agg(F.max("k").alias("cut")).join(common.select("lang"), "lang")
-    few = rows.withColumn("k", F.xxhash64("text")).join(F.broadcast(cuts), "lang").where(F.col("k") <= F.col("cut")).groupBy(
-        "lang", "k").agg(F.min("text").alias("text"))
+    room = F.char_length("text") - piece
+    cut = F.substring("text", F.when(room > 0, F.pmod("k", room + 1)).otherwise(0).cast("int") + 1, F.lit(piece))
+    few = rows.join(F.broadcast(cuts), "lang").where(F.col("k") <= F.col("cut")).withColumn(
+        "text", F.when(F.col("n") <= longest, F.col("text")).otherwise(cut)).groupBy("lang", "k").agg(F.min("text").alias("text"))
     texts: dict[str, bytearray] = {}
     for r in few.orderBy("lang", "k").collect():
         texts.setdefault(r["lang"], bytearray()).extend(r["text"].lower().encode() + b"\n")
