@@ -21,7 +21,7 @@ def classes_of(text: str) -> np.ndarray:
 
 
 def _sigmoid(x):
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
 class Model:
@@ -47,7 +47,8 @@ class Model:
         out = np.empty((steps, n, h), np.float32)
         for t in (range(steps) if way == "f" else range(steps - 1, -1, -1)):
             a = table[x[:, t]] + state @ u
-            i, fg, o, g = _sigmoid(a[:, :h]), _sigmoid(a[:, h: 2 * h]), _sigmoid(a[:, 2 * h: 3 * h]), np.tanh(a[:, 3 * h:])
+            gates, g = _sigmoid(a[:, : 3 * h]), np.tanh(a[:, 3 * h:])
+            i, fg, o = gates[:, :h], gates[:, h: 2 * h], gates[:, 2 * h:]
             before, cell = cell, fg * cell + i * g
             tc = np.tanh(cell)
             if cache is not None:
@@ -92,15 +93,13 @@ class Model:
         for t in range(steps - 2, -1, -1):
             beta[t] = _logsum(trans + (e[t + 1] + beta[t + 1])[:, None, :], 2)
         z = _logsum(alpha[-1], 1)
-        yt, rows = y.T, np.arange(n)
-        gold = start[yt[0]] + e[0][rows, yt[0]]
+        yt = y.T
+        gold = start[yt[0]] + np.take_along_axis(e, yt[:, :, None], 2)[:, :, 0].sum(0) + trans[yt[:-1], yt[1:]].sum(0)
         de = np.exp(alpha + beta - z[None, :, None])
         grad["s"] += de[0].sum(0) - np.bincount(yt[0], minlength=self.k)
-        for t in range(1, steps):
-            gold = gold + trans[yt[t - 1], yt[t]] + e[t][rows, yt[t]]
-            pair = np.exp(alpha[t - 1][:, :, None] + trans + (e[t] + beta[t] - z[:, None])[:, None, :])
-            grad["t"] += pair.sum(0)
-            np.add.at(grad["t"], (yt[t - 1], yt[t]), -1)
+        pair = np.exp(alpha[:-1, :, :, None] + trans + (e[1:] + beta[1:] - z[:, None])[:, :, None, :])
+        grad["t"] += pair.sum((0, 1))
+        np.add.at(grad["t"], (yt[:-1].ravel(), yt[1:].ravel()), -1)
         np.put_along_axis(de, yt[:, :, None], np.take_along_axis(de, yt[:, :, None], 2) - 1, 2)
         flat, both = de.reshape(-1, self.k), caches["both"]
         grad["w"] += both.reshape(-1, 2 * self.h).T @ flat
