@@ -52,7 +52,9 @@ CADENCE = {
 
 class ObservationFlow:
     def __init__(self, spark: SparkSession, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST,
-                 one_document_per_file: bool = True, max_files_per_trigger: int | None = None):
+                 one_document_per_file: bool = True, max_files_per_trigger: int | None = None,
+                 state_partitions: int | None = None):
+        """``state_partitions``: of each table in Spark's state store (``native.default_state_partitions``)."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.allow = tuple(allow) if allow is not None else None
@@ -66,11 +68,12 @@ class ObservationFlow:
         self.curated = CityTables(
             spark, self.checkpoint("curated_city"), p("curated_zone/city_changes"),
             NativeTable(spark, self.checkpoint("city_bridge"), lambda s: s.groupBy("city_id", "name").count(),
-                        "city_id bigint, name string", "n bigint"))
+                        "city_id bigint, name string", "n bigint", partitions=state_partitions), state_partitions)
         self.halving = jobs.MergeJob("avg_temp_halving", H.HALVING_DELTA, combine=H.combine_avg_halving,
                                      partial=lambda b: H.halving_partials(b, order=HALVING_ORDER))
         # One query, state and trigger for each table: a rule that fails stops its own table only.
-        table = lambda name, *how: NativeTable(spark, self.checkpoint(f"consumption_{name}"), *how)
+        table = lambda name, *how: NativeTable(
+            spark, self.checkpoint(f"consumption_{name}"), *how, partitions=state_partitions)
         self.consumption = {
             "distinct_weather_conditions": table(
                 "distinct_weather_conditions", lambda s: s.groupBy("main").count(), "main string", "n bigint",

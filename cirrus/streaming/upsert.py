@@ -91,7 +91,8 @@ class CityTables:
     """The city tables of a flow: curated_city and consumption_city (state of one query), city_bridge (of another), and
     the changes that the first has emitted."""
 
-    def __init__(self, spark: SparkSession, checkpoint: str, changes: str, bridge: NativeTable):
+    def __init__(self, spark: SparkSession, checkpoint: str, changes: str, bridge: NativeTable, partitions: int | None = None):
+        self.partitions = partitions
         self.spark, self.checkpoint, self.changes_path, self.bridge = spark, checkpoint, changes, bridge
 
     def start(self, rows: DataFrame, trigger: str | None, name: str | None = None):
@@ -107,7 +108,7 @@ class CityTables:
              .transformWithStateInPandas(city_processor(), CHANGES, "Update", "None")
              .writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", self.checkpoint))
         w = w.queryName(name) if name else w
-        with rocksdb(self.spark):
+        with rocksdb(self.spark, self.partitions):
             return (w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)).start()
 
     def _own(self) -> str:

@@ -9,7 +9,7 @@ from cirrus.operators import incremental as H
 from cirrus.streaming import files, jobs as S
 from cirrus.streaming.flow import ObservationFlow
 from cirrus.streaming.history import RunHistory
-from cirrus.streaming.native import PROVIDER, NativeTable
+from cirrus.streaming.native import PARTITIONS, PROVIDER, NativeTable
 from cirrus.streaming.upsert import CityTables
 
 from test_landing_curate import doc
@@ -86,6 +86,32 @@ def test_a_batch_aggregates_before_its_shuffle_and_keeps_no_history(spark, tmp_p
     assert {r.city_id: r.n for r in table.read().collect()} == {1: 3, 2: 2, None: 1}
 
 
+def test_state_partitions_follow_the_cores_not_the_sessions_shuffles(spark, tmp_path):
+    """Each batch opens every state partition of every table, so their number is not the session's 200 shuffle partitions.
+    A table that has begun keeps its number, and a caller may name one."""
+    src, before = str(tmp_path / "src"), spark.conf.get(PARTITIONS)
+    state = lambda checkpoint: len([n for n in os.listdir(f"{checkpoint}/state/0") if n.isdigit()])
+    _append(spark, src, ROWS[0])
+    avg = lambda name, n=None: NativeTable(
+        spark, str(tmp_path / name), H.partial_avg_exact, "city_id bigint", "s double, n bigint", partitions=n)
+    cities = CityTables(spark, str(tmp_path / "city"), str(tmp_path / "changes"), avg("bridge"))
+    _city(spark, [("Milan", 1, 45.5, 5), ("Rome", 7, 41.9, 2)]).write.parquet(str(tmp_path / "names"))
+    spark.conf.set(PARTITIONS, "40")
+    try:
+        for table in (avg("own"), avg("named", 3)):
+            _run(spark, src, table)
+        cities.start(spark.readStream.schema(CITY).parquet(str(tmp_path / "names")), None).awaitTermination()
+        assert [state(tmp_path / n) for n in ("own", "named", "city")] == [8, 3, 8]
+        assert spark.conf.get(PARTITIONS) == "40"
+        _append(spark, src, ROWS[1])
+        _run(spark, src, avg("named"))
+        assert state(tmp_path / "named") == 3
+        assert {r.city_id: r.n for r in avg("named").read().collect()} == {1: 2, 2: 1, None: 1}
+    finally:
+        spark.conf.set(PARTITIONS, before)
+    assert cities.read("curated_city").count() == 2
+
+
 def test_fact_folders_are_whole_when_they_appear(spark, tmp_path):
     root = str(tmp_path / "fact")
     attempt, folder = f"{root}/_attempt/batch=0", f"{root}/batch=0"
