@@ -9,8 +9,9 @@ its group does not depend on the number of groups, so a table folds to half the
 Two versions are compared by their fingerprints' cells: the larger table is folded to the groups of the smaller, the
 cells are subtracted and peeled: a cell with count +1 or -1 whose check fits its key gives up one differing digest,
 which is taken out of its other cells, until nothing is left. The number of recovered digests d gives the likeness
-(|A| + |B| - d) / (|A| + |B| + d). Only for a pair that does not peel empty are larger tables built, with groups by the
-digests of both, and four times the groups at each further failure.
+(|A| + |B| - d) / (|A| + |B| + d). The groups are peeled one by one, and d is the sum over them. Only for a group that
+does not peel empty are larger tables built, of the digests of both in it, dealt anew by other hashes, and four times the
+groups at each further failure.
 
 Results for odd input: null text is empty; an empty text has an empty table, and two empty ones are alike (1.0); the
 next document of the last in descending order is the first, a single document is its own next; documents with equal
@@ -47,10 +48,11 @@ def cells(keys: str, seed: int = 0) -> str:
             f"(s, y) -> named_struct('c', s.c + 1, 'k', s.k ^ y.k, 'x', s.x ^ y.x))))[0]")
 
 
-def dealt(keys: str, n: str) -> str:
-    """SQL: an array of digests dealt over ``n`` groups. Sorted with a mark ahead of each group, so that the work does
-    not grow with the groups times the digests."""
-    marked = (f"sort_array(concat(transform({keys}, d -> named_struct('g', cast(pmod(shiftright(d, 7), {n}) as int), "
+def dealt(keys: str, n: str, seed: int = 0) -> str:
+    """SQL: an array of digests dealt over ``n`` groups, by their own bits or, with a seed, by a hash. Sorted with a mark
+    ahead of each group, so that the work does not grow with the groups times the digests."""
+    bits = f"xxhash64(d, 'group', {seed})" if seed else "d"
+    marked = (f"sort_array(concat(transform({keys}, d -> named_struct('g', cast(pmod(shiftright({bits}, 7), {n}) as int), "
               f"'e', 1, 'd', d)), transform(sequence(0, {n}), g -> named_struct('g', g, 'e', 0, 'd', 0L))))")
     marks = "filter(transform(v, (y, i) -> IF(y.e = 0, i, -1)), i -> i >= 0)"
     return (f"IF({n} = 1, array({keys}), transform(array({marked}), v -> transform(array({marks}), m -> transform("
@@ -72,12 +74,19 @@ def folded(t: str, size: str) -> str:
 LESS = "(p, q) -> named_struct('c', p.c - q.c, 'k', p.k ^ q.k, 'x', p.x ^ q.x)"
 
 
-def difference(t: str, u: str) -> str:
-    """SQL: the number of digests that two tables (columns or lambda variables) differ in, null if they do not peel."""
+def differences(t: str, u: str) -> str:
+    """SQL: the numbers of digests that the groups of two tables (columns or lambda variables) differ in, null for a group
+    that does not peel."""
     less = f"zip_with({folded(t, 'm')}, {folded(u, 'm')}, {LESS})"
     group = f"transform(array(slice(l, g * {CELLS} + 1, {CELLS})), z -> {peeled(0)})[0]"
-    return (f"transform(transform(array(least(size({t}), size({u}))), m -> {less}), l -> aggregate(sequence(0, size(l) div "
-            f"{CELLS} - 1), 0, (h, g) -> IF(h IS NULL, h, h + {group})))[0]")
+    return (f"transform(transform(array(least(size({t}), size({u}))), m -> {less}), l -> transform(sequence(0, size(l) div "
+            f"{CELLS} - 1), g -> {group}))[0]")
+
+
+def difference(t: str, u: str) -> str:
+    """SQL: the number of digests that two tables differ in, null if they do not peel."""
+    return (f"transform(array({differences(t, u)}), p -> IF(exists(p, x -> x IS NULL), CAST(NULL AS INT), "
+            f"aggregate(p, 0, (s, x) -> s + x)))[0]")
 
 
 def peeled(seed: int) -> str:
@@ -101,29 +110,28 @@ def written(keys: str) -> Column:
 
 
 def differing(pairs: DataFrame) -> DataFrame:
-    """pairs (id columns.., a, b: digests) with d, the size of the symmetric difference, recovered by peeling.
+    """pairs (id columns.., a, b: digests) with d, the size of the symmetric difference, recovered by peeling; the sum over
+    the rows of an id.
 
-    For pairs whose own tables did not peel: the groups are as many as both together need."""
+    For what did not peel in the pairs' own tables: the groups are as many as both together need, and only the digests of
+    a group that is stuck again are dealt once more."""
     ids = [c for c in pairs.columns if c not in ("a", "b")]
     part, done, level = pairs, None, 1
     while True:
         load = 16 / 4**level
         groups = f"greatest(1, cast(ceil((size(a) + size(b)) / {load}) as int))"
-        rows = part.withColumn("n", F.expr(groups)).select(
-            *ids, F.explode(F.expr(f"zip_with({dealt('a', 'n')}, {dealt('b', 'n')}, (p, q) -> named_struct('a', p, 'b', q))"))
-            .alias("v"))
         less = f"zip_with({cells('v.a', level)}, {cells('v.b', level)}, {LESS})"
-        got = rows.select(*ids, F.expr(f"transform(array({less}), z -> {peeled(level)})[0]").alias("d")).groupBy(
-            *ids).agg(F.sum("d").alias("d"), F.count_if(F.col("d").isNull()).alias("stuck"))
+        each = (f"transform(zip_with({dealt('a', 'n', level)}, {dealt('b', 'n', level)}, (p, q) -> named_struct('a', p, 'b', q)), "
+                f"v -> named_struct('d', transform(array({less}), z -> {peeled(level)})[0], 'v', v))")
+        got = part.withColumn("n", F.expr(groups)).select(*ids, F.expr(
+            f"transform(array({each}), g -> named_struct('d', aggregate(g, 0L, (s, x) -> s + coalesce(x.d, 0)), "
+            f"'left', transform(filter(g, x -> x.d IS NULL), x -> x.v)))[0]").alias("r"))
         got = stored(got, "fingerprint_level")
-        fine = got.where("stuck = 0").select(*ids, "d")
-        done = fine if done is None else done.union(fine)
-        left = got.where("stuck > 0").select(*ids)
-        if left.isEmpty():
-            return done
-        names = [F.col(c).alias(f"_{c}") for c in ids]
-        on = " AND ".join(f"{c} <=> _{c}" for c in ids)
-        part = stored(part.join(left.select(*names), F.expr(on)).select(*ids, "a", "b"), "fingerprint_stuck")
+        sums = got.select(*ids, "r.d")
+        done = sums if done is None else done.union(sums)
+        part = got.where("size(r.left) > 0").select(*ids, F.explode("r.left").alias("v")).select(*ids, "v.a", "v.b")
+        if part.isEmpty():
+            return done.groupBy(*ids).agg(F.sum("d").alias("d"))
         level += 1
 
 
@@ -175,20 +183,27 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     # By the documents' own tables; a is compared twice.
     own = once.select("doc_id", "_th", F.expr(
         f"transform(array({cell_table('a')}), t -> named_struct("
-        f"'edited', transform(array({cell_table('e')}), u -> {difference('t', 'u')})[0], "
-        f"'next', transform(array({cell_table('x')}), u -> {difference('t', 'u')})[0]))[0]").alias("v")).select(
+        f"'edited', transform(array({cell_table('e')}), u -> {differences('t', 'u')})[0], "
+        f"'next', transform(array({cell_table('x')}), u -> {differences('t', 'u')})[0]))[0]").alias("v")).select(
         "doc_id", "_th", F.explode(F.create_map(
             F.lit("edited"), F.col("v.edited"), F.lit("next"), F.col("v.next"))).alias("kind", "d"))
     own = stored(own, "fingerprint_own")
-    found, left = own.where("d IS NOT NULL"), own.where("d IS NULL")
+    found = own.select("doc_id", "_th", "kind", F.expr("aggregate(d, 0L, (s, x) -> s + coalesce(x, 0))").alias("d"))
+    # The groups that did not peel: which of how many.
+    stuck = F.filter(F.transform("d", lambda x, i: F.when(x.isNull(), i)), lambda i: i.isNotNull())
+    left = own.where(F.exists("d", lambda x: x.isNull())).select(
+        F.col("doc_id").alias("_d"), F.col("_th").alias("_t"), F.struct("kind", F.size("d").alias("n"), stuck.alias("g")).alias("k"))
     if not left.isEmpty():
-        left = left.groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(F.collect_list("kind").alias("kinds"))
+        left = left.groupBy("_d", "_t").agg(F.collect_list("k").alias("kinds"))
         pairs = once.join(left, F.expr("doc_id <=> _d AND _th = _t")).select(
-            "doc_id", "_th", F.explode("kinds").alias("kind"), "a", "e", "x").select(
-            "doc_id", "_th", "kind", "a", F.expr("IF(kind = 'edited', e, x)").alias("b"))
+            "doc_id", "_th", F.explode("kinds").alias("k"), "a", "e", "x").select(
+            "doc_id", "_th", "k.kind", "k.n", "k.g", "a", F.expr("IF(k.kind = 'edited', e, x)").alias("b"))
+        some = lambda c: f"transform(array({dealt(c, 'n')}), z -> transform(g, i -> z[i]))[0]"
+        pairs = pairs.select("doc_id", "_th", "kind", F.explode(F.arrays_zip(
+            F.expr(some("a")).alias("a"), F.expr(some("b")).alias("b"))).alias("v")).select("doc_id", "_th", "kind", "v.a", "v.b")
         found = found.union(differing(pairs).select("doc_id", "_th", "kind", "d"))
     found = found.groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
-        *(F.max(F.when(F.col("kind") == k, F.col("d"))).alias(f"d_{k}") for k in ("edited", "next")))
+        *(F.sum(F.when(F.col("kind") == k, F.col("d"))).alias(f"d_{k}") for k in ("edited", "next")))
 
     def near(other: str, d: str) -> Column:
         both = F.size("a") + F.size(other)

@@ -58,3 +58,28 @@ def test_returned_fingerprints_give_the_likeness(spark):
     got = spark.createDataFrame([(i, a[i], b[i]) for i in a], f"i long, t {cell}, u {cell}").selectExpr(
         "i", f"{P.difference('t', 'u')} AS d", f"{P.difference('t', 'transform(t, y -> y)')} AS same").collect()
     assert {r["i"]: r["d"] for r in got} == {i: 4 if i == 0 else 6 for i in a} and all(r["same"] == 0 for r in got)
+
+
+def test_only_stuck_groups_are_built_again(spark, monkeypatch):
+    """Three long texts, the next one all other: most groups peel by the returned tables, only the digests of the others are
+    dealt again, and of these only those that are stuck once more."""
+    texts = {i: "\n".join(f"line {k} of {i}" if k % 2 else f"line {k}" for k in range(1500)) for i in range(3)}
+    df = spark.createDataFrame(sorted(texts.items()), "doc_id long, text string")
+    seen, levels, real, keep = [], [], P.differing, P.stored
+    monkeypatch.setattr(P, "differing", lambda pairs: (seen.extend(pairs.collect()), real(pairs))[1])
+    monkeypatch.setattr(P, "stored", lambda d, name: levels.append(name) or keep(d, name))
+    got = {r["doc_id"]: r for r in P.fingerprints(df).collect()}
+    for i, t in texts.items():
+        a, b = parts(t), parts(texts[(i - 1) % 3])
+        assert abs(got[i]["near_next"] - len(a & b) / len(a | b)) < 1e-12
+    assert seen and max(len(r["a"]) + len(r["b"]) for r in seen) < 100  # not 3,000
+    assert len({(r["doc_id"], r["kind"]) for r in seen}) < len(seen) < 6 * 256  # several groups of a pair, not all
+    assert all((x ^ y) >> 7 & 127 == 0 for r in seen for x in r["a"] for y in r["a"])  # whole groups of 128 or 256
+    assert "fingerprint_level" in levels
+
+
+def test_differing_deals_digests_of_one_group_anew(spark):
+    """Digests that agree in the bits that deal a text's own groups, in several rows of one id."""
+    rows = [(i, [(k << 20) + i for k in range(n)], [(k << 20) + i for k in range(2, n + 3)]) for i, n in ((1, 60), (1, 9), (2, 0), (3, 2))]
+    df = spark.createDataFrame(rows, "id long, a array<long>, b array<long>")
+    assert {r["id"]: r["d"] for r in P.differing(df).collect()} == {1: 10, 2: 1, 3: 5}
