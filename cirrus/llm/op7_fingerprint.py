@@ -201,6 +201,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         some = lambda c: f"transform(array({dealt(c, 'n')}), z -> transform(g, i -> z[i]))[0]"
         pairs = pairs.select("doc_id", "_th", "kind", F.explode(F.arrays_zip(
             F.expr(some("a")).alias("a"), F.expr(some("b")).alias("b"))).alias("v")).select("doc_id", "_th", "kind", "v.a", "v.b")
+        # Small rows with much work each, so they are dealt over all tasks.
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pairs = stored(pairs, "fingerprint_stuck").repartition(parts)
         found = found.union(differing(pairs).select("doc_id", "_th", "kind", "d"))
     found = found.groupBy(F.col("doc_id").alias("_d"), F.col("_th").alias("_t")).agg(
         *(F.sum(F.when(F.col("kind") == k, F.col("d"))).alias(f"d_{k}") for k in ("edited", "next")))
