@@ -709,7 +709,7 @@ def feed_in_slices(spark, docs: DataFrame, flow: ObservationFlow, pieces: int =
     staged = scratch_path(spark, "feed")
     docs.select("value", slice_no.alias("slice")).write.partitionBy("slice").parquet(staged)
     for i in range(pieces):
-        (spark.read.parquet(staged).where(F.col("slice") == i).select("value")
+        (spark.read.schema("value string, slice int").parquet(staged).where(F.col("slice") == i).select("value")
          .write.mode("append").text(flow.source_dir))
         flow.run_once()
 

@@ -33,7 +33,7 @@ from cirrus.schemas import CONSUMPTION, CURATED_WEATHER, LENGTH_LIMITS, PRIMARY_
 from cirrus.sources.landing import LANDING_COLUMN, point_table, rejected_rows, rejects, replace_checked
 from cirrus.streaming import jobs
 from cirrus.streaming.history import RunHistory
-from cirrus.streaming.native import NativeTable
+from cirrus.streaming.native import NativeTable, shared_state_partitions
 from cirrus.streaming.upsert import CityTables
 
 CURATED_WEATHER_STREAM = T.StructType(CURATED_WEATHER.fields + [T.StructField("obs_date", T.DateType())])
@@ -54,9 +54,10 @@ class ObservationFlow:
     def __init__(self, spark: SparkSession, root: str, allow: Iterable[str] | None = CITY_ALLOW_LIST,
                  one_document_per_file: bool = True, max_files_per_trigger: int | None = None,
                  state_partitions: int | None = None):
-        """``state_partitions``: of each table in Spark's state store (``native.default_state_partitions``)."""
+        """``state_partitions``: of each table in Spark's state store (``native.shared_state_partitions``)."""
         self.spark = spark
         self.root = root.rstrip("/")
+        state_partitions = state_partitions or shared_state_partitions(spark)
         self.allow = tuple(allow) if allow is not None else None
         self.one_document_per_file = one_document_per_file
         self.max_files = max_files_per_trigger
@@ -161,17 +162,19 @@ class ObservationFlow:
     def run_once(self) -> None:
         """Drain every layer once along its dependencies (``availableNow``):
         landing, then the fact append and the city upsert side by side (both
-        only read landing), then the consumption states side by side (all only read the fact). Every layer of a group runs to its end before a failure is raised."""
+        only read landing) and, once the fact is appended, the consumption states (all only read the fact). Every layer that
+        has begun runs to its end before a failure is raised."""
         names = ("landing", "curated_weather", "curated_city", "city_bridge", *self.consumption)
         ingest, fact, city, pairs, *rest = self._layers(dict.fromkeys(names))
         with self.runs:
             ingest()
-            for side_by_side in ((fact, city, pairs), rest):
-                with ThreadPoolExecutor(max_workers=4) as pool:
-                    done = [pool.submit(layer) for layer in side_by_side]
-                failed = [d.exception() for d in done if d.exception()]
-                if failed:
-                    raise failed[0]
+            with ThreadPoolExecutor(max_workers=len(names)) as pool:
+                done = [pool.submit(layer) for layer in (fact, city, pairs)]
+                if done[0].exception() is None:  # waits for the fact
+                    done += [pool.submit(layer) for layer in rest]
+            failed = [d.exception() for d in done if d.exception()]
+            if failed:
+                raise failed[0]
 
     def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes", curated_city: str = "1 minute",
               consumption: str | dict[str, str] | None = None) -> list:

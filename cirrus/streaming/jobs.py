@@ -121,21 +121,21 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
     if group.is_committed(batch_id):  # replay of a finished batch
         group.check_writer(query_id)
         return 0
-    if batch.isEmpty():  # guard: no new rows -> no work, no new version
-        return 0
     started = _now()
+    rows = batch.count()  # fills the cache that the merge jobs read
+    if not rows:  # guard: no new rows -> no work, no new version
+        return 0
     frames = {}
     for j in jobs:
-        rows = j.prepare(batch, batch_id) if j.prepare else batch
-        frames[j.name] = j.partial(rows) if j.combine else j.merge(group.read(j.name), rows)
-    rows = batch.count()  # fills or is served by the cache that the merge jobs read
+        ready = j.prepare(batch, batch_id) if j.prepare else batch
+        frames[j.name] = j.partial(ready) if j.combine else j.merge(group.read(j.name), ready)
     group.commit(batch_id, frames, [(name, rows, started) for name in frames], query_id)
     return rows
 
 
 def query_of(checkpoint: str, spark: SparkSession) -> str:
     """The id of the streaming query that owns a checkpoint (written by Spark before the first batch)."""
-    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
@@ -181,21 +181,24 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
             counter.check_writer(query_of(checkpoint, spark))
             return
         rows = transform(batch) if transform else batch
-        if rows.isEmpty():
-            return
         started = _now()
-        start = counter.read("id_counter").agg(F.max("max_id")).first()[0] or 0
+        start = max((r["max_id"] for r in counter.read("id_counter").collect()), default=0)  # a row
         folder, scratch = f"{target.rstrip('/')}/batch={int(batch_id)}", scratch_path(spark, "weather_id")
         if not files.exists(spark, folder):
             attempt = f"{target.rstrip('/')}/_attempt/batch={int(batch_id)}"
             with_weather_id(rows, start, scratch).hint("rebalance", "obs_date").write.mode("overwrite").partitionBy(
                 "obs_date").parquet(attempt)
             files.rename(spark, attempt, folder)
-        written = spark.read.parquet(folder).count()
+        schema = T.StructType([*rows.schema.fields, T.StructField("weather_id", T.LongType())])
+        written = spark.read.schema(schema).parquet(folder).count()
+        if not written:  # guard: no new rows -> no batch of the table, no commit
+            files.delete_older(spark, folder, 0)
+            files.delete_older(spark, scratch, 0)
+            return
         counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
                        [("curated_weather", written, started)], query_of(checkpoint, spark))
         files.delete_older(spark, scratch, 0)
-        compact_fact(spark, counter, target, spark.read.parquet(folder).schema, compact_every)
+        compact_fact(spark, counter, target, schema, compact_every)
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger, name), trigger)

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from cirrus.operators.incremental import CITY_ATTRS, CITY_STATE
 from cirrus.streaming import files
+from cirrus.streaming.jobs import query_of
 from cirrus.streaming.native import NativeTable, rocksdb
 
 CITY_VALUE = CITY_STATE.split(", ", 1)[1]
@@ -113,7 +114,7 @@ class CityTables:
 
     def _own(self) -> str:
         """The changes' folder of this query: a query that starts anew from a new checkpoint emits its own."""
-        return f"{self.changes_path}/query={self.spark.read.json(f'{self.checkpoint}/metadata').first()['id']}"
+        return f"{self.changes_path}/query={query_of(self.checkpoint, self.spark)}"
 
     def committed(self) -> list[int]:
         return sorted(int(n) for n in files.names(self.spark, f"{self.checkpoint}/commits") if n.isdigit())
