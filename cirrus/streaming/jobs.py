@@ -180,7 +180,14 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
         if counter.is_committed(batch_id):
             counter.check_writer(query_of(checkpoint, spark))
             return
-        rows = transform(batch) if transform else batch
+        # Kept: the bounds of the ranges are sampled from the rows before these are dealt out.
+        rows = transform(batch).persist() if transform else batch
+        try:
+            number(rows, batch_id)
+        finally:
+            rows.unpersist()
+
+    def number(rows: DataFrame, batch_id: int):
         started = _now()
         start = max((r["max_id"] for r in counter.read("id_counter").collect()), default=0)  # a row
         folder, scratch = f"{target.rstrip('/')}/batch={int(batch_id)}", scratch_path(spark, "weather_id")
