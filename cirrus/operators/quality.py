@@ -69,6 +69,23 @@ def counts(seen: Observation, rules: Mapping[str, Column]) -> dict[str, int]:
     return {"rows": got["rows"], "rejected": got["rejected"], **{n: got[f"limit_{i}"] for i, n in enumerate(rules)}}
 
 
+def placed(df: DataFrame, order: Sequence[str], num_partitions: int | None = None) -> DataFrame:
+    """The rows range-partitioned by ``order`` and sorted inside the partitions, with their partition number ``_pid`` and,
+    in the lower 33 bits of ``_at``, their position in it. Equal on every run over rows that come in the same order."""
+    # Rows equal on the whole order are interchangeable; a per-row tie-break
+    # lets the range partitioner split even a huge group of such rows.
+    keyed = df.withColumn("_tie", F.monotonically_increasing_id())
+    full = [*order, "_tie"]
+    ranged = keyed.repartitionByRange(num_partitions, *full) if num_partitions else keyed.repartitionByRange(*full)
+    return (ranged.sortWithinPartitions(*full).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+            .withColumn("_pid", F.shiftright("_at", 33)))
+
+
+def position() -> Column:
+    """A row's position in its partition, of ``placed`` rows."""
+    return F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+
+
 def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "surrogate_id",
                   start: int = 0, num_partitions: int | None = None, path: str | None = None) -> DataFrame:
     """Dense ids ``start+1 ..`` in ``order`` (which must be unique), distributed.
@@ -79,18 +96,10 @@ def surrogate_key(df: DataFrame, order: Sequence[str], key_col: str = "surrogate
     3. id = start + offset(partition) + position. No second shuffle or sort of the rows."""
     spark = df.sparkSession
     path = path or scratch_path(spark, "surrogate_key")
-    # Rows equal on the whole order are interchangeable; a per-row tie-break
-    # lets the range partitioner split even a huge group of such rows.
-    keyed = df.withColumn("_tie", F.monotonically_increasing_id())
-    full = [*order, "_tie"]
-    ranged = keyed.repartitionByRange(num_partitions, *full) if num_partitions else keyed.repartitionByRange(*full)
-    place = F.monotonically_increasing_id()
-    (ranged.sortWithinPartitions(*full).drop("_tie").withColumn("_at", place)
-     .withColumn("_pid", F.shiftright("_at", 33)).write.mode("overwrite").parquet(path))
+    placed(df, order, num_partitions).write.mode("overwrite").parquet(path)
     stored = spark.read.parquet(path)
     counts = stored.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    position = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return (stored.join(offsets, "_pid").withColumn(key_col, F.lit(start) + F.col("_offset") + position + 1)
+    return (stored.join(offsets, "_pid").withColumn(key_col, F.lit(start) + F.col("_offset") + position() + 1)
             .drop("_pid", "_offset", "_at"))

@@ -18,11 +18,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cirrus.session import scratch_path
+from cirrus.operators.quality import placed, position
 from cirrus.sources.landing import LANDING_COLUMN, REJECTED, json_reader, landing_rows
 from cirrus.streaming import files
 from cirrus.streaming.state import COMMIT_SCHEMA, StateGroup
@@ -31,6 +32,8 @@ LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType()), T
                                T.StructField(REJECTED, T.BinaryType())])
 #: How long the file stream remembers a path, counted back from the newest file it has seen: beyond any load.
 MAX_FILE_AGE = "36500d"
+#: Rows of a micro-batch of the fact that one task sorts and numbers.
+ROWS_IN_RANGE = 100_000
 
 
 def _now():
@@ -122,7 +125,7 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
         group.check_writer(query_id)
         return 0
     started = _now()
-    rows = batch.count()  # fills the cache that the merge jobs read
+    rows = batch.count()  # fills the cache, if there is one, that the merge jobs read
     if not rows:  # guard: no new rows -> no work, no new version
         return 0
     frames = {}
@@ -145,13 +148,17 @@ def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Seq
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
     the batch's source files, which the file source replays identically.
-    ``rows`` turns a batch of commit records into the rows they stand for."""
+    ``rows`` turns a batch of commit records into the rows they stand for; a single
+    job reads its columns of these from the table, which costs less than a copy of all."""
     def on_batch(batch: DataFrame, batch_id: int):
-        batch = (rows(batch) if rows else batch).persist()
+        kept = not rows or len(jobs) > 1
+        batch = rows(batch) if rows else batch
+        batch = batch.persist() if kept else batch
         try:
             merge_batch(spark, group, jobs, batch, batch_id, query_of(checkpoint, spark))
         finally:
-            batch.unpersist()
+            if kept:
+                batch.unpersist()
 
     w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger, name), trigger)
@@ -169,19 +176,19 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
     """Append with an AUTOINCREMENT-style ``weather_id``: dense ids after the
     stored maximum, in time order inside each batch.
 
-    Per micro-batch: read the committed counter (one scalar), number the batch
-    with the distributed surrogate key, write it to a hidden folder, rename that to ``<target>/batch=<id>`` in one step,
-    commit the new counter, delete the scratch table. So a batch folder is whole and final from the moment it is there,
-    also for file streams over the table, and a replay after the rename takes the folder as it is. (The file system
+    Per micro-batch: read the committed counter (one scalar), lay the rows out in ranges of the time order and keep them,
+    count the ranges (a row for each to the driver), write the rows with start + rows of the ranges before + position to a
+    hidden folder, rename that to ``<target>/batch=<id>`` in one step, commit the new counter. The ranges hold the same rows
+    at the same positions if a kept block is lost and built again. So a batch folder is whole and final from the moment it
+    is there, also for file streams over the table, and a replay after the rename takes the folder as it is. (The file system
     must rename a folder in one step, as HDFS and its kind do.)"""
-    from cirrus.plans.warehouse import with_weather_id
+    from cirrus.plans.warehouse import WEATHER_ID_ORDER
 
     def on_batch(batch: DataFrame, batch_id: int):
         if counter.is_committed(batch_id):
             counter.check_writer(query_of(checkpoint, spark))
             return
-        # Kept: the bounds of the ranges are sampled from the rows before these are dealt out.
-        rows = transform(batch).persist() if transform else batch
+        rows = batch.persist()  # the bounds of the ranges are sampled from the rows before these are dealt out
         try:
             number(rows, batch_id)
         finally:
@@ -189,25 +196,32 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
 
     def number(rows: DataFrame, batch_id: int):
         started = _now()
+        written = rows.count()  # fills the cache
+        if not written:  # guard: no new rows -> no batch of the table, no commit
+            return
         start = max((r["max_id"] for r in counter.read("id_counter").collect()), default=0)  # a row
-        folder, scratch = f"{target.rstrip('/')}/batch={int(batch_id)}", scratch_path(spark, "weather_id")
+        schema = T.StructType([*rows.schema.fields, T.StructField("weather_id", T.LongType())])
+        folder = f"{target.rstrip('/')}/batch={int(batch_id)}"
         if not files.exists(spark, folder):
-            attempt = f"{target.rstrip('/')}/_attempt/batch={int(batch_id)}"
-            with_weather_id(rows, start, scratch).hint("rebalance", "obs_date").write.mode("overwrite").partitionBy(
-                "obs_date").parquet(attempt)
+            ranged = placed(rows, WEATHER_ID_ORDER, -(-written // ROWS_IN_RANGE)).persist()
+            try:
+                sizes = {r["_pid"]: r["n"] for r in ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
+                before = [0, *accumulate(sizes.get(i, 0) for i in range(max(sizes)))]
+                weather_id = F.lit(start).cast("long") + F.lit(before)[F.col("_pid").cast("int")] + position() + 1
+                attempt = f"{target.rstrip('/')}/_attempt/batch={int(batch_id)}"
+                # A range of the time order holds few days, so each task writes few files; a hot day spans several ranges.
+                ranged.withColumn("weather_id", weather_id).select(*schema.names).write.mode("overwrite").partitionBy(
+                    "obs_date").parquet(attempt)
+            finally:
+                ranged.unpersist()
             files.rename(spark, attempt, folder)
-        schema = T.StructType([*rows.schema.fields, T.StructField("weather_id", T.LongType())])
-        written = spark.read.schema(schema).parquet(folder).count()
-        if not written:  # guard: no new rows -> no batch of the table, no commit
-            files.delete_older(spark, folder, 0)
-            files.delete_older(spark, scratch, 0)
-            return
         counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
                        [("curated_weather", written, started)], query_of(checkpoint, spark))
-        files.delete_older(spark, scratch, 0)
         compact_fact(spark, counter, target, schema, compact_every)
 
-    w = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    # The transform is part of the stream: inside foreachBatch the rows come whole, and no path would reach the scan.
+    rows = transform(stream) if transform else stream
+    w = rows.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     return _finish(_start(w, trigger, name), trigger)
 
 

@@ -61,3 +61,50 @@ def test_answers_do_not_wait_for_the_city_tables(spark, tmp_path, monkeypatch):
     with pytest.raises(ValueError, match="no city today"):
         flow.run_once()
     assert [r.max_abs_temperature for r in flow.state("max_abs_temp").collect()] == [280.5]
+
+
+def test_curation_is_part_of_the_stream(spark, tmp_path):
+    """Its paths then reach the scan; rows handed to foreachBatch come whole, and each path is looked up in the whole document."""
+    seen = []
+    stream = spark.readStream.format("rate").load()
+
+    def curate(rows):
+        seen.append(rows.isStreaming)
+        raise InterruptedError
+
+    with pytest.raises(InterruptedError):
+        S.keyed_append(spark, stream, StateGroup(spark, str(tmp_path / "c"), {"id_counter": "max_id bigint"}),
+                       str(tmp_path / "keyed"), str(tmp_path / "ckpt"), transform=curate)
+    assert seen == [True]
+
+
+def test_numbers_run_on_over_ranges_and_batches(spark, tmp_path, monkeypatch):
+    """Several ranges a batch, rows without a time, equal rows and a day that most rows share: dense numbers in time order."""
+    monkeypatch.setattr(S, "ROWS_IN_RANGE", 3)
+    src, target = str(tmp_path / "src"), str(tmp_path / "keyed")
+    counter = StateGroup(spark, str(tmp_path / "counter"), {"id_counter": "max_id bigint"})
+    hours = [None, *[dt.datetime(2024, 3, 29 + part, hour) for part in (0, 1) for hour in (5, 5, 5, 9, 1, 7, 5)]]
+    for part, times in enumerate((hours[:8], hours[8:])):
+        rows = spark.createDataFrame([(i % 3, t) for i, t in enumerate(times)], "city_id long, dt timestamp_ntz")
+        rows.select(*[F.col(f.name) if f.name in ("city_id", "dt") else F.lit(None).cast(f.dataType).alias(f.name)
+                      for f in CURATED_WEATHER_STREAM.fields]).withColumn("obs_date", F.to_date("dt")).coalesce(1).write.mode("append").parquet(src)
+        S.keyed_append(spark, S.read_appends(spark, src, CURATED_WEATHER_STREAM), counter, target, str(tmp_path / "ckpt"))
+    got = spark.read.parquet(target).orderBy("weather_id").collect()
+    assert [r.weather_id for r in got] == list(range(1, 16))
+    first, second = got[:8], got[8:]
+    for batch in (first, second):
+        assert batch == sorted(batch, key=lambda r: (r.dt is not None, r.dt or dt.datetime.min, r.city_id))
+    assert first[0].dt is None and {r.dt.day for r in second} == {30}
+
+
+def test_one_job_reads_the_table_and_keeps_no_copy(spark, tmp_path, monkeypatch):
+    flow = ObservationFlow(spark, str(tmp_path / "flow"), allow=None, one_document_per_file=False)
+    os.makedirs(flow.source_dir)
+    with open(f"{flow.source_dir}/a.json", "w") as f:
+        f.write('{"id": 1, "name": "Milan", "weather": [{"main": "Rain"}], "main": {"temp": 280.5}, "wind": {"speed": 2.0}, "dt": 1711700000}\n')
+    kept, merge = [], S.merge_batch
+    monkeypatch.setattr(S, "merge_batch", lambda spark_, group, jobs, batch, *more: kept.append(batch.is_cached) or merge(
+        spark_, group, jobs, batch, *more))
+    flow.run_once()
+    assert kept == [False]
+    assert [(r.city_id, r.avg_temperature) for r in flow.state("avg_temp_halving").collect()] == [(1, 280.5)]
