@@ -708,10 +708,12 @@ def feed_in_slices(spark, docs: DataFrame, flow: ObservationFlow, pieces: int =
                    for i in range(1, pieces))
     staged = scratch_path(spark, "feed")
     docs.select("value", slice_no.alias("slice")).write.partitionBy("slice").parquet(staged)
-    for i in range(pieces):
-        (spark.read.schema("value string, slice int").parquet(staged).where(F.col("slice") == i).select("value")
-         .write.mode("append").text(flow.source_dir))
-        flow.run_once()
+
+    def arrival(i: int):
+        return lambda: (spark.read.schema("value string, slice int").parquet(staged).where(F.col("slice") == i).select("value")
+                        .write.mode("append").text(flow.source_dir))
+
+    flow.run_each([arrival(i) for i in range(pieces)])
 
 
 def _flow(spark, sf) -> ObservationFlow:

@@ -39,6 +39,16 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, read without a job."""
+    fs, p = _fs(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small new file, visible under its name once it is whole."""
     fs, p = _fs(spark, path)

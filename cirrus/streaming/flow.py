@@ -18,7 +18,7 @@ lost executor or a restarted driver resumes where the checkpoints say.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -151,30 +151,51 @@ class ObservationFlow:
         if table == self.halving.name:  # its rule depends on the rows' order, which no aggregate function keeps
             return lambda: jobs.consume(
                 self.spark, jobs.read_commits(self.spark, self.id_counter, self.max_files), self.consumption[table],
-                [self.halving], self.checkpoint(f"consumption_{table}"), trigger, rows=self.new_observations, name=name)
+                [self.halving], self.checkpoint(f"consumption_{table}"), trigger, rows=self._new_rows, name=name)
         return lambda: jobs._finish(self.consumption[table].start(
             jobs.read_fact(self.spark, self.curated_weather, KEYED_WEATHER, self.max_files), trigger, name), trigger)
 
     def new_observations(self, records: DataFrame) -> DataFrame:
         """The fact rows of a micro-batch of the fact's commit records."""
-        return jobs.new_rows(self.spark, records, self.id_counter, self.curated_weather, KEYED_WEATHER)
+        return self._new_rows(records)[0]
+
+    def _new_rows(self, records: DataFrame) -> tuple[DataFrame, int | None]:
+        return jobs.new_rows(records, self.id_counter, self.curated_weather, KEYED_WEATHER)
 
     def run_once(self) -> None:
         """Drain every layer once along its dependencies (``availableNow``):
         landing, then the fact append and the city upsert side by side (both
         only read landing) and, once the fact is appended, the consumption states (all only read the fact). Every layer that
         has begun runs to its end before a failure is raised."""
+        self.run_each([lambda: None])
+
+    def run_each(self, arrivals: Sequence[Callable[[], None]]) -> None:
+        """``run_once`` after each arrival, a call that brings files into ``source_dir``.
+
+        The next arrival comes and is landed beside the answer tables' batch of the one before, which reads the fact only: once
+        all readers of landing have ended, as each of them takes an arrival in a batch of its own. The next rows join the fact
+        when the answer tables have ended. After a failure no further arrival is called."""
         names = ("landing", "curated_weather", "curated_city", "city_bridge", *self.consumption)
         ingest, fact, city, pairs, *rest = self._layers(dict.fromkeys(names))
-        with self.runs:
+
+        def land(arrive: Callable[[], None]) -> None:
+            arrive()
             ingest()
-            with ThreadPoolExecutor(max_workers=len(names)) as pool:
-                done = [pool.submit(layer) for layer in (fact, city, pairs)]
+
+        with self.runs, ThreadPoolExecutor(max_workers=len(names) + 1) as pool:
+            landed = pool.submit(land, arrivals[0]) if arrivals else None
+            for after in [*arrivals[1:], None]:
+                if landed is None:
+                    break
+                landed.result()
+                landed, done = None, [pool.submit(layer) for layer in (fact, city, pairs)]
                 if done[0].exception() is None:  # waits for the fact
                     done += [pool.submit(layer) for layer in rest]
-            failed = [d.exception() for d in done if d.exception()]
-            if failed:
-                raise failed[0]
+                if after and not any(d.exception() for d in done[:3]):  # waits for the readers of landing
+                    landed = pool.submit(land, after)
+                failed = [d.exception() for d in done if d.exception()]
+                if failed:
+                    raise failed[0]
 
     def start(self, landing: str = "1 minute", curated_weather: str = "2 minutes", curated_city: str = "1 minute",
               consumption: str | dict[str, str] | None = None) -> list:

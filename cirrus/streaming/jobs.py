@@ -16,6 +16,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from itertools import accumulate
@@ -26,7 +27,8 @@ from pyspark.sql.streaming import StreamingQuery
 from cirrus.operators.quality import placed, position
 from cirrus.sources.landing import LANDING_COLUMN, REJECTED, json_reader, landing_rows
 from cirrus.streaming import files
-from cirrus.streaming.state import COMMIT_SCHEMA, StateGroup
+from cirrus.streaming.native import own_settings
+from cirrus.streaming.state import COMMIT_SCHEMA, StateGroup, records
 
 LANDING_SCHEMA = T.StructType([T.StructField(LANDING_COLUMN, T.VariantType()), T.StructField("source_file", T.StringType()),
                                T.StructField(REJECTED, T.BinaryType())])
@@ -42,9 +44,8 @@ def _now():
 
 def _start(writer, trigger: str | None, name: str | None = None):
     writer = writer.queryName(name) if name else writer
-    if trigger:
-        return writer.trigger(processingTime=trigger).start()
-    return writer.trigger(availableNow=True).start()
+    with own_settings():
+        return (writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)).start()
 
 
 def _finish(q: StreamingQuery, trigger: str | None) -> StreamingQuery:
@@ -118,14 +119,15 @@ def state_group(spark: SparkSession, root: str, jobs_: Sequence[MergeJob], **opt
 
 
 def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob], batch: DataFrame,
-                batch_id: int, query_id: str | None = None) -> int:
+                batch_id: int, query_id: str | None = None, rows: int | None = None) -> int:
     """Apply every job of a group to one micro-batch and commit them together;
-    returns the batch row count (0: empty batch, nothing written). The commit record holds a run-log row for each job."""
+    returns the batch row count (0: empty batch, nothing written), counted unless ``rows`` is known. The commit record holds a
+    run-log row for each job."""
     if group.is_committed(batch_id):  # replay of a finished batch
         group.check_writer(query_id)
         return 0
     started = _now()
-    rows = batch.count()  # fills the cache, if there is one, that the merge jobs read
+    rows = batch.count() if rows is None else rows  # fills the cache, if there is one, that the merge jobs read
     if not rows:  # guard: no new rows -> no work, no new version
         return 0
     frames = {}
@@ -138,24 +140,24 @@ def merge_batch(spark: SparkSession, group: StateGroup, jobs: Sequence[MergeJob]
 
 def query_of(checkpoint: str, spark: SparkSession) -> str:
     """The id of the streaming query that owns a checkpoint (written by Spark before the first batch)."""
-    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+    return json.loads(files.read_text(spark, f"{checkpoint.rstrip('/')}/metadata"))["id"]
 
 
 def consume(spark: SparkSession, stream: DataFrame, group: StateGroup, jobs: Sequence[MergeJob],
             checkpoint: str, trigger: str | None = None,
-            rows: Callable[[DataFrame], DataFrame] | None = None, name: str | None = None) -> StreamingQuery:
+            rows: Callable[[DataFrame], tuple[DataFrame, int | None]] | None = None, name: str | None = None) -> StreamingQuery:
     """One streaming query feeding several merge jobs from the same batch: the
     batch is persisted once and read by every job (instead of one stream per
     job re-reading the same files). A lost cached block is recomputed from
     the batch's source files, which the file source replays identically.
-    ``rows`` turns a batch of commit records into the rows they stand for; a single
+    ``rows`` turns a batch of commit records into the rows they stand for and their number; a single
     job reads its columns of these from the table, which costs less than a copy of all."""
     def on_batch(batch: DataFrame, batch_id: int):
         kept = not rows or len(jobs) > 1
-        batch = rows(batch) if rows else batch
+        batch, count = rows(batch) if rows else (batch, None)
         batch = batch.persist() if kept else batch
         try:
-            merge_batch(spark, group, jobs, batch, batch_id, query_of(checkpoint, spark))
+            merge_batch(spark, group, jobs, batch, batch_id, query_of(checkpoint, spark), count)
         finally:
             if kept:
                 batch.unpersist()
@@ -215,7 +217,7 @@ def keyed_append(spark: SparkSession, stream: DataFrame, counter: StateGroup, ta
             finally:
                 ranged.unpersist()
             files.rename(spark, attempt, folder)
-        counter.commit(batch_id, {"id_counter": spark.createDataFrame([(start + written,)], "max_id bigint")},
+        counter.commit(batch_id, {"id_counter": records(spark, [(start + written,)], "max_id bigint")},
                        [("curated_weather", written, started)], query_of(checkpoint, spark))
         compact_fact(spark, counter, target, schema, compact_every)
 
@@ -303,7 +305,9 @@ def read_commits(spark: SparkSession, counter: StateGroup, max_files_per_trigger
     return read_appends(spark, f"{counter.commit_path}/batch=*", COMMIT_SCHEMA, max_files_per_trigger)
 
 
-def new_rows(spark: SparkSession, records: DataFrame, counter: StateGroup, target: str, schema) -> DataFrame:
-    """The rows that a micro-batch of commit records stands for (as many ids as the trigger took files)."""
-    ids = sorted({r["batch_id"] for r in records.select("batch_id").collect()})
-    return committed_rows(spark, counter, target, schema, ids)
+def new_rows(commits: DataFrame, counter: StateGroup, target: str, schema) -> tuple[DataFrame, int | None]:
+    """The rows that a micro-batch of commit records stands for (as many ids as the trigger took files), and their number, as
+    the records have it. They are read in the batch's session: the flow's own has other queries' settings while these start."""
+    found = {r["batch_id"]: r["rows"] for r in commits.select("batch_id", "rows").collect()}
+    count = None if None in found.values() else sum(found.values())
+    return committed_rows(commits.sparkSession, counter, target, schema, sorted(found)), count

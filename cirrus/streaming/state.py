@@ -17,6 +17,7 @@ import datetime as _dt
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cirrus.streaming import files
@@ -30,6 +31,14 @@ def _now():
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+def records(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver has, in a plan of their own: no Python worker makes them again."""
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "timestamp_ntz": pa.timestamp("us")}
+    fields = [f.split(" ") for f in schema.split(", ")]
+    return spark.createDataFrame(pa.table([pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)],
+                                          names=[n for n, _ in fields]), schema)
+
+
 class StateGroup:
     """Single writer per group (its streaming query); batch ids only grow."""
 
@@ -123,7 +132,7 @@ class StateGroup:
         now = _now()
         rows = [(j, int(batch_id), int(n), start, now, query_id) for j, n, start in log] or [
             (None, int(batch_id), None, now, now, query_id)]
-        self.spark.createDataFrame(rows, COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
+        records(self.spark, rows, COMMIT_SCHEMA).coalesce(1).write.mode("overwrite").parquet(
             f"{self.commit_path}/batch={int(batch_id)}")
         if self.combine and len(self.committed()) % self.compact_every == 0:
             self.compact()

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +10,8 @@ from pyspark.sql import functions as F
 from cirrus.operators import incremental as H
 from cirrus.streaming import files, jobs as S
 from cirrus.streaming.flow import CURATED_WEATHER_STREAM, ObservationFlow
-from cirrus.streaming.native import NativeTable
-from cirrus.streaming.state import StateGroup
+from cirrus.streaming.native import NativeTable, PARTITIONS, rocksdb
+from cirrus.streaming.state import COMMIT_SCHEMA, StateGroup, records
 
 
 def test_tables_of_a_flow_share_the_cores(spark, tmp_path):
@@ -108,3 +109,91 @@ def test_one_job_reads_the_table_and_keeps_no_copy(spark, tmp_path, monkeypatch)
     flow.run_once()
     assert kept == [False]
     assert [(r.city_id, r.avg_temperature) for r in flow.state("avg_temp_halving").collect()] == [(1, 280.5)]
+
+
+def _documents(flow, *parts):
+    """An arrival for each part: one more file with its (id, hour) documents."""
+    def arrival(i, part):
+        def write():
+            os.makedirs(flow.source_dir, exist_ok=True)
+            with open(f"{flow.source_dir}/{i}.json", "w") as f:
+                f.writelines(f'{{"id": {c}, "name": "Milan", "weather": [{{"main": "Rain"}}], "main": {{"temp": {280.5 + i}}}, '
+                             f'"wind": {{"speed": 2.0}}, "dt": {1711700000 + 3600 * h}}}\n' for c, h in part)
+        return write
+    return [arrival(i, part) for i, part in enumerate(parts)]
+
+
+def test_next_arrival_is_landed_beside_the_answers(spark, tmp_path, monkeypatch):
+    """The answers of an arrival may wait for the landing of the next; each layer still takes an arrival as a batch of its own."""
+    flow = ObservationFlow(spark, str(tmp_path / "flow"), allow=None, one_document_per_file=False)
+    came, landed, table, first = threading.Event(), [], flow.consumption["max_abs_temp"], _documents(flow, [(1, 0), (2, 0)], [(1, 1)], [(1, 2)])
+    begin, ingest = table.start, S.ingest_json
+
+    def second():
+        first[1]()
+        came.set()
+
+    monkeypatch.setattr(table, "start", lambda *how: came.wait(60) and begin(*how))
+    monkeypatch.setattr(S, "ingest_json", lambda *a, **k: landed.append(1) or ingest(*a, **k))
+    flow.run_each([first[0], second, first[2]])
+    assert came.is_set() and len(landed) == 3
+    assert {r.city_id: r.max_abs_temperature for r in flow.state("max_abs_temp").collect()} == {1: 282.5, 2: 280.5}
+    runs = {(r.job, r.batch_id): r.rows for r in flow.run_log().collect()}
+    jobs = {"curated_weather", "curated_city", "consumption_city", "city_bridge", *flow.consumption}
+    assert runs == {(job, i): n for job in jobs for i, n in enumerate((2, 1, 1))}
+
+
+def test_a_failed_layer_lets_no_further_arrival_come(spark, tmp_path, monkeypatch):
+    flow = ObservationFlow(spark, str(tmp_path / "flow"), allow=None, one_document_per_file=False)
+    came = _documents(flow, [(1, 0)], [(1, 1)])
+
+    def broken(*_):
+        raise ValueError("no city today")
+
+    monkeypatch.setattr(flow.curated, "start", broken)
+    with pytest.raises(ValueError, match="no city today"):
+        flow.run_each(came)
+    assert os.listdir(flow.source_dir) == ["0.json"]
+
+
+def test_a_batch_of_the_fact_is_counted_by_its_records(spark, tmp_path, monkeypatch):
+    """No job counts its rows again, and they are read in the batch's session, which keeps the settings it began with."""
+    flow = ObservationFlow(spark, str(tmp_path / "flow"), allow=None, one_document_per_file=False)
+    seen, merge = [], S.merge_batch
+
+    def watched(spark_, group, jobs, batch, batch_id, query, rows):
+        seen.append((rows, batch.sparkSession._jsparkSession.equals(spark._jsparkSession)))
+        return merge(spark_, group, jobs, batch, batch_id, query, rows)
+
+    monkeypatch.setattr(S, "merge_batch", watched)
+    flow.run_each(_documents(flow, [(1, 0), (2, 0), (1, 5)]))
+    assert seen == [(3, False)]
+    assert {r.city_id: r.n for r in flow.state("avg_temp_halving").collect()} == {1: 2, 2: 1}
+
+
+def test_a_starting_query_does_not_take_the_settings_of_another(spark):
+    """State tables have few partitions; a query that starts beside them must not keep their number for its own shuffles."""
+    seen = []
+
+    class Writer:
+        def trigger(self, **_):
+            return self
+
+        def start(self):
+            seen.append(spark.conf.get(PARTITIONS))
+
+    with rocksdb(spark, 3):
+        other = threading.Thread(target=S._start, args=(Writer(), None))
+        other.start()
+        other.join(1)
+        assert not seen
+    other.join(10)
+    assert seen == [spark.conf.get(PARTITIONS)] != ["3"]
+
+
+def test_records_need_no_python_worker(spark):
+    rows = [("a", 1, None, None, dt.datetime(2024, 3, 29, 5, 0, 0, 7), "q"), (None, 2, 5, dt.datetime(2024, 1, 1), None, None)]
+    made = records(spark, rows, COMMIT_SCHEMA)
+    assert [tuple(r) for r in made.collect()] == rows
+    assert made.schema.simpleString() == spark.createDataFrame([], COMMIT_SCHEMA).schema.simpleString()
+    assert "RDD" not in made._jdf.queryExecution().toString()
