@@ -109,3 +109,52 @@ def test_top_only_moves_the_lookup(spark):
     for k, r in all_.items():
         for name in ("n_known", "base_score", "score", "spelled_score"):
             assert abs(few[k][name] - r[name]) < 1e-5 * abs(r[name]), name
+
+
+def test_every_text_trains_the_model(spark):
+    """Long texts, repeated and missing ones: neighbours, clusters, spelling and windows of all, not of a sample."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"Wo{rng.integers(0, 9)}x{rng.zipf(1.3) % 500}" for _ in range(n)) for n in (0, 1, 40, 400, 6000)]
+    texts = [*texts, texts[2], texts[4], None, "once upon"]
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    split, cut = [(t or "").lower().split() for t in texts], S.subwords(S.TOKENIZER)
+    counts, size = Counter(w for t in split for w in t), cut.size
+    subs = [cut(t)[0].tolist() for t in split]
+    columns = np.argsort(-np.bincount([x for t in subs for x in t], minlength=size), kind="stable")[:S.NEIGHBOURS].tolist()
+    near = Counter()
+    for t in subs:
+        near.update((a, b) for i, a in enumerate(t) for b in t[max(0, i - S.GAP): i] + t[i + 1: i + 1 + S.GAP])
+    seen, whole = {}, {"neighbours": S.neighbours, "trained": S.trained, "of_types": S.of_types}
+    try:
+        for name, f in whole.items():
+            setattr(S, name, lambda *a, n=name, f=f: seen.setdefault(n, []).append(f(*a)) or seen[n][-1])
+        sent = S.vocabulary(train, 20)
+        scorer = S.learn(train, sent[0], sent[1], sent[2], sent[5], 1, S.TOKENIZER)
+    finally:
+        for name, f in whole.items():
+            setattr(S, name, f)
+    got = {(int(x), columns[j]): int(n) for who, rows in seen["neighbours"][0] for x, row in zip(who, rows) for j, n in enumerate(row) if n}
+    assert got == {k: n for k, n in near.items() if k[1] in columns}
+    assert seen["trained"] == [len(S.windows(np.array([len(t) + 1 for t in split]))[0])]
+    once = [w for w, n in counts.items() if n == 1]
+    spelled = np.bincount(cut(once)[0], minlength=size) + 1.0
+    assert np.allclose(scorer.spell, np.log10(spelled / (spelled.sum() + len(once) + 1)))
+    alone = set(scorer.alone)
+    assert len(alone) == S.ALONE and min(counts[w] for w in alone) >= max(n for w, n in counts.items() if w not in alone)
+    assert len(seen["of_types"]) == S.ROUNDS + 1
+    for moved in seen["of_types"][:-1]:
+        assert moved[:, 0].sum() == sum(n for w, n in counts.items() if n > 1 and w not in alone)
+    assert seen["of_types"][-1].sum() == sum(n for w, n in counts.items() if 1 < n < sent[2] and w not in alone)
+
+
+def test_order_is_learned_from_texts_outside_the_sample(spark):
+    """Texts above 24,000 bytes give no first weights; the attention learns their words' order all the same."""
+    names = [f"{a}{b}" for a in "ka lo mi nu re".split() for b in "st pf rg nd lt".split()]
+    turn = [" ".join(names[(i + j) % 25] for j in range(6500)) for i in range(30)]
+    rng = np.random.default_rng(1)
+    mixed = [" ".join(rng.permutation(t.split()[:500])) for t in turn[:5]]
+    train = spark.createDataFrame([(i, t) for i, t in enumerate(turn)], "doc_id long, text string")
+    asked = spark.createDataFrame([(i, " ".join(t.split()[:500])) for i, t in enumerate(turn[:5])] + [
+        (-1 - i, t) for i, t in enumerate(mixed)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in S.score(asked, train).collect()}
+    assert min(v for k, v in got.items() if k >= 0) > max(v for k, v in got.items() if k < 0) + 1
